@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martlens.functions.time import epoch_minute, epoch_ms, from_epoch_ms
+from martlens.operators.keyed import last_per_key
 
 # Event ids and the user threshold.
 COUPON = "coupon"
@@ -59,18 +60,17 @@ def coupon_alerts(logs: DataFrame, window: str = "5 minutes", slide: str = "5 se
 def alert_doc_id(alerts: DataFrame) -> DataFrame:
     """P9/W3 id: ``mid-<epoch minute of the window end>``."""
     minute = epoch_minute(epoch_ms("window_end"))
-    return alerts.withColumn("doc_id", F.concat_ws("-", "mid", minute.cast("string")))
+    return alerts.withColumn("doc_id", F.concat_ws("-", F.col("mid").cast("string"), minute.cast("string")))
 
 
 def alerts_per_minute(alerts: DataFrame) -> DataFrame:
     """One alert per device and minute -- the one with the latest window."""
-    from martlens.operators.keyed import last_per_key
     return last_per_key(alert_doc_id(alerts), ["doc_id"], ["window_end"])
 
 
 def flatten_alerts(alerts: DataFrame) -> DataFrame:
     """Alert arrays as comma-joined strings (events as ``evid:count``)."""
     ev = F.transform("events", lambda e: F.concat_ws(":", e.getField("evid"), e.getField("n").cast("string")))
-    return (alerts.withColumn("uids", F.array_join("uids", ","))
-                  .withColumn("item_ids", F.array_join("item_ids", ","))
+    return (alerts.withColumn("uids", F.array_join(F.col("uids").cast("array<string>"), ","))
+                  .withColumn("item_ids", F.array_join(F.col("item_ids").cast("array<string>"), ","))
                   .withColumn("events", F.array_join(ev, ",")))

@@ -49,7 +49,7 @@ def sale_detail(order_info: DataFrame, order_detail: DataFrame, user_info: DataF
                 as_of: str | Column) -> DataFrame:
     """The full wide row plus ``doc_id`` = ``order_id_order_detail_id``."""
     rows = enrich_users(join_orders_lines(order_info, order_detail), user_info, as_of)
-    return rows.select(F.concat_ws("_", "order_id", "order_detail_id").alias("doc_id"),
+    return rows.select(F.concat_ws("_", F.col("order_id").cast("string"), "order_detail_id").alias("doc_id"),
                        *SALE_DETAIL_COLUMNS)
 
 

@@ -13,7 +13,7 @@ _AS_OF = q.AS_OF
 _SPLIT_HOUR = q.BATCH_SPLIT_HOUR
 
 STARTUP = """startup AS (
-  SELECT CAST(user_id AS VARCHAR) AS mid, CAST(user_id AS VARCHAR) AS uid, 'startup' AS type,
+  SELECT user_id AS mid, user_id AS uid, 'startup' AS type,
          (epoch_us(ts) // 1000) AS ts, event_id AS log_id,
          strftime(ts, '%Y-%m-%d') AS logDate, strftime(ts, '%H') AS logHour
   FROM events)"""
@@ -25,7 +25,7 @@ DAU = """dau AS (
     FROM startup) WHERE rn = 1)"""
 
 ORDER_INFO = """oi AS (
-  SELECT CAST(o_orderkey AS VARCHAR) AS id, CAST(o_custkey AS VARCHAR) AS user_id,
+  SELECT o_orderkey AS id, o_custkey AS user_id,
          o_orderstatus AS order_status, o_totalprice AS total_amount,
          strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS create_time,
          '1' || lpad(CAST(o_custkey AS VARCHAR), 10, '0') AS consignee_tel,
@@ -35,12 +35,12 @@ ORDER_INFO = """oi AS (
 LINES = """lines AS (
   SELECT concat_ws('-', CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR),
                    CAST(l_partkey AS VARCHAR), CAST(l_suppkey AS VARCHAR)) AS id,
-         CAST(l_orderkey AS VARCHAR) AS order_id, p_name AS sku_name,
-         CAST(l_partkey AS VARCHAR) AS sku_id, printf('%.2f', l_extendedprice) AS order_price
+         l_orderkey AS order_id, p_name AS sku_name,
+         l_partkey AS sku_id, printf('%.2f', l_extendedprice) AS order_price
   FROM lineitem LEFT JOIN part ON p_partkey = l_partkey)"""
 
 USERS = """users AS (
-  SELECT CAST(c_custkey AS VARCHAR) AS id, c_mktsegment AS user_level,
+  SELECT c_custkey AS id, c_mktsegment AS user_level,
          strftime(DATE '1960-01-01' + CAST((c_custkey * 7919) % 18262 AS INTEGER), '%Y-%m-%d') AS birthday,
          CASE WHEN c_custkey % 2 = 1 THEN 'M' ELSE 'F' END AS gender
   FROM customer)"""
@@ -48,7 +48,7 @@ USERS = """users AS (
 AGE = f"CAST(trunc(date_diff('day', CAST(u.birthday AS DATE), DATE '{_AS_OF}') / 365.0) AS INTEGER)"
 
 SALE = f"""sale AS (
-  SELECT o.id || '_' || l.id AS doc_id, l.id AS order_detail_id, o.id AS order_id, o.order_status,
+  SELECT CAST(o.id AS VARCHAR) || '_' || l.id AS doc_id, l.id AS order_detail_id, o.id AS order_id, o.order_status,
          o.create_time, o.user_id, l.sku_id, u.gender AS user_gender,
          COALESCE({AGE}, 0) AS user_age, u.user_level,
          CAST(l.order_price AS DOUBLE) AS sku_price, l.sku_name,
@@ -89,7 +89,7 @@ s AS (SELECT *, {_rest('male_ratio')} AS female_ratio,
 _MONEY = "CAST(sum(CAST({c} AS DECIMAL(18,2))) AS DOUBLE)"
 
 PURCHASES = """p AS (
-  SELECT CAST(event_id AS VARCHAR) AS id, value AS total_amount,
+  SELECT event_id AS id, value AS total_amount,
          strftime(ts, '%Y-%m-%d %H:%M:%S') AS create_time FROM events WHERE event_type = 'purchase'),
 ph AS (
   SELECT split_part(create_time, ' ', 1) AS create_date,
@@ -112,10 +112,10 @@ _S_MS = 3600 * 1000
 _K = _W_MS // _S_MS
 
 ALERTS = f"""ev AS (
-  SELECT CAST(CAST(json_extract_string(props, '$.k') AS INTEGER) % 10 AS VARCHAR) AS mid,
-         CAST(user_id AS VARCHAR) AS uid,
+  SELECT CAST(json_extract_string(props, '$.k') AS INTEGER) % 10 AS mid,
+         user_id AS uid,
          CASE event_type WHEN 'purchase' THEN 'coupon' WHEN 'click' THEN 'clickItem' ELSE event_type END AS evid,
-         CAST(CAST(json_extract_string(props, '$.k') AS INTEGER) AS VARCHAR) AS itemid,
+         CAST(json_extract_string(props, '$.k') AS INTEGER) AS itemid,
          (epoch_us(ts) // 1000) AS ms
   FROM events),
 win AS (SELECT mid, uid, evid, itemid, (ms // {_S_MS} - j) * {_S_MS} AS ws
@@ -292,6 +292,6 @@ UNION ALL SELECT date, 'order_amount', '新增交易额', CAST(v AS DOUBLE) FROM
 
     "coupon_alert_minute": f"""WITH {ALERTS}
 SELECT mid, window_start, window_end, uids, item_ids, events, doc_id FROM (
-  SELECT *, mid || '-' || CAST(epoch_ms(window_end) // 60000 AS VARCHAR) AS doc_id FROM alerts)
+  SELECT *, CAST(mid AS VARCHAR) || '-' || CAST(epoch_ms(window_end) // 60000 AS VARCHAR) AS doc_id FROM alerts)
 QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY window_end DESC, mid DESC, window_start DESC) = 1""",
 }

@@ -51,8 +51,8 @@ def _purchase_orders(spark, sf):
     """Purchases of the event table as timed orders (the order table has dates only)."""
     ev = _t(spark, sf, "events").filter(F.col("event_type") == "purchase")
     return with_create_date_hour(ev.select(
-        F.col("event_id").cast("string").alias("id"),
-        F.col("user_id").cast("string").alias("user_id"),
+        F.col("event_id").alias("id"),
+        F.col("user_id").alias("user_id"),
         F.col("value").alias("total_amount"),
         F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("create_time")))
 
@@ -176,7 +176,7 @@ def exists_semi(spark, sf):
 
 def upsert_latest(spark, sf):
     li = _t(spark, sf, "lineitem").select(
-        F.concat_ws("_", "l_orderkey", "l_linenumber").alias("doc_id"),
+        F.concat_ws("_", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("doc_id"),
         "l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
     split = F.to_timestamp_ntz(F.lit(UPSERT_SPLIT))
     stored = li.filter(F.col("l_shipdate") < split).withColumn("batch", F.lit(1))

@@ -40,9 +40,10 @@ def props_key(events: DataFrame) -> DataFrame:
 def startup_logs(events: DataFrame) -> DataFrame:
     """Start-up log per app activity row: the device is the user.
 
-    Columns: mid, uid, type, ts (epoch ms), log_id.
+    Columns: mid, uid (bigint keys), type, ts (epoch ms), log_id. Keys keep
+    their source type so joins and shuffles hash 8-byte longs, not strings.
     """
-    uid = F.col("user_id").cast("string")
+    uid = F.col("user_id")
     return events.select(
         uid.alias("mid"), uid.alias("uid"), F.lit("startup").alias("type"),
         epoch_ms("ts").alias("ts"), F.col("event_id").alias("log_id"),
@@ -59,14 +60,16 @@ def _evid(event_type: F.Column) -> F.Column:
 def event_logs(events: DataFrame) -> DataFrame:
     """Event log: device = props k mod 10, user = user_id, item = props k.
 
-    Columns: mid, uid, evid, itemid, ts (epoch ms), log_id.
+    Columns: mid (int), uid (bigint), evid, itemid (int), ts (epoch ms), log_id.
+    The props JSON is parsed once, in its own projection.
     """
-    k = F.from_json("props", PROPS_SCHEMA).getField("k")
-    return events.select(
-        (k % ALERT_DEVICES).cast("string").alias("mid"),
-        F.col("user_id").cast("string").alias("uid"),
+    parsed = events.select("event_id", "user_id", "event_type", "ts",
+                           F.from_json("props", PROPS_SCHEMA).getField("k").alias("k"))
+    return parsed.select(
+        (F.col("k") % ALERT_DEVICES).alias("mid"),
+        F.col("user_id").alias("uid"),
         _evid(F.col("event_type")).alias("evid"),
-        k.cast("string").alias("itemid"),
+        F.col("k").alias("itemid"),
         epoch_ms("ts").alias("ts"),
         F.col("event_id").alias("log_id"),
     )
@@ -79,8 +82,8 @@ def phone_of(custkey: F.Column) -> F.Column:
 def order_info(orders: DataFrame, customer: DataFrame | None = None) -> DataFrame:
     """Order records; ``province_id`` needs ``customer`` (its nation key)."""
     base = orders.select(
-        F.col("o_orderkey").cast("string").alias("id"),
-        F.col("o_custkey").cast("string").alias("user_id"),
+        F.col("o_orderkey").alias("id"),
+        F.col("o_custkey").alias("user_id"),
         F.col("o_orderstatus").alias("order_status"),
         F.col("o_totalprice").alias("total_amount"),
         F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("create_time"),
@@ -96,13 +99,13 @@ def order_info(orders: DataFrame, customer: DataFrame | None = None) -> DataFram
 
 def order_detail(lineitem: DataFrame, part: DataFrame) -> DataFrame:
     """Order lines with the product name; the line id is the composite
-    ``orderkey-linenumber-partkey-suppkey``."""
+    ``orderkey-linenumber-partkey-suppkey``; order and sku ids stay bigint."""
     names = part.select(F.col("p_partkey").alias("l_partkey"), F.col("p_name").alias("sku_name"))
     return lineitem.join(names, "l_partkey", "left").select(
-        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("id"),
-        F.col("l_orderkey").cast("string").alias("order_id"),
+        F.concat_ws("-", *[F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")]).alias("id"),
+        F.col("l_orderkey").alias("order_id"),
         "sku_name",
-        F.col("l_partkey").cast("string").alias("sku_id"),
+        F.col("l_partkey").alias("sku_id"),
         F.format_string("%.2f", F.col("l_extendedprice")).alias("order_price"),
         F.col("l_quantity").cast("int").cast("string").alias("sku_num"),
     )
@@ -113,7 +116,7 @@ def user_info(customer: DataFrame) -> DataFrame:
     birthday = F.date_add(F.to_date(F.lit(BIRTHDAY_BASE)),
                           ((key * BIRTHDAY_STEP) % BIRTHDAY_SPAN_DAYS).cast("int"))
     return customer.select(
-        key.cast("string").alias("id"),
+        key.alias("id"),
         F.col("c_name").alias("login_name"),
         F.col("c_mktsegment").alias("user_level"),
         F.date_format(birthday, "yyyy-MM-dd").alias("birthday"),
