@@ -1,0 +1,100 @@
+import json
+
+from pyspark.sql import functions as F
+
+from conftest import rows
+from martlens.operators import search, upsert
+from martlens.sources import cdc, logs
+from martlens.streaming.sinks import KeyedStore
+
+
+def test_cdc_routing_table(spark):
+    img = "map<string,string>"
+    data = [("ROWDATA", "order_info", op, {"id": "1"}) for op in ("INSERT", "UPDATE", "DELETE")]
+    data += [("ROWDATA", "order_detail", op, {"id": "2"}) for op in ("INSERT", "UPDATE", "DELETE")]
+    data += [("ROWDATA", "user_info", op, {"id": "3"}) for op in ("INSERT", "UPDATE", "DELETE")]
+    data += [("ROWDATA", "sku_info", "INSERT", {"id": "4"}), ("TRANSACTIONEND", "order_info", "INSERT", {"id": "5"})]
+    ch = spark.createDataFrame(data, f"entry_type string, table_name string, op string, after {img}")
+    got = rows(cdc.route_changes(ch), "table_name", "op", "topic", "value")
+    assert got == [("order_detail", "INSERT", "TOPIC_ORDER_DETAIL", '{"id":"2"}'),
+                   ("order_info", "INSERT", "TOPIC_ORDER_INFO", '{"id":"1"}'),
+                   ("user_info", "INSERT", "TOPIC_USER_INFO", '{"id":"3"}'),
+                   ("user_info", "UPDATE", "TOPIC_USER_INFO", '{"id":"3"}')]
+
+
+def test_log_routing_and_server_stamp(spark):
+    lines = spark.createDataFrame([('{"type":"startup","mid":"m1"}',), ('{"type":"event","mid":"m2","evid":"coupon"}',),
+                                   ('{"mid":"m3"}',), ('{"type":"startup","mid":"m4","ts":1}',)], "value string")
+    out = logs.ingest(lines, server_ts=F.lit(1234567890123))
+    got = rows(out, "topic", "log.mid", "log.ts")
+    assert got == [("TOPIC_EVENT", "m2", 1234567890123), ("TOPIC_EVENT", "m3", 1234567890123),
+                   ("TOPIC_START", "m1", 1234567890123), ("TOPIC_START", "m4", 1234567890123)]
+    stamped = json.loads(out.filter(F.col("log.mid") == "m2").first().value)
+    assert stamped == {"type": "event", "mid": "m2", "evid": "coupon", "ts": 1234567890123}
+
+
+IDX = "doc_id string, dt string, sku_name string, user_age int, user_gender string"
+
+
+def _index(spark):
+    return spark.createDataFrame([
+        ("a", "2024-01-01", "small ring", 19, "M"), ("b", "2024-01-01", "small bolt", 20, "F"),
+        ("c", "2024-01-01", "small ring", 30, None), ("d", "2024-01-02", "small ring", 29, "M"),
+        ("e", "2024-01-01", "小米手机", 45, "F"),
+    ], IDX)
+
+
+def test_search_and_vs_or_date_filter_and_cjk(spark):
+    ix = _index(spark)
+    assert rows(search.search(ix, "small ring", "2024-01-01"), "doc_id") == [("a",), ("c",)]
+    assert rows(search.search(ix, "small ring", "2024-01-01", operator="or"), "doc_id") == [("a",), ("b",), ("c",)]
+    assert rows(search.search(ix, "手机"), "doc_id") == [("e",)]
+
+
+def test_no_match_shares_are_0_and_100(spark):
+    hits = search.search(_index(spark), "blue anvil")
+    assert rows(search.total(hits)) == [(0,)]
+    assert rows(search.gender_ratio(hits)) == [(0.0, 100.0)]
+    assert rows(search.age_ratio(hits)) == [(0.0, 100.0, 0.0)]
+
+
+def test_shares_terms_and_stat_json(spark):
+    hits = search.search(_index(spark), "small ring")   # a(19,M) c(30,None) d(29,M)
+    assert rows(search.gender_ratio(hits)) == [(66.7, 33.3)]   # null gender counts as female
+    assert rows(search.age_ratio(hits)) == [(33.3, 33.4, 33.3)]
+    assert rows(search.terms(hits, "user_gender", 3)) == [("M", 2)]
+    stat = json.loads(search.stat_json(hits).first().stat)
+    assert [s["title"] for s in stat] == ["用户年龄占比", "用户性别占比"]
+    assert stat[1]["options"] == [{"name": "男", "value": 66.7}, {"name": "女", "value": 33.3}]
+
+
+def test_paging_total_order_and_past_the_end(spark):
+    hits = search.search(_index(spark), "small")
+    p1 = [r.doc_id for r in search.page(hits, 1, 2, ["dt", "doc_id"]).collect()]
+    p2 = [r.doc_id for r in search.page(hits, 2, 2, ["dt", "doc_id"]).collect()]
+    assert p1 == ["a", "b"] and p2 == ["c", "d"]
+    assert search.page(hits, 5, 2, ["dt", "doc_id"]).count() == 0
+
+
+DOC = "doc_id string, v long, seq long"
+
+
+def test_upsert_same_id_in_batch_and_across_batches(spark):
+    stored = spark.createDataFrame([("x", 1, 1), ("y", 1, 1)], DOC)
+    batch = spark.createDataFrame([("x", 2, 2), ("x", 3, 3), ("z", 1, 1)], DOC)
+    assert rows(upsert.upsert_latest(stored, batch, "doc_id", ["seq"])) == [("x", 3, 3), ("y", 1, 1), ("z", 1, 1)]
+    empty = spark.createDataFrame([], DOC)
+    assert rows(upsert.upsert_latest(stored, empty, "doc_id", ["seq"])) == rows(stored)
+
+
+def test_keyed_store_replay_is_idempotent(spark, tmp_path):
+    store = KeyedStore(str(tmp_path / "store"), "doc_id", version=("seq",), partition_by=("dt",))
+    b0 = spark.createDataFrame([("x", 1, 1, "d1"), ("y", 1, 1, "d1")], DOC + ", dt string")
+    b1 = spark.createDataFrame([("x", 2, 2, "d1"), (None, 5, 5, "d2")], DOC + ", dt string")
+    store.write_batch(b0, 0)
+    store.write_batch(b1, 1)
+    first = rows(store.read(spark), "doc_id", "v")
+    store.write_batch(b1, 1)  # the same batch again after a failure
+    assert rows(store.read(spark), "doc_id", "v") == first
+    assert [r for r in first if r[0] in ("x", "y")] == [("x", 2), ("y", 1)]
+    assert len(first) == 3   # the keyless row got a content id
