@@ -34,7 +34,7 @@ ORDER_INFO = """oi AS (
 
 LINES = """lines AS (
   SELECT concat_ws('-', CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR),
-                   CAST(l_partkey AS VARCHAR), CAST(l_suppkey AS VARCHAR)) AS id,
+                   CAST(l_partkey AS VARCHAR), CAST(l_suppkey AS VARCHAR), strftime(l_shipdate, '%Y%m%d')) AS id,
          l_orderkey AS order_id, p_name AS sku_name,
          l_partkey AS sku_id, printf('%.2f', l_extendedprice) AS order_price
   FROM lineitem LEFT JOIN part ON p_partkey = l_partkey)"""
@@ -134,7 +134,7 @@ alerts AS (
   WHERE len(a.uids) >= 3 AND a.clicks = 0)"""
 
 _CDC_LINE_KEY = ("concat_ws('-', CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR), "
-                 "CAST(l_partkey AS VARCHAR), CAST(l_suppkey AS VARCHAR))")
+                 "CAST(l_partkey AS VARCHAR), CAST(l_suppkey AS VARCHAR), strftime(l_shipdate, '%Y%m%d'))")
 
 ORACLE_SQL: dict[str, str] = {
     "parse_props": "SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events",

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martlens.sources.logs import TOPIC_ORDER_DETAIL, TOPIC_ORDER_INFO, TOPIC_USER_INFO
+from martlens.sources.tables import line_id
 
 # Routing table (table, accepted operations, topic).
 ROUTES = (
@@ -71,7 +72,7 @@ def change_log(orders: DataFrame, lineitem: DataFrame, customer: DataFrame, part
     txn_rows = orders.select(F.lit("TRANSACTIONBEGIN").alias("entry_type"), F.lit("order_info").alias("table_name"),
                              F.lit("INSERT").alias("op"), okey.alias("key"),
                              F.create_map().cast("map<string,string>").alias("after"))
-    lkey = F.concat_ws("-", *[F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")])
+    lkey = line_id()
     line_rows = lineitem.select(F.lit(ROWDATA).alias("entry_type"), F.lit("order_detail").alias("table_name"),
                                 F.lit("INSERT").alias("op"), lkey.alias("key"),
                                 _image(("id", lkey), ("order_id", F.col("l_orderkey")),

@@ -97,12 +97,19 @@ def order_info(orders: DataFrame, customer: DataFrame | None = None) -> DataFram
     return base.join(prov, "_custkey", "left").drop("_custkey")
 
 
+def line_id() -> F.Column:
+    """The line table has no primary key; a line is named by
+    ``orderkey-linenumber-partkey-suppkey-shipdate(yyyyMMdd)``. Two lines equal
+    in all of these are one line to the keyed upsert."""
+    return F.concat_ws("-", *[F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")],
+                       F.date_format("l_shipdate", "yyyyMMdd"))
+
+
 def order_detail(lineitem: DataFrame, part: DataFrame) -> DataFrame:
-    """Order lines with the product name; the line id is the composite
-    ``orderkey-linenumber-partkey-suppkey``; order and sku ids stay bigint."""
+    """Order lines with the product name; order and sku ids stay bigint."""
     names = part.select(F.col("p_partkey").alias("l_partkey"), F.col("p_name").alias("sku_name"))
     return lineitem.join(names, "l_partkey", "left").select(
-        F.concat_ws("-", *[F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")]).alias("id"),
+        line_id().alias("id"),
         F.col("l_orderkey").alias("order_id"),
         "sku_name",
         F.col("l_partkey").alias("sku_id"),

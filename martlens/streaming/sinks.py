@@ -44,8 +44,12 @@ class KeyedStore:
         return self.write_batch
 
     def raw(self, spark: SparkSession) -> DataFrame:
-        """Every stored version, with the writing batch id in ``mlbatch``."""
-        return spark.read.option("basePath", self.root).parquet(f"{self.root}/{BATCH_COL}=*")
+        """Every stored version, with the writing batch id in ``mlbatch``.
+        Partition columns come back as the strings they are in the path."""
+        df = spark.read.option("basePath", self.root).parquet(f"{self.root}/{BATCH_COL}=*")
+        for c in self.partition_by:
+            df = df.withColumn(c, F.col(c).cast("string"))
+        return df
 
     def read(self, spark: SparkSession) -> DataFrame:
         """Latest row per key: later batch wins, then the version columns."""
