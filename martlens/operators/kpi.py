@@ -15,15 +15,19 @@ KPIS = (("dau", "新增日活"), ("new_mid", "新增设备"), ("order_amount", "
 
 def kpi_total(dau_daily: DataFrame, new_daily: DataFrame, gmv_daily: DataFrame) -> DataFrame:
     """Inputs: (logDate, dau), (logDate, new_devices), (create_date, sum_amount),
-    each one row per date. Output: date, id, name, value (double)."""
-    d = dau_daily.select(F.col("logDate").alias("date"), F.col("dau").cast("double").alias("v"))
-    n = new_daily.select(F.col("logDate").alias("date"), F.col("new_devices").cast("double").alias("v"))
-    g = gmv_daily.select(F.col("create_date").alias("date"), F.col("sum_amount").cast("double").alias("v"))
-    dates = d.select("date").unionByName(n.select("date")).unionByName(g.select("date")).distinct()
-    parts = []
-    for (kid, name), src, zero in zip(KPIS, (d, n, g), (0.0, 0.0, None)):
-        value = F.col("v") if zero is None else F.coalesce("v", F.lit(zero))
-        parts.append(dates.join(src, "date", "left")
-                          .select("date", F.lit(kid).alias("id"), F.lit(name).alias("name"),
-                                  value.cast("double").alias("value")))
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    each one row per date. Output: date, id, name, value (double).
+
+    The three per-date aggregates are full-outer-joined on the date (each is
+    one row per date, so the joins are small) and unpivoted with one
+    ``explode`` -- every source is aggregated once.
+    """
+    d = dau_daily.select(F.col("logDate").alias("date"), F.col("dau").cast("double").alias("dau"))
+    n = new_daily.select(F.col("logDate").alias("date"), F.col("new_devices").cast("double").alias("new_mid"))
+    g = gmv_daily.select(F.col("create_date").alias("date"), F.col("sum_amount").cast("double").alias("order_amount"))
+    wide = d.join(n, "date", "full_outer").join(g, "date", "full_outer")
+    zero = {"dau": 0.0, "new_mid": 0.0, "order_amount": None}
+    entries = F.array(*[
+        F.struct(F.lit(kid).alias("id"), F.lit(name).alias("name"),
+                 (F.col(kid) if zero[kid] is None else F.coalesce(F.col(kid), F.lit(zero[kid]))).alias("value"))
+        for kid, name in KPIS])
+    return wide.select("date", F.explode(entries).alias("e")).select("date", "e.id", "e.name", "e.value")

@@ -47,8 +47,13 @@ def enrich_users(sales: DataFrame, user_info: DataFrame, as_of: str | Column) ->
 
 def sale_detail(order_info: DataFrame, order_detail: DataFrame, user_info: DataFrame,
                 as_of: str | Column) -> DataFrame:
-    """The full wide row plus ``doc_id`` = ``order_id_order_detail_id``."""
-    rows = enrich_users(join_orders_lines(order_info, order_detail), user_info, as_of)
+    """The full wide row plus ``doc_id`` = ``order_id_order_detail_id``.
+
+    Users are joined to the orders before the lines: the user join then
+    shuffles order rows rather than line rows, and the line side is
+    shuffled once, by order id."""
+    orders = enrich_users(_order_side(order_info), user_info, as_of)
+    rows = orders.join(_line_side(order_detail), "order_id", "inner")
     return rows.select(F.concat_ws("_", F.col("order_id").cast("string"), "order_detail_id").alias("doc_id"),
                        *SALE_DETAIL_COLUMNS)
 
