@@ -37,14 +37,19 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session names none (local tests) do we create one under the
-    system temp folder; on a cluster the setting must point at shared storage.
+    Only when the session names none and no checkpoint folder is set yet
+    (local tests) do we create one under the system temp folder; on a cluster
+    the setting must point at shared storage.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    configured = sc.getConf().get("spark.checkpoint.dir", None)
     if configured:
-        spark.sparkContext.setCheckpointDir(configured)
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(configured)
         return configured
+    existing = sc.getCheckpointDir()
+    if existing:
+        return existing
     local = tempfile.mkdtemp(prefix="martlens-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(local)
-    return local
+    sc.setCheckpointDir(local)
+    return sc.getCheckpointDir() or local

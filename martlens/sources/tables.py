@@ -101,8 +101,10 @@ def line_id() -> F.Column:
     """The line table has no primary key; a line is named by
     ``orderkey-linenumber-partkey-suppkey-shipdate(yyyyMMdd)``. Two lines equal
     in all of these are one line to the keyed upsert."""
+    d = F.col("l_shipdate")
+    yyyymmdd = F.year(d) * 10000 + F.month(d) * 100 + F.dayofmonth(d)
     return F.concat_ws("-", *[F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")],
-                       F.date_format("l_shipdate", "yyyyMMdd"))
+                       yyyymmdd.cast("string"))
 
 
 def order_detail(lineitem: DataFrame, part: DataFrame) -> DataFrame:
@@ -113,7 +115,7 @@ def order_detail(lineitem: DataFrame, part: DataFrame) -> DataFrame:
         F.col("l_orderkey").alias("order_id"),
         "sku_name",
         F.col("l_partkey").alias("sku_id"),
-        F.format_string("%.2f", F.col("l_extendedprice")).alias("order_price"),
+        F.col("l_extendedprice").cast("decimal(18,2)").cast("string").alias("order_price"),
         F.col("l_quantity").cast("int").cast("string").alias("sku_num"),
     )
 

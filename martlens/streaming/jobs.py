@@ -39,6 +39,8 @@ def dau_job(lines: DataFrame, store_root: str, checkpoint: str, trigger: dict |
     """
     store = KeyedStore(store_root, list(dau_ops.DEVICE_DAY), partition_by=("logDate",))
     logs = with_log_date_hour(parse_json(lines, STARTUP_LOG).drop("ingest_time"), "ts", tz)
+    # Rows per batch, reported in the query progress (observedMetrics)
+    logs = logs.observe("dau_input", F.count(F.lit(1)).alias("rows"))
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession

@@ -51,6 +51,8 @@ def _dau_stream(spark, startup, tmp_path, **split):
     q = jobs.dau_job(text_stream(spark, str(tmp_path / "in"), max_files_per_trigger=1),
                      str(tmp_path / "dau"), str(tmp_path / "ck"), trigger=NOW)
     _run(q)
+    observed = [p["observedMetrics"]["dau_input"]["rows"] for p in q.recentProgress if p.get("observedMetrics")]
+    assert sum(observed) == startup.count()   # per-batch input counts add up to the input
     return KeyedStore(str(tmp_path / "dau"), ["mid", "logDate"], partition_by=["logDate"]).read(spark)
 
 
