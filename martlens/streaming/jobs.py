@@ -12,13 +12,15 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martlens.functions.time import with_log_date_hour
+from martlens.functions.time import from_epoch_ms, with_log_date_hour
 from martlens.operators import alerts as alert_ops
 from martlens.operators import dau as dau_ops
 from martlens.operators.gmv import prepare_orders
 from martlens.operators.keyed import last_per_key
 from martlens.operators.sale_detail import enrich_users
 from martlens.schemas import EVENT_LOG, ORDER_DETAIL, ORDER_INFO, STARTUP_LOG, USER_INFO
+from martlens.sources.cdc import route_changes
+from martlens.sources.logs import ingest
 from martlens.streaming.sinks import BATCH_COL, KeyedStore
 from martlens.streaming.sources import parse_json
 
@@ -64,6 +66,25 @@ def dau_dedup_job(lines: DataFrame, out: str, checkpoint: str, delay: str = "1 d
     return _start(w, checkpoint, trigger)
 
 
+# --- log ingest and change routing ----------------------------------------
+
+def log_ingest_job(lines: DataFrame, out: str, checkpoint: str, trigger: dict | None = None):
+    """S3/F2/K9: stamp, route and archive log lines, one folder per topic and
+    day (``topic=.../dt=...``), as text. ``ingest_time`` is the server stamp."""
+    routed = ingest(lines, server_ts=F.unix_millis(F.col("ingest_time")))
+    out_rows = routed.select("value", "topic", F.date_format(from_epoch_ms(F.col("log.ts")), "yyyy-MM-dd").alias("dt"))
+    w = out_rows.writeStream.format("text").partitionBy("topic", "dt").outputMode("append").option("path", out)
+    return _start(w, checkpoint, trigger)
+
+
+def cdc_job(changes: DataFrame, out: str, checkpoint: str, trigger: dict | None = None):
+    """Route a stream of change envelopes to per-topic JSON folders
+    (the Kafka sink ``martlens.streaming.sinks.to_kafka`` takes the same rows)."""
+    routed = route_changes(changes).select("topic", "value")
+    w = routed.writeStream.format("text").partitionBy("topic").outputMode("append").option("path", out)
+    return _start(w, checkpoint, trigger)
+
+
 # --- GMV -------------------------------------------------------------------
 
 def gmv_job(lines: DataFrame, out: str, checkpoint: str, trigger: dict | None = None):
@@ -138,5 +159,5 @@ def read_store(spark: SparkSession, root: str, key: str | list[str], version=(),
     return KeyedStore(root, key, version, partition_by).read(spark)
 
 
-__all__ = ["alert_job", "dau_dedup_job", "dau_job", "gmv_job", "read_store", "sale_detail_job",
-           "user_info_job"]
+__all__ = ["alert_job", "cdc_job", "dau_dedup_job", "dau_job", "gmv_job", "log_ingest_job", "read_store",
+           "sale_detail_job", "user_info_job"]

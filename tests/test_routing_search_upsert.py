@@ -98,3 +98,15 @@ def test_keyed_store_replay_is_idempotent(spark, tmp_path):
     assert rows(store.read(spark), "doc_id", "v") == first
     assert [r for r in first if r[0] in ("x", "y")] == [("x", 2), ("y", 1)]
     assert len(first) == 3   # the keyless row got a content id
+
+
+def test_user_dimension_freshness_and_bulk_lookups(spark):
+    from martlens.operators import users
+    dim = spark.createDataFrame([(1, "2024-01-01 00:00:00"), (2, "2024-01-02 12:00:00")], "id long, t string") \
+               .withColumn("updated_at", F.to_timestamp("t"))
+    now = F.to_timestamp(F.lit("2024-01-02 23:00:00"))
+    assert rows(users.fresh_dimension(dim, "updated_at", now), "id") == [(2,)]
+    keys = spark.createDataFrame([(1,), (2,), (3,)], "k long")
+    facts = spark.createDataFrame([(1, 10), (1, 30), (2, 5)], "fk long, v long")
+    assert rows(users.scalar_per_key(keys, "k", facts, "fk", "v")) == [(1, 30), (2, 5), (3, 0)]
+    assert rows(users.exists_in(keys, "k", facts, "fk")) == [(1,), (2,)]

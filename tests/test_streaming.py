@@ -133,3 +133,29 @@ def test_user_info_stream_last_write_wins(spark, tmp_path):
     _run(jobs.user_info_job(text_stream(spark, str(tmp_path / "in"), 1), str(tmp_path / "u"), str(tmp_path / "ck"), NOW))
     got = rows(KeyedStore(str(tmp_path / "u"), "id").read(spark), "id", "login_name", "user_level")
     assert got == [("1", "a2", "3"), ("2", "b", "1")]
+
+
+def test_log_ingest_stream_routes_and_archives_by_day(spark, tmp_path):
+    ev = tables.read_table(spark, SF_SMALL, "events")
+    from martlens.sources.logs import log_lines
+    lines = log_lines(ev).select("value")
+    lines.coalesce(1).write.text(str(tmp_path / "src"))
+    _feed(spark, [str(tmp_path / "src")], str(tmp_path / "in"))
+    _run(jobs.log_ingest_job(text_stream(spark, str(tmp_path / "in")), str(tmp_path / "out"), str(tmp_path / "ck"), NOW))
+    out = spark.read.text(str(tmp_path / "out"))
+    got = {r.topic: r["count"] for r in out.groupBy("topic").count().collect()}
+    signups = ev.filter(F.col("event_type") == "signup").count()
+    assert got == {"TOPIC_START": signups, "TOPIC_EVENT": ev.count() - signups}
+    assert out.select(F.get_json_object("value", "$.ts").isNotNull().alias("stamped")).distinct().collect()[0].stamped
+
+
+def test_cdc_stream_routes_like_batch(spark, tmp_path):
+    from martlens.sources import cdc
+    T = lambda n: tables.read_table(spark, SF_SMALL, n)
+    changes = cdc.change_log(T("orders"), T("lineitem"), T("customer"), T("part"))
+    changes.write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(changes.schema).parquet(str(tmp_path / "in"))
+    _run(jobs.cdc_job(stream, str(tmp_path / "out"), str(tmp_path / "ck"), NOW))
+    out = spark.read.text(str(tmp_path / "out"))
+    want = cdc.route_changes(changes)
+    assert rows(out, "topic", "value") == rows(want, "topic", "value")
