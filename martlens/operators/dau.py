@@ -60,21 +60,32 @@ def hours_compare(hourly: DataFrame, value: str, date_col: str, hour_col: str,
                   zero=0, date: str | None = None) -> DataFrame:
     """Today versus yesterday per hour on a 24-hour spine, missing = 0.
 
-    ``hourly`` is (date, hour, value), already aggregated, so every side here
-    is at most 24 rows per date. The spine is generated per date with
-    ``sequence(0, 23)`` -- no cross join. Output: date, hour, today, yesterday.
+    One aggregation, no joins: every hourly row ``(d, h, v)`` emits its own
+    entry ``(d, h, today=v)``, a shifted entry ``(d+1, h, yesterday=v)`` and
+    the 24 spine slots of ``d``; a ``groupBy(d, hour)`` sums them (partially,
+    map side) and keeps the dates that have data. Output: date, hour, today,
+    yesterday.
     """
-    h = hourly.select(F.col(date_col).alias("d"), F.col(hour_col).alias("hour"), F.col(value).alias("v"))
-    dates = h.select("d").distinct()
+    src = hourly if date is None else hourly.filter(
+        F.col(date_col).isin(date, F.date_format(F.date_sub(F.to_date(F.lit(date)), 1), "yyyy-MM-dd")))
+    d, h, v = F.col(date_col), F.col(hour_col), F.col(value)
+    z = F.lit(zero) if zero is not None else F.lit(None)
+    z = z.cast(dict(hourly.dtypes)[value])
+
+    def entry(day, hour, today, yesterday, own):
+        return F.struct(day.alias("d"), hour.alias("hour"), today.alias("today"),
+                        yesterday.alias("yesterday"), F.lit(own).alias("own"))
+
+    nxt = F.date_format(F.date_add(F.to_date(d), 1), "yyyy-MM-dd")
+    spine = F.transform(F.sequence(F.lit(0), F.lit(23)),
+                        lambda x: entry(d, F.lpad(x.cast("string"), 2, "0"), z, z, 1))
+    entries = F.concat(F.array(entry(d, h, F.coalesce(v, z), z, 1), entry(nxt, h, z, F.coalesce(v, z), 0)), spine)
+    out = (src.select(F.explode(entries).alias("e")).select("e.*")
+              .groupBy("d", "hour")
+              .agg(F.sum("today").alias("today"), F.sum("yesterday").alias("yesterday"), F.max("own").alias("own"))
+              .filter(F.col("own") == 1))
     if date is not None:
-        dates = dates.filter(F.col("d") == date)
-    spine = dates.select("d", F.explode(F.sequence(F.lit(0), F.lit(23))).alias("_h")) \
-                 .select("d", F.lpad(F.col("_h").cast("string"), 2, "0").alias("hour"))
-    today = h.withColumnRenamed("v", "today")
-    yesterday = h.select(F.date_format(F.date_add(F.to_date("d"), 1), "yyyy-MM-dd").alias("d"),
-                         "hour", F.col("v").alias("yesterday"))
-    return (spine.join(today, ["d", "hour"], "left")
-                 .join(yesterday, ["d", "hour"], "left")
-                 .select(F.col("d").alias(date_col), "hour",
-                         F.coalesce("today", F.lit(zero)).alias("today"),
-                         F.coalesce("yesterday", F.lit(zero)).alias("yesterday")))
+        out = out.filter(F.col("d") == date)
+    return out.select(F.col("d").alias(date_col), "hour",
+                      F.col("today").cast(dict(hourly.dtypes)[value]).alias("today"),
+                      F.col("yesterday").cast(dict(hourly.dtypes)[value]).alias("yesterday"))
