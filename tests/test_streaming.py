@@ -159,3 +159,15 @@ def test_cdc_stream_routes_like_batch(spark, tmp_path):
     out = spark.read.text(str(tmp_path / "out"))
     want = cdc.route_changes(changes)
     assert rows(out, "topic", "value") == rows(want, "topic", "value")
+
+
+def test_dau_state_store_dedup_keeps_one_row_per_device_day(spark, tmp_path):
+    startup = _startup(spark)
+    _feed(spark, _write_json_files(startup.withColumn("_o", F.col("ts")), str(tmp_path), "_o", reverse=False),
+          str(tmp_path / "in"))
+    _run(jobs.dau_dedup_job(text_stream(spark, str(tmp_path / "in"), 1), str(tmp_path / "out"), str(tmp_path / "ck"),
+                            delay="2 days", trigger=NOW))
+    out = spark.read.parquet(str(tmp_path / "out")).withColumn("logDate", F.col("logDate").cast("string"))
+    # in-order input: first arrival = earliest log, so rows equal the batch operator
+    cols = ["mid", "uid", "ts", "logDate", "logHour"]
+    assert rows(out, *cols) == rows(dau.dau_first(startup), *cols)
