@@ -108,14 +108,15 @@ def line_id() -> F.Column:
 
 
 def order_detail(lineitem: DataFrame, part: DataFrame) -> DataFrame:
-    """Order lines with the product name; order and sku ids stay bigint."""
+    """Order lines with the product name; order and sku ids stay bigint and
+    the price is money (decimal(18,2)), not the text it travels as."""
     names = part.select(F.col("p_partkey").alias("l_partkey"), F.col("p_name").alias("sku_name"))
     return lineitem.join(names, "l_partkey", "left").select(
         line_id().alias("id"),
         F.col("l_orderkey").alias("order_id"),
         "sku_name",
         F.col("l_partkey").alias("sku_id"),
-        F.col("l_extendedprice").cast("decimal(18,2)").cast("string").alias("order_price"),
+        F.col("l_extendedprice").cast("decimal(18,2)").alias("order_price"),
         F.col("l_quantity").cast("int").cast("string").alias("sku_num"),
     )
 
