@@ -39,19 +39,21 @@ def with_log_date_hour(df: DataFrame, ts: str = "ts", tz: str = "UTC") -> DataFr
 
 
 def with_create_date_hour(df: DataFrame, create_time: str = "create_time") -> DataFrame:
-    """Add ``create_date`` and ``create_hour`` by splitting ``yyyy-MM-dd HH:mm:ss``."""
+    """Add ``create_date`` and ``create_hour`` by splitting ``yyyy-MM-dd HH:mm:ss``.
+    A value without a time part gets a null hour (``get`` is null-safe under
+    ANSI mode, where ``[1]`` would raise)."""
     parts = F.split(F.col(create_time), " ")
-    return (df.withColumn("create_date", parts.getItem(0))
-              .withColumn("create_hour", F.split(parts.getItem(1), ":").getItem(0)))
+    return (df.withColumn("create_date", F.get(parts, 0))
+              .withColumn("create_hour", F.get(F.split(F.get(parts, 1), ":"), 0)))
 
 
 def age_in_years(birthday: Column | str, as_of: Column | str) -> Column:
     """Whole days between ``birthday`` and ``as_of`` divided by 365, truncated.
 
     Not calendar years: 365 days after a birthday is age 1, 364 days is 0.
-    A null birthday gives null (callers default it to 0).
+    A null or unparsable birthday gives null (callers default it to 0).
     """
-    b = F.to_date(F.col(birthday) if isinstance(birthday, str) else birthday)
+    b = F.try_to_date(F.col(birthday) if isinstance(birthday, str) else birthday)
     a = F.to_date(F.lit(as_of)) if isinstance(as_of, str) else as_of
     return (F.datediff(a, b) / F.lit(365)).cast("int")
 

@@ -130,7 +130,7 @@ def sale_detail_job(order_lines: DataFrame, detail_lines: DataFrame, users: Data
          .withWatermark("o_time", bound))
     d = (parse_json(detail_lines, ORDER_DETAIL)
          .select(F.col("id").alias("order_detail_id"), F.col("order_id").alias("d_order_id"), "sku_id", "sku_name",
-                 F.col("order_price").cast("double").alias("sku_price"), F.col("ingest_time").alias("d_time"))
+                 F.col("order_price").try_cast("double").alias("sku_price"), F.col("ingest_time").alias("d_time"))
          .withWatermark("d_time", bound))
     cond = F.expr(f"""order_id = d_order_id AND
                       d_time >= o_time - INTERVAL {bound} AND d_time <= o_time + INTERVAL {bound}""")

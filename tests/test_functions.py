@@ -14,9 +14,10 @@ def test_mask_phone_null_short_and_normal(spark):
 
 
 def test_create_date_hour_splits_string(spark):
-    df = spark.createDataFrame([("2020-08-18 00:05:01",), ("2020-08-18 23:59:59",)], "create_time string")
+    df = spark.createDataFrame([("2020-08-18 00:05:01",), ("2020-08-18 23:59:59",), ("2020-08-18",), (None,)],
+                               "create_time string")
     got = with_create_date_hour(df).select("create_date", "create_hour").collect()
-    assert [tuple(r) for r in got] == [("2020-08-18", "00"), ("2020-08-18", "23")]
+    assert [tuple(r) for r in got] == [("2020-08-18", "00"), ("2020-08-18", "23"), ("2020-08-18", None), (None, None)]
 
 
 def test_log_date_hour_midnight_edges_and_zone(spark):
@@ -36,10 +37,10 @@ def test_epoch_ms_round_trip(spark):
 
 
 def test_age_is_whole_365_day_periods(spark):
-    df = spark.createDataFrame([("2023-02-01",), ("2023-02-02",), (None,), ("2004-02-01",)], "b string")
+    df = spark.createDataFrame([("2023-02-01",), ("2023-02-02",), (None,), ("2004-02-01",), ("not a date",)], "b string")
     got = [r[0] for r in df.select(age_in_years("b", "2024-02-01")).collect()]
-    # 365 days -> 1, 364 days -> 0, null -> null, 20 years incl. 5 leap days -> 20
-    assert got == [1, 0, None, 20]
+    # 365 days -> 1, 364 days -> 0, null -> null, 20 years incl. 5 leap days -> 20, garbage -> null
+    assert got == [1, 0, None, 20, None]
 
 
 def test_shares_round_half_up_and_zero_total(spark):
