@@ -171,3 +171,21 @@ def test_dau_state_store_dedup_keeps_one_row_per_device_day(spark, tmp_path):
     # in-order input: first arrival = earliest log, so rows equal the batch operator
     cols = ["mid", "uid", "ts", "logDate", "logHour"]
     assert rows(out, *cols) == rows(dau.dau_first(startup), *cols)
+
+
+def test_apps_wire_topics_to_jobs(spark, tmp_path):
+    """The DAU app reads the start-up topic (a file stream stands in for Kafka)."""
+    from martlens.streaming import apps
+    startup = _startup(spark)
+    _feed(spark, _write_json_files(startup.withColumn("_o", F.col("ts")), str(tmp_path / "s"), "_o", reverse=False),
+          str(tmp_path / "TOPIC_START"))
+    seen = []
+
+    def source(topic):
+        seen.append(topic)
+        return text_stream(spark, str(tmp_path / topic), 1)
+
+    _run(apps.dau_app(spark, source, str(tmp_path / "root"), trigger=NOW))
+    assert seen == ["TOPIC_START"]
+    stored = KeyedStore(str(tmp_path / "root" / "dau"), ["mid", "logDate"], partition_by=["logDate"]).read(spark)
+    assert rows(stored, "mid", "logDate") == rows(dau.dau_first(startup), "mid", "logDate")
