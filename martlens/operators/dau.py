@@ -56,6 +56,13 @@ def new_devices(dau: DataFrame, date: str | None = None) -> DataFrame:
     return out if date is None else out.filter(F.col("logDate") == date)
 
 
+def hour_map(hourly: DataFrame, value: str, date_col: str, hour_col: str) -> DataFrame:
+    """Hourly values as one ``map<hour, value>`` per date -- the shape the
+    hourly endpoints return. At most 24 entries per group."""
+    return hourly.groupBy(date_col).agg(
+        F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col(hour_col), F.col(value))))).alias("hours"))
+
+
 def hours_compare(hourly: DataFrame, value: str, date_col: str, hour_col: str,
                   zero=0, date: str | None = None) -> DataFrame:
     """Today versus yesterday per hour on a 24-hour spine, missing = 0.

@@ -29,9 +29,9 @@ class KeyedStore:
         self.partition_by = list(partition_by)
 
     def write_batch(self, batch: DataFrame, batch_id: int) -> None:
-        """Upsert one micro-batch (K2/K3). An empty batch writes nothing.
-        Rows without a key get one from their content hash (the index would
-        pick an id for them)."""
+        """Upsert one micro-batch (K2/K3). An empty batch leaves an empty
+        folder, which reads as no rows. Rows without a key get one from their
+        content hash (the index would pick an id for them)."""
         rows = batch
         content_id = F.sha2(F.to_json(F.struct(*batch.columns)), 256)
         for k in self.keys:
@@ -57,6 +57,12 @@ class KeyedStore:
         return latest.drop(BATCH_COL)
 
 
+def upper_case_columns(df: DataFrame) -> DataFrame:
+    """Column names upper-cased, for targets whose columns are matched by
+    upper-cased field name."""
+    return df.toDF(*[c.upper() for c in df.columns])
+
+
 def append_by_batch(root: str, partition_by: Sequence[str] = ()) -> Callable[[DataFrame, int], None]:
     """Idempotent append (K7/K8 style): batch ``id`` always lands in the same
     folder, replacing any partial output of an earlier attempt."""

@@ -81,3 +81,15 @@ def test_kpi_list_has_three_entries_per_date(spark):
     got = rows(kpi.kpi_total(d, n, g), "date", "id", "value")
     assert got == [("2024-01-01", "dau", 5.0), ("2024-01-01", "new_mid", 2.0), ("2024-01-01", "order_amount", None),
                    ("2024-01-02", "dau", 0.0), ("2024-01-02", "new_mid", 0.0), ("2024-01-02", "order_amount", 9.5)]
+
+
+def test_hour_map_per_date(spark):
+    hourly = spark.createDataFrame([("2024-01-01", "05", 3), ("2024-01-01", "00", 7), ("2024-01-02", "23", 1)],
+                                   "logDate string, logHour string, dau long")
+    got = {r.logDate: r.hours for r in dau.hour_map(hourly, "dau", "logDate", "logHour").collect()}
+    assert got == {"2024-01-01": {"00": 7, "05": 3}, "2024-01-02": {"23": 1}}
+
+
+def test_upper_case_columns(spark):
+    from martlens.streaming.sinks import upper_case_columns
+    assert upper_case_columns(spark.createDataFrame([(1, 2)], "mid long, logDate long")).columns == ["MID", "LOGDATE"]
