@@ -25,6 +25,8 @@ from martlens.streaming.sinks import BATCH_COL, KeyedStore
 from martlens.streaming.sources import parse_json
 
 DEFAULT_TRIGGER = {"processingTime": "5 seconds"}
+# Partition list of one micro-batch used for pruning; above it, no pruning.
+MAX_PRUNED_DAYS = 1000
 
 
 def _start(writer, checkpoint: str, trigger: dict | None):
@@ -46,11 +48,20 @@ def dau_job(lines: DataFrame, store_root: str, checkpoint: str, trigger: dict |
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        batch.persist()  # T10: read twice below (its dates, then its rows)
         try:
-            seen = store.raw(spark).filter(F.col(BATCH_COL) < batch_id)
-        except AnalysisException:  # nothing stored yet
-            seen = spark.createDataFrame([], "mid string, logDate string")
-        store.write_batch(dau_ops.dau_incremental(batch, seen, tz), batch_id)
+            try:
+                seen = store.raw(spark).filter(F.col(BATCH_COL) < batch_id)
+            except AnalysisException:  # nothing stored yet
+                seen = spark.createDataFrame([], "mid string, logDate string")
+            # Only the batch's own days can match: prune the store to those
+            # logDate partitions so the per-batch cost does not grow with history.
+            days = [r[0] for r in batch.select("logDate").distinct().limit(MAX_PRUNED_DAYS + 1).collect()]
+            if len(days) <= MAX_PRUNED_DAYS:
+                seen = seen.filter(F.col("logDate").isin(days))
+            store.write_batch(dau_ops.dau_incremental(batch, seen, tz), batch_id)
+        finally:
+            batch.unpersist()
 
     return _start(logs.writeStream.foreachBatch(write), checkpoint, trigger)
 
