@@ -76,3 +76,21 @@ def test_one_alert_per_device_minute(spark):
     assert many.count() == 6   # six 1-minute windows contain 00:00:30; they end in two minutes
     docs = [(d, str(e)) for d, e in rows(per_minute, "doc_id", "window_end")]
     assert docs == [("1-28401120", "2024-01-01 00:00:50"), ("1-28401121", "2024-01-01 00:01:30")]
+
+
+def test_duplicate_order_collapses_under_the_doc_id_upsert(spark):
+    from martlens.operators import upsert
+    o, l, u = _data(spark)
+    dup = o.unionByName(o.filter(F.col("id") == 1))        # the same order delivered twice
+    rows_ = sale_detail.sale_detail(dup, l, u, "2024-01-31")
+    assert rows_.count() == 5                                # the join repeats order 1's lines
+    stored = upsert.upsert_latest(None, rows_, "doc_id", ["create_time"])
+    assert rows(stored, "doc_id") == [("1_1-1",), ("1_1-2",), ("2_2-1",)]
+
+
+def test_age_bucket_edges(spark):
+    from martlens.operators import search
+    hits = spark.createDataFrame([(19, "M"), (20, "M"), (29, "F"), (30, "F"), (0, None)], "user_age int, user_gender string")
+    # <20: 19 and 0 (unknown user) -> 40%; >=30: 30 -> 20%; 20-30: rest -> 40%
+    assert rows(search.age_ratio(hits)) == [(40.0, 40.0, 20.0)]
+    assert rows(search.gender_ratio(hits)) == [(40.0, 60.0)]
