@@ -3,17 +3,26 @@
 A device raises an alert for a window when at least ``min_users`` distinct
 users took coupons on it and nobody viewed an item in that window.
 
-Two aggregation stages keep every group bounded:
-1. per (window, mid, evid): count, coupon users, coupon items -- partial
-   aggregation on the map side, so a hot device ships one row per window and
-   event type from each task;
-2. per (window, mid): merge the few per-evid rows (at most one per event type).
+Batch plan (``coupon_alerts``), every group bounded:
+0. panes: events are first aggregated per (mid, pane, evid, coupon user,
+   coupon item) with a codegen'd hash aggregate, pane = gcd(window, slide).
+   A hot device's events collapse here, before any window expansion, so the
+   window/slide expansion factor (60 for 5 min / 5 s) multiplies pane rows,
+   not raw events;
+1. per (window, mid, evid): count, coupon users, coupon items;
+2. per (window, mid): merge the few per-evid rows (at most one per type).
 The window's event list is kept as (evid, count) pairs: the multiset of the
 events, bounded by the number of event types, instead of one entry per event.
+
+The streaming job uses ``window_stage`` (Spark's ``window`` with a watermark)
+as its stateful step 1 and runs step 2 per closed window in ``foreachBatch``.
 """
 
 from __future__ import annotations
 
+import math
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,6 +50,40 @@ def window_stage(logs: DataFrame, window: str, slide: str, event_time: Column |
                      F.collect_set(F.when(coupon, F.col("itemid"))).alias("items")))
 
 
+_UNIT_MS = {"millisecond": 1, "second": 1000, "minute": 60000, "hour": 3600000, "day": 86400000,
+            "week": 604800000}
+
+
+def interval_ms(text: str) -> int:
+    """``'5 seconds'`` -> 5000 (one number and one unit)."""
+    m = re.fullmatch(r"\s*(\d+)\s*(millisecond|second|minute|hour|day|week)s?\s*", text.lower())
+    if not m:
+        raise ValueError(f"unsupported interval: {text!r}")
+    return int(m.group(1)) * _UNIT_MS[m.group(2)]
+
+
+def pane_window_stage(logs: DataFrame, window: str, slide: str) -> DataFrame:
+    """Steps 0 and 1 of the batch plan; same output as ``window_stage``
+    (window struct of UTC wall-clock bounds, mid, evid, n, uids, items)."""
+    length, step = interval_ms(window), interval_ms(slide)
+    if not 0 < step <= length:
+        raise ValueError("the slide must be positive and no longer than the window")
+    pane = math.gcd(length, step)
+    coupon = F.col("evid") == COUPON
+    panes = (logs.groupBy("mid", "evid", F.floor(F.col("ts") / F.lit(pane)).cast("long").alias("pane"),
+                          F.when(coupon, F.col("uid")).alias("u"), F.when(coupon, F.col("itemid")).alias("i"))
+                 .agg(F.count(F.lit(1)).alias("n")))
+    start = F.col("pane") * F.lit(pane)
+    hi = F.floor(start / F.lit(step)).cast("long") * F.lit(step)
+    lo = F.floor((start - F.lit(length)) / F.lit(step)).cast("long") * F.lit(step) + F.lit(step)
+    expanded = panes.filter(lo <= hi).select(
+        "mid", "evid", "u", "i", "n", F.explode(F.sequence(lo, hi, F.lit(step).cast("long"))).alias("ws"))
+    win = F.struct(from_epoch_ms(F.col("ws")).alias("start"),
+                   from_epoch_ms(F.col("ws") + F.lit(length)).alias("end"))
+    return (expanded.groupBy(win.alias("window"), "mid", "evid")
+                    .agg(F.sum("n").alias("n"), F.collect_set("u").alias("uids"), F.collect_set("i").alias("items")))
+
+
 def alert_stage(facts: DataFrame, min_users: int = MIN_USERS) -> DataFrame:
     """Stage 2: merge per window and device; keep alerting windows."""
     merged = facts.groupBy("window", "mid").agg(
@@ -64,7 +107,7 @@ def coupon_alerts(logs: DataFrame, window: str = "5 minutes", slide: str = "5 se
                   min_users: int = MIN_USERS) -> DataFrame:
     """Alerts per device and sliding window on event time (batch form).
     Window bounds are returned as UTC wall clock."""
-    return alert_stage(window_stage(logs, window, slide), min_users)
+    return alert_stage(pane_window_stage(logs, window, slide), min_users)
 
 
 def alert_doc_id(alerts: DataFrame) -> DataFrame:

@@ -76,3 +76,29 @@ def test_alerts_with_a_hot_device(spark):
     got = sorted((r.mid, r.ws) for r in out.select(
         "mid", (F.unix_millis(F.col("window_start").cast("timestamp"))).alias("ws")).collect())
     assert got == want and any(m == 0 for m, _ in got)
+
+
+def _alert_data(spark, seed=11, n=4000):
+    rnd = random.Random(seed)
+    data = []
+    for i in range(n):
+        mid = 0 if i % 3 == 0 else rnd.randrange(1, 30)
+        ev = rnd.choice(["coupon", "coupon", "coupon", "view", "clickItem"]) if mid else rnd.choice(["coupon", "view"])
+        data.append((mid, rnd.randrange(25), ev, rnd.randrange(10), T0 - 3600000 + rnd.randrange(4 * 3600000), i))
+    return spark.createDataFrame(data, "mid long, uid long, evid string, itemid long, ts long, log_id long").repartition(8)
+
+
+def test_pane_plan_equals_spark_window_plan(spark):
+    logs = _alert_data(spark)
+    for window, slide in [("1 hour", "30 minutes"), ("7 minutes", "3 minutes"), ("5 minutes", "5 seconds"),
+                          ("10 minutes", "10 minutes")]:
+        panes = alerts.alert_stage(alerts.pane_window_stage(logs, window, slide))
+        spark_w = alerts.alert_stage(alerts.window_stage(logs, window, slide))
+        assert rows(panes) == rows(spark_w), (window, slide)
+    assert alerts.coupon_alerts(logs, "5 minutes", "5 seconds").count() > 0
+
+
+def test_pane_aggregation_runs_before_window_expansion(spark):
+    plan = _plan(alerts.coupon_alerts(_alert_data(spark), "5 minutes", "5 seconds"))
+    # the pane hash aggregate (partial count) sits below the generator that expands panes into windows
+    assert plan.index("Generate") < plan.rindex("partial_count")
