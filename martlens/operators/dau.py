@@ -50,8 +50,10 @@ def dau_hours(dau: DataFrame, date: str | None = None) -> DataFrame:
 
 
 def new_devices(dau: DataFrame, date: str | None = None) -> DataFrame:
-    """Devices whose first-ever active day is ``logDate``."""
-    first_day = dau.groupBy("mid").agg(F.min("logDate").alias("logDate"))
+    """Devices whose first-ever active day is ``logDate``. The minimum is
+    taken over a DATE (fixed width, so a codegen'd hash aggregate; a string
+    minimum would force a sort-based aggregate over all device history)."""
+    first_day = dau.groupBy("mid").agg(F.date_format(F.min(F.to_date("logDate")), "yyyy-MM-dd").alias("logDate"))
     out = first_day.groupBy("logDate").agg(F.count(F.lit(1)).alias("new_devices"))
     return out if date is None else out.filter(F.col("logDate") == date)
 
