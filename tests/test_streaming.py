@@ -189,3 +189,26 @@ def test_apps_wire_topics_to_jobs(spark, tmp_path):
     assert seen == ["TOPIC_START"]
     stored = KeyedStore(str(tmp_path / "root" / "dau"), ["mid", "logDate"], partition_by=["logDate"]).read(spark)
     assert rows(stored, "mid", "logDate") == rows(dau.dau_first(startup), "mid", "logDate")
+
+
+def test_sale_detail_stream_drops_lines_beyond_the_arrival_bound(spark, tmp_path):
+    import json
+    import os
+    users = spark.createDataFrame([(7, "a", "1", "2000-01-01", "F")],
+                                  "id long, login_name string, user_level string, birthday string, gender string")
+    t0 = 1_700_000_000
+    (tmp_path / "o").mkdir()
+    (tmp_path / "d").mkdir()
+    order = {"id": "1", "user_id": "7", "order_status": "1", "create_time": "2024-01-01 10:00:00"}
+    (tmp_path / "o" / "o.json").write_text(json.dumps(order) + "\n")
+    os.utime(tmp_path / "o" / "o.json", (t0, t0))
+    for name, delay in (("near", 60), ("far", 250)):       # bound is 100 s
+        line = {"id": name, "order_id": "1", "sku_id": "3", "sku_name": "x", "order_price": "2.50"}
+        f = tmp_path / "d" / f"{name}.json"
+        f.write_text(json.dumps(line) + "\n")
+        os.utime(f, (t0 + delay, t0 + delay))
+    q = jobs.sale_detail_job(text_stream(spark, str(tmp_path / "o")), text_stream(spark, str(tmp_path / "d")),
+                             users, "2024-02-01", str(tmp_path / "sd"), str(tmp_path / "ck"), trigger=NOW)
+    _run(q)
+    got = KeyedStore(str(tmp_path / "sd"), "doc_id", partition_by=["dt"]).read(spark)
+    assert rows(got, "doc_id", "sku_price", "user_gender") == [("1_near", 2.5, "F")]
