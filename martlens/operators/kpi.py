@@ -17,14 +17,20 @@ def kpi_total(dau_daily: DataFrame, new_daily: DataFrame, gmv_daily: DataFrame)
     """Inputs: (logDate, dau), (logDate, new_devices), (create_date, sum_amount),
     each one row per date. Output: date, id, name, value (double).
 
-    The three per-date aggregates are full-outer-joined on the date (each is
-    one row per date, so the joins are small) and unpivoted with one
-    ``explode`` -- every source is aggregated once.
+    The three per-date aggregates are stacked (``unionByName``) and folded
+    into one row per date by a single ``groupBy`` -- no joins -- then
+    unpivoted with one ``explode``; every source is aggregated once.
     """
-    d = dau_daily.select(F.col("logDate").alias("date"), F.col("dau").cast("double").alias("dau"))
-    n = new_daily.select(F.col("logDate").alias("date"), F.col("new_devices").cast("double").alias("new_mid"))
-    g = gmv_daily.select(F.col("create_date").alias("date"), F.col("sum_amount").cast("double").alias("order_amount"))
-    wide = d.join(n, "date", "full_outer").join(g, "date", "full_outer")
+    ids = [kid for kid, _ in KPIS]
+
+    def lane(df: DataFrame, date_col: str, value_col: str, kid: str) -> DataFrame:
+        return df.select(F.col(date_col).alias("date"),
+                         *[(F.col(value_col) if k == kid else F.lit(None)).cast("double").alias(k) for k in ids])
+
+    stacked = (lane(dau_daily, "logDate", "dau", "dau")
+               .unionByName(lane(new_daily, "logDate", "new_devices", "new_mid"))
+               .unionByName(lane(gmv_daily, "create_date", "sum_amount", "order_amount")))
+    wide = stacked.groupBy("date").agg(*[F.max(k).alias(k) for k in ids])
     zero = {"dau": 0.0, "new_mid": 0.0, "order_amount": None}
     entries = F.array(*[
         F.struct(F.lit(kid).alias("id"), F.lit(name).alias("name"),
