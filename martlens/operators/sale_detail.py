@@ -28,7 +28,26 @@ def _line_side(order_detail: DataFrame) -> DataFrame:
 
 def join_orders_lines(order_info: DataFrame, order_detail: DataFrame, how: str = "inner") -> DataFrame:
     """J1/J2 (inner) or J3 (``full_outer``) on the order id."""
-    return _order_side(order_info).join(_line_side(order_detail), "order_id", how)
+    o, d = _order_side(order_info), _line_side(order_detail)
+    if how == "full_outer":
+        return full_outer_skew_safe(o, d, "order_id").select(*o.columns, *[c for c in d.columns if c != "order_id"])
+    return o.join(d, "order_id", how)
+
+
+def full_outer_skew_safe(one: DataFrame, many: DataFrame, key: str) -> DataFrame:
+    """Full outer equi-join as ``many LEFT OUTER one`` plus ``one LEFT ANTI
+    distinct(many keys)`` -- the same rows as ``join(..., 'full_outer')``.
+
+    AQE cannot split a hot key of a full outer join (both sides are
+    preserved); it can split the left side of a left outer join, where a key
+    holding a third of the ``many`` rows lands. The anti join sees the
+    ``many`` keys after a partially aggregated ``distinct``, so the hot key
+    crosses the shuffle once per map task. Null keys never match and are kept
+    by both parts, as in a full outer join.
+    """
+    with_match = many.join(one, key, "left_outer")
+    unmatched = one.join(many.select(key).distinct(), key, "left_anti")
+    return with_match.unionByName(unmatched, allowMissingColumns=True)
 
 
 def enrich_users(sales: DataFrame, user_info: DataFrame, as_of: str | Column) -> DataFrame:

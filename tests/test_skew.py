@@ -102,3 +102,15 @@ def test_pane_aggregation_runs_before_window_expansion(spark):
     plan = _plan(alerts.coupon_alerts(_alert_data(spark), "5 minutes", "5 seconds"))
     # the pane hash aggregate (partial count) sits below the generator that expands panes into windows
     assert plan.index("Generate") < plan.rindex("partial_count")
+
+
+def test_full_outer_decomposition_with_a_hot_order(spark):
+    from martlens.operators.sale_detail import full_outer_skew_safe
+    orders = spark.createDataFrame([(k, f"s{k}") for k in range(0, 60)] + [(None, "nullkey")], "order_id long, st string")
+    lines = spark.createDataFrame(
+        [(0 if i % 3 == 0 else (i % 90) + 1, f"l{i}") for i in range(3000)] + [(None, "nul-line")],
+        "order_id long, line string").repartition(8)
+    got = full_outer_skew_safe(orders, lines, "order_id")
+    want = orders.join(lines, "order_id", "full_outer")
+    assert rows(got, "order_id", "st", "line") == rows(want, "order_id", "st", "line")
+    assert "LeftOuter" in _plan(got) and "FullOuter" not in _plan(got)
