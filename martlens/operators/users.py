@@ -37,5 +37,8 @@ def scalar_per_key(keys: DataFrame, key: str, facts: DataFrame, fact_key: str, v
 
 
 def exists_in(keys: DataFrame, key: str, facts: DataFrame, fact_key: str) -> DataFrame:
-    """S6 in bulk: the keys that have at least one fact (left semi join)."""
-    return keys.join(facts.select(F.col(fact_key).alias(key)), key, "left_semi")
+    """S6 in bulk: the keys that have at least one fact (left semi join).
+    The fact keys are de-duplicated first (a partial aggregate), so a key
+    with a third of all facts reaches the join as one row per map task --
+    AQE cannot split the right side of a semi join."""
+    return keys.join(facts.select(F.col(fact_key).alias(key)).distinct(), key, "left_semi")
