@@ -31,7 +31,9 @@ def dau_incremental(batch: DataFrame, seen: DataFrame, tz: str = "UTC") -> DataF
     number of devices, AQE broadcasts it only when its measured size is small.
     """
     firsts = dau_first(batch, tz)
-    keys = seen.select(*DEVICE_DAY)
+    # distinct: a partial aggregate on the join key (its exchange also serves
+    # the join), so duplicated seen rows never pile up in one task
+    keys = seen.select(*DEVICE_DAY).distinct()
     return firsts.join(keys, list(DEVICE_DAY), "left_anti")
 
 
