@@ -44,8 +44,9 @@ SALE_DETAIL_COLUMNS = (
     "user_gender", "user_age", "user_level", "sku_price", "sku_name", "dt",
 )
 
-# Row-change envelope: one row per changed database row.
+# Row-change envelope: one row per changed database row (``key`` is the
+# changed row's primary key as text).
 CHANGE_EVENT = T.StructType([
     T.StructField("entry_type", S), T.StructField("table_name", S), T.StructField("op", S),
-    T.StructField("after", T.MapType(S, S)),
+    T.StructField("key", S), T.StructField("after", T.MapType(S, S)),
 ])

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martlens.functions.time import epoch_ms
-from martlens.sources.tables import STARTUP_EVENT_TYPE, _evid
+from martlens.sources.tables import STARTUP_EVENT_TYPE, evid_of
 
 # Topic names.
 TOPIC_STARTUP = "TOPIC_START"
@@ -38,7 +38,7 @@ def log_lines(events: DataFrame) -> DataFrame:
     body = F.struct(
         F.when(is_startup, F.lit("startup")).otherwise(F.lit("event")).alias("type"),
         uid.alias("mid"), uid.alias("uid"),
-        F.when(is_startup, F.lit(None).cast("string")).otherwise(_evid(F.col("event_type"))).alias("evid"),
+        F.when(is_startup, F.lit(None).cast("string")).otherwise(evid_of(F.col("event_type"))).alias("evid"),
     )
     return events.select(F.col("event_id").alias("log_id"), F.col("ts").alias("arrived_at"),
                          F.to_json(body).alias("value"))

@@ -50,7 +50,7 @@ def startup_logs(events: DataFrame) -> DataFrame:
     )
 
 
-def _evid(event_type: F.Column) -> F.Column:
+def evid_of(event_type: F.Column) -> F.Column:
     out = event_type
     for src, dst in EVID_MAP.items():
         out = F.when(event_type == src, F.lit(dst)).otherwise(out)
@@ -68,7 +68,7 @@ def event_logs(events: DataFrame) -> DataFrame:
     return parsed.select(
         (F.col("k") % ALERT_DEVICES).alias("mid"),
         F.col("user_id").alias("uid"),
-        _evid(F.col("event_type")).alias("evid"),
+        evid_of(F.col("event_type")).alias("evid"),
         F.col("k").alias("itemid"),
         epoch_ms("ts").alias("ts"),
         F.col("event_id").alias("log_id"),
