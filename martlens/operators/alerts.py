@@ -84,6 +84,24 @@ def pane_window_stage(logs: DataFrame, window: str, slide: str) -> DataFrame:
                     .agg(F.sum("n").alias("n"), F.collect_set("u").alias("uids"), F.collect_set("i").alias("items")))
 
 
+def streaming_pane_window_stage(logs: DataFrame, window: str, slide: str, event_time: Column) -> DataFrame:
+    """Steps 0 and 1 for a watermarked stream: a tumbling pane aggregate, then
+    the sliding-window aggregate over the panes' times (``window_time``), as
+    two chained stateful operators. Raw events are expanded into no window;
+    only pane rows are. Requires a watermark on ``event_time`` upstream."""
+    length, step = interval_ms(window), interval_ms(slide)
+    if not 0 < step <= length:
+        raise ValueError("the slide must be positive and no longer than the window")
+    pane = f"{math.gcd(length, step)} milliseconds"
+    coupon = F.col("evid") == COUPON
+    panes = (logs.groupBy(F.window(event_time, pane).alias("pane"), "mid", "evid",
+                          F.when(coupon, F.col("uid")).alias("u"), F.when(coupon, F.col("itemid")).alias("i"))
+                 .agg(F.count(F.lit(1)).alias("n"))
+                 .withColumn("pane_time", F.window_time("pane")))
+    return (panes.groupBy(F.window("pane_time", window, slide).alias("window"), "mid", "evid")
+                 .agg(F.sum("n").alias("n"), F.collect_set("u").alias("uids"), F.collect_set("i").alias("items")))
+
+
 def alert_stage(facts: DataFrame, min_users: int = MIN_USERS) -> DataFrame:
     """Stage 2: merge per window and device; keep alerting windows."""
     merged = facts.groupBy("window", "mid").agg(

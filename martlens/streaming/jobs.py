@@ -109,14 +109,15 @@ def gmv_job(lines: DataFrame, out: str, checkpoint: str, trigger: dict | None =
 
 def alert_job(lines: DataFrame, store_root: str, checkpoint: str, window: str = "5 minutes",
               slide: str = "5 seconds", delay: str = "1 minute", trigger: dict | None = None):
-    """T2 on event time with a watermark. Stage 1 is the stateful windowed
-    aggregate (append mode: a window's rows are emitted once, all together,
-    when the watermark passes its end); stage 2 and the per-minute id (W3)
-    run on that closed output inside ``foreachBatch``; the alert store is
-    upserted by ``doc_id`` (T7)."""
+    """T2 on event time with a watermark. Steps 0-1 are two chained stateful
+    aggregates -- tumbling panes, then sliding windows over the panes -- in
+    append mode: a window's rows are emitted once, all together, when the
+    watermark passes its end. Step 2 and the per-minute id (W3) run on that
+    closed output inside ``foreachBatch``; the alert store is upserted by
+    ``doc_id`` (T7)."""
     logs = parse_json(lines, EVENT_LOG).withColumn("event_time", F.timestamp_millis("ts"))
-    facts = alert_ops.window_stage(logs.withWatermark("event_time", delay), window, slide,
-                                   event_time=F.col("event_time"))
+    facts = alert_ops.streaming_pane_window_stage(logs.withWatermark("event_time", delay), window, slide,
+                                                  F.col("event_time"))
     store = KeyedStore(store_root, "doc_id", version=("window_end",))
 
     def write(batch: DataFrame, batch_id: int) -> None:
