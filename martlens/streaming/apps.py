@@ -50,7 +50,8 @@ def user_app(spark, source: Source, root: str, trigger=None):
 
 def sale_detail_app(spark, source: Source, root: str, as_of: str, bound="100 seconds", trigger=None):
     """Users come from the user app's store, re-read by every micro-batch."""
-    users = jobs.read_store(spark, f"{root}/user_info", "id", version=("updated_at",))
+    def users():
+        return jobs.read_store(spark, f"{root}/user_info", "id", version=("updated_at",))
     return jobs.sale_detail_job(source(topics.TOPIC_ORDER_INFO), source(topics.TOPIC_ORDER_DETAIL), users, as_of,
                                 f"{root}/sale_detail", _ck(root, "sale_detail"), bound, trigger)
 

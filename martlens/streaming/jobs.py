@@ -8,6 +8,8 @@ default to the reference's 5-second micro-batches; tests pass
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -128,14 +130,18 @@ def alert_job(lines: DataFrame, store_root: str, checkpoint: str, window: str =
 
 # --- sale detail -----------------------------------------------------------
 
-def sale_detail_job(order_lines: DataFrame, detail_lines: DataFrame, users: DataFrame, as_of: str,
+def sale_detail_job(order_lines: DataFrame, detail_lines: DataFrame,
+                    users: DataFrame | Callable[[], DataFrame], as_of: str,
                     store_root: str, checkpoint: str, bound: str = "100 seconds",
                     trigger: dict | None = None):
     """J1 as a stream-stream inner join on the order id with an arrival-time
     range of +-``bound`` on both watermarks (T5), so join state is dropped
-    once a side can no longer match. Users are a static (or periodically
-    refreshed) dimension, left-joined (J4). Output upserted by doc id (T7).
-    Order lines carry no event time, so both sides use the ingest time."""
+    once a side can no longer match. The user dimension (J4) is joined per
+    micro-batch inside ``foreachBatch``: pass a callable (e.g. a
+    ``KeyedStore.read``) to re-read it every batch, so updates written after
+    the query started are seen (T6); a plain DataFrame is used as given.
+    Output upserted by doc id (T7). Order lines carry no event time, so both
+    sides use the ingest time."""
     o = (parse_json(order_lines, ORDER_INFO)
          .select(F.col("id").alias("order_id"), "order_status", "create_time", "user_id",
                  F.split("create_time", " ").getItem(0).alias("dt"), F.col("ingest_time").alias("o_time"))
@@ -147,10 +153,15 @@ def sale_detail_job(order_lines: DataFrame, detail_lines: DataFrame, users: Data
     cond = F.expr(f"""order_id = d_order_id AND
                       d_time >= o_time - INTERVAL {bound} AND d_time <= o_time + INTERVAL {bound}""")
     joined = o.join(d, cond, "inner").drop("d_order_id", "o_time", "d_time")
-    rows = enrich_users(joined, users, as_of).withColumn(
-        "doc_id", F.concat_ws("_", F.col("order_id").cast("string"), "order_detail_id"))
     store = KeyedStore(store_root, "doc_id", partition_by=("dt",))
-    return _start(rows.writeStream.outputMode("append").foreachBatch(store.sink()), checkpoint, trigger)
+    dimension = users if callable(users) else (lambda: users)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rows = enrich_users(batch, dimension(), as_of).withColumn(
+            "doc_id", F.concat_ws("_", F.col("order_id").cast("string"), "order_detail_id"))
+        store.write_batch(rows, batch_id)
+
+    return _start(joined.writeStream.outputMode("append").foreachBatch(write), checkpoint, trigger)
 
 
 # --- user dimension --------------------------------------------------------

@@ -231,3 +231,27 @@ def test_archive_and_append_sinks(spark, tmp_path):
     write(batch, 3)
     write(batch, 3)  # a replay of batch 3 replaces its own folder
     assert spark.read.parquet(str(tmp_path / "app")).count() == 1
+
+
+def test_sale_detail_stream_sees_user_updates_made_after_start(spark, tmp_path):
+    import json
+    calls = []
+    versions = [spark.createDataFrame([(7, "1", "2000-01-01", "F")], "id long, user_level string, birthday string, gender string"),
+                spark.createDataFrame([(7, "9", "2000-01-01", "M")], "id long, user_level string, birthday string, gender string")]
+
+    def users():   # the dimension as it is when each micro-batch runs
+        calls.append(1)
+        return versions[min(len(calls) - 1, 1)]
+
+    (tmp_path / "o").mkdir()
+    (tmp_path / "d").mkdir()
+    for i in (1, 2):
+        (tmp_path / "o" / f"o{i}.json").write_text(json.dumps(
+            {"id": str(i), "user_id": "7", "order_status": "1", "create_time": "2024-01-01 10:00:00"}) + "\n")
+        (tmp_path / "d" / f"d{i}.json").write_text(json.dumps(
+            {"id": f"l{i}", "order_id": str(i), "sku_id": "3", "sku_name": "x", "order_price": "1.00"}) + "\n")
+    q = jobs.sale_detail_job(text_stream(spark, str(tmp_path / "o"), 1), text_stream(spark, str(tmp_path / "d"), 1),
+                             users, "2024-02-01", str(tmp_path / "sd"), str(tmp_path / "ck"), trigger=NOW)
+    _run(q)
+    got = rows(KeyedStore(str(tmp_path / "sd"), "doc_id", partition_by=["dt"]).read(spark), "doc_id", "user_gender")
+    assert len(calls) >= 2 and got == [("1_l1", "F"), ("2_l2", "M")]
