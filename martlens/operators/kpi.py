@@ -9,6 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from martlens.operators.dau import dau_total, new_devices
+from martlens.operators.gmv import gmv_total
+
 # KPI ids and names.
 KPIS = (("dau", "新增日活"), ("new_mid", "新增设备"), ("order_amount", "新增交易额"))
 
@@ -37,3 +40,11 @@ def kpi_total(dau_daily: DataFrame, new_daily: DataFrame, gmv_daily: DataFrame)
                  (F.col(kid) if zero[kid] is None else F.coalesce(F.col(kid), F.lit(zero[kid]))).alias("value"))
         for kid, name in KPIS])
     return wide.select("date", F.explode(entries).alias("e")).select("date", "e.id", "e.name", "e.value")
+
+
+def kpi_for_date(dau: DataFrame, orders: DataFrame, date: str) -> DataFrame:
+    """The dashboard's KPI list for one date: always three rows (DAU and new
+    devices 0, amount null when the date has no data). ``dau`` is the DAU
+    table, ``orders`` the dated order table (both pruned by date when stored
+    partitioned)."""
+    return kpi_total(dau_total(dau, date), new_devices(dau, date), gmv_total(orders, date))

@@ -100,3 +100,11 @@ def stat_json(hits: DataFrame) -> DataFrame:
 def max_metric(hits: DataFrame, col: str, name: str | None = None) -> DataFrame:
     """A10: maximum of ``col`` over the hits (null when none)."""
     return hits.agg(F.max(col).alias(name or f"max_{col}"))
+
+
+def sale_detail_response(index: DataFrame, date: str | None, page_no: int, size: int, keyword: str | None,
+                         order: Sequence[str] = ("dt", "doc_id")) -> dict[str, DataFrame]:
+    """The search endpoint's three answers from one filtered input: ``total``
+    (one row), ``detail`` (the page) and ``stat`` (total + pie JSON)."""
+    hits = search(index, keyword=keyword, date=date)
+    return {"total": total(hits), "detail": page(hits, page_no, size, list(order)), "stat": stat_json(hits)}

@@ -110,3 +110,18 @@ def test_user_dimension_freshness_and_bulk_lookups(spark):
     facts = spark.createDataFrame([(1, 10), (1, 30), (2, 5)], "fk long, v long")
     assert rows(users.scalar_per_key(keys, "k", facts, "fk", "v")) == [(1, 30), (2, 5), (3, 0)]
     assert rows(users.exists_in(keys, "k", facts, "fk")) == [(1,), (2,)]
+
+
+def test_search_response_and_kpi_for_one_date(spark):
+    from martlens.operators import dau, gmv, kpi
+    resp = search.sale_detail_response(_index(spark), "2024-01-01", 1, 1, "small ring")
+    assert rows(resp["total"]) == [(2,)]
+    assert [r.doc_id for r in resp["detail"].collect()] == ["a"]
+    assert json.loads(resp["stat"].first().stat)[1]["options"][0] == {"name": "男", "value": 50.0}
+    logs = spark.createDataFrame([("m1", "u1", "startup", 1704067200000, 1)],
+                                 "mid string, uid string, type string, ts long, log_id long")
+    d = dau.dau_first(logs)
+    o = gmv.prepare_orders(spark.createDataFrame([(1, 1, 9.5, "2024-01-01 08:00:00", "1")],
+                                                 "id long, user_id long, total_amount double, create_time string, consignee_tel string"))
+    assert rows(kpi.kpi_for_date(d, o, "2024-01-01"), "id", "value") == [("dau", 1.0), ("new_mid", 1.0), ("order_amount", 9.5)]
+    assert rows(kpi.kpi_for_date(d, o, "2024-03-01"), "id", "value") == [("dau", 0.0), ("new_mid", 0.0), ("order_amount", None)]
