@@ -41,7 +41,19 @@ def gmv_hours(orders: DataFrame, date: str | None = None) -> DataFrame:
     return src.groupBy("create_date", "create_hour").agg(money_sum("total_amount").alias("sum_amount"))
 
 
-def sales_by_province(orders: DataFrame) -> DataFrame:
-    """Order count and amount per ``province_id``."""
-    return orders.groupBy("province_id").agg(F.count(F.lit(1)).alias("order_count"),
-                                             money_sum("total_amount").alias("sum_amount"))
+def sales_by_province(orders: DataFrame, provinces: DataFrame | None = None) -> DataFrame:
+    """Order count and amount per ``province_id``.
+
+    With ``provinces`` (user_id, province_id) the orders are first reduced to
+    one row per user (count, exact decimal sum), so the join to the user's
+    province sees one row per user instead of one per order; the second
+    level sums the partial counts and amounts.
+    """
+    if provinces is None:
+        return orders.groupBy("province_id").agg(F.count(F.lit(1)).alias("order_count"),
+                                                 money_sum("total_amount").alias("sum_amount"))
+    per_user = orders.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"),
+                                             F.sum(F.col("total_amount").cast(MONEY)).alias("amount"))
+    return (per_user.join(provinces, "user_id", "left")
+                    .groupBy("province_id").agg(F.sum("n").alias("order_count"),
+                                                F.sum("amount").cast("double").alias("sum_amount")))

@@ -42,9 +42,8 @@ def _dau(spark, sf):
     return dau.dau_first(_startup(spark, sf))
 
 
-def _orders(spark, sf, with_province=False):
-    cust = _t(spark, sf, "customer") if with_province else None
-    return gmv.prepare_orders(tables.order_info(_t(spark, sf, "orders"), cust))
+def _orders(spark, sf):
+    return gmv.prepare_orders(tables.order_info(_t(spark, sf, "orders")))
 
 
 def _purchase_orders(spark, sf):
@@ -132,7 +131,9 @@ def gmv_hours_compare(spark, sf):
 
 
 def sales_by_province(spark, sf):
-    return gmv.sales_by_province(_orders(spark, sf, with_province=True))
+    provinces = _t(spark, sf, "customer").select(F.col("c_custkey").alias("user_id"),
+                                                F.col("c_nationkey").cast("string").alias("province_id"))
+    return gmv.sales_by_province(_orders(spark, sf), provinces)
 
 
 def sale_detail_q(spark, sf):
