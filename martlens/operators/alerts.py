@@ -36,8 +36,9 @@ MIN_USERS = 3
 
 
 def window_stage(logs: DataFrame, window: str, slide: str, event_time: Column | None = None) -> DataFrame:
-    """Stage 1: per (window, mid, evid) partial facts. Also the streaming
-    stateful step (with a watermark on ``event_time``).
+    """Step 1 in Spark's own sliding-window form: per (window, mid, evid)
+    facts from raw events (each event expanded into every window containing
+    it). The pane plans below must produce exactly this; tests compare them.
 
     Windows are aligned to the epoch, so they are computed on the instant
     ``timestamp_millis(ts)`` directly: the sliding-window expansion evaluates
