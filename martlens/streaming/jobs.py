@@ -1,4 +1,6 @@
-"""The five streaming jobs (T1-T10) as Structured Streaming queries.
+"""The streaming jobs (T1-T10) as Structured Streaming queries: the
+reference's five (DAU, GMV, alerts, sale detail, user dimension) plus log
+ingest and change-event routing.
 
 Each job takes a streaming DataFrame of JSON lines (``value``, ``ingest_time``),
 output paths and a checkpoint folder, and returns the started query. Triggers

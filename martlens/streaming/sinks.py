@@ -85,7 +85,9 @@ def to_kafka(df: DataFrame, servers: str, checkpoint: str, topic_col: str = "top
 
 
 def to_jdbc(url: str, table: str, properties: dict[str, str]) -> Callable[[DataFrame, int], None]:
-    """K8: append each micro-batch to a relational table."""
+    """K8: append each micro-batch to a relational table. At-least-once: a
+    replayed batch appends again, so give the target a key (or dedup on read)
+    where duplicates matter."""
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.jdbc(url, table, mode="append", properties=properties)
     return write
