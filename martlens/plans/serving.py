@@ -37,3 +37,11 @@ def build_sale_index(spark: SparkSession, sf_dir: str, path: str) -> None:
 
 def build_dau_table(spark: SparkSession, sf_dir: str, path: str) -> None:
     materialize(q.dau_first(spark, sf_dir), path, ["logDate"])
+
+
+def write_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> None:
+    """Save ``df`` as a catalog table bucketed and sorted by ``key``. Two
+    tables bucketed the same way on the join key (e.g. orders and lineitem
+    on the order key) join with a sort-merge join that needs no exchange on
+    either side -- the shuffle is paid once, at write time."""
+    df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).saveAsTable(table)

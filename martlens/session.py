@@ -23,8 +23,11 @@ RECOMMENDED_CONF = {
 }
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "martlens") -> SparkSession:
+def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "martlens",
+                  warehouse: str | None = None) -> SparkSession:
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
+    if warehouse:
+        builder = builder.config("spark.sql.warehouse.dir", warehouse)
     for k, v in RECOMMENDED_CONF.items():
         builder = builder.config(k, v)
     builder = (builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))

@@ -15,7 +15,9 @@ SF_ORACLE = os.environ.get("MARTLENS_ORACLE_SF", "/root/testdata/sf0.01")
 
 @pytest.fixture(scope="session")
 def spark():
-    s = local_session("*", shuffle_partitions=8, app="martlens-tests")
+    import tempfile
+    s = local_session("*", shuffle_partitions=8, app="martlens-tests",
+                      warehouse=tempfile.mkdtemp(prefix="martlens-warehouse-"))
     yield s
     s.stop()
 

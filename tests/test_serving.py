@@ -31,3 +31,20 @@ def test_dau_on_stored_table_prunes_by_date(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(logDate" in _plan(one_day)
     want = [r for r in rows(q.dau_hours(spark, SF_SMALL)) if r[0] == "2024-01-05"]
     assert rows(one_day) == want
+
+
+def test_bucketed_tables_join_without_exchange(spark):
+    from pyspark.sql import functions as F
+    orders = spark.read.parquet(f"{SF_SMALL}/orders.parquet").select(F.col("o_orderkey").alias("k"), "o_custkey")
+    lines = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").select(F.col("l_orderkey").alias("k"), "l_partkey")
+    serving.write_bucketed(orders, "orders_b", "k", 8)
+    serving.write_bucketed(lines, "lines_b", "k", 8)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = spark.table("orders_b").join(spark.table("lines_b"), "k")
+        plan = _plan(joined)
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert joined.count() == orders.join(lines, "k").count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
