@@ -62,32 +62,33 @@ def change_log(orders: DataFrame, lineitem: DataFrame, customer: DataFrame, part
     * each order also opens a transaction: a TRANSACTIONBEGIN entry.
     Columns: entry_type, table_name, op, key, after.
     """
+    def entries(df: DataFrame, table: str, op: str, key: F.Column, image: F.Column,
+                entry_type: str = ROWDATA) -> DataFrame:
+        # one union branch per (table, op): routing filters fold to constants
+        # per branch, so Catalyst drops the unrouted branches before any work
+        return df.select(F.lit(entry_type).alias("entry_type"), F.lit(table).alias("table_name"),
+                         F.lit(op).alias("op"), key.alias("key"), image.alias("after"))
+
     oimg = _image(("id", F.col("o_orderkey")), ("user_id", F.col("o_custkey")),
                   ("order_status", F.col("o_orderstatus")), ("total_amount", _money("o_totalprice")),
                   ("create_time", F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")))
     okey = F.col("o_orderkey").cast("string")
-    order_rows = orders.select(F.lit(ROWDATA).alias("entry_type"), F.lit("order_info").alias("table_name"),
-                               F.explode(F.when(F.col("o_orderstatus") == "F", F.array(F.lit("INSERT"), F.lit("UPDATE")))
-                                         .otherwise(F.array(F.lit("INSERT")))).alias("op"),
-                               okey.alias("key"), oimg.alias("after"))
-    txn_rows = orders.select(F.lit("TRANSACTIONBEGIN").alias("entry_type"), F.lit("order_info").alias("table_name"),
-                             F.lit("INSERT").alias("op"), okey.alias("key"),
-                             F.create_map().cast("map<string,string>").alias("after"))
     lkey = line_id()
-    line_rows = lineitem.select(F.lit(ROWDATA).alias("entry_type"), F.lit("order_detail").alias("table_name"),
-                                F.lit("INSERT").alias("op"), lkey.alias("key"),
-                                _image(("id", lkey), ("order_id", F.col("l_orderkey")),
-                                       ("sku_id", F.col("l_partkey")), ("order_price", _money("l_extendedprice")),
-                                       ("sku_num", F.col("l_quantity").cast("int"))).alias("after"))
+    limg = _image(("id", lkey), ("order_id", F.col("l_orderkey")), ("sku_id", F.col("l_partkey")),
+                  ("order_price", _money("l_extendedprice")), ("sku_num", F.col("l_quantity").cast("int")))
     ckey = F.col("c_custkey").cast("string")
-    user_rows = customer.select(F.lit(ROWDATA).alias("entry_type"), F.lit("user_info").alias("table_name"),
-                                F.explode(F.when(F.col("c_acctbal") < 0, F.array(F.lit("INSERT"), F.lit("UPDATE")))
-                                          .otherwise(F.array(F.lit("INSERT")))).alias("op"),
-                                ckey.alias("key"),
-                                _image(("id", F.col("c_custkey")), ("login_name", F.col("c_name")),
-                                       ("user_level", F.col("c_mktsegment"))).alias("after"))
-    sku_rows = part.select(F.lit(ROWDATA).alias("entry_type"), F.lit("sku_info").alias("table_name"),
-                           F.lit("INSERT").alias("op"), F.col("p_partkey").cast("string").alias("key"),
-                           _image(("id", F.col("p_partkey")), ("sku_name", F.col("p_name"))).alias("after"))
-    return (order_rows.unionByName(txn_rows).unionByName(line_rows)
-                      .unionByName(user_rows).unionByName(sku_rows))
+    cimg = _image(("id", F.col("c_custkey")), ("login_name", F.col("c_name")), ("user_level", F.col("c_mktsegment")))
+    branches = [
+        entries(orders, "order_info", "INSERT", okey, oimg),
+        entries(orders.filter(F.col("o_orderstatus") == "F"), "order_info", "UPDATE", okey, oimg),
+        entries(orders, "order_info", "INSERT", okey, F.create_map().cast("map<string,string>"), "TRANSACTIONBEGIN"),
+        entries(lineitem, "order_detail", "INSERT", lkey, limg),
+        entries(customer, "user_info", "INSERT", ckey, cimg),
+        entries(customer.filter(F.col("c_acctbal") < 0), "user_info", "UPDATE", ckey, cimg),
+        entries(part, "sku_info", "INSERT", F.col("p_partkey").cast("string"),
+                _image(("id", F.col("p_partkey")), ("sku_name", F.col("p_name")))),
+    ]
+    out = branches[0]
+    for b in branches[1:]:
+        out = out.unionByName(b)
+    return out
