@@ -44,3 +44,32 @@ def test_upsert_equals_latest_of_everything(spark, docs, split):
     for k, v, i in data:
         latest[k] = (k, v, i)
     assert rows(merged) == sorted(latest.values(), key=repr)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(slide=st.integers(1, 12), extra=st.integers(0, 24),
+       events=st.lists(st.tuples(st.integers(0, 2), st.integers(0, 5), st.sampled_from(["coupon", "view", "clickItem"]),
+                                 st.integers(0, 3 * 3600 - 1)), min_size=1, max_size=60))
+def test_pane_alert_plan_equals_spark_windows(spark, slide, extra, events):
+    from martlens.operators import alerts
+    window = slide + extra
+    data = [(m, u, e, u % 3, T0 + s * 1000 * 60, i) for i, (m, u, e, s) in enumerate(events)]
+    logs = spark.createDataFrame(data, "mid long, uid long, evid string, itemid long, ts long, log_id long")
+    w, sl = f"{window * 5} minutes", f"{slide * 5} minutes"
+    assert rows(alerts.alert_stage(alerts.pane_window_stage(logs, w, sl), 2)) == \
+        rows(alerts.alert_stage(alerts.window_stage(logs, w, sl), 2))
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(n=st.integers(0, 40), size=st.integers(1, 7))
+def test_pages_concatenate_to_the_ordered_hits(spark, n, size):
+    from martlens.operators import search
+    df = spark.createDataFrame([(f"d{i % 5}", f"id{i:03d}") for i in range(n)], "dt string, doc_id string")
+    pages, p = [], 1
+    while True:
+        got = [(r.dt, r.doc_id) for r in search.page(df, p, size, ["dt", "doc_id"]).collect()]
+        if not got:
+            break
+        pages += got
+        p += 1
+    assert pages == sorted((r.dt, r.doc_id) for r in df.collect())
