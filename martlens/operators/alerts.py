@@ -63,9 +63,8 @@ def interval_ms(text: str) -> int:
     return int(m.group(1)) * _UNIT_MS[m.group(2)]
 
 
-def pane_window_stage(logs: DataFrame, window: str, slide: str) -> DataFrame:
-    """Steps 0 and 1 of the batch plan; same output as ``window_stage``
-    (window struct of UTC wall-clock bounds, mid, evid, n, uids, items)."""
+def _pane_rows(logs: DataFrame, window: str, slide: str) -> tuple[DataFrame, int]:
+    """Step 0 plus the expansion: one row per (pane row, window start ``ws``)."""
     length, step = interval_ms(window), interval_ms(slide)
     if not 0 < step <= length:
         raise ValueError("the slide must be positive and no longer than the window")
@@ -79,12 +78,39 @@ def pane_window_stage(logs: DataFrame, window: str, slide: str) -> DataFrame:
     lo = F.floor((start - F.lit(length)) / F.lit(step)).cast("long") * F.lit(step) + F.lit(step)
     expanded = panes.filter(lo <= hi).select(
         "mid", "evid", "u", "i", "n", F.explode(F.sequence(lo, hi, F.lit(step).cast("long"))).alias("ws"))
+    return expanded, length
+
+
+def _window_facts(expanded: DataFrame, length: int) -> DataFrame:
     win = F.struct(from_epoch_ms(F.col("ws")).alias("start"),
                    from_epoch_ms(F.col("ws") + F.lit(length)).alias("end"))
     return (expanded.groupBy(win.alias("window"), "mid", "evid")
                     .agg(F.sum("n").alias("n"), F.collect_set("u").alias("uids"), F.collect_set("i").alias("items")))
 
 
+def pane_window_stage(logs: DataFrame, window: str, slide: str) -> DataFrame:
+    """Steps 0 and 1 of the batch plan for every window; same output as
+    ``window_stage`` (window struct of UTC wall-clock bounds, mid, evid, n,
+    uids, items)."""
+    expanded, length = _pane_rows(logs, window, slide)
+    return _window_facts(expanded, length)
+
+
+def candidate_window_stage(logs: DataFrame, window: str, slide: str, min_users: int = MIN_USERS) -> DataFrame:
+    """Step 1 only for windows that can alert. A window needs at least
+    ``min_users`` coupon events and no item view; both are sums, found by a
+    codegen'd hash aggregate over the expanded pane rows. The set-collecting
+    aggregate then runs on the rows of the candidate windows only (a semi
+    join), instead of on every window of every device."""
+    expanded, length = _pane_rows(logs, window, slide)
+    cand = (expanded.groupBy("ws", "mid")
+                    .agg(F.sum(F.when(F.col("evid") == COUPON, F.col("n"))).alias("c"),
+                         F.sum(F.when(F.col("evid") == ITEM_VIEW, F.col("n"))).alias("v"))
+                    .filter((F.coalesce("c", F.lit(0)) >= min_users) & (F.coalesce("v", F.lit(0)) == 0))
+                    .select("ws", "mid"))
+    return _window_facts(expanded.join(cand, ["ws", "mid"], "left_semi"), length)
+
+
 def streaming_pane_window_stage(logs: DataFrame, window: str, slide: str, event_time: Column) -> DataFrame:
     """Steps 0 and 1 for a watermarked stream: a tumbling pane aggregate, then
     the sliding-window aggregate over the panes' times (``window_time``), as
@@ -126,7 +152,7 @@ def coupon_alerts(logs: DataFrame, window: str = "5 minutes", slide: str = "5 se
                   min_users: int = MIN_USERS) -> DataFrame:
     """Alerts per device and sliding window on event time (batch form).
     Window bounds are returned as UTC wall clock."""
-    return alert_stage(pane_window_stage(logs, window, slide), min_users)
+    return alert_stage(candidate_window_stage(logs, window, slide, min_users), min_users)
 
 
 def alert_doc_id(alerts: DataFrame) -> DataFrame:

@@ -56,8 +56,9 @@ def test_pane_alert_plan_equals_spark_windows(spark, slide, extra, events):
     data = [(m, u, e, u % 3, T0 + s * 1000 * 60, i) for i, (m, u, e, s) in enumerate(events)]
     logs = spark.createDataFrame(data, "mid long, uid long, evid string, itemid long, ts long, log_id long")
     w, sl = f"{window * 5} minutes", f"{slide * 5} minutes"
-    assert rows(alerts.alert_stage(alerts.pane_window_stage(logs, w, sl), 2)) == \
-        rows(alerts.alert_stage(alerts.window_stage(logs, w, sl), 2))
+    want = rows(alerts.alert_stage(alerts.window_stage(logs, w, sl), 2))
+    assert rows(alerts.alert_stage(alerts.pane_window_stage(logs, w, sl), 2)) == want
+    assert rows(alerts.coupon_alerts(logs, w, sl, min_users=2)) == want   # candidate-filtered plan
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
