@@ -6,8 +6,8 @@ import __spark_entry__ as entry
 from conftest import SF_ORACLE
 from oracle_compare import compare, duck
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+from martlens.plans import ORACLE_SQL as ORACLE
+from martlens.plans import QUERIES
 
 
 @pytest.fixture(scope="module")

@@ -3,11 +3,9 @@ nested-loop joins or Python evaluation; paging is a bounded top-k; filters
 reach the scans."""
 
 import pytest
-
-import __spark_entry__ as entry
 from conftest import SF_SMALL
+from martlens.plans import QUERIES
 
-QUERIES = entry.queries()
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
              "FlatMapGroupsInPandas", "MapInPandas", "localCheckpoint")
 
