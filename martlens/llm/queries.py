@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martlens.llm import order_minhash, sharding, url_filter
+from martlens.llm import order_minhash, packing, sharding, token_files, url_filter
 from martlens.llm.store import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,8 @@ def _over(table: str, operator: Callable[[SparkSession, DataFrame], DataFrame])
 QUERIES: dict[str, Query] = {
     "op2_order_minhash": _over("documents", order_minhash.op2_order_minhash),
     "op3_sharding": _over("documents", sharding.op3_sharding),
+    "op8_token_files": _over("documents", token_files.op8_token_files),
+    "op9_best_fit_packing": _over("documents", packing.op9_best_fit_packing),
     "op10_url_filter": _over("pages", url_filter.op10_url_filter),
 }
 
