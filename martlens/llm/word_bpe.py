@@ -3,8 +3,7 @@
 The vocabulary drops white space and splits letters from punctuation before it
 merges, so the ids of a text are the ids of its pieces between such places,
 one after another.  Texts are cut there in numpy, each distinct piece is
-encoded once by the tokenizers library, and a worker remembers pieces from
-block to block (bounded, see CACHE_PIECES).
+encoded once by the tokenizers library (see span_coder).
 """
 
 from __future__ import annotations
@@ -13,12 +12,11 @@ import os
 
 import numpy as np
 
-from martlens.llm.spans import _SPACE, LOWER, U64, hash_spans, spread
+from martlens.llm.span_coder import SpanCoder
+from martlens.llm.spans import _SPACE, LOWER
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
-CACHE_PIECES = 2_000_000    # remembered pieces of one worker; beyond it starts afresh
-RECENT = 1 << 17
 
 # Byte classes: 1 ASCII letter, 2 ASCII punctuation at whose edge a piece may
 # be cut.  The apostrophe (contractions) and the bar (special tokens) are not.
@@ -57,7 +55,7 @@ def _byte_letters() -> list[str]:
     return out
 
 
-class WordBpe:
+class WordBpe(SpanCoder):
     """Encoder of one vocabulary file with its memory of pieces."""
 
     _of: dict[str, WordBpe] = {}
@@ -68,7 +66,7 @@ class WordBpe:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.letters = _byte_letters()
-        self._clear()
+        super().__init__()
 
     @classmethod
     def load(cls, path: str) -> WordBpe:
@@ -76,11 +74,6 @@ class WordBpe:
             cls._of[path] = cls(path)
         return cls._of[path]
 
-    def _clear(self) -> None:
-        empty = (np.zeros(0, U64), np.zeros(0, np.int64), np.zeros(0, np.int64))
-        self.main, self.recent = empty, empty       # sorted hashes, offsets, lengths
-        self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
-
     def _ids(self, pieces: list[str]) -> list[list[int]]:
         """Ids of pieces; plain Latin words go to the merges directly, as
         normalising and splitting leaves them whole."""
@@ -98,55 +91,11 @@ class WordBpe:
             out[i] = e.ids
         return out
 
-    def _find(self, keys: np.ndarray, level) -> tuple[np.ndarray, np.ndarray]:
-        known = level[0]
-        if not len(known):
-            return np.zeros(len(keys), bool), np.zeros(len(keys), np.int64)
-        at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
-        return known[at] == keys, at
-
-    def _learn(self, keys: np.ndarray, ids: list[list[int]]) -> None:
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter((x for i in ids for x in i), np.uint32, int(lengths.sum()))
-        if len(self.flat) < self.used + len(flat):
-            self.flat = np.concatenate([self.flat[:self.used], np.zeros(self.used + 2 * len(flat), np.uint32)])
-        self.flat[self.used:self.used + len(flat)] = flat
-        offsets = self.used + np.cumsum(lengths) - lengths
-        self.used += len(flat)
-        self.recent = self._merge(self.recent, (keys, offsets, lengths))
-        if len(self.recent[0]) > RECENT:
-            self.main, self.recent = self._merge(self.main, self.recent), (keys[:0], offsets[:0], lengths[:0])
-
-    @staticmethod
-    def _merge(a, b):
-        keys = np.concatenate([a[0], b[0]])
-        order = np.argsort(keys)
-        return tuple(np.concatenate([x, y])[order] for x, y in zip(a, b, strict=True))
-
     def encode(self, raw: np.ndarray, off: np.ndarray, end_id: int | None = END_ID) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts (with the end id appended to each) and n + 1 offsets."""
         if b"<|" not in raw.tobytes():              # special tokens are matched before lower-casing
             raw = LOWER[raw]
-        starts, ends, first = piece_spans(raw, off)
-        keys, at, inverse = np.unique(hash_spans(raw, starts, ends), return_index=True, return_inverse=True)
-        if len(self.main[0]) > CACHE_PIECES:
-            self._clear()
-        in_main, _ = self._find(keys, self.main)
-        in_recent, _ = self._find(keys, self.recent)
-        new = np.flatnonzero(~(in_main | in_recent))
-        if len(new):
-            s, e = starts[at[new]], ends[at[new]]
-            self._learn(keys[new], self._ids([str(memoryview(raw[a:b]), "utf-8", "replace")
-                                              for a, b in zip(s.tolist(), e.tolist(), strict=True)]))
-        offsets, lengths = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
-        for level in (self.main, self.recent):
-            hit, i = self._find(keys, level)
-            offsets[hit], lengths[hit] = level[1][i[hit]], level[2][i[hit]]
-        per_piece = lengths[inverse]
-        ids = self.flat[spread(offsets[inverse], per_piece)]
-        total = np.zeros(len(per_piece) + 1, np.int64)
-        np.cumsum(per_piece, out=total[1:])
-        bounds = total[first]
+        ids, bounds = self.encode_spans(raw, *piece_spans(raw, off))
         if end_id is not None:
             ids = np.insert(ids, bounds[1:], np.uint32(end_id))
             bounds = bounds + np.arange(len(bounds))
