@@ -72,11 +72,11 @@ def op3_sharding(spark: SparkSession, docs: DataFrame, shards: int = SHARDS, see
     """One row per record of the written shards: shard, slot (gapless from 0),
     size, text checksum, and the shard it would have with one shard more."""
     stored, first = write_shards(spark, docs, Workspace(spark, "sharding"), shards, seed=seed)
-    return (stored.join(first, ["shard", "bucket"])
-            .select("doc_id",
-                    record_size(F.col("text")).alias("size"),
-                    F.crc32(F.coalesce(F.col("text"), F.lit(""))).alias("text_crc32"),
-                    F.lit("key").alias("law"),
-                    F.col("shard").cast("int").alias("shard"),
+    # digest before the join: only small rows move
+    digest = stored.select("doc_id", record_size(F.col("text")).alias("size"),
+                           F.crc32(F.coalesce(F.col("text"), F.lit(""))).alias("text_crc32"),
+                           F.col("shard").cast("int").alias("shard"), "bucket", "pos")
+    return (digest.join(first, ["shard", "bucket"])
+            .select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard",
                     (F.col("first_slot") + F.col("pos")).cast("long").alias("slot"),
                     rendezvous(F.col("doc_id"), shards + 1, seed).alias("grown_shard")))
