@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martlens.llm import order_minhash, packing, piece_viterbi, sharding, token_files, url_filter
+from martlens.llm import order_minhash, packing, piece_viterbi, recompression, sharding, token_files, url_filter
 from martlens.llm.store import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,7 @@ QUERIES: dict[str, Query] = {
     "op2_order_minhash": _over("documents", order_minhash.op2_order_minhash),
     "op3_sharding": _over("documents", sharding.op3_sharding),
     "op6_piece_viterbi": _over("documents", piece_viterbi.op6_piece_viterbi),
+    "op7_recompression": _over("documents", recompression.op7_recompression),
     "op8_token_files": _over("documents", token_files.op8_token_files),
     "op9_best_fit_packing": _over("documents", packing.op9_best_fit_packing),
     "op10_url_filter": _over("pages", url_filter.op10_url_filter),
