@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martlens.llm import order_minhash, packing, piece_viterbi, recompression, sharding, token_files, url_filter
+from martlens.llm import jaccard_join, order_minhash, packing, piece_viterbi, recompression, sharding, token_files, url_filter
 from martlens.llm.store import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,7 @@ def _over(table: str, operator: Callable[[SparkSession, DataFrame], DataFrame])
 
 
 QUERIES: dict[str, Query] = {
+    "op1_jaccard_join": _over("documents", jaccard_join.op1_jaccard_join),
     "op2_order_minhash": _over("documents", order_minhash.op2_order_minhash),
     "op3_sharding": _over("documents", sharding.op3_sharding),
     "op6_piece_viterbi": _over("documents", piece_viterbi.op6_piece_viterbi),
