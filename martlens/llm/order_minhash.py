@@ -24,8 +24,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from martlens.llm.store import Workspace
-
 WORD = r"[^\x20\x09-\x0D]{1,16}"
 K = 2
 L = 2
@@ -33,6 +31,7 @@ SLOT_BITS = 6
 POS_BITS = 24
 HASH_BITS = 63 - POS_BITS
 REST_BITS = HASH_BITS - SLOT_BITS
+TUPLE_BITS = 25             # of a slot's tuple hash; with the slot it fills an int
 ID_BITS = 12                # ids that share all but these bits form one group
 
 
@@ -87,7 +86,8 @@ def _steps(text: Column) -> list[tuple[str, object]]:
             end = F.coalesce(F.get(starts, j + 1), F.size(kept))
             hashes = F.transform(F.slice(kept, s + 1, end - s), lambda x: x.bitwiseAND(_mask(REST_BITS)))
             slot = F.shiftright(F.get(kept, s), POS_BITS + REST_BITS)
-            return F.shiftleft(slot, 32).bitwiseOR(F.shiftrightunsigned(F.xxhash64(hashes), 32))
+            tuple_hash = F.shiftrightunsigned(F.xxhash64(hashes), 64 - TUPLE_BITS)
+            return F.shiftleft(slot, TUPLE_BITS).bitwiseOR(tuple_hash).cast("int")
         return F.transform(starts, one)
 
     return [
@@ -103,7 +103,7 @@ def _steps(text: Column) -> list[tuple[str, object]]:
 
 
 def with_fingerprint(df: DataFrame, text: str, out: str) -> DataFrame:
-    """Add ``out``: the slot tuples (slot << 32 | 32-bit hash) of a text column."""
+    """Add ``out``: the slot tuples (slot, then hash, in one int) of a text column."""
     columns = df.columns
     for name, step in _steps(F.col(text)):
         df = df.withColumn(f"__{out}_{name}", step(lambda n: F.col(f"__{out}_{n}")))
@@ -112,13 +112,13 @@ def with_fingerprint(df: DataFrame, text: str, out: str) -> DataFrame:
 
 def likeness(a: Column, b: Column) -> Column:
     """Share of slots on which two fingerprints agree; 1 if both are empty."""
-    slots = F.size(F.array_union(F.transform(a, lambda x: F.shiftright(x, 32)),
-                                 F.transform(b, lambda x: F.shiftright(x, 32))))
+    slots = F.size(F.array_union(F.transform(a, lambda x: F.shiftright(x, TUPLE_BITS)),
+                                 F.transform(b, lambda x: F.shiftright(x, TUPLE_BITS))))
     return F.when(slots == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(a, b)) / slots)
 
 
 def as_text(prints: Column) -> Column:
-    return F.concat_ws("", F.transform(prints, lambda x: F.lpad(F.lower(F.hex(x)), 10, "0")))
+    return F.concat_ws("", F.transform(prints, lambda x: F.lpad(F.lower(F.hex(x)), 8, "0")))
 
 
 def successors(ids: DataFrame) -> DataFrame:
@@ -150,34 +150,39 @@ def _linked(ids: DataFrame, lo: int, hi: int) -> DataFrame:
     return inside.join(after, "g", "left").select("id", F.coalesce("inner", "first").alias("next_id"))
 
 
-def with_edited(docs: DataFrame) -> DataFrame:
-    """doc_id, text, next_id, edited: the text whose last half is replaced by
-    the beginning of the next document."""
+def with_next(docs: DataFrame) -> DataFrame:
+    """doc_id, text, the fingerprint of the next document, and ``edited``: the
+    text whose last half is replaced by the beginning of the next document.
+
+    The texts are shuffled once, by doc_id: both joins read that exchange.
+    """
     base = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    half = base.groupBy("doc_id").agg(F.max(F.floor(F.char_length("text") / 2)).alias("half"))
-    wanted = successors(base.select(F.col("doc_id").cast("long").alias("id"))).join(
-        half.withColumnRenamed("doc_id", "id"), "id").select(F.col("next_id").alias("doc_id"), F.col("id").alias("to"), "half")
-    heads = (base.join(wanted, "doc_id")
-             .select("to", F.col("doc_id").alias("next_id"),
-                     F.substring(F.col("text"), F.lit(1), F.col("half").cast("int")).alias("head"))
-             .groupBy("to").agg(F.min("next_id").alias("next_id"), F.min("head").alias("head"))
-             .withColumnRenamed("to", "doc_id"))
+    placed = base.filter(F.col("doc_id").isNotNull())
+    half = placed.groupBy("doc_id").agg(F.max(F.floor(F.char_length("text") / 2)).alias("half"))
+    wanted = (successors(placed.select(F.col("doc_id").cast("long").alias("id")))
+              .join(half.withColumnRenamed("doc_id", "id"), "id")
+              .select(F.col("next_id").alias("doc_id"), F.col("id").alias("to"), "half"))
+    heads = (with_fingerprint(placed.join(wanted, "doc_id"), "text", "next_own")
+             .select(F.col("to").alias("doc_id"),
+                     F.struct(F.substring(F.col("text"), F.lit(1), F.col("half").cast("int")).alias("head"),
+                              "next_own").alias("n"))
+             .groupBy("doc_id").agg(F.min("n").alias("n")))
     chars = F.char_length("text")
-    kept = F.substring(F.col("text"), F.lit(1), chars - F.floor(chars / 2).cast("int"))
-    # rows of one id may differ in length: take no more of the head than this row's half
-    head = F.substring(F.coalesce("head", F.lit("")), F.lit(1), F.floor(chars / 2).cast("int"))
-    return base.join(heads, "doc_id", "left").select("doc_id", "text", "next_id", F.concat(kept, head).alias("edited"))
+    taken = F.floor(chars / 2).cast("int")
+    kept = F.substring(F.col("text"), F.lit(1), chars - taken)
+    # rows of one id may differ in length: no more of the head than this row's half
+    edited = F.concat(kept, F.substring(F.col("n.head"), F.lit(1), taken))
+    joined = placed.join(heads, "doc_id", "left").select("doc_id", "text", edited.alias("edited"), "n.next_own")
+    unplaced = base.filter(F.col("doc_id").isNull()).select(
+        "doc_id", "text", kept.alias("edited"), F.lit(None).cast("array<int>").alias("next_own"))
+    return joined.unionByName(unplaced)
 
 
 def op2_order_minhash(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """Fingerprints of every text and of its edited form, and their likeness."""
-    both = with_fingerprint(with_fingerprint(with_edited(docs), "text", "own"), "edited", "changed")
-    stored = Workspace(spark, "order-minhash").save(both.select(
-        "doc_id", "next_id", F.char_length("text").cast("long").alias("n_chars"),
-        F.sha2("edited", 256).alias("edited_sha256"), "own", "changed"), "prints")
-    following = stored.groupBy("doc_id").agg(F.min("own").alias("next_own")).withColumnRenamed("doc_id", "next_id")
-    return stored.join(following, "next_id", "left").select(
-        "doc_id", "n_chars", "edited_sha256",
+    prints = with_fingerprint(with_fingerprint(with_next(docs), "text", "own"), "edited", "changed")
+    return prints.select(
+        "doc_id", F.char_length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
         as_text(F.col("own")).alias("fingerprint"), as_text(F.col("changed")).alias("edited_fingerprint"),
         likeness(F.col("own"), F.col("changed")).alias("near_edited"),
         likeness(F.col("own"), F.col("next_own")).alias("near_next"))
