@@ -6,7 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martlens.llm import jaccard_join, order_minhash, packing, piece_viterbi, recompression, sharding, token_files, url_filter
+from martlens.llm import (
+    jaccard_join,
+    order_minhash,
+    packing,
+    piece_viterbi,
+    quantised_neighbours,
+    recompression,
+    sharding,
+    token_files,
+    url_filter,
+)
 from martlens.llm.store import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +35,7 @@ QUERIES: dict[str, Query] = {
     "op1_jaccard_join": _over("documents", jaccard_join.op1_jaccard_join),
     "op2_order_minhash": _over("documents", order_minhash.op2_order_minhash),
     "op3_sharding": _over("documents", sharding.op3_sharding),
+    "op4_quantised_neighbours": _over("embeddings", quantised_neighbours.op4_quantised_neighbours),
     "op6_piece_viterbi": _over("documents", piece_viterbi.op6_piece_viterbi),
     "op7_recompression": _over("documents", recompression.op7_recompression),
     "op8_token_files": _over("documents", token_files.op8_token_files),
