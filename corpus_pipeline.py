@@ -1,14 +1,75 @@
-"""Corpus preparation as a chain of operators; see STAGES."""
+"""Corpus preparation: quality, near duplicates, repeats, packing.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written
+as Parquet and read again as the docs of the next one.  All but the last
+return the columns of documents.
+
+1. quality: documents that the classifier rejects go.  It learns from the
+   labels of sf_dir and scores what it is given.
+2. near_duplicates: of documents linked by 5-word shingles (3/4 or more in
+   common) the one with the smallest id stays.  Rows without an id stay.
+3. repeats: words covered by a 35-word window that occurs twice go; a text
+   that has any keeps its other words, joined by one space, and n_chars
+   follows.  No row goes, also where no word is left.
+4. packing: every remaining document's tokens are packed into sequences of
+   4096; the result is a row for each piece.
+
+Edge cases are those of the stages' operators; an empty table stays empty
+through all stages.  Repeated rows of one id and text are one document to
+stage 2 and all stay, as they have the same id.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from martlens.llm import jaccard_join, packing, quality, recompression
+from martlens.llm.store import Workspace, ship_package
+
+
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    rows = quality.scored(docs.withColumn("__text", F.col("text")), labels,
+                          tuple(c if c != "text" else "__text" for c in docs.columns))
+    return rows.filter(F.col("score") >= 0.5).select(
+        *[F.col("__text").alias("text") if c == "text" else F.col(c) for c in docs.columns])
+
+
+def keep_first(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    classes = jaccard_join.near_duplicates(spark, docs)
+    dropped = classes.filter("doc_id <> component_id").select("doc_id").distinct()
+    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+
+
+def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return recompression.remove_repeats(spark, docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return packing.op9_best_fit_packing(spark, docs)
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality", keep_good),
+    ("near_duplicates", keep_first),
+    ("repeats", drop_repeats),
+    ("packing", pack),
+]
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = []
+# A trained classifier is not SQL; tests hold run() against a brute-force version.
 ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    ws = Workspace(spark, "pipeline")
+    for name, stage in STAGES[:-1]:
+        docs = ws.save(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -11,6 +11,7 @@ from martlens.llm import (
     order_minhash,
     packing,
     piece_viterbi,
+    quality,
     quantised_neighbours,
     recompression,
     sharding,
@@ -31,11 +32,18 @@ def _over(table: str, operator: Callable[[SparkSession, DataFrame], DataFrame])
     return query
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return quality.op5_quality(spark, spark.read.parquet(f"{sf_dir}/documents.parquet"),
+                               spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_jaccard_join": _over("documents", jaccard_join.op1_jaccard_join),
     "op2_order_minhash": _over("documents", order_minhash.op2_order_minhash),
     "op3_sharding": _over("documents", sharding.op3_sharding),
     "op4_quantised_neighbours": _over("embeddings", quantised_neighbours.op4_quantised_neighbours),
+    "op5_quality": op5_quality,
     "op6_piece_viterbi": _over("documents", piece_viterbi.op6_piece_viterbi),
     "op7_recompression": _over("documents", recompression.op7_recompression),
     "op8_token_files": _over("documents", token_files.op8_token_files),
