@@ -223,7 +223,8 @@ def with_found(docs: DataFrame, buckets: int, window: int = WINDOW) -> DataFrame
     columns of ``docs`` as a struct ``row``."""
     owner = F.coalesce(F.col("doc_id").cast("long"), -1 - F.shiftrightunsigned(F.xxhash64("text"), 1))
     base = docs.select(owner.alias("owner"), F.coalesce("text", F.lit("")).alias("text"),
-                       F.struct(*[c for c in docs.columns if c != "text"]).alias("row"))
+                       F.struct(F.col("text").isNull().alias("__null"),
+                                *[c for c in docs.columns if c != "text"]).alias("row"))
     slim = docs.select(owner.alias("owner"), F.coalesce("text", F.lit("")).alias("text"))
     shared = answers(symbol_packets(slim, buckets, window), buckets)
     # same columns in both joins, so that they read one exchange of the texts
@@ -266,6 +267,7 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, window: int = WINDOW) -
     found = with_found(docs, partitions(spark), window)
     schema = found.select("text", "row").schema
     out = found.select("text", "found", "row").mapInArrow(run, schema)
-    columns = [F.col("text") if c == "text" else F.char_length("text").cast(docs.schema[c].dataType).alias(c)
+    text = F.when(~F.col("row.__null"), F.col("text"))
+    columns = [text.alias("text") if c == "text" else F.char_length(text).cast(docs.schema[c].dataType).alias(c)
                if c == "n_chars" else F.col(f"row.{c}") for c in docs.columns]
     return out.select(*columns)
