@@ -137,15 +137,16 @@ def successors(ids: DataFrame) -> DataFrame:
         "id", F.coalesce("next_id", F.lit(ends["lo"])).alias("next_id"))
 
 
-def _linked(ids: DataFrame, lo: int, hi: int) -> DataFrame:
-    group = F.shiftright("id", ID_BITS)
+def _linked(ids: DataFrame, lo: int, hi: int, signed: bool = True) -> DataFrame:
+    flip = -(1 << 63) if signed else 0          # so that negative ids come first, and none is below 0
+    group = F.shiftrightunsigned(F.col("id").bitwiseXOR(F.lit(flip)), ID_BITS)
     inside = ids.select(group.alias("g"), "id").withColumn(
         "inner", F.lead("id").over(Window.partitionBy("g").orderBy("id")))
-    lo, hi = lo >> ID_BITS, hi >> ID_BITS
+    lo, hi = (lo - flip) >> ID_BITS, (hi - flip) >> ID_BITS
     if lo == hi:
         return inside.select("id", F.col("inner").alias("next_id"))
     first = ids.groupBy(group.alias("id")).agg(F.min("id").alias("first"))
-    after = _linked(first.select("id"), lo, hi).alias("a").join(
+    after = _linked(first.select("id"), lo, hi, signed=False).alias("a").join(
         first.alias("f"), F.col("a.next_id") == F.col("f.id")).select(F.col("a.id").alias("g"), "first")
     return inside.join(after, "g", "left").select("id", F.coalesce("inner", "first").alias("next_id"))
 

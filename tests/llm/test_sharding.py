@@ -1,0 +1,55 @@
+import zlib
+
+from conftest import ROUGH_TEXTS, SF
+
+from martlens.llm import sharding as S
+from martlens.llm.queries import QUERIES
+from martlens.llm.store import Workspace
+
+
+def check(rows, texts):
+    by = {}
+    for r in rows:
+        by.setdefault(r.shard, []).append(r.slot)
+        assert r.law == "key" and 0 <= r.shard < 24 and r.grown_shard in (r.shard, 24)
+    assert all(sorted(v) == list(range(len(v))) for v in by.values())
+    want = sorted((str(i), len((t or "").encode()) + 8, zlib.crc32((t or "").encode())) for i, t in texts)
+    assert sorted((str(r.doc_id), r["size"], r.text_crc32) for r in rows) == want
+
+
+def test_rows_sizes_and_slots(spark, rough_docs):
+    check(S.op3_sharding(spark, rough_docs).collect(), ROUGH_TEXTS)
+
+
+def test_registered_query(spark, sf_docs):
+    rows = QUERIES["op3_sharding"](spark, SF).collect()
+    check(rows, [(r.doc_id, r.text) for r in sf_docs.select("doc_id", "text").collect()])
+
+
+def test_shard_depends_on_id_and_count_only(spark):
+    ids = spark.range(5000)
+    few = {r.id: r.s for r in ids.select("id", S.rendezvous(ids.id, 24, 17).alias("s")).collect()}
+    more = {r.id: r.s for r in ids.select("id", S.rendezvous(ids.id, 25, 17).alias("s")).collect()}
+    moved = [i for i in few if few[i] != more[i]]
+    assert all(more[i] == 24 for i in moved) and 120 < len(moved) < 290
+    sizes = [list(few.values()).count(s) for s in range(24)]
+    assert min(sizes) > 140 and max(sizes) < 280
+
+
+def test_several_buckets_are_shuffled_and_written_by_shard(spark, sf_docs):
+    stored, first = S.write_shards(spark, sf_docs, Workspace(spark, "t"), shards=3, bucket_bytes=40_000)
+    assert first.count() > 6
+    rows = stored.orderBy("shard", "bucket", "pos").collect()
+    order = [r.doc_id for r in rows]
+    assert sorted(order) == sorted(r.doc_id for r in sf_docs.collect()) and order != sorted(order)
+    inside = [(a.doc_id < b.doc_id) for a, b in zip(rows, rows[1:], strict=False) if a.bucket == b.bucket]
+    assert 0.3 < sum(inside) / len(inside) < 0.7        # no order of the ids is left
+
+
+def test_empty_table(spark, no_docs):
+    assert S.op3_sharding(spark, no_docs).count() == 0
+
+
+def test_no_python_in_the_plan(spark, edge_docs):
+    plan = S.op3_sharding(spark, edge_docs)._jdf.queryExecution().executedPlan().toString()
+    assert not [x for x in ("Python", "Pandas", "Arrow", "Cartesian") if x in plan]
