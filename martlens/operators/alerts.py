@@ -14,8 +14,10 @@ Batch plan (``coupon_alerts``), every group bounded:
 The window's event list is kept as (evid, count) pairs: the multiset of the
 events, bounded by the number of event types, instead of one entry per event.
 
-The streaming job uses ``window_stage`` (Spark's ``window`` with a watermark)
-as its stateful step 1 and runs step 2 per closed window in ``foreachBatch``.
+The streaming job keeps steps 0 and 1 as two chained watermarked aggregates
+(``streaming_pane_window_stage``) and runs step 2 per closed window in
+``foreachBatch``. An event without a device belongs to no device: every form
+drops it first.
 """
 
 from __future__ import annotations
@@ -45,7 +47,7 @@ def window_stage(logs: DataFrame, window: str, slide: str, event_time: Column |
     the time expression once per window, and this one is the cheapest."""
     t = event_time if event_time is not None else F.timestamp_millis(F.col("ts"))
     coupon = F.col("evid") == COUPON
-    return (logs.groupBy(F.window(t, window, slide).alias("window"), "mid", "evid")
+    return (logs.filter(F.col("mid").isNotNull()).groupBy(F.window(t, window, slide).alias("window"), "mid", "evid")
                 .agg(F.count(F.lit(1)).alias("n"),
                      F.collect_set(F.when(coupon, F.col("uid"))).alias("uids"),
                      F.collect_set(F.when(coupon, F.col("itemid"))).alias("items")))
@@ -70,7 +72,7 @@ def _pane_rows(logs: DataFrame, window: str, slide: str) -> tuple[DataFrame, int
         raise ValueError("the slide must be positive and no longer than the window")
     pane = math.gcd(length, step)
     coupon = F.col("evid") == COUPON
-    panes = (logs.groupBy("mid", "evid", F.floor(F.col("ts") / F.lit(pane)).cast("long").alias("pane"),
+    panes = (logs.filter(F.col("mid").isNotNull()).groupBy("mid", "evid", F.floor(F.col("ts") / F.lit(pane)).cast("long").alias("pane"),
                           F.when(coupon, F.col("uid")).alias("u"), F.when(coupon, F.col("itemid")).alias("i"))
                  .agg(F.count(F.lit(1)).alias("n")))
     start = F.col("pane") * F.lit(pane)
@@ -121,7 +123,7 @@ def streaming_pane_window_stage(logs: DataFrame, window: str, slide: str, event_
         raise ValueError("the slide must be positive and no longer than the window")
     pane = f"{math.gcd(length, step)} milliseconds"
     coupon = F.col("evid") == COUPON
-    panes = (logs.groupBy(F.window(event_time, pane).alias("pane"), "mid", "evid",
+    panes = (logs.filter(F.col("mid").isNotNull()).groupBy(F.window(event_time, pane).alias("pane"), "mid", "evid",
                           F.when(coupon, F.col("uid")).alias("u"), F.when(coupon, F.col("itemid")).alias("i"))
                  .agg(F.count(F.lit(1)).alias("n"))
                  .withColumn("pane_time", F.window_time("pane")))

@@ -30,7 +30,11 @@ def dau_incremental(batch: DataFrame, seen: DataFrame, tz: str = "UTC") -> DataF
     is compared with its own day. No broadcast hint: ``seen`` grows with the
     number of devices, AQE broadcasts it only when its measured size is small.
     """
-    firsts = dau_first(batch, tz)
+    return not_seen(dau_first(batch, tz), seen)
+
+
+def not_seen(firsts: DataFrame, seen: DataFrame) -> DataFrame:
+    """Device-days that ``seen`` (mid, logDate) does not have."""
     # distinct: a partial aggregate on the join key (its exchange also serves
     # the join), so duplicated seen rows never pile up in one task
     keys = seen.select(*DEVICE_DAY).distinct()
@@ -67,36 +71,56 @@ def hour_map(hourly: DataFrame, value: str, date_col: str, hour_col: str) -> Dat
         F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col(hour_col), F.col(value))))).alias("hours"))
 
 
+def daily_devices(dau: DataFrame) -> DataFrame:
+    """Daily count and new devices per date from one shuffle of the device-days
+    (date, dau, new_devices): the days of a device come together once, and the
+    smallest of them is its first."""
+    days = dau.select("mid", F.to_date("logDate").alias("day")).groupBy("mid").agg(F.collect_set("day").alias("days"))
+    first = F.array_min("days")
+    rows = days.select(F.explode(F.transform("days", lambda d: F.struct(d.alias("d"), (d == first).cast("long").alias("new")))).alias("e"))
+    return rows.groupBy(F.date_format("e.d", "yyyy-MM-dd").alias("logDate")).agg(
+        F.count(F.lit(1)).alias("dau"), F.sum("e.new").alias("new_devices"))
+
+
+def _day_before(date: str) -> F.Column:
+    return F.date_format(F.date_sub(F.to_date(F.lit(date)), 1), "yyyy-MM-dd")
+
+
 def hours_compare(hourly: DataFrame, value: str, date_col: str, hour_col: str,
                   zero=0, date: str | None = None) -> DataFrame:
     """Today versus yesterday per hour on a 24-hour spine, missing = 0.
+    Output: date, hour, today, yesterday.
+
+    With ``date`` the spine is that date's 24 hours, whether or not it has any
+    rows: just after midnight yesterday's curve stands against zeros. Without
+    it, every date that has rows gets its spine (a date that only follows one
+    with rows does not).
 
-    One aggregation, no joins: every hourly row ``(d, h, v)`` emits its own
-    entry ``(d, h, today=v)``, a shifted entry ``(d+1, h, yesterday=v)`` and
-    the 24 spine slots of ``d``; a ``groupBy(d, hour)`` sums them (partially,
-    map side) and keeps the dates that have data. Output: date, hour, today,
-    yesterday.
+    One aggregation, no joins: rows, shifted rows and spine slots are stacked
+    and summed per (date, hour), partially on the map side.
     """
-    src = hourly if date is None else hourly.filter(
-        F.col(date_col).isin(date, F.date_format(F.date_sub(F.to_date(F.lit(date)), 1), "yyyy-MM-dd")))
-    d, h, v = F.col(date_col), F.col(hour_col), F.col(value)
-    z = F.lit(zero) if zero is not None else F.lit(None)
-    z = z.cast(dict(hourly.dtypes)[value])
-
-    def entry(day, hour, today, yesterday, own):
-        return F.struct(day.alias("d"), hour.alias("hour"), today.alias("today"),
-                        yesterday.alias("yesterday"), F.lit(own).alias("own"))
-
-    nxt = F.date_format(F.date_add(F.to_date(d), 1), "yyyy-MM-dd")
-    spine = F.transform(F.sequence(F.lit(0), F.lit(23)),
-                        lambda x: entry(d, F.lpad(x.cast("string"), 2, "0"), z, z, 1))
-    entries = F.concat(F.array(entry(d, h, F.coalesce(v, z), z, 1), entry(nxt, h, z, F.coalesce(v, z), 0)), spine)
-    out = (src.select(F.explode(entries).alias("e")).select("e.*")
-              .groupBy("d", "hour")
-              .agg(F.sum("today").alias("today"), F.sum("yesterday").alias("yesterday"), F.max("own").alias("own"))
-              .filter(F.col("own") == 1))
+    kind = dict(hourly.dtypes)[value]
+    z = F.lit(zero).cast(kind)
+    v = F.coalesce(F.col(value), z)
+    hours = F.transform(F.sequence(F.lit(0), F.lit(23)), lambda x: F.lpad(x.cast("string"), 2, "0"))
+    d, h = F.col(date_col), F.col(hour_col)
     if date is not None:
-        out = out.filter(F.col("d") == date)
-    return out.select(F.col("d").alias(date_col), "hour",
-                      F.col("today").cast(dict(hourly.dtypes)[value]).alias("today"),
-                      F.col("yesterday").cast(dict(hourly.dtypes)[value]).alias("yesterday"))
+        day = F.lit(date)
+        spine = hourly.sparkSession.range(1).select(day.alias("d"), F.explode(hours).alias("hour"), z.alias("today"), z.alias("yesterday"))
+        own = hourly.filter(d == date).select(day.alias("d"), h.alias("hour"), v.alias("today"), z.alias("yesterday"))
+        before = hourly.filter(d == _day_before(date)).select(day.alias("d"), h.alias("hour"), z.alias("today"), v.alias("yesterday"))
+        out = spine.unionByName(own).unionByName(before).groupBy("d", "hour").agg(
+            F.sum("today").alias("today"), F.sum("yesterday").alias("yesterday"))
+    else:
+        def entry(day, hour, today, yesterday, own):
+            return F.struct(day.alias("d"), hour.alias("hour"), today.alias("today"),
+                            yesterday.alias("yesterday"), F.lit(own).alias("own"))
+
+        nxt = F.date_format(F.date_add(F.to_date(d), 1), "yyyy-MM-dd")
+        spine = F.transform(hours, lambda x: entry(d, x, z, z, 1))
+        entries = F.concat(F.array(entry(d, h, v, z, 1), entry(nxt, h, z, v, 0)), spine)
+        out = (hourly.select(F.explode(entries).alias("e")).select("e.*").groupBy("d", "hour")
+               .agg(F.sum("today").alias("today"), F.sum("yesterday").alias("yesterday"), F.max("own").alias("own"))
+               .filter(F.col("own") == 1))
+    return out.select(F.col("d").alias(date_col), "hour", F.col("today").cast(kind).alias("today"),
+                      F.col("yesterday").cast(kind).alias("yesterday"))

@@ -45,6 +45,8 @@ def kpi_total(dau_daily: DataFrame, new_daily: DataFrame, gmv_daily: DataFrame)
 def kpi_for_date(dau: DataFrame, orders: DataFrame, date: str) -> DataFrame:
     """The dashboard's KPI list for one date: always three rows (DAU and new
     devices 0, amount null when the date has no data). ``dau`` is the DAU
-    table, ``orders`` the dated order table (both pruned by date when stored
-    partitioned)."""
+    table, ``orders`` the dated order table. The daily count and the amount read
+    that date only when the tables are stored partitioned; new devices need the
+    first day of every device, so keep them in a table of their own
+    (``new_devices`` of each day's batch) where history is long."""
     return kpi_total(dau_total(dau, date), new_devices(dau, date), gmv_total(orders, date))

@@ -22,7 +22,8 @@ def _order_side(order_info: DataFrame) -> DataFrame:
 
 
 def _line_side(order_detail: DataFrame) -> DataFrame:
-    return order_detail.select(F.col("id").alias("order_detail_id"), "order_id", "sku_id", "sku_name",
+    names = ["sku_name"] if "sku_name" in order_detail.columns else []
+    return order_detail.select(F.col("id").alias("order_detail_id"), "order_id", "sku_id", *names,
                                F.col("order_price").cast("double").alias("sku_price"))
 
 

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from martlens.functions.ratio import half_up_share, remainder_share
 from martlens.functions.text import match_all, match_any
+from martlens.operators.sale_detail import enrich_users, join_orders_lines
+from martlens.schemas import SALE_DETAIL_COLUMNS
 
 # Pie titles and slice names as the dashboard shows them.
 AGE_TITLE = "用户年龄占比"
@@ -22,8 +24,6 @@ GENDER_TITLE = "用户性别占比"
 GENDER_NAMES = ("男", "女")
 AGE_LOW, AGE_HIGH = 20, 30
 MALE = "M"
-AGE_BUCKETS = 1000
-GENDER_BUCKETS = 3
 
 
 def search(index: DataFrame, keyword: str | None = None, date: str | None = None,
@@ -49,10 +49,30 @@ def page(hits: DataFrame, page_no: int, size: int, order: Sequence[str]) -> Data
     return hits.orderBy(*order).offset((page_no - 1) * size).limit(size)
 
 
-def terms(hits: DataFrame, col: str, size: int) -> DataFrame:
-    """Bucket counts by ``col``, largest first (ties by key), top ``size``."""
-    return (hits.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("doc_count"))
-                .orderBy(F.desc("doc_count"), F.asc(col)).limit(size))
+def terms(hits: DataFrame, col: str) -> DataFrame:
+    """Counts of all buckets of ``col``."""
+    return hits.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("doc_count"))
+
+
+def top_terms(hits: DataFrame, col: str, size: int) -> DataFrame:
+    """L3: the caller's top ``size`` buckets (ties by key), each with
+    ``other_docs``, the number of documents in the buckets left out."""
+    counts = terms(hits, col)
+    top = counts.orderBy(F.desc("doc_count"), F.asc(col)).limit(size)
+    summed = F.coalesce(F.sum("doc_count"), F.lit(0))
+    return top.select(col, "doc_count", (counts.agg(summed).scalar() - top.agg(summed).scalar()).alias("other_docs"))
+
+
+def sale_hits(order_info: DataFrame, order_detail: DataFrame, user_info: DataFrame | None, as_of: str | None,
+              keyword: str | None = None, operator: str = "and", date: str | None = None) -> DataFrame:
+    """Matches over orders and lines that are not indexed yet: the keyword cuts
+    the lines before they meet the orders, and users are joined to the hits
+    only -- or not at all when ``user_info`` is None (no user column asked)."""
+    lines = search(order_detail, keyword=keyword, operator=operator)
+    rows = join_orders_lines(order_info, lines)
+    rows = rows if date is None else rows.filter(F.col("dt") == date)
+    rows = rows.withColumn("doc_id", F.concat_ws("_", F.col("order_id").cast("string"), "order_detail_id"))
+    return rows if user_info is None else enrich_users(rows, user_info, as_of).select("doc_id", *SALE_DETAIL_COLUMNS)
 
 
 def _share_counts(hits: DataFrame) -> DataFrame:

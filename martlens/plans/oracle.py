@@ -86,6 +86,12 @@ s1 AS (SELECT n, {_share('m', 'n')} AS male_ratio, {_share('lo', 'n')} AS lt20_r
 s AS (SELECT *, {_rest('male_ratio')} AS female_ratio,
              {_rest('lt20_ratio', 'ge30_ratio')} AS "20to30_ratio" FROM s1)"""
 
+_STAT = """'[{"title":"用户年龄占比","options":[{"name":"20岁以下","value":' || CAST(lt20_ratio AS VARCHAR)
+  || '},{"name":"20岁到30岁","value":' || CAST("20to30_ratio" AS VARCHAR)
+  || '},{"name":"30岁及30岁以上","value":' || CAST(ge30_ratio AS VARCHAR)
+  || '}]},{"title":"用户性别占比","options":[{"name":"男","value":' || CAST(male_ratio AS VARCHAR)
+  || '},{"name":"女","value":' || CAST(female_ratio AS VARCHAR) || '}]}]'"""
+
 _MONEY = "CAST(sum(CAST({c} AS DECIMAL(18,2))) AS DOUBLE)"
 
 PURCHASES = """p AS (
@@ -107,6 +113,14 @@ LEFT JOIN {h} t ON t.d = s.d AND t.hour = s.hour
 LEFT JOIN {h} y ON y.d = strftime(CAST(s.d AS DATE) - INTERVAL 1 DAY, '%Y-%m-%d') AND y.hour = s.hour"""
 
 
+def _compare_after(h: str, date_col: str, zero: str) -> str:
+    """The day after the last one with data."""
+    return f"""day AS (SELECT strftime(CAST(max(d) AS DATE) + INTERVAL 1 DAY, '%Y-%m-%d') AS d, max(d) AS before FROM {h}),
+spine AS (SELECT d, before, lpad(CAST(x AS VARCHAR), 2, '0') AS hour FROM (SELECT d, before, unnest(range(0, 24)) AS x FROM day))
+SELECT s.d AS {date_col}, s.hour, {zero} AS today, COALESCE(y.v, {zero}) AS yesterday
+FROM spine s LEFT JOIN {h} y ON y.d = s.before AND y.hour = s.hour"""
+
+
 _W_MS = 6 * 3600 * 1000
 _S_MS = 3600 * 1000
 _K = _W_MS // _S_MS
@@ -257,12 +271,10 @@ SELECT * FROM hits ORDER BY dt, doc_id LIMIT {q.PAGE_SIZE} OFFSET {(q.PAGE_NO -
     "match_any": f"WITH {SALE_CTES}, {HITS_ANY} SELECT doc_id, sku_name FROM hits",
 
     "sale_by_age": f"""WITH {SALE_CTES}, {HITS_ALL}
-SELECT user_age, count(*) AS doc_count FROM hits WHERE user_age IS NOT NULL GROUP BY 1
-ORDER BY doc_count DESC, user_age LIMIT 1000""",
+SELECT user_age, count(*) AS doc_count FROM hits WHERE user_age IS NOT NULL GROUP BY 1""",
 
     "sale_by_gender": f"""WITH {SALE_CTES}, {HITS_ALL}
-SELECT user_gender, count(*) AS doc_count FROM hits WHERE user_gender IS NOT NULL GROUP BY 1
-ORDER BY doc_count DESC, user_gender LIMIT 3""",
+SELECT user_gender, count(*) AS doc_count FROM hits WHERE user_gender IS NOT NULL GROUP BY 1""",
 
     "gender_ratio": f"WITH {SALE_CTES}, {HITS_ALL}, {SHARES} SELECT male_ratio, female_ratio FROM s",
 
@@ -272,11 +284,7 @@ ORDER BY doc_count DESC, user_gender LIMIT 3""",
 
     "sale_stat_json": f"""WITH {SALE_CTES}, {HITS_ALL}, {SHARES}
 SELECT n AS total,
-  '[{{"title":"用户年龄占比","options":[{{"name":"20岁以下","value":' || CAST(lt20_ratio AS VARCHAR)
-  || '}},{{"name":"20岁到30岁","value":' || CAST("20to30_ratio" AS VARCHAR)
-  || '}},{{"name":"30岁及30岁以上","value":' || CAST(ge30_ratio AS VARCHAR)
-  || '}}]}},{{"title":"用户性别占比","options":[{{"name":"男","value":' || CAST(male_ratio AS VARCHAR)
-  || '}},{{"name":"女","value":' || CAST(female_ratio AS VARCHAR) || '}}]}}]' AS stat
+  {_STAT} AS stat
 FROM s""",
 
     "kpi_total": f"""WITH {STARTUP}, {DAU}, {ORDER_INFO},
@@ -294,4 +302,61 @@ UNION ALL SELECT date, 'order_amount', '新增交易额', CAST(v AS DOUBLE) FROM
 SELECT mid, window_start, window_end, uids, item_ids, events, doc_id FROM (
   SELECT *, CAST(mid AS VARCHAR) || '-' || CAST(epoch_ms(window_end) // 60000 AS VARCHAR) AS doc_id FROM alerts)
 QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY window_end DESC, mid DESC, window_start DESC) = 1""",
+
+    "sale_search_date": f"""WITH {SALE_CTES}, {HITS_ANY} SELECT * FROM hits WHERE dt = '{q.SEARCH_DATE}'""",
+
+    "sale_search_response": f"""WITH {SALE_CTES}, {HITS_ANY},
+all_hits AS (SELECT * FROM hits WHERE dt = '{q.SEARCH_DATE}'), {SHARES.replace('FROM hits)', 'FROM all_hits)')},
+shown AS (SELECT doc_id FROM all_hits ORDER BY dt, doc_id LIMIT {q.PAGE_SIZE})
+SELECT n AS total, {_STAT} AS stat,
+       (SELECT coalesce(string_agg(doc_id, ',' ORDER BY doc_id), '') FROM shown) AS detail
+FROM s""",
+
+    "sale_top_ages": f"""WITH {SALE_CTES}, {HITS_ALL},
+t AS (SELECT user_age, count(*) AS doc_count FROM hits WHERE user_age IS NOT NULL GROUP BY 1),
+top AS (SELECT * FROM t ORDER BY doc_count DESC, user_age LIMIT {q.TOP_TERMS})
+SELECT user_age, doc_count,
+       CAST((SELECT sum(doc_count) FROM t) - (SELECT sum(doc_count) FROM top) AS BIGINT) AS other_docs FROM top""",
+
+    "kpi_for_date": f"""WITH {STARTUP}, {DAU}, {ORDER_INFO},
+dates(date) AS (VALUES ('{q.DATE}'), ('{q.EMPTY_DATE}'), ('{q.ORDER_DATE}'))
+SELECT date, 'dau' AS id, '新增日活' AS name,
+       CAST((SELECT count(*) FROM dau WHERE logDate = date) AS DOUBLE) AS value FROM dates
+UNION ALL SELECT date, 'new_mid', '新增设备',
+       CAST((SELECT count(*) FROM (SELECT mid, min(logDate) AS d FROM dau GROUP BY mid) WHERE d = date) AS DOUBLE) FROM dates
+UNION ALL SELECT date, 'order_amount', '新增交易额',
+       (SELECT {_MONEY.format(c='total_amount')} FROM oi WHERE split_part(create_time, ' ', 1) = date) FROM dates""",
+
+    "dau_total_date": f"""WITH {STARTUP}, {DAU}, dates(d) AS (VALUES ('{q.DATE}'), ('{q.EMPTY_DATE}'))
+SELECT d AS logDate, (SELECT count(*) FROM dau WHERE logDate = d) AS dau FROM dates""",
+
+    "gmv_total_date": f"""WITH {ORDER_INFO}, dates(d) AS (VALUES ('{q.ORDER_DATE}'), ('{q.EMPTY_DATE}'))
+SELECT d AS create_date, (SELECT {_MONEY.format(c='total_amount')} FROM oi WHERE split_part(create_time, ' ', 1) = d)
+       AS sum_amount FROM dates""",
+
+    "dau_hour_map": f"""WITH {STARTUP}, {DAU},
+h AS (SELECT logDate, logHour, count(*) AS n FROM dau WHERE logDate = '{q.DATE}' GROUP BY 1, 2)
+SELECT logDate, '{{' || string_agg('"' || logHour || '":' || CAST(n AS VARCHAR), ',' ORDER BY logHour) || '}}' AS hours
+FROM h GROUP BY 1""",
+
+    "dau_hours_compare_date": f"""WITH {STARTUP}, {DAU},
+h AS (SELECT logDate AS d, logHour AS hour, count(*) AS v FROM dau GROUP BY 1, 2),
+{_compare_after('h', 'logDate', '0')}""",
+
+    "gmv_hours_compare_date": f"""WITH {PURCHASES},
+h AS (SELECT create_date AS d, create_hour AS hour, sum_amount AS v FROM ph),
+{_compare_after('h', 'create_date', '0.0::DOUBLE')}""",
+
+    "log_route_full": """
+SELECT event_id AS log_id, CASE WHEN event_type = 'signup' THEN 'TOPIC_START' ELSE 'TOPIC_EVENT' END AS topic,
+       '{' || CASE event_type WHEN 'signup' THEN ''
+              ELSE '"evid":"' || CASE event_type WHEN 'purchase' THEN 'coupon' WHEN 'click' THEN 'clickItem'
+                                 ELSE event_type END || '",' END
+       || '"mid":"' || user_id || '","type":"' || CASE WHEN event_type = 'signup' THEN 'startup' ELSE 'event' END
+       || '","uid":"' || user_id || '","ts":' || (epoch_us(ts) // 1000) || '}' AS value
+FROM events""",
+
+    "gmv_upsert_total": f"""WITH {ORDER_INFO}
+SELECT split_part(create_time, ' ', 1) AS create_date, {_MONEY.format(c='total_amount')} AS sum_amount
+FROM oi GROUP BY 1""",
 }

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from martlens.functions.text import mask_phone
 from martlens.functions.time import epoch_ms, with_create_date_hour, with_log_date_hour
 from martlens.operators import alerts, dau, gmv, kpi, sale_detail, search, upsert, users
+from martlens.operators.keyed import last_per_key
 from martlens.sources import cdc, logs, tables
 
 # Request parameters of the registered queries.
@@ -22,6 +23,10 @@ AS_OF = "2024-02-01"          # reference date for user ages
 KEYWORD_ALL = "small ring"    # AND search
 KEYWORD_ANY = "blue gear"     # OR search
 PAGE_NO, PAGE_SIZE = 2, 20
+SEARCH_DATE = "1996-03-13"    # date term of the one-date search
+TOP_TERMS = 5                 # buckets of the top-N terms request
+DATE, EMPTY_DATE = "2024-01-15", "2031-05-05"   # one-date requests: a day with data and one without
+ORDER_DATE = "1996-03-13"
 ALERT_WINDOW, ALERT_SLIDE = "6 hours", "1 hour"
 INTERVAL_LOWER, INTERVAL_UPPER = "-30 days", "30 days"
 BATCH_SPLIT_HOUR = "12"       # dau_incremental: morning batch is stored, afternoon batch arrives
@@ -87,7 +92,7 @@ def cdc_route(spark, sf):
 
 
 def log_route(spark, sf):
-    return logs.ingest_events_table(_t(spark, sf, "events"))
+    return logs.ingest_events_table(_t(spark, sf, "events")).drop("value")
 
 
 def dau_first(spark, sf):
@@ -143,7 +148,7 @@ def sale_detail_q(spark, sf):
 def full_outer(spark, sf):
     rows = sale_detail.join_orders_lines(
         tables.order_info(_t(spark, sf, "orders")),
-        tables.order_detail(_t(spark, sf, "lineitem"), _t(spark, sf, "part")), "full_outer")
+        tables.order_detail(_t(spark, sf, "lineitem")), "full_outer")
     return rows.select("order_id", "order_detail_id", "dt", "sku_id")
 
 
@@ -186,32 +191,51 @@ def upsert_latest(spark, sf):
                                 ("batch", "l_shipdate", "l_partkey", "l_suppkey"))
 
 
-def _hits(spark, sf, keyword=KEYWORD_ALL, operator="and"):
-    return search.search(_sale_detail(spark, sf), keyword=keyword, operator=operator)
+def _hits(spark, sf, keyword=KEYWORD_ALL, operator="and", date=None, with_users=True):
+    return search.sale_hits(
+        tables.order_info(_t(spark, sf, "orders")),
+        tables.order_detail(_t(spark, sf, "lineitem"), _t(spark, sf, "part")),
+        tables.user_info(_t(spark, sf, "customer")) if with_users else None, AS_OF, keyword, operator, date)
 
 
 def sale_search_total(spark, sf):
-    return search.total(_hits(spark, sf))
+    return search.total(_hits(spark, sf, with_users=False))
 
 
 def sale_search_hits(spark, sf):
     return _hits(spark, sf)
 
 
+def sale_search_date(spark, sf):
+    return _hits(spark, sf, KEYWORD_ANY, "or", SEARCH_DATE)
+
+
 def sale_search_page(spark, sf):
     return search.page(_hits(spark, sf), PAGE_NO, PAGE_SIZE, ["dt", "doc_id"])
 
 
+def sale_search_response(spark, sf):
+    """The endpoint's answer for one date as one row: total, page and pies."""
+    parts = search.sale_detail_response(
+        _hits(spark, sf, KEYWORD_ANY, "or", SEARCH_DATE), None, 1, PAGE_SIZE, None)
+    detail = parts["detail"].agg(F.array_join(F.array_sort(F.collect_list("doc_id")), ",").alias("detail"))
+    return parts["stat"].withColumn("detail", detail.scalar())
+
+
 def match_any(spark, sf):
-    return _hits(spark, sf, KEYWORD_ANY, "or").select("doc_id", "sku_name")
+    return _hits(spark, sf, KEYWORD_ANY, "or", with_users=False).select("doc_id", "sku_name")
 
 
 def sale_by_age(spark, sf):
-    return search.terms(_hits(spark, sf), "user_age", search.AGE_BUCKETS)
+    return search.terms(_hits(spark, sf), "user_age")
 
 
 def sale_by_gender(spark, sf):
-    return search.terms(_hits(spark, sf), "user_gender", search.GENDER_BUCKETS)
+    return search.terms(_hits(spark, sf), "user_gender")
+
+
+def sale_top_ages(spark, sf):
+    return search.top_terms(_hits(spark, sf), "user_age", TOP_TERMS)
 
 
 def gender_ratio(spark, sf):
@@ -231,8 +255,60 @@ def sale_stat_json(spark, sf):
 
 
 def kpi_total(spark, sf):
+    devices = dau.daily_devices(_startup(spark, sf))
+    return kpi.kpi_total(devices, devices, gmv.gmv_total(_orders(spark, sf)))
+
+
+def kpi_for_date(spark, sf):
+    d, o = _dau(spark, sf), _orders(spark, sf)
+    out = kpi.kpi_for_date(d, o, DATE)
+    for date in (EMPTY_DATE, ORDER_DATE):
+        out = out.unionByName(kpi.kpi_for_date(d, o, date))
+    return out
+
+
+def dau_total_date(spark, sf):
     d = _dau(spark, sf)
-    return kpi.kpi_total(dau.dau_total(d), dau.new_devices(d), gmv.gmv_total(_orders(spark, sf)))
+    return dau.dau_total(d, DATE).unionByName(dau.dau_total(d, EMPTY_DATE))
+
+
+def gmv_total_date(spark, sf):
+    o = _orders(spark, sf)
+    return gmv.gmv_total(o, ORDER_DATE).unionByName(gmv.gmv_total(o, EMPTY_DATE))
+
+
+def dau_hour_map(spark, sf):
+    """The hourly endpoint's map for one date, as its JSON."""
+    hours = dau.dau_hours(_dau(spark, sf), DATE)
+    return dau.hour_map(hours, "dau", "logDate", "logHour").select("logDate", F.to_json("hours").alias("hours"))
+
+
+def _day_after(hourly, date_col):
+    """The day after the last one with data (one row to the driver)."""
+    last = hourly.agg(F.date_format(F.date_add(F.max(F.to_date(date_col)), 1), "yyyy-MM-dd").alias("d")).first()["d"]
+    return last or EMPTY_DATE
+
+
+def dau_hours_compare_date(spark, sf):
+    hourly = dau.dau_hours(_dau(spark, sf))
+    return dau.hours_compare(hourly, "dau", "logDate", "logHour", zero=0, date=_day_after(hourly, "logDate"))
+
+
+def gmv_hours_compare_date(spark, sf):
+    hourly = gmv.gmv_hours(_purchase_orders(spark, sf))
+    return dau.hours_compare(hourly, "sum_amount", "create_date", "create_hour", zero=0.0,
+                             date=_day_after(hourly, "create_date"))
+
+
+def log_route_full(spark, sf):
+    return logs.ingest_events_table(_t(spark, sf, "events")).select("log_id", "topic", "value")
+
+
+def gmv_upsert_total(spark, sf):
+    """Orders of which the finished ones were delivered twice."""
+    o = _orders(spark, sf)
+    delivered = o.unionByName(o.filter(F.col("order_status") == "F"))
+    return gmv.gmv_total(last_per_key(delivered, ["id"], ["create_time"]))
 
 
 def _alerts(spark, sf):
@@ -285,4 +361,15 @@ QUERIES: dict[str, Query] = {
     "coupon_alert": coupon_alert,
     "coupon_alert_minute": coupon_alert_minute,
     "sale_stat_json": sale_stat_json,
+    "sale_search_date": sale_search_date,
+    "sale_search_response": sale_search_response,
+    "sale_top_ages": sale_top_ages,
+    "kpi_for_date": kpi_for_date,
+    "dau_total_date": dau_total_date,
+    "gmv_total_date": gmv_total_date,
+    "dau_hour_map": dau_hour_map,
+    "dau_hours_compare_date": dau_hours_compare_date,
+    "gmv_hours_compare_date": gmv_hours_compare_date,
+    "log_route_full": log_route_full,
+    "gmv_upsert_total": gmv_upsert_total,
 }

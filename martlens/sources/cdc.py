@@ -62,12 +62,15 @@ def change_log(orders: DataFrame, lineitem: DataFrame, customer: DataFrame, part
     * each order also opens a transaction: a TRANSACTIONBEGIN entry.
     Columns: entry_type, table_name, op, key, after.
     """
-    def entries(df: DataFrame, table: str, op: str, key: F.Column, image: F.Column,
-                entry_type: str = ROWDATA) -> DataFrame:
-        # one union branch per (table, op): routing filters fold to constants
-        # per branch, so Catalyst drops the unrouted branches before any work
-        return df.select(F.lit(entry_type).alias("entry_type"), F.lit(table).alias("table_name"),
-                         F.lit(op).alias("op"), key.alias("key"), image.alias("after"))
+    def entries(df: DataFrame, *rows: F.Column) -> DataFrame:
+        """The change entries of each row of a table, as data of one array."""
+        return df.select(F.explode(F.array(*rows)).alias("e")).select("e.*").filter(F.col("table_name").isNotNull())
+
+    def entry(table: str, op: str, key: F.Column, image: F.Column, when: F.Column | None = None,
+              entry_type: str = ROWDATA) -> F.Column:
+        named = F.lit(table) if when is None else F.when(when, F.lit(table))
+        return F.struct(F.lit(entry_type).alias("entry_type"), named.alias("table_name"), F.lit(op).alias("op"),
+                        key.alias("key"), image.alias("after"))
 
     oimg = _image(("id", F.col("o_orderkey")), ("user_id", F.col("o_custkey")),
                   ("order_status", F.col("o_orderstatus")), ("total_amount", _money("o_totalprice")),
@@ -78,17 +81,14 @@ def change_log(orders: DataFrame, lineitem: DataFrame, customer: DataFrame, part
                   ("order_price", _money("l_extendedprice")), ("sku_num", F.col("l_quantity").cast("int")))
     ckey = F.col("c_custkey").cast("string")
     cimg = _image(("id", F.col("c_custkey")), ("login_name", F.col("c_name")), ("user_level", F.col("c_mktsegment")))
-    branches = [
-        entries(orders, "order_info", "INSERT", okey, oimg),
-        entries(orders.filter(F.col("o_orderstatus") == "F"), "order_info", "UPDATE", okey, oimg),
-        entries(orders, "order_info", "INSERT", okey, F.create_map().cast("map<string,string>"), "TRANSACTIONBEGIN"),
-        entries(lineitem, "order_detail", "INSERT", lkey, limg),
-        entries(customer, "user_info", "INSERT", ckey, cimg),
-        entries(customer.filter(F.col("c_acctbal") < 0), "user_info", "UPDATE", ckey, cimg),
-        entries(part, "sku_info", "INSERT", F.col("p_partkey").cast("string"),
-                _image(("id", F.col("p_partkey")), ("sku_name", F.col("p_name")))),
-    ]
-    out = branches[0]
-    for b in branches[1:]:
-        out = out.unionByName(b)
-    return out
+    nothing = F.create_map().cast("map<string,string>")
+    return entries(orders,
+                   entry("order_info", "INSERT", okey, oimg),
+                   entry("order_info", "UPDATE", okey, oimg, F.col("o_orderstatus") == "F"),
+                   entry("order_info", "INSERT", okey, nothing, entry_type="TRANSACTIONBEGIN")
+                   ).unionByName(entries(lineitem, entry("order_detail", "INSERT", lkey, limg))
+                   ).unionByName(entries(customer,
+                                         entry("user_info", "INSERT", ckey, cimg),
+                                         entry("user_info", "UPDATE", ckey, cimg, F.col("c_acctbal") < 0))
+                   ).unionByName(entries(part, entry("sku_info", "INSERT", F.col("p_partkey").cast("string"),
+                                                     _image(("id", F.col("p_partkey")), ("sku_name", F.col("p_name"))))))

@@ -17,6 +17,7 @@ from martlens.sources.tables import STARTUP_EVENT_TYPE, evid_of
 # Topic names.
 TOPIC_STARTUP = "TOPIC_START"
 TOPIC_EVENT = "TOPIC_EVENT"
+TOPIC_REJECT = "TOPIC_REJECT"       # ours: lines that are no JSON object
 TOPIC_ORDER_INFO = "TOPIC_ORDER_INFO"
 TOPIC_ORDER_DETAIL = "TOPIC_ORDER_DETAIL"
 TOPIC_USER_INFO = "TOPIC_USER_INFO"
@@ -51,24 +52,30 @@ def route_topic(log_type: Column) -> Column:
 
 
 def ingest(lines: DataFrame, server_ts: Column | None = None) -> DataFrame:
-    """Parse ``value``, set ``ts`` to the server time (epoch ms) and route.
+    """Stamp every log line with the server time (epoch ms) and route it.
 
     ``server_ts`` defaults to the ingest time; pass a column to replay history.
-    Adds: log (parsed struct with the stamped ts), topic, value (re-serialised).
-    The line is parsed once; the stamped record is rebuilt from field
-    references so the parser is not repeated per field.
+    Adds: log (the known fields), topic, value (the whole object with all its
+    fields and types as they came, keys in order, then ``ts``). A line that
+    is no JSON object keeps its text and goes to TOPIC_REJECT.
     """
     ts = server_ts if server_ts is not None else F.unix_millis(F.current_timestamp())
-    parsed = lines.withColumn("_raw", F.from_json(F.col("value"), LOG_SCHEMA))
-    log = F.struct(*[F.col("_raw").getField(f).alias(f) for f in LOG_FIELDS], ts.alias("ts"))
-    return (parsed.withColumn("log", log).drop("_raw")
-                  .withColumn("topic", route_topic(F.col("log.type")))
-                  .withColumn("value", F.to_json(F.col("log"))))
+    fields = F.expr("try_cast(try_parse_json(value) AS map<string, variant>)")
+    parsed = lines.withColumn("_fields", fields).withColumn("_raw", F.from_json(F.col("value"), LOG_SCHEMA)) \
+        .withColumn("_ts", ts.cast("long"))
+    stamped = F.to_json(F.map_concat(F.map_filter("_fields", lambda k, _: k != "ts"),
+                                     F.expr("map('ts', CAST(_ts AS variant))")))
+    good = F.col("_fields").isNotNull()
+    log = F.struct(*[F.col("_raw").getField(f).alias(f) for f in LOG_FIELDS], F.col("_ts").alias("ts"))
+    return (parsed.withColumn("log", F.when(good, log))
+                  .withColumn("topic", F.when(good, route_topic(F.col("_raw.type"))).otherwise(F.lit(TOPIC_REJECT)))
+                  .withColumn("value", F.when(good, stamped).otherwise(F.col("value")))
+                  .drop("_raw", "_fields", "_ts"))
 
 
 def ingest_events_table(events: DataFrame) -> DataFrame:
     """Replay ``events`` through the ingest path with the row's own time as the
-    server stamp. Columns: log_id, topic, type, mid, ts."""
+    server stamp. Columns: log_id, topic, type, mid, ts, value."""
     stamped = ingest(log_lines(events), server_ts=epoch_ms("arrived_at"))
     return stamped.select("log_id", "topic", F.col("log.type").alias("type"),
-                          F.col("log.mid").alias("mid"), F.col("log.ts").alias("ts"))
+                          F.col("log.mid").alias("mid"), F.col("log.ts").alias("ts"), "value")

@@ -79,22 +79,16 @@ def phone_of(custkey: F.Column) -> F.Column:
     return F.concat(F.lit("1"), F.lpad(custkey.cast("string"), 10, "0"))
 
 
-def order_info(orders: DataFrame, customer: DataFrame | None = None) -> DataFrame:
-    """Order records; ``province_id`` needs ``customer`` (its nation key)."""
-    base = orders.select(
+def order_info(orders: DataFrame) -> DataFrame:
+    """Order records."""
+    return orders.select(
         F.col("o_orderkey").alias("id"),
         F.col("o_custkey").alias("user_id"),
         F.col("o_orderstatus").alias("order_status"),
         F.col("o_totalprice").alias("total_amount"),
         F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("create_time"),
         phone_of(F.col("o_custkey")).alias("consignee_tel"),
-        F.col("o_custkey").alias("_custkey"),
     )
-    if customer is None:
-        return base.drop("_custkey")
-    prov = customer.select(F.col("c_custkey").alias("_custkey"),
-                           F.col("c_nationkey").cast("string").alias("province_id"))
-    return base.join(prov, "_custkey", "left").drop("_custkey")
 
 
 def line_id() -> F.Column:
@@ -107,14 +101,18 @@ def line_id() -> F.Column:
                        yyyymmdd.cast("string"))
 
 
-def order_detail(lineitem: DataFrame, part: DataFrame) -> DataFrame:
-    """Order lines with the product name; order and sku ids stay bigint and
-    the price is money (decimal(18,2)), not the text it travels as."""
-    names = part.select(F.col("p_partkey").alias("l_partkey"), F.col("p_name").alias("sku_name"))
-    return lineitem.join(names, "l_partkey", "left").select(
+def order_detail(lineitem: DataFrame, part: DataFrame | None = None) -> DataFrame:
+    """Order lines, with the product name where ``part`` is given; order and
+    sku ids stay bigint and the price is money (decimal(18,2)), not the text
+    it travels as."""
+    rows, name = lineitem, []
+    if part is not None:
+        names = part.select(F.col("p_partkey").alias("l_partkey"), F.col("p_name").alias("sku_name"))
+        rows, name = lineitem.join(names, "l_partkey", "left"), ["sku_name"]
+    return rows.select(
         line_id().alias("id"),
         F.col("l_orderkey").alias("order_id"),
-        "sku_name",
+        *name,
         F.col("l_partkey").alias("sku_id"),
         F.col("l_extendedprice").cast("decimal(18,2)").alias("order_price"),
         F.col("l_quantity").cast("int").cast("string").alias("sku_num"),

@@ -53,6 +53,23 @@ def test_hours_compare_fills_the_24_hour_spine(spark):
     assert got["05"] == (3, 7) and got["23"] == (0, 1) and got["00"] == (0, 0)
 
 
+def test_hours_compare_of_a_date_without_rows(spark):
+    hourly = spark.createDataFrame([("2024-01-01", "05", 7), ("2024-01-01", "23", 1)],
+                                   "logDate string, logHour string, dau long")
+    after = {r.hour: (r.logDate, r.today, r.yesterday) for r in
+             dau.hours_compare(hourly, "dau", "logDate", "logHour", zero=0, date="2024-01-02").collect()}
+    assert len(after) == 24 and after["05"] == ("2024-01-02", 0, 7) and after["00"] == ("2024-01-02", 0, 0)
+    empty = dau.hours_compare(hourly, "dau", "logDate", "logHour", zero=0, date="2031-01-01").collect()
+    assert len(empty) == 24 and all((r.today, r.yesterday) == (0, 0) for r in empty)
+
+
+def test_daily_devices_agree_with_the_separate_counts(spark):
+    logs = spark.createDataFrame([("m1", "u", "s", D1, 1), ("m1", "u", "s", D1 + 24 * H, 2), ("m1", "u", "s", D1 + H, 2),
+                                  ("m2", "u", "s", D1 + 24 * H, 3)], LOG)
+    first = dau.dau_first(logs)
+    assert rows(dau.daily_devices(first)) == [("2024-01-01", 1, 1), ("2024-01-02", 2, 1)]
+
+
 def test_new_devices_counts_first_ever_day(spark):
     logs = spark.createDataFrame([("m1", "u", "s", D1, 1), ("m1", "u", "s", D1 + 24 * H, 2),
                                   ("m2", "u", "s", D1 + 24 * H, 3)], LOG)

@@ -62,7 +62,7 @@ def test_shares_terms_and_stat_json(spark):
     hits = search.search(_index(spark), "small ring")   # a(19,M) c(30,None) d(29,M)
     assert rows(search.gender_ratio(hits)) == [(66.7, 33.3)]   # null gender counts as female
     assert rows(search.age_ratio(hits)) == [(33.3, 33.4, 33.3)]
-    assert rows(search.terms(hits, "user_gender", 3)) == [("M", 2)]
+    assert rows(search.terms(hits, "user_gender")) == [("M", 2)]
     stat = json.loads(search.stat_json(hits).first().stat)
     assert [s["title"] for s in stat] == ["用户年龄占比", "用户性别占比"]
     assert stat[1]["options"] == [{"name": "男", "value": 66.7}, {"name": "女", "value": 33.3}]
