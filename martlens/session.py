@@ -53,6 +53,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     existing = sc.getCheckpointDir()
     if existing:
         return existing
+    if not sc.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     local = tempfile.mkdtemp(prefix="martlens-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local

@@ -11,12 +11,17 @@ independent checkpoints, so no two apps share a consumer position.
 from __future__ import annotations
 
 import argparse
+import datetime as dt
+import zoneinfo
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from martlens.sources import logs as topics
+from martlens.sources.jdbc import users_from_jdbc
 from martlens.streaming import jobs
+from martlens.streaming.sinks import TopicSink, kafka_sink
 from martlens.streaming.sources import kafka_stream
 
 Source = Callable[[str], DataFrame]
@@ -30,54 +35,78 @@ def _ck(root: str, app: str) -> str:
     return f"{root.rstrip('/')}/_checkpoints/{app}"
 
 
-def dau_app(spark, source: Source, root: str, trigger=None):
-    return jobs.dau_job(source(topics.TOPIC_STARTUP), f"{root}/dau", _ck(root, "dau"), trigger)
+def dau_app(spark, source: Source, root: str, trigger=None, tz: str = "UTC"):
+    return jobs.dau_job(source(topics.TOPIC_STARTUP), f"{root}/dau", _ck(root, "dau"), trigger, tz)
 
 
-def gmv_app(spark, source: Source, root: str, trigger=None):
+def gmv_app(spark, source: Source, root: str, trigger=None, **_):
     return jobs.gmv_job(source(topics.TOPIC_ORDER_INFO), f"{root}/order_info", _ck(root, "gmv"), trigger)
 
 
 def alert_app(spark, source: Source, root: str, window="5 minutes", slide="5 seconds", delay="1 minute",
-              trigger=None):
+              trigger=None, **_):
     return jobs.alert_job(source(topics.TOPIC_EVENT), f"{root}/coupon_alert", _ck(root, "alert"),
                           window, slide, delay, trigger)
 
 
-def user_app(spark, source: Source, root: str, trigger=None):
+def user_app(spark, source: Source, root: str, trigger=None, **_):
     return jobs.user_info_job(source(topics.TOPIC_USER_INFO), f"{root}/user_info", _ck(root, "user"), trigger)
 
 
-def sale_detail_app(spark, source: Source, root: str, as_of: str, bound="100 seconds", trigger=None):
-    """Users come from the user app's store, re-read by every micro-batch."""
-    def users():
-        return jobs.read_store(spark, f"{root}/user_info", "id", version=("updated_at",))
-    return jobs.sale_detail_job(source(topics.TOPIC_ORDER_INFO), source(topics.TOPIC_ORDER_DETAIL), users, as_of,
-                                f"{root}/sale_detail", _ck(root, "sale_detail"), bound, trigger)
+def today(tz: str = "UTC") -> Callable[[], str]:
+    """The date in ``tz``, asked anew for every batch."""
+    return lambda: dt.datetime.now(zoneinfo.ZoneInfo(tz)).date().isoformat()
 
 
-def log_app(spark, source: Source, root: str, trigger=None, raw_topic: str = "TOPIC_LOG_RAW"):
-    return jobs.log_ingest_job(source(raw_topic), f"{root}/logs", _ck(root, "logs"), trigger)
+def sale_detail_app(spark, source: Source, root: str, as_of: str | Callable[[], str] | None = None,
+                    bound="100 seconds", trigger=None, tz: str = "UTC",
+                    fallback: Callable[[DataFrame], DataFrame] | None = None):
+    """Users come from the user app's store, looked up per batch, then from ``fallback``."""
+    users = jobs.user_lookup(spark, f"{root}/user_info", fallback)
+    return jobs.sale_detail_job(source(topics.TOPIC_ORDER_INFO), source(topics.TOPIC_ORDER_DETAIL), users,
+                                as_of or today(tz), f"{root}/sale_detail", _ck(root, "sale_detail"), bound, trigger)
 
 
-APPS = {"dau": dau_app, "gmv": gmv_app, "alert": alert_app, "user": user_app, "log": log_app}
+def log_app(spark, source: Source, root: str, sink: TopicSink, trigger=None, raw_topic: str = "TOPIC_LOG_RAW"):
+    """Raw lines archived whole by day, and published to their topics."""
+    return [jobs.log_ingest_job(source(raw_topic), f"{root}/logs", _ck(root, "logs"), trigger),
+            jobs.log_publish_job(source(raw_topic), sink, _ck(root, "log_publish"), trigger)]
+
+
+def cdc_app(spark, changes: DataFrame, root: str, sink: TopicSink, trigger=None):
+    """Change envelopes (see ``martlens.sources.cdc``) published to their topics."""
+    return jobs.cdc_job(changes, sink, _ck(root, "cdc"), trigger)
+
+
+APPS = {"dau": dau_app, "gmv": gmv_app, "alert": alert_app, "user": user_app, "sale_detail": sale_detail_app}
+CHANGE = "entry_type string, table_name string, op string, key string, after map<string,string>"
 
 
 def main(argv: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(description=__doc__.splitlines()[0])
-    p.add_argument("app", choices=sorted(APPS) + ["sale_detail"])
+    p.add_argument("app", choices=[*sorted(APPS), "log", "cdc"])
     p.add_argument("--servers", required=True)
     p.add_argument("--root", required=True, help="shared storage root for tables and checkpoints")
-    p.add_argument("--as-of", default=None, help="reference date for user ages (sale_detail)")
+    p.add_argument("--tz", default="UTC", help="zone in which days and hours are counted")
+    p.add_argument("--as-of", default=None, help="fixed reference date for user ages (default: the current date)")
+    p.add_argument("--users-jdbc", default=None, help="JDBC url of the user table of record (sale_detail)")
     a = p.parse_args(argv)
     spark = SparkSession.builder.appName(f"martlens-{a.app}").getOrCreate()
-    src = kafka_sources(spark, a.servers)
-    if a.app == "sale_detail":
-        import datetime as dt
-        q = sale_detail_app(spark, src, a.root, a.as_of or dt.date.today().isoformat())
+    src, sink = kafka_sources(spark, a.servers), kafka_sink(a.servers)
+    if a.app == "log":
+        log_app(spark, src, a.root, sink)
+    elif a.app == "cdc":
+        rows = src("TOPIC_CHANGES").select(F.from_json("value", CHANGE).alias("c")).select("c.*")
+        cdc_app(spark, rows, a.root, sink)
+    elif a.app == "sale_detail":
+        fallback = None
+        if a.users_jdbc:
+            def fallback(ids: DataFrame) -> DataFrame:
+                return users_from_jdbc(spark, a.users_jdbc, {}).join(ids, "id", "left_semi")
+        sale_detail_app(spark, src, a.root, a.as_of, tz=a.tz, fallback=fallback)
     else:
-        q = APPS[a.app](spark, src, a.root)
-    q.awaitTermination()
+        APPS[a.app](spark, src, a.root, tz=a.tz)
+    spark.streams.awaitAnyTermination()
 
 
 if __name__ == "__main__":

@@ -10,11 +10,12 @@ default to the reference's 5-second micro-batches; tests pass
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from martlens.functions.time import from_epoch_ms, with_log_date_hour
 from martlens.operators import alerts as alert_ops
@@ -25,12 +26,18 @@ from martlens.operators.sale_detail import enrich_users
 from martlens.schemas import EVENT_LOG, ORDER_DETAIL, ORDER_INFO, STARTUP_LOG, USER_INFO
 from martlens.sources.cdc import route_changes
 from martlens.sources.logs import ingest
-from martlens.streaming.sinks import BATCH_COL, KeyedStore
+from martlens.streaming.sinks import BATCH_COL, KeyedStore, TopicSink, folder_sink
 from martlens.streaming.sources import parse_json
 
 DEFAULT_TRIGGER = {"processingTime": "5 seconds"}
-# Partition list of one micro-batch used for pruning; above it, no pruning.
-MAX_PRUNED_DAYS = 1000
+
+
+def _ddl(schema: T.StructType) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+
+
+GMV_SCHEMA = f"{_ddl(ORDER_INFO)}, create_date string, create_hour string"
+USER_SCHEMA = f"{_ddl(USER_INFO)}, updated_at timestamp"
 
 
 def _start(writer, checkpoint: str, trigger: dict | None):
@@ -39,31 +46,38 @@ def _start(writer, checkpoint: str, trigger: dict | None):
 
 # --- DAU -------------------------------------------------------------------
 
-def dau_job(lines: DataFrame, store_root: str, checkpoint: str, trigger: dict | None = None, tz: str = "UTC"):
+def dau_job(lines: DataFrame, store_root: str, checkpoint: str, trigger: dict | None = None, tz: str = "UTC",
+            counts: Callable[[int, dict[str, int]], None] | None = None):
     """T3/T4 with the reference's rule: earliest log per device-day inside a
     batch, first batch overall. Each batch is anti-joined with the device-days
     stored by *earlier* batches (J5/J6, keyed on the log's own date), so a
     replayed batch recomputes the same rows and overwrites its own folder.
+
+    Lines without a device or a time (malformed ones too) are rejected before
+    any of that. ``counts`` gets, per batch, the rows read, left after the
+    in-batch step and new (K10/A15).
     """
-    store = KeyedStore(store_root, list(dau_ops.DEVICE_DAY), partition_by=("logDate",))
+    store = KeyedStore(store_root, list(dau_ops.DEVICE_DAY), partition_by=("logDate",), schema="mid string, logDate string")
     logs = with_log_date_hour(parse_json(lines, STARTUP_LOG).drop("ingest_time"), "ts", tz)
-    # Rows per batch, reported in the query progress (observedMetrics)
-    logs = logs.observe("dau_input", F.count(F.lit(1)).alias("rows"))
+    logs = logs.observe("dau_input", F.count(F.lit(1)).alias("rows"),
+                        F.count(F.when(F.col("mid").isNull() | F.col("logDate").isNull(), 1)).alias("rejected"))
+    logs = logs.filter(F.col("mid").isNotNull() & F.col("logDate").isNotNull())
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        batch.persist()  # T10: read twice below (its dates, then its rows)
+        batch.persist()  # T10: read twice below (its days, then its rows)
         try:
-            try:
-                seen = store.raw(spark).filter(F.col(BATCH_COL) < batch_id)
-            except AnalysisException:  # nothing stored yet
-                seen = spark.createDataFrame([], "mid string, logDate string")
-            # Only the batch's own days can match: prune the store to those
-            # logDate partitions so the per-batch cost does not grow with history.
-            days = [r[0] for r in batch.select("logDate").distinct().limit(MAX_PRUNED_DAYS + 1).collect()]
-            if len(days) <= MAX_PRUNED_DAYS:
-                seen = seen.filter(F.col("logDate").isin(days))
-            store.write_batch(dau_ops.dau_incremental(batch, seen, tz), batch_id)
+            # Only the batch's own days can match: a range of logDate prunes the
+            # store's partitions, so the cost per batch does not grow with history.
+            days = batch.agg(F.min("logDate").alias("lo"), F.max("logDate").alias("hi"), F.count(F.lit(1)).alias("n")).first()
+            seen = store.raw(spark).filter(F.col(BATCH_COL) < batch_id).filter(
+                F.col("logDate").between(days["lo"], days["hi"]))
+            firsts, new = Observation(), Observation()
+            rows = dau_ops.dau_first(batch, tz).observe(firsts, F.count(F.lit(1)).alias("rows"))
+            fresh = dau_ops.not_seen(rows, seen).observe(new, F.count(F.lit(1)).alias("rows"))
+            store.write_batch(fresh, batch_id)
+            if counts is not None:
+                counts(batch_id, {"read": days["n"], "in_batch": firsts.get["rows"], "new": new.get["rows"]})
         finally:
             batch.unpersist()
 
@@ -84,29 +98,48 @@ def dau_dedup_job(lines: DataFrame, out: str, checkpoint: str, delay: str = "1 d
 # --- log ingest and change routing ----------------------------------------
 
 def log_ingest_job(lines: DataFrame, out: str, checkpoint: str, trigger: dict | None = None):
-    """S3/F2/K9: stamp, route and archive log lines, one folder per topic and
-    day (``topic=.../dt=...``), as text. ``ingest_time`` is the server stamp."""
+    """S3/F2/K9: stamp, route and archive log lines whole, one folder per topic
+    and day (``topic=.../dt=...``), as text; lines that are no JSON object land
+    in the reject topic as they came. ``ingest_time`` is the server stamp."""
     routed = ingest(lines, server_ts=F.unix_millis(F.col("ingest_time")))
-    out_rows = routed.select("value", "topic", F.date_format(from_epoch_ms(F.col("log.ts")), "yyyy-MM-dd").alias("dt"))
-    w = out_rows.writeStream.format("text").partitionBy("topic", "dt").outputMode("append").option("path", out)
+    day = F.date_format(from_epoch_ms(F.unix_millis(F.col("ingest_time"))), "yyyy-MM-dd")
+    w = routed.select("value", "topic", day.alias("dt")).writeStream.format("text").partitionBy("topic", "dt") \
+        .outputMode("append").option("path", out)
     return _start(w, checkpoint, trigger)
 
 
-def cdc_job(changes: DataFrame, out: str, checkpoint: str, trigger: dict | None = None):
-    """Route a stream of change envelopes to per-topic JSON folders
-    (the Kafka sink ``martlens.streaming.sinks.to_kafka`` takes the same rows)."""
-    routed = route_changes(changes).select("topic", "value")
-    w = routed.writeStream.format("text").partitionBy("topic").outputMode("append").option("path", out)
-    return _start(w, checkpoint, trigger)
+def log_publish_job(lines: DataFrame, sink: TopicSink, checkpoint: str, trigger: dict | None = None):
+    """S3/F2/K1: the stamped lines published to their topics."""
+    routed = ingest(lines, server_ts=F.unix_millis(F.col("ingest_time")))
+    return _start(sink(routed.select("topic", "value")), checkpoint, trigger)
+
+
+def cdc_job(changes: DataFrame, sink: TopicSink | str, checkpoint: str, trigger: dict | None = None):
+    """A stream of change envelopes routed to its topics; a path
+    as ``sink`` means text folders per topic."""
+    sink = folder_sink(sink) if isinstance(sink, str) else sink
+    return _start(sink(route_changes(changes).select("topic", "value")), checkpoint, trigger)
 
 
 # --- GMV -------------------------------------------------------------------
 
+def gmv_store(root: str) -> KeyedStore:
+    """Orders by id (K2): a redelivered order replaces itself, so sums over
+    ``read`` count it once."""
+    return KeyedStore(root, "id", partition_by=("create_date",), schema=GMV_SCHEMA)
+
+
 def gmv_job(lines: DataFrame, out: str, checkpoint: str, trigger: dict | None = None):
-    """Orders parsed, dated (P3), phone masked (P4), stored by create_date."""
-    orders = prepare_orders(parse_json(lines, ORDER_INFO).drop("ingest_time"))
-    w = orders.writeStream.format("parquet").partitionBy("create_date").outputMode("append").option("path", out)
-    return _start(w, checkpoint, trigger)
+    """Orders parsed, dated (P3), phone masked (P4), upserted by id. Lines
+    without an id or a date are rejected."""
+    orders = prepare_orders(parse_json(lines, ORDER_INFO).drop("ingest_time")) \
+        .filter(F.col("id").isNotNull() & F.col("create_date").isNotNull())
+    store = gmv_store(out)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        store.write_batch(last_per_key(batch, ["id"], ["create_time"]), batch_id)
+
+    return _start(orders.writeStream.foreachBatch(write), checkpoint, trigger)
 
 
 # --- coupon alerts ---------------------------------------------------------
@@ -133,15 +166,16 @@ def alert_job(lines: DataFrame, store_root: str, checkpoint: str, window: str =
 # --- sale detail -----------------------------------------------------------
 
 def sale_detail_job(order_lines: DataFrame, detail_lines: DataFrame,
-                    users: DataFrame | Callable[[], DataFrame], as_of: str,
+                    users: DataFrame | Callable[[DataFrame], DataFrame], as_of: str | Callable[[], str],
                     store_root: str, checkpoint: str, bound: str = "100 seconds",
                     trigger: dict | None = None):
     """J1 as a stream-stream inner join on the order id with an arrival-time
     range of +-``bound`` on both watermarks (T5), so join state is dropped
     once a side can no longer match. The user dimension (J4) is joined per
-    micro-batch inside ``foreachBatch``: pass a callable (e.g. a
-    ``KeyedStore.read``) to re-read it every batch, so updates written after
-    the query started are seen (T6); a plain DataFrame is used as given.
+    micro-batch inside ``foreachBatch``: a callable gets the batch's user ids
+    (one column ``id``) and returns those users, so updates written after the
+    query started are seen (T6) and nobody else is read; a plain DataFrame is
+    used as given. A callable ``as_of`` is asked per batch, so ages move on.
     Output upserted by doc id (T7). Order lines carry no event time, so both
     sides use the ingest time."""
     o = (parse_json(order_lines, ORDER_INFO)
@@ -156,10 +190,11 @@ def sale_detail_job(order_lines: DataFrame, detail_lines: DataFrame,
                       d_time >= o_time - INTERVAL {bound} AND d_time <= o_time + INTERVAL {bound}""")
     joined = o.join(d, cond, "inner").drop("d_order_id", "o_time", "d_time")
     store = KeyedStore(store_root, "doc_id", partition_by=("dt",))
-    dimension = users if callable(users) else (lambda: users)
+    dimension = users if callable(users) else (lambda ids: users)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = enrich_users(batch, dimension(), as_of).withColumn(
+        ids = batch.select(F.col("user_id").alias("id")).filter(F.col("id").isNotNull()).distinct()
+        rows = enrich_users(batch, dimension(ids), as_of() if callable(as_of) else as_of).withColumn(
             "doc_id", F.concat_ws("_", F.col("order_id").cast("string"), "order_detail_id"))
         store.write_batch(rows, batch_id)
 
@@ -172,7 +207,8 @@ def user_info_job(lines: DataFrame, store_root: str, checkpoint: str, trigger: d
     """User records upserted by id, last arrival wins; ``updated_at``
     is kept so readers can apply the 24 h freshness rule (T6)."""
     users = parse_json(lines, USER_INFO).withColumnRenamed("ingest_time", "updated_at")
-    store = KeyedStore(store_root, "id", version=("updated_at",))
+    users = users.filter(F.col("id").isNotNull())
+    store = user_store(store_root)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         store.write_batch(last_per_key(batch, ["id"], ["updated_at"]), batch_id)
@@ -180,9 +216,40 @@ def user_info_job(lines: DataFrame, store_root: str, checkpoint: str, trigger: d
     return _start(users.writeStream.foreachBatch(write), checkpoint, trigger)
 
 
+def user_store(root: str) -> KeyedStore:
+    return KeyedStore(root, "id", version=("updated_at",), schema=USER_SCHEMA)
+
+
+def user_lookup(spark: SparkSession, root: str, fallback: Callable[[DataFrame], DataFrame] | None = None
+                ) -> Callable[[DataFrame], DataFrame]:
+    """J4 for a batch's user ids: their latest stored versions (the version
+    merge runs over those users only, after a semi join), and for ids the store
+    does not know, ``fallback`` (e.g. the relational table of record, read for
+    these ids); what it finds is written back beside the store for the next
+    batches. A store that does not exist yet is empty."""
+    store, extra = user_store(root), KeyedStore(f"{root.rstrip('/')}_fallback", "id", version=("updated_at",), schema=USER_SCHEMA)
+    columns = ["id", "user_level", "birthday", "gender"]
+
+    def lookup(ids: DataFrame) -> DataFrame:
+        def known(s: KeyedStore) -> DataFrame:
+            return s.latest(s.raw(spark).join(ids, "id", "left_semi")).select(*columns)
+
+        stored = known(store)
+        if fallback is None:
+            return stored
+        stored = stored.unionByName(known(extra).join(stored.select("id"), "id", "left_anti"))
+        found = fallback(ids.join(stored.select("id"), "id", "left_anti")).select(*columns).persist()
+        if not found.isEmpty():
+            full = [F.col(f.name) if f.name in columns else F.lit(None).cast(f.dataType).alias(f.name) for f in USER_INFO]
+            extra.write_batch(found.select(*full, F.current_timestamp().alias("updated_at")), time.time_ns() // 1_000_000_000)
+        return stored.unionByName(found)
+
+    return lookup
+
+
 def read_store(spark: SparkSession, root: str, key: str | list[str], version=(), partition_by=()) -> DataFrame:
     return KeyedStore(root, key, version, partition_by).read(spark)
 
 
-__all__ = ["alert_job", "cdc_job", "dau_dedup_job", "dau_job", "gmv_job", "log_ingest_job", "read_store",
-           "sale_detail_job", "user_info_job"]
+__all__ = ["alert_job", "cdc_job", "dau_dedup_job", "dau_job", "gmv_job", "gmv_store", "log_ingest_job",
+           "log_publish_job", "read_store", "sale_detail_job", "user_info_job", "user_lookup", "user_store"]

@@ -38,12 +38,10 @@ def text_stream(spark: SparkSession, path: str, max_files_per_trigger: int | Non
 
 
 def parse_json(stream: DataFrame, schema: T.StructType) -> DataFrame:
-    """Bind the JSON ``value`` to ``schema`` by field name; keep ingest_time."""
-    rec = F.from_json("value", schema).alias("r")
+    """Bind the JSON ``value`` to ``schema`` by field name; keep ingest_time.
+    Numbers may come as text (change images carry them so); what does not read
+    as the field's type is null."""
+    text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
     keep = [c for c in stream.columns if c != "value"]
-    return stream.select(*keep, rec).select(*keep, "r.*")
-
-
-def with_event_time(df: DataFrame, ts_ms: str = "ts", out: str = "event_time") -> DataFrame:
-    """Epoch-ms ``ts`` -> TIMESTAMP column usable by ``withWatermark``."""
-    return df.withColumn(out, F.timestamp_millis(F.col(ts_ms)))
+    rec = stream.select(*keep, F.from_json("value", text).alias("r"))
+    return rec.select(*keep, *[F.col(f"r.{f.name}").try_cast(f.dataType).alias(f.name) for f in schema])

@@ -1,0 +1,148 @@
+"""Log ingest, keyed stores with compaction, user lookup, and the job chain."""
+
+import json
+
+from conftest import SF_SMALL, rows
+from pyspark.sql import functions as F
+from test_streaming import NOW, _feed, _run
+
+from martlens.operators import alerts, gmv, search
+from martlens.sources import cdc, logs, tables
+from martlens.streaming import apps, jobs
+from martlens.streaming.sinks import KeyedStore, folder_sink
+from martlens.streaming.sources import text_stream
+
+
+def _lines(spark, path, *lines):
+    path.mkdir(parents=True, exist_ok=True)
+    (path / f"f{len(list(path.iterdir()))}.json").write_text("\n".join(lines) + "\n")
+    return text_stream(spark, str(path), 1)
+
+
+def test_ingest_keeps_the_whole_line_and_rejects_what_is_no_object(spark):
+    src = ['{"type":"event","mid":"m","extra":"keep","pgid":5,"nested":{"a":1}}', "not json", "[1]",
+           '{"type":"startup","ts":1}', None]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(src)], "k int, value string")
+    out = {r.k: r for r in logs.ingest(df, F.lit(9)).collect()}
+    assert json.loads(out[0].value) == {"type": "event", "mid": "m", "extra": "keep", "pgid": 5, "nested": {"a": 1}, "ts": 9}
+    assert (out[0].topic, out[3].topic) == ("TOPIC_EVENT", "TOPIC_START") and json.loads(out[3].value)["ts"] == 9
+    assert [out[k].topic for k in (1, 2, 4)] == ["TOPIC_REJECT"] * 3 and out[1].value == "not json"
+
+
+def test_dau_rejects_lines_without_a_device_or_a_time(spark, tmp_path):
+    good = '{"mid":"m1","uid":"u","type":"startup","ts":1704067200000}'
+    stream = _lines(spark, tmp_path / "in", "not json", '{"type":"startup","ts":1704067200000}', '{"mid":"m2"}', good, good)
+    seen = {}
+    _run(jobs.dau_job(stream, str(tmp_path / "dau"), str(tmp_path / "ck"), NOW, counts=seen.__setitem__))
+    stored = KeyedStore(str(tmp_path / "dau"), ["mid", "logDate"], partition_by=["logDate"])
+    assert rows(stored.read(spark), "mid", "logDate") == [("m1", "2024-01-01")]
+    assert seen == {0: {"read": 2, "in_batch": 1, "new": 1}}
+    _lines(spark, tmp_path / "in", "not json", good, good.replace("m1", "m3"))
+    _run(jobs.dau_job(text_stream(spark, str(tmp_path / "in"), 1), str(tmp_path / "dau"), str(tmp_path / "ck"), NOW,
+                      counts=seen.__setitem__))
+    assert seen[1] == {"read": 2, "in_batch": 2, "new": 1}
+
+
+def test_documents_without_a_key_stay_apart_and_survive_a_replay(spark, tmp_path):
+    store = KeyedStore(str(tmp_path / "s"), "doc")
+    batch = spark.createDataFrame([(None, 1), (None, 1), ("a", 2)], "doc string, x int")
+    store.write_batch(batch, 0)
+    store.write_batch(batch, 0)
+    assert rows(store.read(spark), "x") == [(1,), (1,), (2,)]
+
+
+def test_compaction_changes_no_answer(spark, tmp_path):
+    store = KeyedStore(str(tmp_path / "s"), "id", version=("v",), partition_by=("day",), schema="id string, v int, day string")
+    assert store.read(spark).count() == 0
+    for b in range(6):
+        store.write_batch(spark.createDataFrame([(f"k{b % 4}", b, "2024-01-01"), (f"n{b}", b, "2024-01-02")],
+                                                "id string, v int, day string"), b)
+    before = rows(store.read(spark), "id", "v", "day")
+    open_reader = store.read(spark)
+    store.compact(spark, 3)
+    assert rows(open_reader, "id", "v", "day") == before == rows(store.read(spark), "id", "v", "day")
+    store.write_batch(spark.createDataFrame([("k0", 99, "2024-01-01")], "id string, v int, day string"), 6)
+    after = [r for r in before if r[0] != "k0"] + [("k0", 99, "2024-01-01")]
+    store.compact(spark, 5)
+    assert rows(store.read(spark), "id", "v", "day") == sorted(after, key=repr)
+    store.vacuum(spark)
+    left = sorted(p.name for p in (tmp_path / "s").iterdir() if not p.name.startswith("."))
+    assert [n for n in left if n.startswith("mlbatch")] == ["mlbatch=6"] and sum(n.startswith("base-") for n in left) == 1
+    assert rows(store.read(spark), "id", "v", "day") == sorted(after, key=repr)
+
+
+def test_a_redelivered_order_counts_once(spark, tmp_path):
+    order = json.dumps({"id": "1", "user_id": "7", "total_amount": 10.0, "create_time": "2024-01-01 10:00:00"})
+    _run(jobs.gmv_job(_lines(spark, tmp_path / "in", order, order, "junk"), str(tmp_path / "o"), str(tmp_path / "ck"), NOW))
+    _run(jobs.gmv_job(_lines(spark, tmp_path / "in", order), str(tmp_path / "o"), str(tmp_path / "ck"), NOW))
+    assert rows(gmv.gmv_total(jobs.gmv_store(str(tmp_path / "o")).read(spark))) == [("2024-01-01", 10.0)]
+
+
+def test_user_lookup_reads_only_the_batch_and_falls_back(spark, tmp_path):
+    asked = []
+    record = spark.createDataFrame([("2", "5", "2001-01-01", "M"), ("9", "5", "2001-01-01", "M")],
+                                   "id string, user_level string, birthday string, gender string")
+
+    def fallback(ids):
+        asked.append(sorted(r.id for r in ids.collect()))
+        return record.join(ids, "id", "left_semi")
+
+    ids = spark.createDataFrame([("1",), ("2",), ("3",)], "id string")
+    lookup = jobs.user_lookup(spark, str(tmp_path / "u"), fallback)
+    assert rows(lookup(ids), "id") == [("2",)] and asked[-1] == ["1", "2", "3"]     # no store yet
+    users = spark.createDataFrame([("1", "a", "1", "1990-01-01", "F"), ("4", "d", "1", "1990-01-01", "F")],
+                                  "id string, login_name string, user_level string, birthday string, gender string")
+    jobs.user_store(str(tmp_path / "u")).write_batch(users.withColumn("updated_at", F.current_timestamp()), 0)
+    assert rows(lookup(ids), "id", "user_level") == [("1", "1"), ("2", "5")] and asked[-1] == ["3"]
+    plan = jobs.user_lookup(spark, str(tmp_path / "u"))(ids)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Aggregate") < plan.index("LeftSemi")     # the merge stands above the semi join
+
+
+def test_alert_forms_agree_on_a_null_device(spark):
+    ts = 1704067200000
+    events = [(None, f"u{k}", "coupon", k, ts) for k in range(5)] + [("m", f"u{k}", "coupon", k, ts) for k in range(3)]
+    df = spark.createDataFrame(events, "mid string, uid string, evid string, itemid long, ts long")
+    whole = alerts.alert_stage(alerts.window_stage(df, "10 minutes", "5 minutes"))
+    assert rows(alerts.coupon_alerts(df, "10 minutes", "5 minutes"), "mid") == rows(whole, "mid") == [("m",), ("m",)]
+
+
+def test_terms_keep_every_bucket_and_top_terms_tell_the_rest(spark):
+    df = spark.createDataFrame([(g,) for g in "MMMFFXXYZ"] + [(None,)], "user_gender string")
+    assert rows(search.terms(df, "user_gender")) == [("F", 2), ("M", 3), ("X", 2), ("Y", 1), ("Z", 1)]
+    assert rows(search.top_terms(df, "user_gender", 3)) == [("F", 2, 2), ("M", 3, 2), ("X", 2, 2)]
+
+
+def test_the_chain_from_changes_to_gmv(spark, tmp_path):
+    """Change log -> topic folders -> GMV and users, as one chain of apps."""
+    from martlens.schemas import CHANGE_EVENT
+    t = {n: tables.read_table(spark, SF_SMALL, n) for n in ("orders", "lineitem", "customer", "part")}
+    cdc.change_log(t["orders"], t["lineitem"], t["customer"], t["part"]).write.parquet(str(tmp_path / "changes"))
+    stream = spark.readStream.schema(CHANGE_EVENT).parquet(str(tmp_path / "changes"))
+    _run(apps.cdc_app(spark, stream, str(tmp_path / "root"), folder_sink(str(tmp_path / "topics")), NOW))
+
+    def source(topic):
+        return text_stream(spark, str(tmp_path / "topics" / f"topic={topic}"))
+
+    _run(apps.gmv_app(spark, source, str(tmp_path / "root"), trigger=NOW))
+    stored = jobs.gmv_store(str(tmp_path / "root" / "order_info")).read(spark)
+    assert rows(gmv.gmv_total(stored)) == rows(gmv.gmv_total(gmv.prepare_orders(tables.order_info(t["orders"]))))
+    _run(apps.user_app(spark, source, str(tmp_path / "root"), trigger=NOW))
+    assert jobs.user_store(str(tmp_path / "root" / "user_info")).read(spark).count() == t["customer"].count()
+
+
+def test_log_app_archives_and_publishes(spark, tmp_path):
+    _lines(spark, tmp_path / "raw", '{"type":"startup","mid":"m"}', '{"mid":"m","x":[1]}', "junk")
+    for q in apps.log_app(spark, lambda _: text_stream(spark, str(tmp_path / "raw")), str(tmp_path / "root"),
+                          folder_sink(str(tmp_path / "topics")), NOW):
+        _run(q)
+    for folder in ("topics", "root/logs"):
+        got = {r.topic: r["count"] for r in spark.read.text(str(tmp_path / folder)).groupBy("topic").count().collect()}
+        assert got == {"TOPIC_START": 1, "TOPIC_EVENT": 1, "TOPIC_REJECT": 1}
+
+
+def test_days_follow_the_zone_and_ages_the_batch(spark, tmp_path):
+    late = '{"mid":"m1","uid":"u","type":"startup","ts":1704067200000}'      # midnight UTC
+    _run(apps.dau_app(spark, lambda _: _lines(spark, tmp_path / "in", late), str(tmp_path / "root"), NOW, tz="America/New_York"))
+    stored = KeyedStore(str(tmp_path / "root" / "dau"), ["mid", "logDate"], partition_by=["logDate"])
+    assert rows(stored.read(spark), "logDate", "logHour") == [("2023-12-31", "19")]
+    assert callable(apps.today("Asia/Tokyo")) and len(apps.today("Asia/Tokyo")()) == 10
