@@ -4,7 +4,9 @@
 2. Rotations are learned on a bounded sample (iterative quantisation: turn the
    centred unit vectors so that their signs lose as little as possible, by
    alternating sign codes and an orthogonal Procrustes fit).  Thresholds are
-   the sample's medians, which balances every bit.
+   the sample's medians, which balances every bit.  Several rotations from
+   different starts give the tables their bits.  Lengths that the sample hardly
+   shows get random rotations, to which the recall below applies as well.
 3. A code is cut into tables of BITS bits, and a vector enters every table
    under all keys with one bit left out, so two vectors meet if a table's bits
    differ in at most one place.  The number of tables follows from the
@@ -39,6 +41,8 @@ from martlens.llm.store import Workspace, partitions
 SIMILARITY = 0.9
 RECALL = 0.985              # wanted of pairs exactly at SIMILARITY
 SAMPLE = 20_000             # vectors the rotations are learned on
+LEAST_LENGTH = 16           # shorter vectors get random rotations: learned ones would all be alike,
+LEAST_SAMPLE = 10           # and so do lengths with fewer sampled vectors than this many per component
 LEAST_BITS = 16
 ROUNDS = 25
 CHUNK = 1024                # vectors of one side of a tile
@@ -49,13 +53,14 @@ def learn_rotation(unit: np.ndarray, seed: int, rounds: int = ROUNDS) -> tuple[n
     """Rotation (d, d) and thresholds (d) for sign codes of unit vectors."""
     d = unit.shape[1]
     turn = np.linalg.qr(np.random.default_rng(seed).standard_normal((d, d)))[0]
-    if len(unit):
-        centred = unit - unit.mean(axis=0)
-        for _ in range(rounds):
-            codes = np.where(centred @ turn >= 0, 1.0, -1.0)
-            u, _, v = np.linalg.svd(centred.T @ codes)
-            turn = u @ v
-    return turn, (np.median(unit @ turn, axis=0) if len(unit) else np.zeros(d))
+    if d < LEAST_LENGTH or len(unit) < LEAST_SAMPLE * d:
+        return turn, np.zeros(d)
+    centred = unit - unit.mean(axis=0)
+    for _ in range(rounds):
+        codes = np.where(centred @ turn >= 0, 1.0, -1.0)
+        u, _, v = np.linalg.svd(centred.T @ codes)
+        turn = u @ v
+    return turn, np.median(unit @ turn, axis=0)
 
 
 class Tables:
@@ -89,7 +94,8 @@ class Tables:
     def codes(self, unit: np.ndarray) -> np.ndarray:
         """(n, tables) codes of BITS bits each."""
         turn, threshold = self.rotation(unit.shape[1])
-        signs = (unit @ turn >= threshold)[:, :self.bits * self.tables]
+        # rounded, as a product's last bits depend on how many rows are multiplied at once
+        signs = (np.round(unit @ turn - threshold, 9) >= 0)[:, :self.bits * self.tables]
         weights = np.left_shift(np.uint64(1), np.arange(self.bits, dtype=U64))
         return (signs.reshape(len(unit), self.tables, self.bits) * weights).sum(axis=2, dtype=U64)
 

@@ -1,7 +1,7 @@
 import hashlib
 
 from brute import likeness, order_minhash
-from conftest import EDGE_TEXTS, ROUGH_TEXTS, SF
+from samples import EDGE_TEXTS, ROUGH_TEXTS, SF
 
 from martlens.llm import order_minhash as O
 from martlens.llm.queries import QUERIES

@@ -3,7 +3,7 @@
 import __spark_entry__ as entry
 import corpus_pipeline as C
 from brute import jaccard_classes, without_repeats
-from conftest import ROUGH_TEXTS, SF
+from samples import ROUGH_TEXTS, SF
 
 from martlens.llm import quality, word_bpe
 

@@ -2,7 +2,7 @@ import random
 
 import numpy as np
 from brute import sha, without_repeats
-from conftest import EDGE_TEXTS, ROUGH_TEXTS, SF, make_docs
+from samples import EDGE_TEXTS, ROUGH_TEXTS, SF, make_docs
 
 from martlens.llm import recompression as R
 from martlens.llm.queries import QUERIES

@@ -1,6 +1,6 @@
 import zlib
 
-from conftest import ROUGH_TEXTS, SF
+from samples import ROUGH_TEXTS, SF
 
 from martlens.llm import sharding as S
 from martlens.llm.queries import QUERIES

@@ -5,7 +5,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
-from conftest import EDGE_TEXTS, ROUGH_TEXTS, SF
+from samples import EDGE_TEXTS, ROUGH_TEXTS, SF
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
