@@ -33,10 +33,8 @@ from martlens.llm.store import Workspace, ship_package
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    rows = quality.scored(docs.withColumn("__text", F.col("text")), labels,
-                          tuple(c if c != "text" else "__text" for c in docs.columns))
-    return rows.filter(F.col("score") >= 0.5).select(
-        *[F.col("__text").alias("text") if c == "text" else F.col(c) for c in docs.columns])
+    return quality.scored(docs, labels, tuple(docs.columns)).filter("score >= 0.5").select(
+        *[F.col(f"row.{c}") for c in docs.columns])
 
 
 def keep_first(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -251,7 +251,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.
 
 
 def scored(docs: DataFrame, labels: DataFrame, keep: tuple[str, ...]) -> DataFrame:
-    """The columns ``keep`` of ``docs`` with the score of each text."""
+    """(row, score): the columns ``keep`` of ``docs`` as a struct, and the score
+    of each text."""
     vectors, network = train(docs, labels)
     rows = docs.select("text", F.struct(*keep).alias("row"))
 
@@ -262,10 +263,10 @@ def scored(docs: DataFrame, labels: DataFrame, keep: tuple[str, ...]) -> DataFra
                                                  names=["row", "score"])
 
     schema = rows.select("row", F.lit(0.0).alias("score")).schema
-    return rows.mapInArrow(run, schema).select("row.*", "score")
+    return rows.mapInArrow(run, schema)
 
 
 def op5_quality(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFrame:
     """held_out, score and predicted label of every document."""
     return scored(docs, labels, ("doc_id",)).select(
-        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+        "row.doc_id", held_out(F.col("row.doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
