@@ -16,9 +16,10 @@ from martlens.operators.gmv import gmv_total
 KPIS = (("dau", "新增日活"), ("new_mid", "新增设备"), ("order_amount", "新增交易额"))
 
 
-def kpi_total(dau_daily: DataFrame, new_daily: DataFrame, gmv_daily: DataFrame) -> DataFrame:
+def kpi_total(dau_daily: DataFrame, new_daily: DataFrame | None, gmv_daily: DataFrame) -> DataFrame:
     """Inputs: (logDate, dau), (logDate, new_devices), (create_date, sum_amount),
-    each one row per date. Output: date, id, name, value (double).
+    each one row per date; without ``new_daily`` the first holds both counts
+    (``dau.daily_devices``). Output: date, id, name, value (double).
 
     The three per-date aggregates are stacked (``unionByName``) and folded
     into one row per date by a single ``groupBy`` -- no joins -- then
@@ -26,13 +27,15 @@ def kpi_total(dau_daily: DataFrame, new_daily: DataFrame, gmv_daily: DataFrame)
     """
     ids = [kid for kid, _ in KPIS]
 
-    def lane(df: DataFrame, date_col: str, value_col: str, kid: str) -> DataFrame:
+    def lane(df: DataFrame, date_col: str, **values: str) -> DataFrame:
         return df.select(F.col(date_col).alias("date"),
-                         *[(F.col(value_col) if k == kid else F.lit(None)).cast("double").alias(k) for k in ids])
+                         *[(F.col(values[k]) if k in values else F.lit(None)).cast("double").alias(k) for k in ids])
 
-    stacked = (lane(dau_daily, "logDate", "dau", "dau")
-               .unionByName(lane(new_daily, "logDate", "new_devices", "new_mid"))
-               .unionByName(lane(gmv_daily, "create_date", "sum_amount", "order_amount")))
+    if new_daily is None:
+        stacked = lane(dau_daily, "logDate", dau="dau", new_mid="new_devices")
+    else:
+        stacked = lane(dau_daily, "logDate", dau="dau").unionByName(lane(new_daily, "logDate", new_mid="new_devices"))
+    stacked = stacked.unionByName(lane(gmv_daily, "create_date", order_amount="sum_amount"))
     wide = stacked.groupBy("date").agg(*[F.max(k).alias(k) for k in ids])
     zero = {"dau": 0.0, "new_mid": 0.0, "order_amount": None}
     entries = F.array(*[

@@ -255,8 +255,7 @@ def sale_stat_json(spark, sf):
 
 
 def kpi_total(spark, sf):
-    devices = dau.daily_devices(_startup(spark, sf))
-    return kpi.kpi_total(devices, devices, gmv.gmv_total(_orders(spark, sf)))
+    return kpi.kpi_total(dau.daily_devices(_startup(spark, sf)), None, gmv.gmv_total(_orders(spark, sf)))
 
 
 def kpi_for_date(spark, sf):
