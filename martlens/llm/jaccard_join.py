@@ -14,8 +14,8 @@ shingles (for a similarity of 3/4).
 2. Tasks gather equal slices.  Slices that few sets share give all their pairs;
    of the others every set is paired with one centre.  A set whose every link
    must show in a rarer slice too needs no more than that; the sets for which
-   this is not so ("heavy": too few of their slices are rare) are paired, per
-   common slice, across the components found so far.
+   this is not so ("heavy": too few of their slices are rare) are searched
+   further across the components found so far, see _Heavy.
 3. Pairs pass the Hamming test on short sketches, then the exact test on the
    shingle hashes.  Links within one component are not searched further.
 
@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from martlens.llm.components import components
 from martlens.llm.packets import _bucket_of, join_arrays, narrow, split_arrays
-from martlens.llm.spans import LOWER, U64, blocks, hash_spans, mix, runs, spread, window_hashes, word_spans
+from martlens.llm.spans import LOWER, U64, blocks, hash_spans, mix, runs, spread, tidy, window_hashes, word_spans
 from martlens.llm.store import Workspace, partitions
 
 WIDTH = 5
@@ -48,7 +48,8 @@ SHARE = (75, 100)           # linked when 100 * intersection >= 75 * union
 BAND = 1.75                 # ratio of the sizes at the ends of a band
 SLACK = 1.15                # slices beyond the differences a link may have
 FEW = 8                     # sets that share a rare slice
-BLOCK_SLICES = 3_000_000    # slices a map task gathers before it sends
+BLOCK_SLICES = 1_500_000    # slices a map task gathers before it sends
+MINI_WORDS = 16             # longs of the short sketch that joins compare
 STAR, RARE, COMMON = 0, 1, 2
 
 
@@ -141,20 +142,29 @@ def sketch_distance(a: bytes, b: bytes) -> int:
     return int(np.bitwise_count(x ^ y).sum())
 
 
-DOCS_DDL = "doc_id long, n_shingles long, set_id long, sketch binary"
+def mini_sketch(hashes: np.ndarray) -> np.ndarray:
+    """Parity sketch of MINI_WORDS longs, whatever the size of the set."""
+    bits = np.bincount((mix(hashes, 32) & U64(64 * MINI_WORDS - 1)).astype(np.int64), minlength=64 * MINI_WORDS) & 1
+    return np.packbits(bits.astype(np.uint8)).view(np.int64)
+
+
+DOCS_DDL = "doc_id long, n_shingles long, set_id long, sketch binary, mini array<long>"
 
 
 def set_table(docs: DataFrame) -> DataFrame:
     schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_id", pa.int64()),
-                        ("sketch", pa.binary())])
+                        ("sketch", pa.binary()), ("mini", pa.list_(pa.int64()))])
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, raw, off in blocks(batch):
                 s = ShingleSets(raw, off)
                 yield pa.RecordBatch.from_arrays(
                     [rows.column(0).cast(pa.int64()), pa.array(s.size), pa.array(s.id),
-                     pa.array([sketch(s.of(i)) if s.size[i] else None for i in range(rows.num_rows)], pa.binary())],
+                     pa.array([sketch(s.of(i)) if s.size[i] else None for i in range(rows.num_rows)], pa.binary()),
+                     pa.array([mini_sketch(s.of(i)) if s.size[i] else None for i in range(rows.num_rows)],
+                              pa.list_(pa.int64()))],
                     schema=schema)
 
     return docs.select("doc_id", "text").mapInArrow(run, DOCS_DDL)
@@ -267,6 +277,7 @@ def slice_packets(docs: DataFrame, buckets: int) -> DataFrame:
                 done[4][lo:hi].astype("<u1")))
         yield pa.RecordBatch.from_arrays([pa.array(names, pa.int32()), pa.array(packets, pa.binary())], schema=PACKET)
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, count = [], 0
         for batch in batches:
@@ -317,6 +328,7 @@ def candidate_rows(packets: DataFrame, buckets: int) -> DataFrame:
         zero = np.zeros(len(pairs), np.int64)
         yield _found((pairs[:, 0], pairs[:, 1], zero, zero, pairs[:, 2]))
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket, held = None, []
         for batch in batches:
@@ -354,6 +366,7 @@ class _Verifier:
         """Pairs whose sizes and sketches allow a link."""
         num, den = SHARE
 
+        @tidy
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 n, m = b.column(2).to_numpy(), b.column(3).to_numpy()
@@ -371,6 +384,7 @@ class _Verifier:
         return both.select("doc_a", "doc_b", "n_a", "n_b", "sketch_a", "sketch_b").mapInArrow(run, "doc_a long, doc_b long")
 
     def _shingles(self, wanted: DataFrame) -> DataFrame:
+        @tidy
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for rows, raw, off in blocks(batch):
@@ -382,9 +396,22 @@ class _Verifier:
         # one row per id: rows that share an id have been told apart by ``keyed``
         return self.docs.join(wanted, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(run, "doc_id long, hashes binary")
 
+    def exploded(self, wanted: DataFrame) -> DataFrame:
+        """(id, h): the shingle hashes of some documents."""
+        @tidy
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for rows, raw, off in blocks(batch):
+                    s = ShingleSets(raw, off)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.repeat(rows.column(0).to_numpy(), s.size)), pa.array(s.hash.view(np.int64))], names=["id", "h"])
+
+        return self.docs.join(wanted, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(run, "id long, h long")
+
     def _exact(self, pairs: DataFrame) -> DataFrame:
         num, den = SHARE
 
+        @tidy
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 keep = []
@@ -398,17 +425,78 @@ class _Verifier:
         return pairs.mapInArrow(run, "a long, b long")
 
 
-def _across(common: DataFrame, parts: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs of heavy sets that share a common slice and lie in different components."""
-    heavy = common.groupBy("b", "band").agg(F.count(F.lit(1)).alias("n"), F.max("need").alias("need")) \
-        .filter("n >= need").select("b", "band")
-    place = sets.select(F.col("set_id").alias("b"), F.col("doc_id").alias("id")).join(parts, "id", "left") \
-        .select("b", F.coalesce("component", "id").alias("part"))
-    members = common.join(heavy, ["b", "band"]).join(place, "b").select(F.col("a").alias("slice"), "b", "part").distinct()
-    split = members.groupBy("slice").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).filter("lo <> hi").select("slice")
-    members = members.join(split, "slice", "left_semi")
-    other = members.select("slice", F.col("b").alias("a"), F.col("part").alias("other"))
-    return members.join(other, "slice").filter("a < b AND part <> other").select("a", "b")
+class _Heavy:
+    """What is left to search among the heavy sets.
+
+    Of a heavy set, count the shingles that no heavy set of another component
+    has (its exclusive ones).  A link to another component cannot contain them:
+    with e exclusive shingles a set of size n has such a link only if
+    n - e >= 3/4 n, and two sets only if the smaller of their n - e reaches
+    3/7 (n + m).  Sets that fail leave, which makes more shingles exclusive.
+    """
+
+    PEELS = 2
+
+    def __init__(self, verifier: _Verifier, common: DataFrame) -> None:
+        self.verifier, self.ws = verifier, verifier.ws
+        heavy = common.groupBy("b", "band").agg(F.count(F.lit(1)).alias("n"), F.max("need").alias("need")) \
+            .filter("n >= need").select("b", "band")
+        self.members = self.ws.save(
+            common.join(heavy, ["b", "band"]).select(F.col("a").alias("slice"), F.col("b").alias("set_id")).distinct()
+            .join(verifier.sets.select("set_id", F.col("doc_id").alias("id"), F.col("n_shingles").alias("size")), "set_id"),
+            "members")
+        self.shingles: DataFrame | None = None
+        self.turn = 0
+
+    def _split(self, parts: DataFrame, also: list[str]) -> DataFrame:
+        """Members, with their component, of slices that two components share."""
+        placed = self.members.join(parts.select("id", "component", *also), "id", "left" if not also else "inner") \
+            .withColumn("part", F.coalesce("component", "id")).drop("component")
+        split = placed.groupBy("slice").agg(F.min("part").alias("lo"), F.max("part").alias("hi")) \
+            .filter("lo <> hi").select("slice")
+        return placed.join(split, "slice", "left_semi")
+
+    def exclusive(self, parts: DataFrame) -> DataFrame:
+        """(id, component, exclusive) of the sets that may have a link to
+        another component."""
+        num, den = SHARE
+        self.turn += 1
+        live = self.ws.save(self._split(parts, []).select("id", "part", "size").distinct(), f"live-{self.turn}")
+        if self.shingles is None:
+            self.shingles = self.ws.save(self.verifier.exploded(live.select(F.col("id").alias("doc_id"))),
+                                         "heavy-shingles", compression="none")
+        for peel in range(self.PEELS):
+            at = self.shingles.join(live.select("id", "part"), "id")
+            shared = at.groupBy("h").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).filter("lo <> hi").select("h")
+            count = at.join(shared, "h", "left_semi").groupBy("id").agg(F.count(F.lit(1)).alias("shared"))
+            live = self.ws.save(
+                live.select("id", "part", "size").join(count, "id").filter(F.col("shared") * den >= F.col("size") * num)
+                .withColumn("exclusive", F.col("size") - F.col("shared")), f"live-{self.turn}-{peel}")
+        return live.select("id", F.col("part").alias("component"), "exclusive")
+
+    def stars(self, live: DataFrame) -> DataFrame:
+        """Pairs of sets: per slice, everyone with the set that is least its own."""
+        members = self._split(live, ["exclusive"])
+        centre = members.groupBy("slice").agg(F.min(F.struct("exclusive", "set_id", "part")).alias("c"))
+        return members.join(centre, "slice").filter("part <> c.part").select(
+            F.col("c.set_id").alias("a"), F.col("set_id").alias("b")).distinct()
+
+    def pairs(self, live: DataFrame) -> DataFrame:
+        """All pairs of sets with a common slice that may still be linked, by
+        their exclusive shingles and by their short sketches."""
+        num, den = SHARE
+        left = (self._split(live, ["exclusive"]).join(self.verifier.sets.select("set_id", "mini"), "set_id")
+                .select("slice", "set_id", "part", "size", (F.col("size") - F.col("exclusive")).alias("most"), "mini"))
+        right = left.select("slice", *[F.col(c).alias(f"{c}_") for c in left.columns[1:]])
+        may = (F.least("most", "most_") * (den + num) >= (F.col("size") + F.col("size_")) * num)
+        apart = sum(F.bit_count(F.get("mini", F.lit(i)).bitwiseXOR(F.get("mini_", F.lit(i)))) for i in range(MINI_WORDS))
+        near = apart * (den + num) <= (F.col("size") + F.col("size_")) * (den - num)
+        return left.join(right, (left["slice"] == right["slice"]) & (F.col("set_id") < F.col("set_id_"))
+                         & (F.col("part") != F.col("part_")) & may & near).select(F.col("set_id").alias("a"), F.col("set_id_").alias("b"))
+
+
+def _joined(parts: DataFrame, links: DataFrame) -> DataFrame:
+    return parts.select(F.col("id").alias("a"), F.col("component").alias("b")).union(links.select("a", "b"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
@@ -418,7 +506,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", "text")
     rows = ws.save(set_table(docs), "rows")
     sets = ws.save(rows.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("set_id").agg(
-        F.min("doc_id").alias("doc_id"), F.min("n_shingles").alias("n_shingles"), F.min("sketch").alias("sketch")), "sets")
+        F.min("doc_id").alias("doc_id"), F.min("n_shingles").alias("n_shingles"), F.min("sketch").alias("sketch"),
+        F.min("mini").alias("mini")), "sets")
     found = ws.save(candidate_rows(slice_packets(docs.filter("doc_id IS NOT NULL"), buckets), buckets), "found",
                     partition_by=("kind",))
     verifier = _Verifier(docs, sets, ws)
@@ -430,10 +519,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
             .join(place.select(F.col("set_id").alias("a"), F.col("part").alias("part_a")), "a")
             .join(place.select(F.col("set_id").alias("b"), F.col("part").alias("part_b")), "b")
             .filter("part_a <> part_b").select("a", "b"))
-    across = _across(found.filter(F.col("kind") == COMMON), parts, sets)
-    more = verifier.links(rare.union(across))
-    joined = parts.select(F.col("id").alias("a"), F.col("component").alias("b")).union(more)
-    final = components(joined, ws, "second")
+    more = verifier.links(rare)
+    parts = ws.save(components(_joined(parts, more), ws, "second"), "parts-2")
+    heavy = _Heavy(verifier, found.filter(F.col("kind") == COMMON))
+    more = verifier.links(heavy.stars(heavy.exclusive(parts)))
+    parts = ws.save(components(_joined(parts, more), ws, "third"), "parts-3")
+    more = verifier.links(heavy.pairs(heavy.exclusive(parts)))
+    final = components(_joined(parts, more), ws, "fourth")
     owner = sets.select("set_id", F.col("doc_id").alias("id")).join(final, "id", "left") \
         .select("set_id", F.coalesce("component", "id").alias("component_id"))
     return rows.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("set_id")).alias("set_id")) \

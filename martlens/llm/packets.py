@@ -21,14 +21,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martlens.llm.spans import U64, mix, runs, spread
+from martlens.llm.spans import U64, mix, runs, spread, tidy
 
 _TYPES = [np.dtype(t) for t in ("<u1", "<u2", "<u4", "<u8", "<i8")]
 PACKET = pa.schema([("bucket", pa.int32()), ("packet", pa.binary())])
 PACKET_DDL = "bucket int, packet binary"
 ANSWER = pa.schema([("owner", pa.int64()), ("found", pa.binary())])
 ANSWER_DDL = "owner long, found binary"
-BLOCK_VALUES = 3_000_000    # values gathered before packets are sent
+BLOCK_VALUES = 1_500_000    # values gathered before packets are sent
 
 
 def join_arrays(*arrays: np.ndarray) -> bytes:
@@ -152,6 +152,7 @@ def _ranges(where: np.ndarray) -> bytes:
 
 def answers(packets: DataFrame, buckets: int) -> DataFrame:
     """Per owner, the list of its found ranges (see ``found_ranges``)."""
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket, held = None, []
         for batch in batches:

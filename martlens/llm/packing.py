@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martlens.llm.spans import blocks
+from martlens.llm.spans import blocks, tidy
 from martlens.llm.store import partitions
 from martlens.llm.word_bpe import WordBpe, vocabulary_path
 
@@ -44,6 +44,7 @@ PIECES_DDL = "doc_id long, piece int, start long, length int, ids_crc32 long"
 
 def token_pieces(docs: DataFrame, path: str, size: int = SEQUENCE_TOKENS) -> DataFrame:
     """The pieces of every document: at most ``size`` ids each."""
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = WordBpe.load(path)
         for batch in batches:
@@ -121,6 +122,7 @@ def pack(pieces: DataFrame, tasks: int, tokens: int = SEQUENCE_TOKENS, documents
              pa.array(offset.astype(np.int32))], schema=schema)
         return out, base + int(sequence.max(initial=-1)) + 1
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base = TaskContext.get().partitionId() << 40
         held: list[pa.RecordBatch] = []

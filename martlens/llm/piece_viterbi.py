@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from martlens.llm.span_coder import SpanCoder
-from martlens.llm.spans import blocks, spread
+from martlens.llm.spans import blocks, spread, tidy
 
 MODEL = "piece_bpe_32k.model"
 PENALTY = 10.0
@@ -192,6 +192,7 @@ def op6_piece_viterbi(spark: SparkSession, docs: DataFrame, path: str | None = N
     text byte for byte."""
     path = path or model_path()
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = PieceCoder.load(path)
         for batch in batches:

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martlens.llm.spans import U64, blocks, hash_spans, mix, word_spans
+from martlens.llm.spans import U64, blocks, hash_spans, mix, tidy, word_spans
 
 
 SHAPE_SLOTS = 2048
@@ -101,6 +101,7 @@ def _large(b: bytes) -> np.ndarray:
 
 def context_sums(docs: DataFrame) -> DataFrame:
     """(part, sums): per GROUP slots their context sums and token counts."""
+    @tidy
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         places, signs = index_places()
         sums, counts = np.zeros(SLOTS * DIMS), np.zeros(SLOTS, np.int64)
@@ -125,6 +126,7 @@ def context_sums(docs: DataFrame) -> DataFrame:
             [pa.array(parts, pa.int32()), pa.array([_small(table[p * GROUP:(p + 1) * GROUP]) for p in parts], pa.binary())],
             schema=GROUP_ROW)
 
+    @tidy
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[int, np.ndarray] = {}
         for batch in batches:
@@ -235,6 +237,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.
     chosen = (known.groupBy("doc_id").agg(F.min("quality").alias("quality"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))     # at most ``sample`` rows: safe to broadcast
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, raw, off in blocks(batch):
@@ -256,6 +259,7 @@ def scored(docs: DataFrame, labels: DataFrame, keep: tuple[str, ...]) -> DataFra
     vectors, network = train(docs, labels)
     rows = docs.select("text", F.struct(*keep).alias("row"))
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, raw, off in blocks(batch):

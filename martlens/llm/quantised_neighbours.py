@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from martlens.llm.components import components
 from martlens.llm.packets import _bucket_of, join_arrays, split_arrays
-from martlens.llm.spans import U64, mix, runs
+from martlens.llm.spans import U64, mix, runs, tidy
 from martlens.llm.store import Workspace, partitions
 
 SIMILARITY = 0.9
@@ -141,6 +141,7 @@ def usable(column: str) -> Column:
 def key_packets(vectors: DataFrame, tables: Tables, buckets: int) -> DataFrame:
     schema = pa.schema([("bucket", pa.int32()), ("packet", pa.binary())])
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for ids, matrix in _vectors(batch.column(0), batch.column(1)):
@@ -214,6 +215,7 @@ def tile_members(packets: DataFrame, tables: Tables, buckets: int) -> DataFrame:
                     for side, chunk in ((2, chunks[x]),) if x == y else ((0, chunks[x]), (1, chunks[y])):
                         yield rows(np.repeat(tile, len(chunk)), slot[chunk], ids[who[chunk]], np.full(len(chunk), side))
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket, held = None, []
         for batch in batches:
@@ -266,6 +268,7 @@ def compare_tiles(members: DataFrame, tables: Tables, tasks: int) -> DataFrame:
              pa.array(np.concatenate([ids[some], ids[tree[:, 1]]])),
              pa.array(np.concatenate([count[some], np.zeros(len(tree), np.int64)]))], schema=schema)
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         open_, name = [], None
         for batch in batches:

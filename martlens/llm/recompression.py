@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martlens.llm.packets import PACKET_DDL, Sender, answers, found_ranges
-from martlens.llm.spans import U64, blocks, hash_spans, mix, runs, spread, window_hashes, word_spans
+from martlens.llm.spans import U64, blocks, hash_spans, mix, runs, spread, tidy, window_hashes, word_spans
 from martlens.llm.store import partitions
 
 WINDOW = 35
@@ -123,6 +123,7 @@ def _ids(batch: pa.RecordBatch) -> np.ndarray:
 
 
 def symbol_packets(docs: DataFrame, buckets: int, window: int) -> DataFrame:
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sender = Sender(buckets, SYMBOL_BITS)
         for batch in batches:
@@ -155,6 +156,7 @@ def _smallest(names: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
 def window_packets(docs: DataFrame, buckets: int, window: int) -> DataFrame:
     """Windows without a symbol that is known to be unique.  Their bucket comes
     from the smallest symbol they contain, so neighbours travel together."""
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sender = Sender(buckets)
         for batch in batches:
@@ -239,6 +241,7 @@ REMOVED = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_remove
 
 def op7_recompression(spark: SparkSession, docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """Words, removed words and the digest of the kept words of every document."""
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, raw, off in blocks(batch):
@@ -255,6 +258,7 @@ def op7_recompression(spark: SparkSession, docs: DataFrame, window: int = WINDOW
 def remove_repeats(spark: SparkSession, docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """``docs`` with the repeated words taken out of the text (n_chars follows).
     Texts without a repeat stay as they are, byte for byte."""
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, raw, off in blocks(batch):

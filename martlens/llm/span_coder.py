@@ -11,7 +11,7 @@ import numpy as np
 
 from martlens.llm.spans import U64, hash_spans, spread
 
-CACHE_SPANS = 2_000_000     # remembered spans of one worker; beyond it starts afresh
+CACHE_SPANS = 1_000_000     # remembered spans of one worker; beyond it starts afresh
 RECENT = 1 << 17
 
 

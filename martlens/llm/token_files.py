@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from martlens.llm.spans import U64, blocks
+from martlens.llm.spans import U64, blocks, tidy
 from martlens.llm.store import Workspace, partitions
 from martlens.llm.word_bpe import WordBpe, vocabulary_path
 
@@ -165,6 +165,7 @@ def decode_segment(n: int, record: dict[str, bytes]) -> np.ndarray:
 def write_token_files(docs: DataFrame, path: str, ws: Workspace, tasks: int,
                       segment_ids: int = SEGMENT_IDS) -> DataFrame:
     """Encode all documents in doc_id order; returns the stored segments."""
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, file = WordBpe.load(path), TaskContext.get().partitionId()
         held: list[tuple[pa.Array, np.ndarray, np.ndarray]] = []
@@ -204,6 +205,7 @@ READ = pa.schema([("file", pa.int32()), ("segment", pa.int32()), ("doc_id", pa.i
 def read_token_files(segments: DataFrame) -> DataFrame:
     """Decode stored segments: per document its ids before it in the segment,
     its number of ids and their checksum."""
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martlens.llm.spans import U64, text_bytes
+from martlens.llm.spans import U64, text_bytes, tidy
 
 # Fixed rules of the registered query: (verdict, host, path).
 RULES: tuple[tuple[str, str, str], ...] = (
@@ -126,6 +126,7 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES,
     schema = pa.schema([("page_id", pa.int64()), ("host", pa.string()), ("path", pa.string()),
                         ("rule", pa.string()), ("verdict", pa.string())])
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rules_ = pa.array([r for _, r, _ in named] + [None], pa.string())
         verdicts = pa.array([v for v, _, _ in named] + [default], pa.string())

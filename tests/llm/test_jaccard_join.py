@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pytest
 from brute import jaccard_classes
-from conftest import EDGE_TEXTS, ROUGH_TEXTS, make_docs
+from samples import EDGE_TEXTS, ROUGH_TEXTS, make_docs
 
 from martlens.llm import jaccard_join as J
 from martlens.llm.components import components
