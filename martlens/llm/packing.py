@@ -24,7 +24,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from martlens.llm.spans import blocks, tidy
 from martlens.llm.store import partitions

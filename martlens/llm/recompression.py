@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martlens.llm.packets import PACKET_DDL, Sender, answers, found_ranges
-from martlens.llm.spans import U64, blocks, hash_spans, mix, runs, spread, tidy, window_hashes, word_spans
+from martlens.llm.spans import U64, blocks, hash_spans, mix, spread, tidy, window_hashes, word_spans
 from martlens.llm.store import partitions
 
 WINDOW = 35
