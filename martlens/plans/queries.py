@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martlens.functions.text import mask_phone
-from martlens.functions.time import epoch_ms, with_create_date_hour, with_log_date_hour
+from martlens.functions.time import with_create_date_hour, with_log_date_hour
 from martlens.operators import alerts, dau, gmv, kpi, sale_detail, search, upsert, users
 from martlens.operators.keyed import last_per_key
 from martlens.sources import cdc, logs, tables

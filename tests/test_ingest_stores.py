@@ -4,7 +4,7 @@ import json
 
 from conftest import SF_SMALL, rows
 from pyspark.sql import functions as F
-from test_streaming import NOW, _feed, _run
+from test_streaming import NOW, _run
 
 from martlens.operators import alerts, gmv, search
 from martlens.sources import cdc, logs, tables
