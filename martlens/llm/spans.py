@@ -3,7 +3,7 @@
 Spark hands whole batches of texts to Python as one byte buffer with offsets.
 The helpers below cut that buffer into spans (words), hash every span, and
 combine span hashes over sliding windows, with numpy and without a Python
-object per word.  Texts are taken in blocks of a few MB, so memory follows the
+object per word.  Texts are taken in blocks of a MB or so, so memory follows the
 block or the longest single text, whichever is larger.
 """
 
@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 
 U64 = np.uint64
-BLOCK_BYTES = 2 << 20       # bytes of text handled at once
+BLOCK_BYTES = 1 << 20       # bytes of text handled at once
 LONG_SPAN = 4096            # longer spans are hashed by blake2b
 _M = (1 << 64) - 1
 _SPACE = np.zeros(256, bool)

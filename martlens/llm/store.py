@@ -20,10 +20,17 @@ _LOCAL: dict[str, str] = {}
 _SHIPPED: set[str] = set()
 
 
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+TEXT_ROWS = "2000"      # texts of a few KB: batches of some MB instead of some ten
+
+
 def ship_package(spark: SparkSession) -> None:
-    """Send this package to the Python workers, once per application."""
+    """Send this package to the Python workers, once per application, and make
+    Arrow batches small where the session leaves their size at the default."""
     app = spark.sparkContext.applicationId
     if app not in _SHIPPED:
+        if not spark.sparkContext.getConf().contains(BATCH_ROWS) and spark.conf.get(BATCH_ROWS) == "10000":
+            spark.conf.set(BATCH_ROWS, TEXT_ROWS)
         home = os.path.dirname(os.path.abspath(martlens.__file__))
         archive = os.path.join(tempfile.mkdtemp(prefix="martlens-ship-"), "martlens")
         spark.sparkContext.addPyFile(shutil.make_archive(archive, "zip", os.path.dirname(home), "martlens"))
