@@ -257,13 +257,15 @@ def scored(docs: DataFrame, labels: DataFrame, keep: tuple[str, ...]) -> DataFra
     """(row, score): the columns ``keep`` of ``docs`` as a struct, and the score
     of each text."""
     vectors, network = train(docs, labels)
-    rows = docs.select("text", F.struct(*keep).alias("row"))
+    rows = docs.select(F.struct(*keep).alias("row"), *(["text"] if "text" not in keep else []))
 
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, raw, off in blocks(batch):
-                yield pa.RecordBatch.from_arrays([part.column(1), pa.array(network.score(pooled(raw, off, vectors)))],
+            row = batch.column(0)               # a text that is kept travels once
+            text = batch.column(1) if batch.num_columns > 1 else row.field(keep.index("text"))
+            for part, raw, off in blocks(pa.RecordBatch.from_arrays([row, text], names=["row", "text"])):
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(network.score(pooled(raw, off, vectors)))],
                                                  names=["row", "score"])
 
     schema = rows.select("row", F.lit(0.0).alias("score")).schema
