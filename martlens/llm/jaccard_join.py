@@ -240,6 +240,14 @@ def _found(rows: tuple[np.ndarray, ...]) -> pa.RecordBatch:
                                        pa.array(kind.astype(np.int32))], schema=FOUND)
 
 
+_SEEN = U64((1 << 48) - 1)      # bits of a key that travel beside its bucket
+
+
+def _name(key: np.ndarray, bucket: np.ndarray) -> np.ndarray:
+    """Name of a slice, the same wherever it is settled."""
+    return (key & _SEEN) | (bucket.astype(U64) << U64(48))
+
+
 def slice_packets(docs: DataFrame, buckets: int) -> DataFrame:
     """Packets of slices by bucket.  Equal sets of a map block are sent once,
     and a slice that more than FEW of its sets share is settled on the spot:
@@ -259,7 +267,7 @@ def slice_packets(docs: DataFrame, buckets: int) -> DataFrame:
         bucket = _bucket_of(key[sent], buckets)
         by = np.argsort(bucket, kind="stable")
         edges = np.searchsorted(bucket[by], np.arange(buckets + 1))
-        done = _common(order, start, size, hot, entry, ids, band, need, key)
+        done = _common(order, start, size, hot, entry, ids, band, need, _name(key, _bucket_of(key, buckets)))
         share = np.array_split(np.arange(len(done[0])), buckets)     # settled rows ride along, evenly
         names, packets = [], []
         for b in range(buckets):
@@ -293,9 +301,6 @@ def slice_packets(docs: DataFrame, buckets: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "bucket int, packet binary")
 
 
-_SEEN = U64((1 << 48) - 1)      # bits of a key that travel beside its bucket
-
-
 def candidate_rows(packets: DataFrame, buckets: int) -> DataFrame:
     """Rows of kind STAR and RARE (pairs of sets) and COMMON (slice, set)."""
     def settle(held: list[bytes], bucket: int) -> Iterator[pa.RecordBatch]:
@@ -316,8 +321,8 @@ def candidate_rows(packets: DataFrame, buckets: int) -> DataFrame:
         order = order[first]
         start, size = runs(key[order])
         hot = (size > FEW) | (np.logical_or.reduceat(flag, start) if len(start) else flag)
-        full = key | (U64(bucket) << U64(48))
-        yield _found(_common(order, start, size, hot, entry, ids, band, need, full))
+        name = _name(key, np.full(len(key), bucket))
+        yield _found(_common(order, start, size, hot, entry, ids, band, need, name))
         pairs = [np.zeros((0, 3), np.int64)]
         for n in range(2, FEW + 1):
             group = ids[entry[order[start[(size == n) & ~hot][:, None] + np.arange(n)]]]

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from brute import jaccard_classes
 from samples import EDGE_TEXTS, ROUGH_TEXTS, make_docs
@@ -55,6 +56,32 @@ def test_groups_of_copies_and_chains_match_all_pairs(spark):
     assert out == jaccard_classes(texts)
 
 
+def test_heavy_sets_of_unequal_blocks_meet(spark, monkeypatch):
+    """Linked sets x and y lie in different blocks.  All slices that they share
+    are settled in the block of y, where many sets share them, and none in the
+    block of x; y stands for none of them.  The two must find each other by the
+    name of a slice."""
+    monkeypatch.setattr(J, "FEW", 2)
+    words = [f"s3b{i}" for i in range(100)]
+
+    def with_new(lo, n, name):
+        return " ".join(f"{name}n{k}" if (k - lo) % 100 < n else w for k, w in enumerate(words))
+
+    x, y = with_new(25, 1, "x"), with_new(75, 1, "y6")
+    fillers = [with_new(i, 22, f"f{i}") for i in range(100)]
+    texts = list(enumerate([x, y, *fillers, "a b c d e f"]))
+    parts = {i: c for i, (_, c) in jaccard_classes(texts).items()}
+    assert parts[1] == 0 and len(set(parts.values())) == len(texts) - 1     # the only link
+    _, raw, off = next(J.blocks(pa.record_batch({"text": pa.array([x, y], pa.string())})))
+    x, y = J.ShingleSets(raw, off).id.tolist()
+    blocks = spark.sparkContext.parallelize([texts[:1], texts[1:-1], texts[-1:]], 3).flatMap(list)
+    docs = spark.createDataFrame(blocks, "doc_id long, text string")
+    found = J.candidate_rows(J.slice_packets(docs, 4), 4).collect()
+    assert not any({r.a, r.b} == {x, y} for r in found if r.kind != J.COMMON)
+    slices = {b: {r.a for r in found if r.kind == J.COMMON and r.b == b} for b in (x, y)}
+    assert slices[x] & slices[y]
+
+
 def test_registered_query_on_the_table(spark):
     from martlens.llm.queries import QUERIES
     sf = "/root/testdata/sf0.001"
