@@ -13,6 +13,14 @@ Cutting is exact: no piece goes on past a space that follows another
 character, nor contains a character that no piece contains, so a text's best
 path is the best paths of its stretches, and a stretch is solved once per block.
 
+The file is a BPE model: its scores are negative merge ranks, no log
+probabilities.  The best path over them (n_ids, ids_crc32) is therefore not
+what the sentencepiece library gives for this file, which merges the adjacent
+pair of the best score until none is left.  MergeCoder gives that segmentation
+of the same stretches (n_merge_ids, merge_ids_crc32); its ids are those of
+SentencePieceProcessor.encode for any text without U+2581, which the library
+reads as a space.
+
 Edge cases: a null or empty text has no ids; the piece character U+2581 inside
 a text is coded as bytes, so it survives; repeated rows are coded each; an
 empty table gives no rows; other columns are ignored.
@@ -20,6 +28,7 @@ empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import heapq
 import zlib
 from collections import deque
 from collections.abc import Iterator
@@ -182,30 +191,97 @@ class PieceCoder(SpanCoder):
         return raw, off - np.append(0, np.cumsum(filled))
 
 
+class MergeCoder(PieceCoder):
+    """Encoder by merge order: the library's own ids of a BPE model."""
+
+    _of: dict[str, MergeCoder] = {}
+
+    def __init__(self, path: str) -> None:
+        import sentencepiece
+        super().__init__(path)
+        model = sentencepiece.SentencePieceProcessor(model_file=path)
+        if any(model.is_unused(i) for i in range(model.get_piece_size())):
+            raise ValueError("unused pieces are split again by the library; not built")
+        self.table = {model.id_to_piece(i).replace(SPACE_PIECE, " "): (-model.get_score(i), i)
+                      for i in range(model.get_piece_size())
+                      if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i))}
+
+    def _merged(self, text: str) -> list[str]:
+        """Symbols of a text after all merges, best score first, then leftmost."""
+        table = self.table
+        n = len(text)
+        symbol, after, before = list(text), list(range(1, n + 1)), list(range(-1, n - 1))
+        heap: list[tuple[float, int, str]] = []
+
+        def offer(a: int, b: int) -> None:
+            both = symbol[a] + symbol[b]
+            if both in table:
+                heapq.heappush(heap, (table[both][0], a, both))
+
+        for i in range(n - 1):
+            offer(i, i + 1)
+        while heap:
+            _, a, both = heapq.heappop(heap)
+            b = after[a]
+            # a pair of which one side has been merged meanwhile is out of date
+            if not symbol[a] or b >= n or symbol[a] + symbol[b] != both:
+                continue
+            symbol[a], symbol[b] = both, ""
+            after[a] = after[b]
+            if after[a] < n:
+                before[after[a]] = a
+                offer(a, after[a])
+            if before[a] >= 0:
+                offer(before[a], a)
+        return [x for x in symbol if x]
+
+    def _ids(self, spans: list[str]) -> list[list[int]]:
+        out = []
+        for text in spans:
+            ids: list[int] = []
+            for piece in self._merged(text):
+                if piece in self.table:
+                    ids.append(self.table[piece][1])
+                else:
+                    ids += [self.bytes.get(x, self.unknown_id) for x in piece.encode()] if self.bytes else [self.unknown_id]
+            out.append(ids)
+        return out
+
+
 CODED = pa.schema([("doc_id", pa.int64()), ("n_ids", pa.int64()), ("ids_crc32", pa.int64()),
-                   ("decoded_crc32", pa.int64()), ("round_trip", pa.bool_())])
+                   ("decoded_crc32", pa.int64()), ("round_trip", pa.bool_()),
+                   ("n_merge_ids", pa.int64()), ("merge_ids_crc32", pa.int64()), ("merge_round_trip", pa.bool_())])
 
 
 def op6_piece_viterbi(spark: SparkSession, docs: DataFrame, path: str | None = None) -> DataFrame:
     """Per document: number of ids, checksum of the ids (little-endian unsigned
     32 bit), checksum of the text decoded from them, and whether that is the
-    text byte for byte."""
+    text byte for byte; then number, checksum and round trip of the library's
+    own ids (merge order)."""
     path = path or model_path()
 
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = PieceCoder.load(path)
+        coder, merger = PieceCoder.load(path), MergeCoder.load(path)
+
+        def coded(by: PieceCoder, raw: np.ndarray, off: np.ndarray) -> tuple[list[pa.Array], pa.Array]:
+            """Number, checksum, checksum of the decoded text; round trip."""
+            ids, bounds = by.encode(raw, off)
+            text, end = by.decode(ids, bounds)
+            ids = ids.astype("<u4")
+            spans = list(zip(end[:-1].tolist(), end[1:].tolist(), off[:-1].tolist(), off[1:].tolist(), strict=True))
+            return ([pa.array(np.diff(bounds)),
+                     pa.array([zlib.crc32(ids[a:b]) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)], pa.int64()),
+                     pa.array([zlib.crc32(text[a:b]) for a, b, _, _ in spans], pa.int64())],
+                    pa.array([np.array_equal(text[a:b], raw[c:d]) for a, b, c, d in spans]))
+
         for batch in batches:
             for rows, raw, off in blocks(batch):
-                ids, bounds = coder.encode(raw, off)
-                text, end = coder.decode(ids, bounds)
-                ids = ids.astype("<u4")
-                spans = list(zip(end[:-1].tolist(), end[1:].tolist(), off[:-1].tolist(), off[1:].tolist(), strict=True))
+                best, back = coded(coder, raw, off)
+                merged, merged_back = coded(merger, raw, off)
                 yield pa.RecordBatch.from_arrays(
-                    [rows.column(0).cast(pa.int64()), pa.array(np.diff(bounds)),
-                     pa.array([zlib.crc32(ids[a:b]) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)], pa.int64()),
-                     pa.array([zlib.crc32(text[a:b]) for a, b, _, _ in spans], pa.int64()),
-                     pa.array([np.array_equal(text[a:b], raw[c:d]) for a, b, c, d in spans])], schema=CODED)
+                    [rows.column(0).cast(pa.int64()), *best, back, *merged[:2], merged_back], schema=CODED)
 
     return docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, n_ids long, ids_crc32 long, decoded_crc32 long, round_trip boolean")
+        run, "doc_id long, n_ids long, ids_crc32 long, decoded_crc32 long, round_trip boolean, "
+             "n_merge_ids long, merge_ids_crc32 long, merge_round_trip boolean")

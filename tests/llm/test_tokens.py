@@ -222,3 +222,43 @@ def test_registered_pieces(spark, pieces, sf_docs, rough_docs, no_docs):
     rough = piece_viterbi.op6_piece_viterbi(spark, rough_docs).collect()
     assert len(rough) == len(ROUGH_TEXTS) and all(r.round_trip for r in rough)
     assert piece_viterbi.op6_piece_viterbi(spark, no_docs).count() == 0
+
+
+# the library's own ids
+
+@pytest.fixture(scope="module")
+def library():
+    import sentencepiece
+    return sentencepiece.SentencePieceProcessor(model_file=piece_viterbi.model_path())
+
+
+def merge_ids(texts):
+    merger = piece_viterbi.MergeCoder.load(piece_viterbi.model_path())
+    raw, off = spans.text_bytes(pa.array(texts, pa.string()))
+    ids, at = merger.encode(raw, off)
+    back, end = merger.decode(ids, at)
+    assert [back[a:b].tobytes().decode() for a, b in zip(end[:-1], end[1:], strict=True)] == texts
+    return [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:], strict=True)]
+
+
+def test_merge_ids_are_the_library_s(library):
+    texts = ["", " ", "  two  spaces ", "the committee published its annual report yesterday", "international",
+             "Ünï under\tTab\r\n;\r x", "日本語 テスト 😀", "a" * 50, "y" * 3001, "x\x00y", "\n\n lead", "return {\r", " " * 40 + "x"]
+    assert merge_ids(texts) == [library.encode(t) for t in texts]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(alphabet=st.one_of(st.sampled_from(" \t\n'.,aeinorstthe"), st.characters(codec="utf-8", exclude_characters="\u2581")),
+                        max_size=40), max_size=6))
+def test_any_merge_ids_are_the_library_s(texts):
+    import sentencepiece
+    library = sentencepiece.SentencePieceProcessor(model_file=piece_viterbi.model_path())
+    assert merge_ids(texts) == [library.encode(t) for t in texts]
+
+
+def test_registered_query_gives_the_library_s_ids(spark, library, sf_docs, rough_docs):
+    texts = {r.doc_id: r.text for r in sf_docs.select("doc_id", "text").collect()}
+    for r in QUERIES["op6_piece_viterbi"](spark, SF).collect():
+        ids = library.encode(texts[r.doc_id])
+        assert (r.n_merge_ids, r.merge_ids_crc32, r.merge_round_trip) == (len(ids), crc(ids), True)
+    assert all(r.merge_round_trip for r in piece_viterbi.op6_piece_viterbi(spark, rough_docs).collect())
