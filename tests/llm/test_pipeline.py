@@ -3,7 +3,7 @@
 import __spark_entry__ as entry
 import corpus_pipeline as C
 from brute import jaccard_classes, without_repeats
-from samples import ROUGH_TEXTS, SF
+from samples import ROUGH_TEXTS, SF, make_docs
 
 from martlens.llm import quality, word_bpe
 
@@ -46,6 +46,26 @@ def test_stages_keep_the_columns_and_rough_rows(spark, rough_docs):
     assert C.STAGES[0][1](spark, rough_docs, SF).columns == rough_docs.columns
 
 
+def test_text_of_repeated_rows_and_of_copies_without_an_id_survives_once(spark):
+    def words(name, n=50):
+        return " ".join(f"{name}{i}" for i in range(n))
+
+    texts = [(1, words("a")), (1, words("a")), (1, words("a")),         # repeated row
+             (2, words("b")), (None, words("b") + " end"),              # copy without an id
+             (None, words("c")), (None, words("c")), (None, "lead " + words("c")),
+             (3, words("d")), (3, words("e")), (4, words("d")),         # one id, two texts
+             (5, words("f")), (None, None), (6, ""), (6, "")]
+    docs = make_docs(spark, texts).repartition(3).cache()
+    for name, stage in C.STAGES[1:3]:
+        docs = stage(spark, docs, SF)
+    rows = [(r.doc_id, r.text, r.n_chars) for r in docs.collect()]
+    assert all(n == (None if t is None else len(t)) for _, t, n in rows)
+    assert sorted((i, t) for i, t, _ in rows if i is not None) == [
+        (1, words("a")), (2, words("b")), (3, words("d")), (3, words("e")), (5, words("f")), (6, ""), (6, "")]
+    nameless = sorted((t or "" for i, t, _ in rows if i is None), key=len)
+    assert len(nameless) == 5 and nameless[:4] == [""] * 4 and nameless[4] in (words("c"), "lead " + words("c"))
+
+
 def test_empty_documents(spark, no_docs):
     docs = no_docs
     for _, stage in C.STAGES:
