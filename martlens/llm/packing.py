@@ -8,6 +8,7 @@ largest weighted dot product with the piece) gets it.
 
 Pieces are dealt over tasks by a hash of (doc_id, piece) and packed in groups
 of at most GROUP_PIECES, so a group costs at most one part-filled sequence.
+The query has as many tasks as full groups, by the number of pieces.
 
 Edge cases: a null or empty text has one piece, the end id; texts longer than
 a sequence are cut, only their last piece may be short; a sequence that a
@@ -26,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
 from martlens.llm.spans import blocks, tidy
-from martlens.llm.store import partitions
+from martlens.llm.store import Workspace
 from martlens.llm.word_bpe import WordBpe, vocabulary_path
 
 SEQUENCE_TOKENS = 4096
@@ -147,4 +148,6 @@ def pack(pieces: DataFrame, tasks: int, tokens: int = SEQUENCE_TOKENS, documents
 
 def op9_best_fit_packing(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """Every piece of every document with its sequence and its place there."""
-    return pack(token_pieces(docs, vocabulary_path()), partitions(spark))
+    pieces = Workspace(spark, "packing").save(token_pieces(docs, vocabulary_path()), "pieces")
+    tasks = -(-pieces.count() // GROUP_PIECES)          # full groups, whatever the session's partitions
+    return pack(pieces, max(1, tasks))

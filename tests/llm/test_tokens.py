@@ -131,6 +131,18 @@ def test_registered_packing_is_near_the_bound(spark, bpe, sf_docs):
     assert used <= -(-tokens // 4096) + 8 + 2       # a part-filled one for each of 8 tasks
 
 
+def test_packing_does_not_depend_on_the_session_s_partitions(spark, bpe, sf_docs):
+    texts = [(r.doc_id, r.text) for r in sf_docs.select("doc_id", "text").collect()]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "120")
+    try:
+        used, tokens = check_packing(bpe, packing.op9_best_fit_packing(spark, sf_docs).collect(), texts)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    print("sequences", used, "least", -(-tokens // 4096))
+    assert used <= -(-tokens // 4096) + 2
+
+
 def plain_best_fit(lengths, tokens, documents, cost):
     """The rule in plain Python, one piece and one sequence at a time."""
     room = []
