@@ -2,7 +2,9 @@
 
 A subclass says what the ids of a span are; every distinct span of a block is
 asked for once, and a worker remembers spans from block to block (bounded, see
-CACHE_SPANS).
+CACHE_SPANS).  A span is known by two independent 64-bit hashes: one finds it,
+the other must agree too.  Spans that agree in the first only are asked for one
+by one and not remembered.
 """
 
 from __future__ import annotations
@@ -25,8 +27,8 @@ class SpanCoder:
         raise NotImplementedError
 
     def _clear(self) -> None:
-        empty = (np.zeros(0, U64), np.zeros(0, np.int64), np.zeros(0, np.int64))
-        self.main, self.recent = empty, empty       # sorted hashes, offsets, lengths
+        empty = (np.zeros(0, U64), np.zeros(0, U64), np.zeros(0, np.int64), np.zeros(0, np.int64))
+        self.main, self.recent = empty, empty       # sorted hashes, second hashes, offsets, lengths
         self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
 
     def _find(self, keys: np.ndarray, level) -> tuple[np.ndarray, np.ndarray]:
@@ -36,7 +38,14 @@ class SpanCoder:
         at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
         return known[at] == keys, at
 
-    def _learn(self, keys: np.ndarray, ids: list[list[int]]) -> None:
+    def _learn(self, keys: np.ndarray, proof: np.ndarray, ids: list[list[int]]) -> None:
+        offsets, lengths = self._store(ids)
+        self.recent = self._merge(self.recent, (keys, proof, offsets, lengths))
+        if len(self.recent[0]) > RECENT:
+            self.main, self.recent = self._merge(self.main, self.recent), tuple(x[:0] for x in self.recent)
+
+    def _store(self, ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+        """Append id lists to the flat memory: their offsets and lengths."""
         lengths = np.fromiter(map(len, ids), np.int64, len(ids))
         flat = np.fromiter((x for i in ids for x in i), np.uint32, int(lengths.sum()))
         if len(self.flat) < self.used + len(flat):
@@ -44,9 +53,7 @@ class SpanCoder:
         self.flat[self.used:self.used + len(flat)] = flat
         offsets = self.used + np.cumsum(lengths) - lengths
         self.used += len(flat)
-        self.recent = self._merge(self.recent, (keys, offsets, lengths))
-        if len(self.recent[0]) > RECENT:
-            self.main, self.recent = self._merge(self.main, self.recent), (keys[:0], offsets[:0], lengths[:0])
+        return offsets, lengths
 
     @staticmethod
     def _merge(a, b):
@@ -57,21 +64,30 @@ class SpanCoder:
     def encode_spans(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray,
                      first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts and n + 1 offsets; ``first`` is the first span of each text."""
-        keys, at, inverse = np.unique(hash_spans(raw, starts, ends), return_index=True, return_inverse=True)
+        names, proof = hash_spans(raw, starts, ends), hash_spans(raw, starts, ends, 1)
+        keys, at, inverse = np.unique(names, return_index=True, return_inverse=True)
         if len(self.main[0]) > CACHE_SPANS:
             self._clear()
         in_main, _ = self._find(keys, self.main)
         in_recent, _ = self._find(keys, self.recent)
         new = np.flatnonzero(~(in_main | in_recent))
         if len(new):
-            s, e = starts[at[new]].tolist(), ends[at[new]].tolist()
-            self._learn(keys[new], self._ids([raw[a:b].tobytes().decode("utf-8", "replace")
-                                              for a, b in zip(s, e, strict=True)]))
-        offsets, lengths = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
+            self._learn(keys[new], proof[at[new]], self._ids(_texts(raw, starts, ends, at[new])))
+        seconds, offsets, lengths = np.zeros(len(keys), U64), np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
         for level in (self.main, self.recent):
             hit, i = self._find(keys, level)
-            offsets[hit], lengths[hit] = level[1][i[hit]], level[2][i[hit]]
-        per_span = lengths[inverse]
+            seconds[hit], offsets[hit], lengths[hit] = level[1][i[hit]], level[2][i[hit]], level[3][i[hit]]
+        where, per_span = offsets[inverse], lengths[inverse]
+        odd = np.flatnonzero(seconds[inverse] != proof)         # another span of the same first hash
+        if len(odd):
+            used = self.used
+            where[odd], per_span[odd] = self._store(self._ids(_texts(raw, starts, ends, odd)))
+            self.used = used                                    # read below, then overwritten
         total = np.zeros(len(per_span) + 1, np.int64)
         np.cumsum(per_span, out=total[1:])
-        return self.flat[spread(offsets[inverse], per_span)], total[first]
+        return self.flat[spread(where, per_span)], total[first]
+
+
+def _texts(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: np.ndarray) -> list[str]:
+    return [raw[a:b].tobytes().decode("utf-8", "replace")
+            for a, b in zip(starts[which].tolist(), ends[which].tolist(), strict=True)]

@@ -12,7 +12,6 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import functools
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,7 +19,7 @@ import pyarrow as pa
 
 U64 = np.uint64
 BLOCK_BYTES = 1 << 20       # bytes of text handled at once
-LONG_SPAN = 4096            # longer spans are hashed by blake2b
+LANES = 1 << 19             # 8-byte lanes of long spans hashed at once
 _M = (1 << 64) - 1
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -70,9 +69,9 @@ class _Tables:
         return self.up, self.down
 
 
-_BYTES = _Tables(0x9E3779B97F4A7C15)
 _WORDS = (_Tables(0xD6E8FEB86659FD93), _Tables(0xA0761D6478BD642F))
-_BYTE_VALUES = np.random.Generator(np.random.PCG64(0x5EED)).integers(1, 1 << 63, 256, dtype=np.int64).astype(U64)
+#: Mask of the first 0 .. 8 bytes of a little-endian lane.
+_FIRST = np.array([(1 << 8 * n) - 1 for n in range(9)], U64)
 
 
 def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
@@ -120,28 +119,28 @@ def word_spans(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts, ends, np.searchsorted(starts, off)
 
 
-def hash_spans(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of the bytes of each span; spans ascend and do not overlap."""
-    out = np.empty(len(starts), U64)
-    long = np.flatnonzero(ends - starts > LONG_SPAN)
-    cuts = np.unique(np.concatenate([[0, len(starts)], long, long + 1]))
-    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-        if b - a == 1 and ends[a] - starts[a] > LONG_SPAN:
-            digest = hashlib.blake2b(raw[starts[a]:ends[a]].tobytes(), digest_size=8).digest()
-            out[a] = np.frombuffer(digest, U64)[0]
-            continue
-        lo = a
-        while lo < b:
-            hi = min(b, max(lo + 1, int(np.searchsorted(ends[:b], starts[lo] + BLOCK_BYTES))))
-            s0 = starts[lo]
-            part = raw[s0:ends[hi - 1]]
-            up, down = _BYTES.get(len(part) + 1)
-            total = np.zeros(len(part) + 1, U64)
-            np.cumsum(_BYTE_VALUES[part] * up[:len(part)], out=total[1:])
-            s, e = starts[lo:hi] - s0, ends[lo:hi] - s0
-            out[lo:hi] = (total[e] - total[s]) * down[s] + (e - s).astype(U64)
-            lo = hi
-    return mix(out)
+def hash_spans(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
+    """64-bit hash of the bytes of each span; another seed gives an independent one.
+
+    A span is read in 8-byte lanes.  Each lane is scrambled together with its
+    number, the scrambled lanes are summed, and the sum is scrambled with the
+    length: one rule for every length."""
+    size = ends - starts
+    # lane at any byte: an unaligned view of the bytes and 8 zeros
+    lane_at = np.ndarray((len(raw) + 1,), "<u8", np.concatenate([raw, np.zeros(8, np.uint8)]), strides=(1,))
+    total = mix(lane_at[starts] & _FIRST[np.minimum(size, 8)], 31 + seed)
+    more = np.maximum(size - 1, 0) >> 3                     # lanes after the first
+    long = np.flatnonzero(more)
+    until = np.cumsum(more[long])
+    for lo in range(0, int(until[-1]) if len(long) else 0, LANES):
+        lane = np.arange(lo, min(lo + LANES, int(until[-1])))
+        which = np.searchsorted(until, lane, "right")
+        number = lane - until[which] + more[long[which]] + 1
+        at = starts[long[which]] + 8 * number
+        value = lane_at[at] & _FIRST[np.minimum(ends[long[which]] - at, 8)]
+        head, _ = runs(which)
+        total[long[which[head]]] += np.add.reduceat(mix(value ^ mix(number.astype(U64), 32 + seed), 31 + seed), head)
+    return mix(total ^ mix(size.astype(U64), 33 + seed))
 
 
 def window_hashes(words: np.ndarray, width: int, which: int = 0) -> np.ndarray:
