@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from martlens.llm import (
+    exact_dedup,
     jaccard_join,
     order_minhash,
     packing,
@@ -49,8 +50,10 @@ QUERIES: dict[str, Query] = {
     "op8_token_files": _over("documents", token_files.op8_token_files),
     "op9_best_fit_packing": _over("documents", packing.op9_best_fit_packing),
     "op10_url_filter": _over("pages", url_filter.op10_url_filter),
+    "op13_exact_dedup": _over("documents", exact_dedup.op13_exact_dedup),
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op10_url_filter": url_filter.ORACLE,
+    "op13_exact_dedup": exact_dedup.ORACLE,
 }
