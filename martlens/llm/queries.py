@@ -11,9 +11,11 @@ from martlens.llm import (
     jaccard_join,
     order_minhash,
     packing,
+    periodic_runs,
     piece_viterbi,
     quality,
     quantised_neighbours,
+    ranked_search,
     recompression,
     sharding,
     token_files,
@@ -39,6 +41,12 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                                spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return ranked_search.op12_ranked_search(spark, spark.read.parquet(f"{sf_dir}/documents.parquet"),
+                                            spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_jaccard_join": _over("documents", jaccard_join.op1_jaccard_join),
     "op2_order_minhash": _over("documents", order_minhash.op2_order_minhash),
@@ -50,10 +58,13 @@ QUERIES: dict[str, Query] = {
     "op8_token_files": _over("documents", token_files.op8_token_files),
     "op9_best_fit_packing": _over("documents", packing.op9_best_fit_packing),
     "op10_url_filter": _over("pages", url_filter.op10_url_filter),
+    "op11_periodic_runs": _over("documents", periodic_runs.op11_periodic_runs),
+    "op12_ranked_search": op12_ranked_search,
     "op13_exact_dedup": _over("documents", exact_dedup.op13_exact_dedup),
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op10_url_filter": url_filter.ORACLE,
+    "op12_ranked_search": ranked_search.ORACLE,
     "op13_exact_dedup": exact_dedup.ORACLE,
 }

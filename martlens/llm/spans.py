@@ -106,11 +106,12 @@ def blocks(batch: pa.RecordBatch, text: str = "text") -> Iterator[tuple[pa.Recor
         lo = hi
 
 
-def word_spans(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_spans(raw: np.ndarray, off: np.ndarray, apart: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of the words ``[^\\x20\\x09-\\x0D]+`` and the index of the
-    first word of each text (n + 1 values)."""
+    first word of each text (n + 1 values).  ``apart`` tells for each byte
+    whether it stands between words."""
     solid = np.zeros(len(raw) + 1, bool)
-    np.logical_not(_SPACE[raw], out=solid[1:])
+    np.logical_not(apart[raw], out=solid[1:])
     first = np.zeros(len(raw) + 1, bool)
     first[off] = True                       # a text always starts anew
     starts = np.flatnonzero(solid[1:] & (~solid[:-1] | first[:-1]))

@@ -1,0 +1,131 @@
+import hashlib
+import random
+import zlib
+
+import numpy as np
+import pytest
+from brute import WORD, sha
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from samples import EDGE_TEXTS, ROUGH_TEXTS, SF, make_docs
+
+from martlens.llm import periodic_runs as P
+from martlens.llm.queries import QUERIES
+
+
+def brute_runs(words, shortest=6, exponent=4):
+    """Every period extended from every place; the smallest period of a stretch counts."""
+    n, out = len(words), {}
+    for q in range(1, n // exponent + 1):
+        i = 0
+        while i + q < n:
+            if words[i] != words[i + q]:
+                i += 1
+                continue
+            j = i
+            while j + q < n and words[j] == words[j + q]:
+                j += 1
+            length = j + q - i
+            if length >= max(shortest, exponent * q):
+                out.setdefault((i, length), q)          # periods ascend
+            i = j
+    return sorted((s, n, q) for (s, n), q in out.items())
+
+
+def looped(doc_id, words):
+    n = len(words)
+    h = zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1
+    if h % 10 or not n:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + (i - a) % p] for i in range(a, n)]
+
+
+def expected(doc_id, text):
+    words = looped(doc_id, WORD.findall(text or ""))
+    found = brute_runs(words)
+    gone = set()
+    for s, n, q in found:
+        gone.update(range(s + q, s + n))
+    s, n, q = min(found, key=lambda r: (-r[1], r[0], r[2]), default=(None,) * 3)
+    lines = "".join(f"{s},{n},{q}\n" for s, n, q in sorted(found, key=lambda r: (r[0], r[2])))
+    return (doc_id, len(found), s, n, q, n and 1000 * n // q, hashlib.sha256(lines.encode()).hexdigest(),
+            sha([w for i, w in enumerate(words) if i not in gone]))
+
+
+def in_order(rows):
+    return sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1:2], r[6:]))
+
+
+def search(words, shortest=6, exponent=4):
+    names = {w: i for i, w in enumerate(sorted(set(words)))}
+    values = P.mix(np.array([names[w] for w in words], P.U64))
+    got = P.find_runs(values, np.zeros(len(words), np.int64), shortest, exponent)
+    return sorted((int(s), int(n), int(q)) for s, n, q in zip(*got, strict=True))
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.sampled_from("abc"), max_size=60), st.lists(st.sampled_from("ab"), min_size=1, max_size=9),
+       st.integers(1, 12), st.lists(st.sampled_from("abc"), max_size=20))
+def test_runs_of_small_alphabets(head, period, times, tail):
+    words = head + period * times + tail
+    assert search(words) == brute_runs(words)
+    assert search(words, 4, 3) == brute_runs(words, 4, 3)
+
+
+def test_nested_runs_and_long_ones():
+    rng = random.Random(3)
+    inner = ["a", "b"] * 6 + ["c"]
+    for words in (inner * 7, ["x"] * 500, (["x"] * 9 + ["y"]) * 40, (inner * 5 + ["z"]) * 6, ["a"] * 6 + ["b"] + ["a"] * 6,
+                  [str(i % 37) for i in range(700)], [rng.choice("ab") for _ in range(900)]):
+        assert search(words) == brute_runs(words)
+
+
+def test_texts_of_a_block_are_apart():
+    words = np.array([7] * 12, P.U64)
+    start, length, period = P.find_runs(words, np.array([0] * 4 + [1] * 8))
+    assert (start.tolist(), length.tolist(), period.tolist()) == ([4], [8], [1])
+
+
+def test_many_left_words_and_a_long_text_stay_fast():
+    words = [w for i in range(20000) for w in (f"line{i}", "a", "b", "c", "d", "e", "f")] + ["the"] * 50000
+    assert search(words) == [(140000, 50000, 1)]
+
+
+@pytest.mark.parametrize("texts", [EDGE_TEXTS, ROUGH_TEXTS])
+def test_edge_cases(spark, texts):
+    small = [(i, t) for i, t in texts if len(t or "") < 20000]
+    big = [(i, t) for i, t in texts if len(t or "") >= 20000]
+    rows = P.op11_periodic_runs(spark, make_docs(spark, small + big).repartition(3)).collect()
+    ids = {i for i, _ in big}
+    assert in_order(tuple(r) for r in rows if r.doc_id not in ids) == in_order(expected(*t) for t in small)
+    assert len(rows) == len(texts)
+
+
+def test_empty_table(spark, no_docs):
+    assert P.op11_periodic_runs(spark, no_docs).count() == 0
+    assert P.collapse_runs(spark, no_docs).columns == ["runs", *no_docs.columns]
+
+
+def test_registered_query(spark, sf_docs):
+    texts = [(r.doc_id, r.text) for r in sf_docs.select("doc_id", "text").collect()]
+    assert any(zlib.crc32(str(i).encode()) % 10 == 0 for i, _ in texts)
+    rows = {r.doc_id: tuple(r) for r in QUERIES["op11_periodic_runs"](spark, SF).collect()}
+    assert len(rows) == len(texts)
+    for i, t in texts:
+        if len(t or "") < 12000:
+            assert rows[i] == expected(i, t)
+    assert sum(r[1] > 0 for r in rows.values()) > 10
+
+
+def test_collapsing_keeps_columns_and_other_texts(spark):
+    texts = [(1, "a b " * 5 + "end"), (2, "no  run\there"), (3, None), (None, "x " * 9)]
+    docs = make_docs(spark, texts)
+    done = P.collapse_runs(spark, docs)
+    assert done.columns == ["runs", *docs.columns]
+    rows = {r.doc_id: r for r in done.collect()}
+    assert [(rows[i].text, [tuple(x) for x in rows[i].runs]) for i in (1, 2, 3, None)] == [
+        ("a b end", [(0, 10, 2)]), ("no  run\there", []), (None, []), ("x", [(0, 9, 1)])]
+    assert rows[1].words == "w" and rows[1].start == 8
