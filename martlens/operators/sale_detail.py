@@ -90,3 +90,14 @@ def interval_join(left: DataFrame, right: DataFrame, key: str, left_time: str, r
             & (right[right_time] >= left[left_time] + F.expr(f"INTERVAL {lower}"))
             & (right[right_time] <= left[left_time] + F.expr(f"INTERVAL {upper}")))
     return left.join(right, cond, "inner").drop(right[key])
+
+
+def unmatched_lines(lines: DataFrame, orders: DataFrame, key: str, line_time: str, order_time: str,
+                    bound: str) -> DataFrame:
+    """Lines that no order of their key met within ``bound`` of their time, either
+    way: what the stream drops from its join state, and sends to the reject topic.
+    A line without a key or a time meets nobody."""
+    o = orders.select(F.col(key).alias("_key"), F.col(order_time).alias("_time"))
+    met = ((F.col(key) == F.col("_key")) & (F.col(line_time) >= F.col("_time") - F.expr(f"INTERVAL {bound}"))
+           & (F.col(line_time) <= F.col("_time") + F.expr(f"INTERVAL {bound}")))
+    return lines.join(o, met, "left_anti")

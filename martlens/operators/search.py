@@ -117,6 +117,37 @@ def stat_json(hits: DataFrame) -> DataFrame:
     return _with_shares(_share_counts(hits)).select(F.col("n").alias("total"), F.to_json(stats).alias("stat"))
 
 
+def facets(hits: DataFrame) -> DataFrame:
+    """A5-A10 in one pass: total, both term lists, both pies and the largest age,
+    from one aggregate over grouping sets, so the hits are read once and shuffled
+    once, partially aggregated.
+
+    Rows (facet, bucket, doc_count, value): ``total``; a row per ``user_age`` and
+    ``user_gender`` bucket; ``max_age``; the shares of ``gender_ratio`` and
+    ``age_ratio`` in ``value``. Without hits the last three are as in
+    ``max_metric``, ``gender_ratio`` and ``age_ratio``."""
+    age, gender = F.col("user_age"), F.col("user_gender")
+    sets = hits.groupingSets([["user_age"], ["user_gender"], []], "user_age", "user_gender").agg(
+        F.grouping_id().alias("gid"), F.count(F.lit(1)).alias("n"), F.max(age).alias("oldest"),
+        F.count(F.when(gender == MALE, 1)).alias("m"), F.count(F.when(age < AGE_LOW, 1)).alias("lo"),
+        F.count(F.when(age >= AGE_HIGH, 1)).alias("hi"))
+    s = _with_shares(sets)
+    none, text = F.lit(None), F.lit(None).cast("string")
+
+    def row(facet, bucket, count, value):
+        return F.struct(F.lit(facet).alias("facet"), bucket.cast("string").alias("bucket"),
+                        count.cast("long").alias("doc_count"), value.cast("double").alias("value"))
+
+    whole = F.array(row("total", text, F.col("n"), none), row("max_age", text, none, F.col("oldest")),
+                    *[row("gender_ratio", F.lit(b), none, F.col(c)) for b, c in (("male", "male_ratio"), ("female", "female_ratio"))],
+                    *[row("age_ratio", F.lit(b), none, F.col(c)) for b, c in (
+                        ("lt20", "lt20_ratio"), ("20to30", "20to30_ratio"), ("ge30", "ge30_ratio"))])
+    # grouping_id: a bit per column that is rolled up, user_age first
+    one = F.when(F.col("gid") == 1, row("user_age", age, F.col("n"), none)).otherwise(row("user_gender", gender, F.col("n"), none))
+    return s.filter((F.col("gid") == 3) | F.coalesce("user_age", F.when(gender.isNotNull(), 0)).isNotNull()).select(
+        F.inline(F.when(F.col("gid") == 3, whole).otherwise(F.array(one))))
+
+
 def max_metric(hits: DataFrame, col: str, name: str | None = None) -> DataFrame:
     """A10: maximum of ``col`` over the hits (null when none)."""
     return hits.agg(F.max(col).alias(name or f"max_{col}"))

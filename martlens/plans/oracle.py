@@ -359,4 +359,43 @@ FROM events""",
     "gmv_upsert_total": f"""WITH {ORDER_INFO}
 SELECT split_part(create_time, ' ', 1) AS create_date, {_MONEY.format(c='total_amount')} AS sum_amount
 FROM oi GROUP BY 1""",
+
+    "log_route_rough": r"""
+SELECT event_id AS log_id, CASE WHEN event_type = 'signup' THEN 'TOPIC_START' ELSE 'TOPIC_EVENT' END AS topic,
+       CAST(user_id AS VARCHAR) AS mid,
+       '{"mid":"old", "type":"' || CASE WHEN event_type = 'signup' THEN 'startup' ELSE 'event' END
+       || '", "n":1' || repeat(CAST(user_id AS VARCHAR), 12) || ',"big":1e400,"in":{"ts":1,"k":[{"ts":2}]},"mid":"'
+       || user_id || '","text":"a,\"ts\":3}" ,"ts":' || (epoch_us(ts) // 1000) || '}' AS value
+FROM events""",
+
+    "gmv_delta": f"""WITH {ORDER_INFO},
+shipped AS (SELECT l_orderkey AS id, sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS amount, min(l_shipdate) AS t
+            FROM lineitem GROUP BY 1),
+last AS (SELECT CASE WHEN order_status = 'F' AND s.id IS NOT NULL THEN strftime(t, '%Y-%m-%d')
+                     ELSE split_part(create_time, ' ', 1) END AS create_date,
+                CASE WHEN order_status = 'F' AND s.id IS NOT NULL THEN amount
+                     ELSE CAST(total_amount AS DECIMAL(18,2)) END AS amount
+         FROM oi LEFT JOIN shipped s USING (id))
+SELECT create_date, CAST(sum(amount) AS DOUBLE) AS sum_amount, count(*) AS order_count FROM last GROUP BY 1""",
+
+    "active_devices_range": """WITH days AS (SELECT DISTINCT user_id AS mid, CAST(ts AS DATE) AS d FROM events WHERE user_id IS NOT NULL),
+dates AS (SELECT CAST(unnest(generate_series(min(d), max(d), INTERVAL 1 DAY)) AS DATE) AS d FROM days)
+SELECT strftime(dates.d, '%Y-%m-%d') AS logDate,
+       count(DISTINCT CASE WHEN days.d > dates.d - 7 THEN mid END) AS devices_7, count(DISTINCT mid) AS devices_30
+FROM dates JOIN days ON days.d <= dates.d AND days.d > dates.d - 30 GROUP BY 1""",
+
+    "new_devices_incremental": f"""WITH {STARTUP}, {DAU}
+SELECT logDate, count(*) AS new_devices FROM (SELECT mid, min(logDate) AS logDate FROM dau GROUP BY mid) GROUP BY 1""",
+
+    # every event expanded into every window that contains it
+    "coupon_alert_islands": """WITH ev AS (
+  SELECT CAST(json_extract(props, '$.k') AS INTEGER) % 10 AS mid, user_id AS uid, event_type, epoch_ms(ts) AS ts
+  FROM events WHERE event_type IN ('purchase', 'click')),
+windows AS (SELECT mid, uid, event_type,
+                   unnest(generate_series((ts - 10800000) // 5000 + 1, ts // 5000)) AS k FROM ev),
+alerting AS (SELECT mid, k, count(DISTINCT uid) AS users FROM windows GROUP BY 1, 2
+             HAVING count(DISTINCT uid) FILTER (event_type = 'purchase') >= 3 AND count(*) FILTER (event_type = 'click') = 0),
+numbered AS (SELECT mid, k, users, k - row_number() OVER (PARTITION BY mid ORDER BY k) AS episode FROM alerting)
+SELECT mid, make_timestamp(min(k) * 5000000) AS first_window, make_timestamp(max(k) * 5000000) AS last_window,
+       count(*) AS windows, max(users) AS most_users FROM numbered GROUP BY mid, episode""",
 }

@@ -14,7 +14,20 @@ from pyspark.sql import functions as F
 
 from martlens.functions.text import mask_phone
 from martlens.functions.time import with_create_date_hour, with_log_date_hour
-from martlens.operators import alerts, dau, gmv, kpi, sale_detail, search, upsert, users
+from martlens.operators import (
+    alert_islands,
+    alerts,
+    dau,
+    deltas,
+    device_sets,
+    first_seen,
+    gmv,
+    kpi,
+    sale_detail,
+    search,
+    upsert,
+    users,
+)
 from martlens.operators.keyed import last_per_key
 from martlens.sources import cdc, logs, tables
 
@@ -30,6 +43,9 @@ ORDER_DATE = "1996-03-13"
 ALERT_WINDOW, ALERT_SLIDE = "6 hours", "1 hour"
 INTERVAL_LOWER, INTERVAL_UPPER = "-30 days", "30 days"
 BATCH_SPLIT_HOUR = "12"       # dau_incremental: morning batch is stored, afternoon batch arrives
+DELTA_SPLIT = "1995-01-01"    # gmv_delta: orders from before arrive first, amendments of later ones with them
+RANGE_DAYS = (7, 30)          # active_devices_range
+ISLAND_WINDOW, ISLAND_SLIDE = "3 hours", "5 seconds"
 UPSERT_SPLIT = "1998-01-01"   # upsert_latest: lines shipped before are stored, later ones arrive
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -303,6 +319,12 @@ def log_route_full(spark, sf):
     return logs.ingest_events_table(_t(spark, sf, "events")).select("log_id", "topic", "value")
 
 
+def log_route_rough(spark, sf):
+    """Lines with repeated keys, long numbers and times of their own."""
+    rows = logs.ingest_events_table(_t(spark, sf, "events"), logs.rough_log_lines)
+    return rows.select("log_id", "topic", "mid", "value")
+
+
 def gmv_upsert_total(spark, sf):
     """Orders of which the finished ones were delivered twice."""
     o = _orders(spark, sf)
@@ -310,6 +332,48 @@ def gmv_upsert_total(spark, sf):
     return gmv.gmv_total(last_per_key(delivered, ["id"], ["create_time"]))
 
 
+def _order_versions(spark, sf):
+    """First and amended versions of orders: when a finished order is settled,
+    its amount becomes that of its lines and its time that of its first shipment."""
+    columns = ["id", "version", "total_amount", "create_time"]
+    o = tables.order_info(_t(spark, sf, "orders"))
+    shipped = _t(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("id")).agg(
+        F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("double").alias("total_amount"),
+        F.date_format(F.min("l_shipdate"), "yyyy-MM-dd HH:mm:ss").alias("create_time"))
+    first = o.withColumn("version", F.lit(1))
+    finished = first.filter(F.col("order_status") == "F")
+    amended = finished.select("id").join(shipped, "id").withColumn("version", F.lit(2))
+    return first.select(*columns), finished.select(*columns), amended.select(*columns)
+
+
+def gmv_delta(spark, sf):
+    """Totals kept by deltas over three batches: half of the amendments come
+    before the orders they amend, and finished orders are redelivered late."""
+    first, finished, amended = _order_versions(spark, sf)
+    early, late = F.col("create_time") < DELTA_SPLIT, F.col("create_time") >= DELTA_SPLIT
+    batches = [first.filter(early).unionByName(amended.filter(late)),
+               first.filter(late).unionByName(amended.filter(early)), finished]
+    return deltas.totals_of_batches([with_create_date_hour(b) for b in batches], "id", ["version"], ["create_date"])
+
+
+def active_devices_range(spark, sf):
+    days = _startup(spark, sf).select("mid", "logDate").distinct()
+    sets = device_sets.daily_sets(days, device_sets.number_devices(days))
+    return device_sets.trailing_active_devices(sets, RANGE_DAYS)
+
+
+def new_devices_incremental(spark, sf):
+    """Three batches in which later hours arrive first, so that first days move back."""
+    s = _startup(spark, sf).select("mid", "logDate", "logHour")
+    hour = F.col("logHour")
+    return first_seen.new_devices_of_batches(
+        [s.filter(hour >= "16"), s.filter((hour >= "08") & (hour < "16")), s.filter(hour < "08")])
+
+
+def coupon_alert_islands(spark, sf):
+    return alert_islands.alert_episodes(tables.event_logs(_t(spark, sf, "events")), ISLAND_WINDOW, ISLAND_SLIDE)
+
+
 def _alerts(spark, sf):
     return alerts.coupon_alerts(tables.event_logs(_t(spark, sf, "events")), ALERT_WINDOW, ALERT_SLIDE)
 
@@ -371,4 +435,9 @@ QUERIES: dict[str, Query] = {
     "gmv_hours_compare_date": gmv_hours_compare_date,
     "log_route_full": log_route_full,
     "gmv_upsert_total": gmv_upsert_total,
+    "log_route_rough": log_route_rough,
+    "gmv_delta": gmv_delta,
+    "active_devices_range": active_devices_range,
+    "new_devices_incremental": new_devices_incremental,
+    "coupon_alert_islands": coupon_alert_islands,
 }

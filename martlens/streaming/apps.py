@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
+import logging
 import zoneinfo
 from collections.abc import Callable
 
@@ -19,12 +20,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martlens.sources import logs as topics
-from martlens.sources.jdbc import users_from_jdbc
+from martlens.sources.jdbc import user_lookup_jdbc
 from martlens.streaming import jobs
 from martlens.streaming.sinks import TopicSink, kafka_sink
 from martlens.streaming.sources import kafka_stream
+from martlens.streaming.state import COMPACT_EVERY
 
 Source = Callable[[str], DataFrame]
+Counts = Callable[[int, dict[str, int]], None]
+log = logging.getLogger("martlens.apps")
+
+
+def logged_counts(batch_id: int, counts: dict[str, int]) -> None:
+    """The rows of a batch after each step, one log line per batch."""
+    log.info("batch %d: %s", batch_id, ", ".join(f"{k} {v}" for k, v in counts.items()))
+
 
 
 def kafka_sources(spark: SparkSession, servers: str, starting_offsets: str = "latest") -> Source:
@@ -35,12 +45,19 @@ def _ck(root: str, app: str) -> str:
     return f"{root.rstrip('/')}/_checkpoints/{app}"
 
 
-def dau_app(spark, source: Source, root: str, trigger=None, tz: str = "UTC"):
-    return jobs.dau_job(source(topics.TOPIC_STARTUP), f"{root}/dau", _ck(root, "dau"), trigger, tz)
+def dau_app(spark, source: Source, root: str, trigger=None, tz: str = "UTC", counts: Counts | None = None,
+            compact_every: int = COMPACT_EVERY):
+    """Device-days, and under ``devices`` what they say of devices (sets of
+    active ones per day, first days, new ones per day)."""
+    history = jobs.DeviceHistory(f"{root}/devices", compact_every=compact_every)
+    return jobs.dau_job(source(topics.TOPIC_STARTUP), f"{root}/dau", _ck(root, "dau"), trigger, tz,
+                        counts or logged_counts, history, compact_every)
 
 
-def gmv_app(spark, source: Source, root: str, trigger=None, **_):
-    return jobs.gmv_job(source(topics.TOPIC_ORDER_INFO), f"{root}/order_info", _ck(root, "gmv"), trigger)
+def gmv_app(spark, source: Source, root: str, trigger=None, compact_every: int = COMPACT_EVERY, **_):
+    """Orders, and under ``gmv`` their totals per day and hour."""
+    return jobs.gmv_job(source(topics.TOPIC_ORDER_INFO), f"{root}/order_info", _ck(root, "gmv"), trigger,
+                        f"{root}/gmv", compact_every)
 
 
 def alert_app(spark, source: Source, root: str, window="5 minutes", slide="5 seconds", delay="1 minute",
@@ -99,10 +116,7 @@ def main(argv: list[str] | None = None) -> None:
         rows = src("TOPIC_CHANGES").select(F.from_json("value", CHANGE).alias("c")).select("c.*")
         cdc_app(spark, rows, a.root, sink)
     elif a.app == "sale_detail":
-        fallback = None
-        if a.users_jdbc:
-            def fallback(ids: DataFrame) -> DataFrame:
-                return users_from_jdbc(spark, a.users_jdbc, {}).join(ids, "id", "left_semi")
+        fallback = user_lookup_jdbc(spark, a.users_jdbc, {}) if a.users_jdbc else None
         sale_detail_app(spark, src, a.root, a.as_of, tz=a.tz, fallback=fallback)
     else:
         APPS[a.app](spark, src, a.root, tz=a.tz)

@@ -10,7 +10,7 @@ default to the reference's 5-second micro-batches; tests pass
 
 from __future__ import annotations
 
-import time
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -22,12 +22,14 @@ from martlens.operators import alerts as alert_ops
 from martlens.operators import dau as dau_ops
 from martlens.operators.gmv import prepare_orders
 from martlens.operators.keyed import last_per_key
+from martlens.operators.live_users import LIFE, live_at
 from martlens.operators.sale_detail import enrich_users
 from martlens.schemas import EVENT_LOG, ORDER_DETAIL, ORDER_INFO, STARTUP_LOG, USER_INFO
 from martlens.sources.cdc import route_changes
-from martlens.sources.logs import ingest
-from martlens.streaming.sinks import BATCH_COL, KeyedStore, TopicSink, folder_sink
+from martlens.sources.logs import TOPIC_REJECT, ingest
+from martlens.streaming.sinks import BATCH_COL, KeyedStore, TopicSink, append_by_batch, folder_sink
 from martlens.streaming.sources import parse_json
+from martlens.streaming.state import COMPACT_EVERY, DeviceHistory, FoldingStore, OrderTotals, before
 
 DEFAULT_TRIGGER = {"processingTime": "5 seconds"}
 
@@ -47,7 +49,8 @@ def _start(writer, checkpoint: str, trigger: dict | None):
 # --- DAU -------------------------------------------------------------------
 
 def dau_job(lines: DataFrame, store_root: str, checkpoint: str, trigger: dict | None = None, tz: str = "UTC",
-            counts: Callable[[int, dict[str, int]], None] | None = None):
+            counts: Callable[[int, dict[str, int]], None] | None = None, history: DeviceHistory | None = None,
+            compact_every: int = COMPACT_EVERY):
     """T3/T4 with the reference's rule: earliest log per device-day inside a
     batch, first batch overall. Each batch is anti-joined with the device-days
     stored by *earlier* batches (J5/J6, keyed on the log's own date), so a
@@ -55,7 +58,9 @@ def dau_job(lines: DataFrame, store_root: str, checkpoint: str, trigger: dict |
 
     Lines without a device or a time (malformed ones too) are rejected before
     any of that. ``counts`` gets, per batch, the rows read, left after the
-    in-batch step and new (K10/A15).
+    in-batch step and new (K10/A15). ``history`` takes in the new device-days:
+    daily device sets, first days and new devices per day (K7, A16). The store
+    is compacted every ``compact_every`` batches.
     """
     store = KeyedStore(store_root, list(dau_ops.DEVICE_DAY), partition_by=("logDate",), schema="mid string, logDate string")
     logs = with_log_date_hour(parse_json(lines, STARTUP_LOG).drop("ingest_time"), "ts", tz)
@@ -76,6 +81,10 @@ def dau_job(lines: DataFrame, store_root: str, checkpoint: str, trigger: dict |
             rows = dau_ops.dau_first(batch, tz).observe(firsts, F.count(F.lit(1)).alias("rows"))
             fresh = dau_ops.not_seen(rows, seen).observe(new, F.count(F.lit(1)).alias("rows"))
             store.write_batch(fresh, batch_id)
+            if history is not None:
+                # the rows just written, so they are computed once
+                history.write_batch(store.raw(spark).filter(F.col(BATCH_COL) == batch_id), batch_id)
+            store.compact_by_turns(spark, batch_id, compact_every)
             if counts is not None:
                 counts(batch_id, {"read": days["n"], "in_batch": firsts.get["rows"], "new": new.get["rows"]})
         finally:
@@ -129,23 +138,38 @@ def gmv_store(root: str) -> KeyedStore:
     return KeyedStore(root, "id", partition_by=("create_date",), schema=GMV_SCHEMA)
 
 
-def gmv_job(lines: DataFrame, out: str, checkpoint: str, trigger: dict | None = None):
+def gmv_job(lines: DataFrame, out: str, checkpoint: str, trigger: dict | None = None, totals: str | None = None,
+            compact_every: int = COMPACT_EVERY):
     """Orders parsed, dated (P3), phone masked (P4), upserted by id. Lines
-    without an id or a date are rejected."""
+    without an id or a date are rejected. With ``totals`` (a folder) the amounts
+    per day and hour are kept there by deltas (``order_totals``): an order that
+    comes again with another amount or time leaves its old day and hour, and
+    its latest version counts in whatever order versions arrive."""
     orders = prepare_orders(parse_json(lines, ORDER_INFO).drop("ingest_time")) \
         .filter(F.col("id").isNotNull() & F.col("create_date").isNotNull())
     store = gmv_store(out)
+    kept = order_totals(out, totals, compact_every) if totals else None
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        store.write_batch(last_per_key(batch, ["id"], ["create_time"]), batch_id)
+        if kept is not None:
+            kept.write_batch(batch, batch_id)
+        else:
+            store.write_batch(last_per_key(batch, ["id"], ["create_time"]), batch_id)
+            store.compact_by_turns(batch.sparkSession, batch_id, compact_every)
 
     return _start(orders.writeStream.foreachBatch(write), checkpoint, trigger)
 
 
+def order_totals(orders: str, totals: str, compact_every: int = COMPACT_EVERY) -> OrderTotals:
+    """The totals that ``gmv_job`` keeps, to read or to write."""
+    return OrderTotals(gmv_store(orders), totals, compact_every)
+
+
 # --- coupon alerts ---------------------------------------------------------
 
 def alert_job(lines: DataFrame, store_root: str, checkpoint: str, window: str = "5 minutes",
-              slide: str = "5 seconds", delay: str = "1 minute", trigger: dict | None = None):
+              slide: str = "5 seconds", delay: str = "1 minute", trigger: dict | None = None,
+              compact_every: int = COMPACT_EVERY):
     """T2 on event time with a watermark. Steps 0-1 are two chained stateful
     aggregates -- tumbling panes, then sliding windows over the panes -- in
     append mode: a window's rows are emitted once, all together, when the
@@ -159,6 +183,7 @@ def alert_job(lines: DataFrame, store_root: str, checkpoint: str, window: str =
 
     def write(batch: DataFrame, batch_id: int) -> None:
         store.write_batch(alert_ops.alerts_per_minute(alert_ops.alert_stage(batch)), batch_id)
+        store.compact_by_turns(batch.sparkSession, batch_id, compact_every)
 
     return _start(facts.writeStream.outputMode("append").foreachBatch(write), checkpoint, trigger)
 
@@ -166,18 +191,22 @@ def alert_job(lines: DataFrame, store_root: str, checkpoint: str, window: str =
 # --- sale detail -----------------------------------------------------------
 
 def sale_detail_job(order_lines: DataFrame, detail_lines: DataFrame,
-                    users: DataFrame | Callable[[DataFrame], DataFrame], as_of: str | Callable[[], str],
+                    users: DataFrame | UserLookup | Callable[[DataFrame], DataFrame], as_of: str | Callable[[], str],
                     store_root: str, checkpoint: str, bound: str = "100 seconds",
-                    trigger: dict | None = None):
+                    trigger: dict | None = None, compact_every: int = COMPACT_EVERY, rejects: str | None = None):
     """J1 as a stream-stream inner join on the order id with an arrival-time
     range of +-``bound`` on both watermarks (T5), so join state is dropped
     once a side can no longer match. The user dimension (J4) is joined per
-    micro-batch inside ``foreachBatch``: a callable gets the batch's user ids
-    (one column ``id``) and returns those users, so updates written after the
-    query started are seen (T6) and nobody else is read; a plain DataFrame is
-    used as given. A callable ``as_of`` is asked per batch, so ages move on.
+    micro-batch inside ``foreachBatch``: a ``UserLookup``, or a callable that gets
+    the batch's user ids (one column ``id``) and returns those users, so updates
+    written after the query started are seen (T6) and nobody else is read; a
+    plain DataFrame is used as given. A callable ``as_of`` is asked per batch, so ages move on.
     Output upserted by doc id (T7). Order lines carry no event time, so both
-    sides use the ingest time."""
+    sides use the ingest time.
+
+    With ``rejects`` (a folder) the join is outer on the side of the lines: when
+    the watermark drops a line that no order met, it is written there as a JSON
+    line of the reject topic, one folder per batch."""
     o = (parse_json(order_lines, ORDER_INFO)
          .select(F.col("id").alias("order_id"), "order_status", "create_time", "user_id",
                  F.split("create_time", " ").getItem(0).alias("dt"), F.col("ingest_time").alias("o_time"))
@@ -188,30 +217,53 @@ def sale_detail_job(order_lines: DataFrame, detail_lines: DataFrame,
          .withWatermark("d_time", bound))
     cond = F.expr(f"""order_id = d_order_id AND
                       d_time >= o_time - INTERVAL {bound} AND d_time <= o_time + INTERVAL {bound}""")
-    joined = o.join(d, cond, "inner").drop("d_order_id", "o_time", "d_time")
+    both = o.join(d, cond, "inner") if rejects is None else d.join(o, cond, "left_outer")
+    joined = both.drop("o_time", "d_time")
+    reject = append_by_batch(rejects, ["topic"]) if rejects is not None else None
     store = KeyedStore(store_root, "doc_id", partition_by=("dt",))
-    dimension = users if callable(users) else (lambda ids: users)
+
+    def dimension(ids: DataFrame, batch_id: int) -> tuple[DataFrame, Callable[[], None]]:
+        if isinstance(users, UserLookup):
+            return users.users(ids, batch_id)
+        return (users(ids) if callable(users) else users), lambda: None
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        ids = batch.select(F.col("user_id").alias("id")).filter(F.col("id").isNotNull()).distinct()
-        rows = enrich_users(batch, dimension(ids), as_of() if callable(as_of) else as_of).withColumn(
-            "doc_id", F.concat_ws("_", F.col("order_id").cast("string"), "order_detail_id"))
-        store.write_batch(rows, batch_id)
+        batch.persist()     # read for its ids and for its rows
+        done = None
+        try:
+            met = batch.filter(F.col("order_id").isNotNull()).drop("d_order_id")
+            if reject is not None:
+                lone = batch.filter(F.col("order_id").isNull()).select(F.lit(TOPIC_REJECT).alias("topic"), F.to_json(F.struct(
+                    F.col("order_detail_id").alias("id"), F.col("d_order_id").alias("order_id"), "sku_id", "sku_name",
+                    F.col("sku_price").alias("order_price"))).alias("value"))
+                reject(lone, batch_id)
+            ids = met.select(F.col("user_id").alias("id")).filter(F.col("id").isNotNull()).distinct()
+            mine, done = dimension(ids, batch_id)
+            rows = enrich_users(met, mine, as_of() if callable(as_of) else as_of).withColumn(
+                "doc_id", F.concat_ws("_", F.col("order_id").cast("string"), "order_detail_id"))
+            store.write_batch(rows, batch_id)
+            store.compact_by_turns(batch.sparkSession, batch_id, compact_every)
+        finally:
+            if done is not None:
+                done()
+            batch.unpersist()
 
     return _start(joined.writeStream.outputMode("append").foreachBatch(write), checkpoint, trigger)
 
 
 # --- user dimension --------------------------------------------------------
 
-def user_info_job(lines: DataFrame, store_root: str, checkpoint: str, trigger: dict | None = None):
-    """User records upserted by id, last arrival wins; ``updated_at``
-    is kept so readers can apply the 24 h freshness rule (T6)."""
+def user_info_job(lines: DataFrame, store_root: str, checkpoint: str, trigger: dict | None = None,
+                  compact_every: int = COMPACT_EVERY):
+    """User records upserted by id, last arrival wins; ``updated_at`` is
+    kept, lookups apply the 24 h life to it (T6, ``UserLookup``)."""
     users = parse_json(lines, USER_INFO).withColumnRenamed("ingest_time", "updated_at")
     users = users.filter(F.col("id").isNotNull())
     store = user_store(store_root)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         store.write_batch(last_per_key(batch, ["id"], ["updated_at"]), batch_id)
+        store.compact_by_turns(batch.sparkSession, batch_id, compact_every)
 
     return _start(users.writeStream.foreachBatch(write), checkpoint, trigger)
 
@@ -220,36 +272,78 @@ def user_store(root: str) -> KeyedStore:
     return KeyedStore(root, "id", version=("updated_at",), schema=USER_SCHEMA)
 
 
-def user_lookup(spark: SparkSession, root: str, fallback: Callable[[DataFrame], DataFrame] | None = None
-                ) -> Callable[[DataFrame], DataFrame]:
-    """J4 for a batch's user ids: their latest stored versions (the version
-    merge runs over those users only, after a semi join), and for ids the store
-    does not know, ``fallback`` (e.g. the relational table of record, read for
-    these ids); what it finds is written back beside the store for the next
-    batches. A store that does not exist yet is empty."""
-    store, extra = user_store(root), KeyedStore(f"{root.rstrip('/')}_fallback", "id", version=("updated_at",), schema=USER_SCHEMA)
-    columns = ["id", "user_level", "birthday", "gender"]
+class UserLookup:
+    """J4/T6 for the user ids of a micro-batch.
 
-    def lookup(ids: DataFrame) -> DataFrame:
-        def known(s: KeyedStore) -> DataFrame:
-            return s.latest(s.raw(spark).join(ids, "id", "left_semi")).select(*columns)
-
-        stored = known(store)
-        if fallback is None:
-            return stored
-        stored = stored.unionByName(known(extra).join(stored.select("id"), "id", "left_anti"))
-        found = fallback(ids.join(stored.select("id"), "id", "left_anti")).select(*columns).persist()
-        if not found.isEmpty():
-            full = [F.col(f.name) if f.name in columns else F.lit(None).cast(f.dataType).alias(f.name) for f in USER_INFO]
-            extra.write_batch(found.select(*full, F.current_timestamp().alias("updated_at")), time.time_ns() // 1_000_000_000)
-        return stored.unionByName(found)
+    A user's record is the latest version that the user job stored or an earlier
+    lookup found.  It lives for ``life`` from its last update or lookup.  Ids
+    without a live record are asked of ``fallback`` (e.g. the relational table
+    of record, read for these ids only); what it finds is written beside the
+    store under the batch's id, so a replay replaces it, and so is the time of
+    every lookup that found somebody.  Without ``fallback`` records do not
+    expire.  Both side stores are compacted every ``compact_every`` batches.
+    """
 
-    return lookup
+    COLUMNS = ("id", "user_level", "birthday", "gender")
+
+    def __init__(self, spark: SparkSession, root: str, fallback: Callable[[DataFrame], DataFrame] | None = None,
+                 life: str = LIFE, compact_every: int = COMPACT_EVERY,
+                 now: Callable[[], dt.datetime] = lambda: dt.datetime.now(dt.timezone.utc)):
+        root = root.rstrip("/")
+        self.spark, self.fallback, self.life, self.every, self.now = spark, fallback, life, compact_every, now
+        self.store = user_store(root)
+        self.found = KeyedStore(f"{root}_fallback", "id", version=("updated_at",), schema=USER_SCHEMA)
+        self.reads = FoldingStore(f"{root}_reads", "id", {"read_at": F.max}, schema="id string, read_at timestamp")
+
+    def known(self, ids: DataFrame, batch_id: int) -> DataFrame:
+        """Latest record per id, the version merge running over these ids only."""
+        mine = self.store.raw(self.spark).join(ids, "id", "left_semi").drop(BATCH_COL)
+        if self.fallback is not None:
+            mine = mine.unionByName(before(self.found, self.spark, batch_id).join(ids, "id", "left_semi").drop(BATCH_COL))
+        return last_per_key(mine, ["id"], ["updated_at"])
+
+    def __call__(self, ids: DataFrame) -> DataFrame:
+        """The same outside a micro-batch: the lookup is a batch of its own."""
+        if self.fallback is None:
+            return self.known(ids, 0).select(*self.COLUMNS)
+        last = self.reads.raw(self.spark).agg(F.max(BATCH_COL)).first()[0]
+        batch_id = 0 if last is None else int(last) + 1
+        _, done = self.users(ids, batch_id)
+        done()
+        reads = before(self.reads, self.spark, batch_id + 1).join(ids, "id", "left_semi")
+        return live_at(self.known(ids, batch_id + 1), reads, F.lit(self.now()), self.life).select(*self.COLUMNS)
+
+    def users(self, ids: DataFrame, batch_id: int) -> tuple[DataFrame, Callable[[], None]]:
+        """The users of ``ids`` (one row per id), and what to call once they have been used."""
+        records = self.known(ids, batch_id)
+        if self.fallback is None:
+            return records.select(*self.COLUMNS), lambda: None
+        at = F.lit(self.now())
+        reads = before(self.reads, self.spark, batch_id).join(ids, "id", "left_semi")
+        live = live_at(records, reads, at, self.life).select(*self.COLUMNS).persist()
+        asked = self.fallback(ids.join(live.select("id"), "id", "left_anti")).select(*self.COLUMNS).persist()
+        full = [F.col(f.name) if f.name in self.COLUMNS else F.lit(None).cast(f.dataType).alias(f.name) for f in USER_INFO]
+        self.found.write_batch(asked.select(*full, at.cast("timestamp").alias("updated_at")), batch_id)
+        both = live.unionByName(asked)
+        self.reads.write_batch(both.select("id", at.cast("timestamp").alias("read_at")), batch_id)
+
+        def done() -> None:
+            live.unpersist()
+            asked.unpersist()
+            for store in (self.found, self.reads):
+                store.compact_by_turns(self.spark, batch_id, self.every)
+
+        return both, done
+
+
+def user_lookup(spark: SparkSession, root: str, fallback: Callable[[DataFrame], DataFrame] | None = None,
+                **options) -> UserLookup:
+    return UserLookup(spark, root, fallback, **options)
 
 
 def read_store(spark: SparkSession, root: str, key: str | list[str], version=(), partition_by=()) -> DataFrame:
     return KeyedStore(root, key, version, partition_by).read(spark)
 
 
-__all__ = ["alert_job", "cdc_job", "dau_dedup_job", "dau_job", "gmv_job", "gmv_store", "log_ingest_job",
-           "log_publish_job", "read_store", "sale_detail_job", "user_info_job", "user_lookup", "user_store"]
+__all__ = ["DeviceHistory", "UserLookup", "alert_job", "cdc_job", "dau_dedup_job", "dau_job", "gmv_job", "gmv_store", "log_ingest_job",
+           "log_publish_job", "order_totals", "read_store", "sale_detail_job", "user_info_job", "user_lookup", "user_store"]

@@ -43,13 +43,17 @@ class KeyedStore:
         document of its own, as an index would number it: its id is the batch
         and its place in it, so a replay replaces it. Partition columns are
         never filled; reject rows without them before."""
+        (self.named(batch, batch_id).write.mode("overwrite").partitionBy(*self.partition_by)
+             .parquet(f"{self.root}/{BATCH_COL}={int(batch_id)}"))
+
+    def named(self, batch: DataFrame, batch_id: int) -> DataFrame:
+        """``batch`` with keys for rows that have none."""
         rows = batch
         place = F.concat_ws("-", F.lit(str(int(batch_id))), F.monotonically_increasing_id().cast("string"))
         for k in self.keys:
             if dict(batch.dtypes)[k] == "string" and k not in self.partition_by:
                 rows = rows.withColumn(k, F.coalesce(F.col(k), place))
-        (rows.write.mode("overwrite").partitionBy(*self.partition_by)
-             .parquet(f"{self.root}/{BATCH_COL}={int(batch_id)}"))
+        return rows
 
     def sink(self) -> Callable[[DataFrame, int], None]:
         return self.write_batch
@@ -108,17 +112,33 @@ class KeyedStore:
         self.latest(raw).write.partitionBy(*self.partition_by).parquet(f"{self.root}/{base}")
         _replace_text(spark, f"{self.root}/{POINTER}", json.dumps({"base": base, "through": int(through)}))
 
+    def compact_by_turns(self, spark: SparkSession, batch_id: int, every: int) -> None:
+        """To be called at the end of every micro-batch: each ``every`` batches,
+        fold the committed ones (those before ``batch_id``), and delete what the
+        compaction before had made superfluous.  Readers so have ``every``
+        batches of time to finish with an old plan.  0 turns it off."""
+        if not every or int(batch_id) % every != every - 1 or int(batch_id) < 1:
+            return
+        last = self._current(spark)
+        if last is not None and last["through"] >= int(batch_id) - 1:
+            return      # a replay of this batch
+        self.compact(spark, int(batch_id) - 1)
+        if last is not None:
+            self._delete(spark, last["through"], {last["base"], self._current(spark)["base"]})
+
     def vacuum(self, spark: SparkSession) -> None:
         """Delete the folders that the current pointer has made superfluous.
         Call it when no reader that planned before the last ``compact`` runs."""
         now = self._current(spark)
-        if now is None:
-            return
+        if now is not None:
+            self._delete(spark, now["through"], {now["base"]})
+
+    def _delete(self, spark: SparkSession, through: int, keep: set[str]) -> None:
         fs, root = _fs(spark, self.root)
         for f in fs.listStatus(root):
             name = f.getPath().getName()
-            old_batch = name.startswith(f"{BATCH_COL}=") and int(name.split("=")[1]) <= now["through"]
-            if old_batch or (name.startswith("base-") and name != now["base"]):
+            old_batch = name.startswith(f"{BATCH_COL}=") and int(name.split("=")[1]) <= through
+            if old_batch or (name.startswith("base-") and name not in keep):
                 fs.delete(f.getPath(), True)
 
 
