@@ -2,7 +2,7 @@
 
 An update writes the record with a day to live, and every lookup gives it a new
 day.  A user is live in maximal stretches of touches (updates and lookups) that
-are less than the life apart, plus the life after the last one: sessions by gap.
+are not more than the life apart, plus the life after the last one: sessions by gap.
 
 ``live_intervals`` is the batch form.  Touches are first folded per user and
 pane, a fraction of the life, so touches of one pane are always in one session;
@@ -40,7 +40,7 @@ def live_intervals(touched: DataFrame, life: str = LIFE) -> DataFrame:
         F.count(F.when(F.col("kind") == "update", 1)).alias("updates"),
         F.count(F.when(F.col("kind") == "lookup", 1)).alias("lookups"))
     line = Window.partitionBy("id").orderBy("pane")
-    opens = F.coalesce(F.col("lo") - F.lag("hi").over(line) >= gap, F.lit(True))
+    opens = F.coalesce(F.col("lo") - F.lag("hi").over(line) > gap, F.lit(True))
     numbered = panes.withColumn("session", F.sum(opens.cast("long")).over(line.rowsBetween(Window.unboundedPreceding, 0)))
     return numbered.groupBy("id", "session").agg(
         F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("updates").alias("updates"), F.sum("lookups").alias("lookups")) \
@@ -61,7 +61,7 @@ def live_stream(touched: DataFrame, life: str = LIFE, delay: str = "1 minute") -
 
 def live_at(records: DataFrame, touched: DataFrame, now: F.Column, life: str = LIFE) -> DataFrame:
     """The rows of ``records`` (id, updated_at) that are live at ``now``: updated
-    or looked up (``touched``: id, read_at) less than ``life`` ago."""
+    or looked up (``touched``: id, read_at) not longer than ``life`` ago."""
     reads = touched.groupBy("id").agg(F.max("read_at").alias("_read_at"))
     last = F.greatest(F.col("updated_at"), F.coalesce("_read_at", F.col("updated_at")))
-    return records.join(reads, "id", "left").filter(last > now - F.expr(f"INTERVAL {life}")).drop("_read_at")
+    return records.join(reads, "id", "left").filter(last >= now - F.expr(f"INTERVAL {life}")).drop("_read_at")

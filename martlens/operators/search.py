@@ -127,8 +127,11 @@ def facets(hits: DataFrame) -> DataFrame:
     ``age_ratio`` in ``value``. Without hits the last three are as in
     ``max_metric``, ``gender_ratio`` and ``age_ratio``."""
     age, gender = F.col("user_age"), F.col("user_gender")
-    sets = hits.groupingSets([["user_age"], ["user_gender"], []], "user_age", "user_gender").agg(
-        F.grouping_id().alias("gid"), F.count(F.lit(1)).alias("n"), F.max(age).alias("oldest"),
+    # grouping sets give no row at all for no input, not even the total: one empty row sees to it
+    rows = hits.select(age, gender, F.lit(1).alias("hit"))
+    spine = hits.sparkSession.range(1).select(*[F.lit(None).cast(rows.schema[c].dataType).alias(c) for c in rows.columns])
+    sets = rows.unionByName(spine).groupingSets([["user_age"], ["user_gender"], []], "user_age", "user_gender").agg(
+        F.grouping_id().alias("gid"), F.count("hit").alias("n"), F.max(age).alias("oldest"),
         F.count(F.when(gender == MALE, 1)).alias("m"), F.count(F.when(age < AGE_LOW, 1)).alias("lo"),
         F.count(F.when(age >= AGE_HIGH, 1)).alias("hi"))
     s = _with_shares(sets)

@@ -29,10 +29,10 @@ def asked(keyword: str) -> Column:
 
 
 def having_all(terms: DataFrame, keyword: str, *keep: str) -> DataFrame:
-    """(doc_id, *keep) of the documents that have every token of ``keyword``;
-    ``terms`` has a (token, doc_id) once. ``keep`` are columns that depend on the document."""
+    """(doc_id, *keep) of the documents that have every token of ``keyword``,
+    also where term rows repeat. ``keep`` are columns that depend on the document."""
     mine = terms.filter(F.array_contains(asked(keyword), F.col("token")))
-    return mine.groupBy("doc_id", *keep).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") == F.size(asked(keyword))).drop("_n")
+    return mine.groupBy("doc_id", *keep).agg(F.count_distinct("token").alias("_n")).filter(F.col("_n") == F.size(asked(keyword))).drop("_n")
 
 
 def having_any(terms: DataFrame, keyword: str, *keep: str) -> DataFrame:

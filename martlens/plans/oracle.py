@@ -398,4 +398,38 @@ alerting AS (SELECT mid, k, count(DISTINCT uid) AS users FROM windows GROUP BY 1
 numbered AS (SELECT mid, k, users, k - row_number() OVER (PARTITION BY mid ORDER BY k) AS episode FROM alerting)
 SELECT mid, make_timestamp(min(k) * 5000000) AS first_window, make_timestamp(max(k) * 5000000) AS last_window,
        count(*) AS windows, max(users) AS most_users FROM numbered GROUP BY mid, episode""",
+
+    # a session ends where the next touch is more than a day away
+    "user_live_intervals": """WITH t AS (SELECT user_id AS id, epoch_us(ts) // 1000 AS ms, event_type FROM events
+              WHERE event_type IN ('signup', 'purchase', 'view') AND user_id IS NOT NULL),
+o AS (SELECT *, coalesce(ms - lag(ms) OVER (PARTITION BY id ORDER BY ms) > 86400000, true) AS opens FROM t),
+n AS (SELECT *, sum(CAST(opens AS INTEGER)) OVER (PARTITION BY id ORDER BY ms ROWS UNBOUNDED PRECEDING) AS session FROM o)
+SELECT id, make_timestamp(min(ms) * 1000) AS live_from, make_timestamp((max(ms) + 86400000) * 1000) AS live_until,
+       count(*) FILTER (event_type <> 'view') AS updates, count(*) FILTER (event_type = 'view') AS lookups
+FROM n GROUP BY id, session""",
+
+    "search_by_terms": f"""WITH {SALE_CTES},
+a AS (SELECT DISTINCT doc_id FROM sale WHERE list_has_all(string_split(lower(sku_name), ' '), {_words(q.KEYWORD_ALL)})),
+b AS (SELECT DISTINCT doc_id FROM sale WHERE list_has_any(string_split(lower(sku_name), ' '), {_words(q.KEYWORD_ANY)}))
+SELECT doc_id, 'and' AS operator FROM a UNION ALL SELECT doc_id, 'or' FROM b""",
+
+    "sale_page_deep": f"""WITH {SALE_CTES},
+d AS (SELECT DISTINCT doc_id, dt, order_detail_id, sku_id FROM sale),
+r AS (SELECT *, row_number() OVER (ORDER BY dt, doc_id) - 1 AS place, count(*) OVER () AS n FROM d)
+SELECT doc_id, dt, order_detail_id, sku_id FROM r WHERE place >= ((n - 1) // {q.PAGE_SIZE}) * {q.PAGE_SIZE}""",
+
+    "sale_facets": f"""WITH {SALE_CTES}, {HITS_ALL}, {SHARES}
+SELECT 'total' AS facet, CAST(NULL AS VARCHAR) AS bucket, n AS doc_count, CAST(NULL AS DOUBLE) AS value FROM s
+UNION ALL SELECT 'max_age', NULL, NULL, (SELECT CAST(max(user_age) AS DOUBLE) FROM hits)
+UNION ALL SELECT 'user_age', CAST(user_age AS VARCHAR), count(*), NULL FROM hits WHERE user_age IS NOT NULL GROUP BY user_age
+UNION ALL SELECT 'user_gender', user_gender, count(*), NULL FROM hits WHERE user_gender IS NOT NULL GROUP BY user_gender
+UNION ALL SELECT 'gender_ratio', 'male', NULL, male_ratio FROM s
+UNION ALL SELECT 'gender_ratio', 'female', NULL, female_ratio FROM s
+UNION ALL SELECT 'age_ratio', 'lt20', NULL, lt20_ratio FROM s
+UNION ALL SELECT 'age_ratio', '20to30', NULL, "20to30_ratio" FROM s
+UNION ALL SELECT 'age_ratio', 'ge30', NULL, ge30_ratio FROM s""",
+
+    "unmatched_lines": """SELECT l_orderkey AS o_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate FROM lineitem l
+WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey = l.l_orderkey
+                  AND l.l_shipdate BETWEEN o.o_orderdate - INTERVAL 365 DAY AND o.o_orderdate + INTERVAL 365 DAY)""",
 }

@@ -10,10 +10,12 @@ from its partition on, without counting what lies before.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 PART = "page_part"
 
@@ -21,8 +23,11 @@ PART = "page_part"
 def write_pages(hits: DataFrame, path: str, order: Sequence[str], partitions: int) -> None:
     """Store ``hits`` in ``partitions`` ranges of ``order``, a total order."""
     ranged = hits.repartitionByRange(partitions, *order).sortWithinPartitions(*order)
-    ranged.withColumn(PART, F.spark_partition_id()).write.partitionBy(PART).parquet(f"{path}/rows")
-    stored = hits.sparkSession.read.schema(ranged.withColumn(PART, F.lit(0)).schema).parquet(f"{path}/rows")
+    dealt = ranged.withColumn(PART, F.spark_partition_id())
+    dealt.write.partitionBy(PART).parquet(f"{path}/rows")
+    spark = hits.sparkSession
+    spark.createDataFrame([(dealt.schema.json(),)], "value string").coalesce(1).write.text(f"{path}/schema")
+    stored = spark.read.schema(dealt.schema).parquet(f"{path}/rows")
     key = F.struct(*order)
     stored.groupBy(PART).agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("first"), F.max(key).alias("last")) \
         .coalesce(1).write.parquet(f"{path}/directory")
@@ -34,11 +39,12 @@ class Pages:
 
     def __init__(self, spark: SparkSession, path: str, order: Sequence[str]):
         self.spark, self.path, self.order = spark, path, list(order)
+        self.schema = T.StructType.fromJson(json.loads(spark.read.text(f"{path}/schema").first()[0]))
         self.directory = sorted(spark.read.parquet(f"{path}/directory").collect(), key=lambda r: r[PART])
         self.total = sum(r["n"] for r in self.directory)
 
     def _rows(self, parts: Sequence[int]) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/rows").filter(F.col(PART).isin(list(parts)))
+        return self.spark.read.schema(self.schema).parquet(f"{self.path}/rows").filter(F.col(PART).isin(list(parts)))
 
     def last_page(self, size: int) -> int:
         return max(1, -(-self.total // size))

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martlens.functions.text import mask_phone
-from martlens.functions.time import with_create_date_hour, with_log_date_hour
+from martlens.functions.time import epoch_ms, with_create_date_hour, with_log_date_hour
 from martlens.operators import (
     alert_islands,
     alerts,
@@ -23,12 +23,16 @@ from martlens.operators import (
     first_seen,
     gmv,
     kpi,
+    live_users,
     sale_detail,
     search,
+    term_index,
     upsert,
     users,
 )
 from martlens.operators.keyed import last_per_key
+from martlens.plans import pages
+from martlens.session import scratch_folder
 from martlens.sources import cdc, logs, tables
 
 # Request parameters of the registered queries.
@@ -41,6 +45,7 @@ TOP_TERMS = 5                 # buckets of the top-N terms request
 DATE, EMPTY_DATE = "2024-01-15", "2031-05-05"   # one-date requests: a day with data and one without
 ORDER_DATE = "1996-03-13"
 ALERT_WINDOW, ALERT_SLIDE = "6 hours", "1 hour"
+MATCH_BOUND = "365 days"      # unmatched_lines
 INTERVAL_LOWER, INTERVAL_UPPER = "-30 days", "30 days"
 BATCH_SPLIT_HOUR = "12"       # dau_incremental: morning batch is stored, afternoon batch arrives
 DELTA_SPLIT = "1995-01-01"    # gmv_delta: orders from before arrive first, amendments of later ones with them
@@ -374,6 +379,42 @@ def coupon_alert_islands(spark, sf):
     return alert_islands.alert_episodes(tables.event_logs(_t(spark, sf, "events")), ISLAND_WINDOW, ISLAND_SLIDE)
 
 
+def user_live_intervals(spark, sf):
+    """Sign-ups and purchases update a user's record, views look it up."""
+    ev = _t(spark, sf, "events").select(F.col("user_id").alias("id"), epoch_ms("ts").alias("ts"), "event_type")
+    update = F.col("event_type").isin("signup", "purchase")
+    return live_users.live_intervals(live_users.touches(ev.filter(update), ev.filter(F.col("event_type") == "view")))
+
+
+def search_by_terms(spark, sf):
+    """The AND and the OR request, from the term rows of all documents."""
+    docs = _hits(spark, sf, None, with_users=False).select("doc_id", "sku_name")
+    terms = term_index.term_rows(docs)
+    both = term_index.having_all(terms, KEYWORD_ALL).withColumn("operator", F.lit("and"))
+    return both.unionByName(term_index.having_any(terms, KEYWORD_ANY).withColumn("operator", F.lit("or")))
+
+
+def sale_page_deep(spark, sf):
+    """The last page of all documents, from a stored result and its directory."""
+    order = ["dt", "doc_id"]
+    path = scratch_folder(spark, "pages")
+    docs = _hits(spark, sf, None, with_users=False).select("doc_id", "dt", "order_detail_id", "sku_id")
+    pages.write_pages(docs.distinct(), path, order, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    stored = pages.Pages(spark, path, order)
+    return stored.page(stored.last_page(PAGE_SIZE), PAGE_SIZE)
+
+
+def sale_facets(spark, sf):
+    return search.facets(_hits(spark, sf))
+
+
+def unmatched_lines(spark, sf):
+    o = _t(spark, sf, "orders").select("o_orderkey", "o_orderdate")
+    l = _t(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_partkey",
+                                         "l_suppkey", "l_shipdate")
+    return sale_detail.unmatched_lines(l, o, "o_orderkey", "l_shipdate", "o_orderdate", MATCH_BOUND)
+
+
 def _alerts(spark, sf):
     return alerts.coupon_alerts(tables.event_logs(_t(spark, sf, "events")), ALERT_WINDOW, ALERT_SLIDE)
 
@@ -440,4 +481,9 @@ QUERIES: dict[str, Query] = {
     "active_devices_range": active_devices_range,
     "new_devices_incremental": new_devices_incremental,
     "coupon_alert_islands": coupon_alert_islands,
+    "user_live_intervals": user_live_intervals,
+    "search_by_terms": search_by_terms,
+    "sale_page_deep": sale_page_deep,
+    "sale_facets": sale_facets,
+    "unmatched_lines": unmatched_lines,
 }

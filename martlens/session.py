@@ -6,8 +6,11 @@ returns DataFrames. These helpers are for scripts, tests and the benchmark.
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -37,6 +40,11 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+def is_local(master: str) -> bool:
+    """Do driver and executors share one process (and so its folders)?"""
+    return master == "local" or master.startswith("local[")
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
@@ -53,8 +61,35 @@ def checkpoint_dir(spark: SparkSession) -> str:
     existing = sc.getCheckpointDir()
     if existing:
         return existing
-    if not sc.master.startswith("local"):
+    if not is_local(sc.master):
         raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     local = tempfile.mkdtemp(prefix="martlens-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local
+
+
+_SCRATCH: dict[str, SparkSession] = {}
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder for intermediate tables under the shared checkpoint folder.
+    Its tables may be read as long as this driver process lives; then it is
+    deleted."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/martlens/{name}-{uuid.uuid4().hex}"
+    forget_at_exit(spark, path)
+    return path
+
+
+def forget_at_exit(spark: SparkSession, path: str) -> None:
+    """Delete ``path`` when this driver process ends."""
+    if not _SCRATCH:
+        atexit.register(_forget)
+    _SCRATCH[path] = spark
+
+
+def _forget() -> None:
+    for path, spark in _SCRATCH.items():
+        with contextlib.suppress(Exception):     # a session that is already gone cannot delete any more
+            p = spark._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    _SCRATCH.clear()

@@ -3,7 +3,9 @@
 Every app reads its topic(s) with ``kafka_stream`` (or any stream with
 ``value`` and ``ingest_time`` columns passed in ``sources``), writes under
 ``root`` and keeps its offsets and state in ``root/_checkpoints/<app>`` --
-independent checkpoints, so no two apps share a consumer position.
+independent checkpoints, so no two apps share a consumer position.  The rows
+read, rejected and left after each step of every micro-batch go to ``metrics``
+(default: the log, see ``martlens.streaming.metrics``).
 
     python -m martlens.streaming.apps dau --servers host:9092 --root hdfs:///shared/martlens
 """
@@ -12,7 +14,6 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
-import logging
 import zoneinfo
 from collections.abc import Callable
 
@@ -22,19 +23,13 @@ from pyspark.sql import functions as F
 from martlens.sources import logs as topics
 from martlens.sources.jdbc import user_lookup_jdbc
 from martlens.streaming import jobs
+from martlens.streaming.metrics import RunMetrics, Steps
 from martlens.streaming.sinks import TopicSink, kafka_sink
 from martlens.streaming.sources import kafka_stream
 from martlens.streaming.state import COMPACT_EVERY
 
 Source = Callable[[str], DataFrame]
-Counts = Callable[[int, dict[str, int]], None]
-log = logging.getLogger("martlens.apps")
-
-
-def logged_counts(batch_id: int, counts: dict[str, int]) -> None:
-    """The rows of a batch after each step, one log line per batch."""
-    log.info("batch %d: %s", batch_id, ", ".join(f"{k} {v}" for k, v in counts.items()))
-
+_LISTENERS: dict[SparkSession, RunMetrics] = {}
 
 
 def kafka_sources(spark: SparkSession, servers: str, starting_offsets: str = "latest") -> Source:
@@ -45,29 +40,41 @@ def _ck(root: str, app: str) -> str:
     return f"{root.rstrip('/')}/_checkpoints/{app}"
 
 
-def dau_app(spark, source: Source, root: str, trigger=None, tz: str = "UTC", counts: Counts | None = None,
+def _metrics(spark: SparkSession, metrics: RunMetrics | None, app: str) -> Steps:
+    """Where an app reports its steps; its listener is added once per session."""
+    if metrics is None:
+        metrics = _LISTENERS.get(spark)
+        if metrics is None:
+            metrics = _LISTENERS[spark] = RunMetrics()
+            spark.streams.addListener(metrics)
+    return metrics.steps(app)
+
+
+def dau_app(spark, source: Source, root: str, trigger=None, tz: str = "UTC", metrics: RunMetrics | None = None,
             compact_every: int = COMPACT_EVERY):
     """Device-days, and under ``devices`` what they say of devices (sets of
     active ones per day, first days, new ones per day)."""
     history = jobs.DeviceHistory(f"{root}/devices", compact_every=compact_every)
     return jobs.dau_job(source(topics.TOPIC_STARTUP), f"{root}/dau", _ck(root, "dau"), trigger, tz,
-                        counts or logged_counts, history, compact_every)
+                        _metrics(spark, metrics, "dau"), history, compact_every)
 
 
-def gmv_app(spark, source: Source, root: str, trigger=None, compact_every: int = COMPACT_EVERY, **_):
+def gmv_app(spark, source: Source, root: str, trigger=None, metrics: RunMetrics | None = None,
+            compact_every: int = COMPACT_EVERY, **_):
     """Orders, and under ``gmv`` their totals per day and hour."""
     return jobs.gmv_job(source(topics.TOPIC_ORDER_INFO), f"{root}/order_info", _ck(root, "gmv"), trigger,
-                        f"{root}/gmv", compact_every)
+                        f"{root}/gmv", compact_every, _metrics(spark, metrics, "gmv"))
 
 
 def alert_app(spark, source: Source, root: str, window="5 minutes", slide="5 seconds", delay="1 minute",
-              trigger=None, **_):
+              trigger=None, metrics: RunMetrics | None = None, **_):
     return jobs.alert_job(source(topics.TOPIC_EVENT), f"{root}/coupon_alert", _ck(root, "alert"),
-                          window, slide, delay, trigger)
+                          window, slide, delay, trigger, counts=_metrics(spark, metrics, "alert"))
 
 
-def user_app(spark, source: Source, root: str, trigger=None, **_):
-    return jobs.user_info_job(source(topics.TOPIC_USER_INFO), f"{root}/user_info", _ck(root, "user"), trigger)
+def user_app(spark, source: Source, root: str, trigger=None, metrics: RunMetrics | None = None, **_):
+    return jobs.user_info_job(source(topics.TOPIC_USER_INFO), f"{root}/user_info", _ck(root, "user"), trigger,
+                              counts=_metrics(spark, metrics, "user"))
 
 
 def today(tz: str = "UTC") -> Callable[[], str]:
@@ -77,21 +84,26 @@ def today(tz: str = "UTC") -> Callable[[], str]:
 
 def sale_detail_app(spark, source: Source, root: str, as_of: str | Callable[[], str] | None = None,
                     bound="100 seconds", trigger=None, tz: str = "UTC",
-                    fallback: Callable[[DataFrame], DataFrame] | None = None):
-    """Users come from the user app's store, looked up per batch, then from ``fallback``."""
+                    fallback: Callable[[DataFrame], DataFrame] | None = None, metrics: RunMetrics | None = None):
+    """Users come from the user app's store, looked up per batch, then from
+    ``fallback``. Lines that no order met in time go to ``sale_rejects``."""
     users = jobs.user_lookup(spark, f"{root}/user_info", fallback)
     return jobs.sale_detail_job(source(topics.TOPIC_ORDER_INFO), source(topics.TOPIC_ORDER_DETAIL), users,
-                                as_of or today(tz), f"{root}/sale_detail", _ck(root, "sale_detail"), bound, trigger)
+                                as_of or today(tz), f"{root}/sale_detail", _ck(root, "sale_detail"), bound, trigger,
+                                rejects=f"{root}/sale_rejects", counts=_metrics(spark, metrics, "sale_detail"))
 
 
-def log_app(spark, source: Source, root: str, sink: TopicSink, trigger=None, raw_topic: str = "TOPIC_LOG_RAW"):
+def log_app(spark, source: Source, root: str, sink: TopicSink, trigger=None, raw_topic: str = "TOPIC_LOG_RAW",
+            metrics: RunMetrics | None = None):
     """Raw lines archived whole by day, and published to their topics."""
+    _metrics(spark, metrics, "log")
     return [jobs.log_ingest_job(source(raw_topic), f"{root}/logs", _ck(root, "logs"), trigger),
             jobs.log_publish_job(source(raw_topic), sink, _ck(root, "log_publish"), trigger)]
 
 
-def cdc_app(spark, changes: DataFrame, root: str, sink: TopicSink, trigger=None):
+def cdc_app(spark, changes: DataFrame, root: str, sink: TopicSink, trigger=None, metrics: RunMetrics | None = None):
     """Change envelopes (see ``martlens.sources.cdc``) published to their topics."""
+    _metrics(spark, metrics, "cdc")
     return jobs.cdc_job(changes, sink, _ck(root, "cdc"), trigger)
 
 

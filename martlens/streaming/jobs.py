@@ -13,7 +13,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,6 +27,7 @@ from martlens.operators.sale_detail import enrich_users
 from martlens.schemas import EVENT_LOG, ORDER_DETAIL, ORDER_INFO, STARTUP_LOG, USER_INFO
 from martlens.sources.cdc import route_changes
 from martlens.sources.logs import TOPIC_REJECT, ingest
+from martlens.streaming.metrics import Steps, counted, observe_input
 from martlens.streaming.sinks import BATCH_COL, KeyedStore, TopicSink, append_by_batch, folder_sink
 from martlens.streaming.sources import parse_json
 from martlens.streaming.state import COMPACT_EVERY, DeviceHistory, FoldingStore, OrderTotals, before
@@ -46,10 +47,23 @@ def _start(writer, checkpoint: str, trigger: dict | None):
     return writer.option("checkpointLocation", checkpoint).trigger(**(trigger or DEFAULT_TRIGGER)).start()
 
 
+def _once(write: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
+    """``write`` with its batch computed once, however many steps read it, so
+    that rows observed on the way are also counted once."""
+    def cached(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            write(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    return cached
+
+
 # --- DAU -------------------------------------------------------------------
 
 def dau_job(lines: DataFrame, store_root: str, checkpoint: str, trigger: dict | None = None, tz: str = "UTC",
-            counts: Callable[[int, dict[str, int]], None] | None = None, history: DeviceHistory | None = None,
+            counts: Steps | None = None, history: DeviceHistory | None = None,
             compact_every: int = COMPACT_EVERY):
     """T3/T4 with the reference's rule: earliest log per device-day inside a
     batch, first batch overall. Each batch is anti-joined with the device-days
@@ -64,33 +78,27 @@ def dau_job(lines: DataFrame, store_root: str, checkpoint: str, trigger: dict |
     """
     store = KeyedStore(store_root, list(dau_ops.DEVICE_DAY), partition_by=("logDate",), schema="mid string, logDate string")
     logs = with_log_date_hour(parse_json(lines, STARTUP_LOG).drop("ingest_time"), "ts", tz)
-    logs = logs.observe("dau_input", F.count(F.lit(1)).alias("rows"),
-                        F.count(F.when(F.col("mid").isNull() | F.col("logDate").isNull(), 1)).alias("rejected"))
+    logs = observe_input(logs, "dau", F.col("mid").isNull() | F.col("logDate").isNull())
     logs = logs.filter(F.col("mid").isNotNull() & F.col("logDate").isNotNull())
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        batch.persist()  # T10: read twice below (its days, then its rows)
-        try:
-            # Only the batch's own days can match: a range of logDate prunes the
-            # store's partitions, so the cost per batch does not grow with history.
-            days = batch.agg(F.min("logDate").alias("lo"), F.max("logDate").alias("hi"), F.count(F.lit(1)).alias("n")).first()
-            seen = store.raw(spark).filter(F.col(BATCH_COL) < batch_id).filter(
-                F.col("logDate").between(days["lo"], days["hi"]))
-            firsts, new = Observation(), Observation()
-            rows = dau_ops.dau_first(batch, tz).observe(firsts, F.count(F.lit(1)).alias("rows"))
-            fresh = dau_ops.not_seen(rows, seen).observe(new, F.count(F.lit(1)).alias("rows"))
-            store.write_batch(fresh, batch_id)
-            if history is not None:
-                # the rows just written, so they are computed once
-                history.write_batch(store.raw(spark).filter(F.col(BATCH_COL) == batch_id), batch_id)
-            store.compact_by_turns(spark, batch_id, compact_every)
-            if counts is not None:
-                counts(batch_id, {"read": days["n"], "in_batch": firsts.get["rows"], "new": new.get["rows"]})
-        finally:
-            batch.unpersist()
-
-    return _start(logs.writeStream.foreachBatch(write), checkpoint, trigger)
+        # Only the batch's own days can match: a range of logDate prunes the
+        # store's partitions, so the cost per batch does not grow with history.
+        days = batch.agg(F.min("logDate").alias("lo"), F.max("logDate").alias("hi"), F.count(F.lit(1)).alias("n")).first()
+        seen = store.raw(spark).filter(F.col(BATCH_COL) < batch_id).filter(
+            F.col("logDate").between(days["lo"], days["hi"]))
+        rows, firsts = counted(dau_ops.dau_first(batch, tz))
+        fresh, new = counted(dau_ops.not_seen(rows, seen))
+        store.write_batch(fresh, batch_id)
+        if history is not None:
+            # the rows just written, so they are computed once
+            history.write_batch(store.raw(spark).filter(F.col(BATCH_COL) == batch_id), batch_id)
+        store.compact_by_turns(spark, batch_id, compact_every)
+        if counts is not None:
+            counts(batch_id, {"read": days["n"], "in_batch": firsts.get["rows"], "new": new.get["rows"]})
+
+    return _start(logs.writeStream.foreachBatch(_once(write)), checkpoint, trigger)
 
 
 def dau_dedup_job(lines: DataFrame, out: str, checkpoint: str, delay: str = "1 day",
@@ -106,11 +114,15 @@ def dau_dedup_job(lines: DataFrame, out: str, checkpoint: str, delay: str = "1 d
 
 # --- log ingest and change routing ----------------------------------------
 
+def _routed(lines: DataFrame, app: str) -> DataFrame:
+    return observe_input(ingest(lines, server_ts=F.unix_millis(F.col("ingest_time"))), app, F.col("topic") == TOPIC_REJECT)
+
+
 def log_ingest_job(lines: DataFrame, out: str, checkpoint: str, trigger: dict | None = None):
     """S3/F2/K9: stamp, route and archive log lines whole, one folder per topic
     and day (``topic=.../dt=...``), as text; lines that are no JSON object land
     in the reject topic as they came. ``ingest_time`` is the server stamp."""
-    routed = ingest(lines, server_ts=F.unix_millis(F.col("ingest_time")))
+    routed = _routed(lines, "log")
     day = F.date_format(from_epoch_ms(F.unix_millis(F.col("ingest_time"))), "yyyy-MM-dd")
     w = routed.select("value", "topic", day.alias("dt")).writeStream.format("text").partitionBy("topic", "dt") \
         .outputMode("append").option("path", out)
@@ -119,7 +131,7 @@ def log_ingest_job(lines: DataFrame, out: str, checkpoint: str, trigger: dict |
 
 def log_publish_job(lines: DataFrame, sink: TopicSink, checkpoint: str, trigger: dict | None = None):
     """S3/F2/K1: the stamped lines published to their topics."""
-    routed = ingest(lines, server_ts=F.unix_millis(F.col("ingest_time")))
+    routed = _routed(lines, "log_publish")
     return _start(sink(routed.select("topic", "value")), checkpoint, trigger)
 
 
@@ -127,7 +139,8 @@ def cdc_job(changes: DataFrame, sink: TopicSink | str, checkpoint: str, trigger:
     """A stream of change envelopes routed to its topics; a path
     as ``sink`` means text folders per topic."""
     sink = folder_sink(sink) if isinstance(sink, str) else sink
-    return _start(sink(route_changes(changes).select("topic", "value")), checkpoint, trigger)
+    seen = observe_input(changes, "cdc", ~F.col("entry_type").eqNullSafe("ROWDATA"))
+    return _start(sink(route_changes(seen).select("topic", "value")), checkpoint, trigger)
 
 
 # --- GMV -------------------------------------------------------------------
@@ -139,25 +152,31 @@ def gmv_store(root: str) -> KeyedStore:
 
 
 def gmv_job(lines: DataFrame, out: str, checkpoint: str, trigger: dict | None = None, totals: str | None = None,
-            compact_every: int = COMPACT_EVERY):
+            compact_every: int = COMPACT_EVERY, counts: Steps | None = None):
     """Orders parsed, dated (P3), phone masked (P4), upserted by id. Lines
     without an id or a date are rejected. With ``totals`` (a folder) the amounts
     per day and hour are kept there by deltas (``order_totals``): an order that
     comes again with another amount or time leaves its old day and hour, and
-    its latest version counts in whatever order versions arrive."""
-    orders = prepare_orders(parse_json(lines, ORDER_INFO).drop("ingest_time")) \
-        .filter(F.col("id").isNotNull() & F.col("create_date").isNotNull())
+    its latest version counts in whatever order versions arrive. ``counts`` gets
+    the images of a batch that are new."""
+    orders = prepare_orders(parse_json(lines, ORDER_INFO).drop("ingest_time"))
+    lost = F.col("id").isNull() | F.col("create_date").isNull()
+    orders = observe_input(orders, "gmv", lost).filter(~lost)
     store = gmv_store(out)
     kept = order_totals(out, totals, compact_every) if totals else None
 
     def write(batch: DataFrame, batch_id: int) -> None:
         if kept is not None:
-            kept.write_batch(batch, batch_id)
+            new = kept.write_batch(batch, batch_id)
         else:
-            store.write_batch(last_per_key(batch, ["id"], ["create_time"]), batch_id)
+            rows, n = counted(last_per_key(batch, ["id"], ["create_time"]))
+            store.write_batch(rows, batch_id)
             store.compact_by_turns(batch.sparkSession, batch_id, compact_every)
+            new = n.get["rows"]
+        if counts is not None:
+            counts(batch_id, {"new": new})
 
-    return _start(orders.writeStream.foreachBatch(write), checkpoint, trigger)
+    return _start(orders.writeStream.foreachBatch(_once(write)), checkpoint, trigger)
 
 
 def order_totals(orders: str, totals: str, compact_every: int = COMPACT_EVERY) -> OrderTotals:
@@ -169,23 +188,27 @@ def order_totals(orders: str, totals: str, compact_every: int = COMPACT_EVERY) -
 
 def alert_job(lines: DataFrame, store_root: str, checkpoint: str, window: str = "5 minutes",
               slide: str = "5 seconds", delay: str = "1 minute", trigger: dict | None = None,
-              compact_every: int = COMPACT_EVERY):
+              compact_every: int = COMPACT_EVERY, counts: Steps | None = None):
     """T2 on event time with a watermark. Steps 0-1 are two chained stateful
     aggregates -- tumbling panes, then sliding windows over the panes -- in
     append mode: a window's rows are emitted once, all together, when the
     watermark passes its end. Step 2 and the per-minute id (W3) run on that
     closed output inside ``foreachBatch``; the alert store is upserted by
     ``doc_id`` (T7)."""
-    logs = parse_json(lines, EVENT_LOG).withColumn("event_time", F.timestamp_millis("ts"))
+    logs = observe_input(parse_json(lines, EVENT_LOG), "alert", F.col("mid").isNull() | F.col("ts").isNull())
+    logs = logs.withColumn("event_time", F.timestamp_millis("ts"))
     facts = alert_ops.streaming_pane_window_stage(logs.withWatermark("event_time", delay), window, slide,
                                                   F.col("event_time"))
     store = KeyedStore(store_root, "doc_id", version=("window_end",))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        store.write_batch(alert_ops.alerts_per_minute(alert_ops.alert_stage(batch)), batch_id)
+        rows, n = counted(alert_ops.alerts_per_minute(alert_ops.alert_stage(batch)))
+        store.write_batch(rows, batch_id)
+        if counts is not None:
+            counts(batch_id, {"alerts": n.get["rows"]})
         store.compact_by_turns(batch.sparkSession, batch_id, compact_every)
 
-    return _start(facts.writeStream.outputMode("append").foreachBatch(write), checkpoint, trigger)
+    return _start(facts.writeStream.outputMode("append").foreachBatch(_once(write)), checkpoint, trigger)
 
 
 # --- sale detail -----------------------------------------------------------
@@ -193,7 +216,8 @@ def alert_job(lines: DataFrame, store_root: str, checkpoint: str, window: str =
 def sale_detail_job(order_lines: DataFrame, detail_lines: DataFrame,
                     users: DataFrame | UserLookup | Callable[[DataFrame], DataFrame], as_of: str | Callable[[], str],
                     store_root: str, checkpoint: str, bound: str = "100 seconds",
-                    trigger: dict | None = None, compact_every: int = COMPACT_EVERY, rejects: str | None = None):
+                    trigger: dict | None = None, compact_every: int = COMPACT_EVERY, rejects: str | None = None,
+                    counts: Steps | None = None):
     """J1 as a stream-stream inner join on the order id with an arrival-time
     range of +-``bound`` on both watermarks (T5), so join state is dropped
     once a side can no longer match. The user dimension (J4) is joined per
@@ -207,11 +231,12 @@ def sale_detail_job(order_lines: DataFrame, detail_lines: DataFrame,
     With ``rejects`` (a folder) the join is outer on the side of the lines: when
     the watermark drops a line that no order met, it is written there as a JSON
     line of the reject topic, one folder per batch."""
-    o = (parse_json(order_lines, ORDER_INFO)
+    lost = F.col("id").isNull()
+    o = (observe_input(parse_json(order_lines, ORDER_INFO), "sale_order", lost)
          .select(F.col("id").alias("order_id"), "order_status", "create_time", "user_id",
                  F.split("create_time", " ").getItem(0).alias("dt"), F.col("ingest_time").alias("o_time"))
          .withWatermark("o_time", bound))
-    d = (parse_json(detail_lines, ORDER_DETAIL)
+    d = (observe_input(parse_json(detail_lines, ORDER_DETAIL), "sale_detail", lost)
          .select(F.col("id").alias("order_detail_id"), F.col("order_id").alias("d_order_id"), "sku_id", "sku_name",
                  F.col("order_price").try_cast("double").alias("sku_price"), F.col("ingest_time").alias("d_time"))
          .withWatermark("d_time", bound))
@@ -228,44 +253,45 @@ def sale_detail_job(order_lines: DataFrame, detail_lines: DataFrame,
         return (users(ids) if callable(users) else users), lambda: None
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()     # read for its ids and for its rows
-        done = None
+        met = batch.filter(F.col("order_id").isNotNull()).drop("d_order_id")
+        if reject is not None:
+            lone = batch.filter(F.col("order_id").isNull()).select(F.lit(TOPIC_REJECT).alias("topic"), F.to_json(F.struct(
+                F.col("order_detail_id").alias("id"), F.col("d_order_id").alias("order_id"), "sku_id", "sku_name",
+                F.col("sku_price").alias("order_price"))).alias("value"))
+            reject(lone, batch_id)
+        ids = met.select(F.col("user_id").alias("id")).filter(F.col("id").isNotNull()).distinct()
+        mine, done = dimension(ids, batch_id)
         try:
-            met = batch.filter(F.col("order_id").isNotNull()).drop("d_order_id")
-            if reject is not None:
-                lone = batch.filter(F.col("order_id").isNull()).select(F.lit(TOPIC_REJECT).alias("topic"), F.to_json(F.struct(
-                    F.col("order_detail_id").alias("id"), F.col("d_order_id").alias("order_id"), "sku_id", "sku_name",
-                    F.col("sku_price").alias("order_price"))).alias("value"))
-                reject(lone, batch_id)
-            ids = met.select(F.col("user_id").alias("id")).filter(F.col("id").isNotNull()).distinct()
-            mine, done = dimension(ids, batch_id)
-            rows = enrich_users(met, mine, as_of() if callable(as_of) else as_of).withColumn(
-                "doc_id", F.concat_ws("_", F.col("order_id").cast("string"), "order_detail_id"))
+            rows, n = counted(enrich_users(met, mine, as_of() if callable(as_of) else as_of).withColumn(
+                "doc_id", F.concat_ws("_", F.col("order_id").cast("string"), "order_detail_id")))
             store.write_batch(rows, batch_id)
+            if counts is not None:
+                counts(batch_id, {"joined": n.get["rows"]})
             store.compact_by_turns(batch.sparkSession, batch_id, compact_every)
         finally:
-            if done is not None:
-                done()
-            batch.unpersist()
+            done()
 
-    return _start(joined.writeStream.outputMode("append").foreachBatch(write), checkpoint, trigger)
+    return _start(joined.writeStream.outputMode("append").foreachBatch(_once(write)), checkpoint, trigger)
 
 
 # --- user dimension --------------------------------------------------------
 
 def user_info_job(lines: DataFrame, store_root: str, checkpoint: str, trigger: dict | None = None,
-                  compact_every: int = COMPACT_EVERY):
+                  compact_every: int = COMPACT_EVERY, counts: Steps | None = None):
     """User records upserted by id, last arrival wins; ``updated_at`` is
     kept, lookups apply the 24 h life to it (T6, ``UserLookup``)."""
     users = parse_json(lines, USER_INFO).withColumnRenamed("ingest_time", "updated_at")
-    users = users.filter(F.col("id").isNotNull())
+    users = observe_input(users, "user", F.col("id").isNull()).filter(F.col("id").isNotNull())
     store = user_store(store_root)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        store.write_batch(last_per_key(batch, ["id"], ["updated_at"]), batch_id)
+        rows, n = counted(last_per_key(batch, ["id"], ["updated_at"]))
+        store.write_batch(rows, batch_id)
+        if counts is not None:
+            counts(batch_id, {"in_batch": n.get["rows"]})
         store.compact_by_turns(batch.sparkSession, batch_id, compact_every)
 
-    return _start(users.writeStream.foreachBatch(write), checkpoint, trigger)
+    return _start(users.writeStream.foreachBatch(_once(write)), checkpoint, trigger)
 
 
 def user_store(root: str) -> KeyedStore:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from martlens.operators import deltas, device_sets, first_seen
 from martlens.operators.keyed import last_per_key
+from martlens.streaming.metrics import counted
 from martlens.streaming.sinks import BATCH_COL, KeyedStore
 
 COMPACT_EVERY = 100     # micro-batches
@@ -55,7 +56,8 @@ class OrderTotals:
         self.sums = FoldingStore(root, self.BY, {"amount": F.sum, "orders": F.sum, "priced": F.sum}, ("create_date",),
                                  f"create_date string, create_hour string, amount {deltas.AMOUNT}, orders long, priced long")
 
-    def write_batch(self, batch: DataFrame, batch_id: int) -> None:
+    def write_batch(self, batch: DataFrame, batch_id: int) -> int:
+        """Take in a batch; returns how many images of it are new."""
         spark = batch.sparkSession
         ids = batch.select("id").filter(F.col("id").isNotNull()).distinct()
         images = before(self.orders, spark, batch_id).join(ids, "id", "left_semi").select(*batch.columns)
@@ -63,11 +65,13 @@ class OrderTotals:
         changes = deltas.signed_changes(stored, batch, "id", ORDER_VERSION).persist()
         try:
             self.sums.write_batch(deltas.signed_totals(changes, self.BY), batch_id)
-            self.orders.write_batch(changes.filter(F.col(deltas.SIGN) > 0).drop(deltas.SIGN), batch_id)
+            images, n = counted(changes.filter(F.col(deltas.SIGN) > 0).drop(deltas.SIGN))
+            self.orders.write_batch(images, batch_id)
         finally:
             changes.unpersist()
         for store in (self.orders, self.sums):
             store.compact_by_turns(spark, batch_id, self.every)
+        return n.get["rows"]
 
     def _hours(self, spark: SparkSession, date: str | None) -> DataFrame:
         raw = self.sums.raw(spark)

