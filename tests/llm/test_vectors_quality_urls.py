@@ -2,12 +2,13 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from brute import union
 from samples import SF, SF_TRAIN, make_docs
 from oracle_compare import compare, duck
 
-from martlens.llm import quality, url_filter
+from martlens.llm import quality, spans, url_filter
 from martlens.llm import quantised_neighbours as N
 from martlens.llm.queries import ORACLE_SQL, QUERIES
 
@@ -132,6 +133,56 @@ def test_quality_edge_cases(spark, rough_docs, no_docs):
     assert quality.op5_quality(spark, no_docs, some).count() == 0
 
 
+def test_pooling_against_plain_loops(monkeypatch):
+    """Texts above and below every block size, with empty ones between."""
+    rng = np.random.default_rng(4)
+    texts = ["", "one", "A a a!", None, " ".join(f"w{i % 40}" for i in range(700)), " ".join(f"V{i}" for i in range(300)), ""]
+    vectors = rng.standard_normal((quality.SLOTS, quality.DIMS)).astype(np.float32)
+    monkeypatch.setattr(quality, "STEP", 100)
+    monkeypatch.setattr(quality, "TEXTS", 3)
+    raw, off = spans.text_bytes(pa.array(texts))
+    got = quality.pooled(raw, off, vectors)
+    for i, t in enumerate(texts):
+        own = np.frombuffer((t or "").encode(), np.uint8)
+        words, shapes, _ = quality.token_slots(own, np.array([0, len(own)]))
+        want = []
+        for tokens in (words, shapes):
+            v = [[float(x) for x in vectors[k]] for k in tokens]
+            mean = [sum(c) / max(1, len(v)) for c in zip(*v, strict=True)] if v else [0.0] * quality.DIMS
+            square = [sum(x * x for x in c) / len(v) for c in zip(*v, strict=True)] if v else [0.0] * quality.DIMS
+            want += [*mean, *[max(q - m * m, 0) ** 0.5 for q, m in zip(square, mean, strict=True)]]
+        assert np.allclose(got[i], want, atol=2e-3)
+
+
+def test_network_against_plain_loops():
+    rng = np.random.default_rng(5)
+    x = rng.standard_normal((300, 6))
+    y = (x[:, 0] + 0.3 * rng.standard_normal(300) > 0).astype(int)
+    net = quality.Network(x, y)
+    w1, b1, w2, b2 = net.p
+    for row in x[:20]:
+        z = [(a - m) / s for a, m, s in zip(row, net.mean, net.scale, strict=True)]
+        hidden = [max(0.0, sum(z[i] * w1[i, j] for i in range(6)) + b1[j]) for j in range(quality.HIDDEN)]
+        logit = sum(h * w for h, w in zip(hidden, w2[:, 0], strict=True)) + b2[0]
+        assert abs(net.score(row[None])[0] - 1 / (1 + np.exp(-logit / net.temperature))) < 1e-9
+    assert ((net.score(x) >= 0.5) == y).mean() > 0.9
+    # the temperature: none apart leaves 1, many outvote the prior
+    assert abs(np.log(quality.Network._calibrate(np.zeros(0), np.zeros(0)))) < 0.03
+    logit = rng.standard_normal(4000) * 6
+    truth = (rng.random(4000) < 1 / (1 + np.exp(-logit / 3))).astype(float)
+    assert 2.5 < quality.Network._calibrate(logit, truth) < 3.5
+
+
+def test_neighbourhoods_add_up_beyond_sixteen_bits():
+    words = np.zeros(quality.LIFTED * 3 + 5, np.int64) + 4000
+    sums, counts = np.zeros((quality.SLOTS, quality.DIMS), np.int64), np.zeros(quality.SLOTS, np.int64)
+    heard = np.full((len(words), quality.DIMS), -quality.LIFT, np.int8)
+    heard[:, 1] = quality.LIFT
+    quality.add_by_slot(sums, counts, words, heard)
+    assert counts[4000] == len(words) == counts.sum()
+    assert sums[4000, 0] == -quality.LIFT * len(words) and sums[4000, 1] == quality.LIFT * len(words)
+
+
 def test_context_sums_match_a_plain_count(spark):
     texts = [(1, "a b a c. C!! c. c."), (2, "b a"), (3, None), (4, "solo")]
     table = {}
