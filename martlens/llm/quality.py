@@ -201,7 +201,8 @@ def pooled(raw: np.ndarray, off: np.ndarray, vectors: np.ndarray) -> np.ndarray:
     out = np.zeros((len(off) - 1, 4 * DIMS), np.float64)
     n = np.maximum(np.diff(first), 1)[:, None]
     text = np.repeat(np.arange(len(off) - 1), np.diff(first))
-    both = np.concatenate([vectors, vectors * vectors], axis=1)
+    # double precision: a score must not depend on the texts it shares a block with
+    both = np.concatenate([vectors, vectors * vectors], axis=1, dtype=np.float64)
     for k, total in enumerate((by_pairs(text, words, len(off) - 1, both), by_table(text, shapes, len(off) - 1, both))):
         mean = total[:, :DIMS] / n
         out[:, 2 * k * DIMS:(2 * k + 1) * DIMS] = mean
@@ -215,7 +216,7 @@ def by_pairs(text: np.ndarray, slots: np.ndarray, texts: int, rows: np.ndarray)
     keys = np.sort(text * SLOTS + slots)
     start, times = runs(keys)
     of, slot = np.divmod(keys[start], SLOTS)
-    times = times.astype(np.float32)
+    times = times.astype(np.float64)
     total = np.zeros((texts, rows.shape[1]))
     begin, size = runs(of)
     for i, lo, n in zip(of[begin].tolist(), begin.tolist(), size.tolist(), strict=True):
@@ -239,7 +240,7 @@ def by_table(text: np.ndarray, slots: np.ndarray, texts: int, rows: np.ndarray)
         a, b = np.searchsorted(text, (lo, lo + TEXTS))
         shape = (min(TEXTS, texts - lo), len(used))
         times = np.bincount((text[a:b] - lo) * len(used) + column[a:b], minlength=shape[0] * shape[1]).reshape(shape)
-        total[lo:lo + TEXTS] = times.astype(np.float32) @ rows[used]
+        total[lo:lo + TEXTS] = times.astype(np.float64) @ rows[used]
     return total
 
 
