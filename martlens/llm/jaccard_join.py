@@ -23,9 +23,10 @@ Sets that are equal travel as one, whatever the number of their documents.
 
 Edge cases: null and empty texts, and texts without words, have the empty set
 and are linked with nothing; shorter texts than WIDTH words are one shingle;
-repeated rows and rows of one id count as documents with equal sets; rows with
-a null id take part and have a null id in the result; an empty table gives no
-rows; other columns are ignored.
+repeated rows are documents with equal sets; a row goes by its id and text, so
+the texts of one id are documents of their own; rows with a null id take part,
+keep a null id, and have the smallest id of their class (null where it has
+none); an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -398,7 +399,7 @@ class _Verifier:
                         [rows.column(0).cast(pa.int64()), pa.array([s.of(i).tobytes() for i in range(rows.num_rows)], pa.binary())],
                         names=["doc_id", "hashes"])
 
-        # one row per id: rows that share an id have been told apart by ``keyed``
+        # rows of one id have one text here (see near_duplicates)
         return self.docs.join(wanted, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(run, "doc_id long, hashes binary")
 
     def exploded(self, wanted: DataFrame) -> DataFrame:
@@ -506,14 +507,28 @@ def _joined(parts: DataFrame, links: DataFrame) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id of every row of ``docs``."""
+    ws = Workspace(spark, "rows")
+    # a row goes by its id and text: texts that share an id, or have none, are told apart
+    keyed = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("key"))
+    classes = ws.save(classes_by_key(spark, keyed.select(F.col("key").alias("doc_id"), "text")).groupBy(
+        F.col("doc_id").alias("key")).agg(F.min("n_shingles").alias("n_shingles"), F.min("component_id").alias("part")), "classes")
+    rows = keyed.select("doc_id", "key").join(classes, "key")
+    first = rows.filter("n_shingles > 0").groupBy("part").agg(F.min("doc_id").alias("component_id"))
+    return rows.join(first, "part", "left").select(
+        "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+
+
+def classes_by_key(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """The same for a ``doc_id`` that is never null and has one text only; the
+    class is named by its smallest one."""
     ws = Workspace(spark, "jaccard")
     buckets = partitions(spark)
     docs = docs.select("doc_id", "text")
     rows = ws.save(set_table(docs), "rows")
-    sets = ws.save(rows.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("set_id").agg(
+    sets = ws.save(rows.filter("n_shingles > 0").groupBy("set_id").agg(
         F.min("doc_id").alias("doc_id"), F.min("n_shingles").alias("n_shingles"), F.min("sketch").alias("sketch"),
         F.min("mini").alias("mini")), "sets")
-    found = ws.save(candidate_rows(slice_packets(docs.filter("doc_id IS NOT NULL"), buckets), buckets), "found",
+    found = ws.save(candidate_rows(slice_packets(docs, buckets), buckets), "found",
                     partition_by=("kind",))
     verifier = _Verifier(docs, sets, ws)
     links = verifier.links(found.filter(F.col("kind") == STAR))

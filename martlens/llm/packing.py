@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from martlens.llm.spans import blocks, tidy
 from martlens.llm.store import Workspace
@@ -142,7 +143,9 @@ def pack(pieces: DataFrame, tasks: int, tokens: int = SEQUENCE_TOKENS, documents
         return pa.Table.from_batches(held).cast(PIECES).sort_by(
             [("length", "descending"), ("doc_id", "ascending"), ("piece", "ascending")])
 
-    dealt = pieces.repartition(tasks, "doc_id", "piece").sortWithinPartitions("doc_id", "piece")
+    # by the place in the stored table too: pieces that share an id, or have none, are dealt like others
+    dealt = pieces.repartition(tasks, F.xxhash64("doc_id", "piece", F.monotonically_increasing_id())) \
+        .sortWithinPartitions("doc_id", "piece")
     return dealt.mapInArrow(run, f"{PIECES_DDL}, sequence_id long, offset int")
 
 

@@ -19,8 +19,9 @@
 
 Edge cases: vectors that are null, empty, all zero or hold a null or non-finite
 component link with nothing; vectors of different lengths are not compared;
-repeated rows of an id count as copies; rows with a null id link nothing and
-keep a null id; an empty table gives no rows; other columns are ignored.
+repeated rows of an id count as copies; of an id with several vectors each has
+its own links and component, which the id itself does not connect; rows with a
+null id link nothing and keep a null id; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -305,8 +306,9 @@ def near_vectors(spark: SparkSession, table: DataFrame, similarity: float = SIMI
     ws = Workspace(spark, "itq")
     rows = table.select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"))
     good = usable("embedding") & F.col("vec_id").isNotNull()
+    # a vector goes by a hash of its own: an id may have several, of different lengths even
     groups = ws.save(rows.filter(good).groupBy("embedding").agg(
-        F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("copies")), "groups")
+        F.min("vec_id").alias("vec_id"), F.count(F.lit(1)).alias("copies")).withColumn("id", F.xxhash64("embedding")), "groups")
     sample = groups.orderBy(F.xxhash64("id")).limit(SAMPLE).select("embedding").toPandas()["embedding"]
     count = groups.count()
     tables = Tables([_unit(np.array(v, float)[None, :])[0] for v in sample], count, similarity)
@@ -317,9 +319,11 @@ def near_vectors(spark: SparkSession, table: DataFrame, similarity: float = SIMI
                                      tables, buckets), "compared")
     counts = compared.groupBy("id").agg(F.sum("links").alias("links"))
     parts = components(compared.filter("id <> other").select(F.col("id").alias("a"), F.col("other").alias("b")), ws, "parts")
-    placed = ws.save(groups.join(counts, "id", "left").join(parts, "id", "left").select(
-        "embedding", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-        F.coalesce("component", "id").alias("component_id")), "placed")
+    named = groups.join(parts, "id", "left").withColumn("part", F.coalesce("component", "id")).select(
+        "id", "embedding", "vec_id", "copies", "part")
+    first = named.groupBy("part").agg(F.min("vec_id").alias("component_id"))
+    placed = ws.save(named.join(first, "part").join(counts, "id", "left").select(
+        "embedding", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "component_id"), "placed")
     linked = rows.filter(good).join(placed, "embedding").select("vec_id", "n_links", "component_id")
     alone = rows.filter(~good).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return linked.unionByName(alone).select("vec_id", "n_links", "component_id",

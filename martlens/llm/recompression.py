@@ -12,19 +12,20 @@ symbols wherever the context lies inside them.
 1. Spark counts the top-round symbols over all documents.  A symbol that
    occurs once proves that no window containing its context repeats.
 2. The windows left (every contained symbol is shared, or there is none) are
-   verified: 128-bit hashes of their words are counted over all documents.
+   verified: 64-bit hashes of their words are counted over all documents, in
+   buckets that an independent name (a symbol in them) picks.  Two different
+   windows of n in b buckets are taken for equal with a chance of n^2 / (b 2^65).
 3. Words covered by a window that occurs at least twice are removed.
 
-Texts move once (both later steps read one exchange by doc_id); symbols and
+Texts move once (both later steps read one exchange by row key); symbols and
 window hashes move as packed arrays, one packet per map block and bucket.
 A value that a block holds twice is known to repeat: only one entry of it is
 sent for counting, so a passage that a third of all documents share reaches its
 bucket once per block.
 
 Edge cases: null and empty texts have no words; texts shorter than a window
-keep everything; repeated rows are further occurrences (rows of one id are
-expected to have one text, else the flags of both apply to both, cut at the
-end of the text); a row with a null id goes by its text; an empty table gives
+keep everything; repeated rows are further occurrences; a row goes by its id and
+text, so texts that share an id, or have none, are apart; an empty table gives
 no rows; other columns are ignored.
 """
 
@@ -223,7 +224,8 @@ class Kept:
 def with_found(docs: DataFrame, buckets: int, window: int = WINDOW) -> DataFrame:
     """owner, text, found (start positions of repeated windows) and the other
     columns of ``docs`` as a struct ``row``."""
-    owner = F.coalesce(F.col("doc_id").cast("long"), -1 - F.shiftrightunsigned(F.xxhash64("text"), 1))
+    # not below zero, so that packets can hold owners as steps
+    owner = F.shiftrightunsigned(F.xxhash64(F.col("doc_id").cast("long"), "text"), 2)
     base = docs.select(owner.alias("owner"), F.coalesce("text", F.lit("")).alias("text"),
                        F.struct(F.col("text").isNull().alias("__null"),
                                 *[c for c in docs.columns if c != "text"]).alias("row"))

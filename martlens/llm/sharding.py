@@ -2,7 +2,7 @@
 
 Pass 1 measures the table and fixes how many memory-sized buckets a shard has.
 Pass 2 scatters the records: a seeded rendezvous hash of the id picks the
-shard, a second seeded hash the bucket inside it, so bucket sizes are near
+shard, a second seeded hash of the row the bucket inside it, so bucket sizes are near
 equal whatever the sources or copies.  Each bucket is then gathered, put in
 random order by ``shuffle`` (a seeded Fisher-Yates shuffle of an array) and
 written.  All of it is column expressions.
@@ -12,9 +12,10 @@ record stays, or moves to the new shard: each shard draws a hash for the id
 and the largest draw wins, so a new shard can only take.
 
 Edge cases: a null or empty text has size 8 and checksum 0; repeated rows each
-keep a slot of their own; rows with a null id share one shard and are dealt
-over its buckets by their text; an empty table gives no rows; other columns of
-the input are ignored.
+keep a slot of their own; rows that share an id, or have none, share one shard
+and are dealt over its buckets like others; an empty table gives no rows; other
+columns of the input are ignored.  Shards depend on ids only; buckets and slots
+also on how the input lies in its files.
 """
 
 from __future__ import annotations
@@ -49,7 +50,8 @@ def write_shards(spark: SparkSession, docs: DataFrame, ws: Workspace, shards: in
     total = records.agg(F.sum(record_size(F.col("text"))).alias("bytes")).first()["bytes"] or 0
     per_shard = max(1, math.ceil(total / (shards * bucket_bytes)))
     tasks = partitions(spark)
-    draw = F.xxhash64(F.lit(seed + 1), "doc_id", F.when(F.col("doc_id").isNull(), F.col("text")))
+    # rows of one id (or none) are dealt over the buckets too, repeated rows by their place in the input
+    draw = F.xxhash64(F.lit(seed + 1), "doc_id", "text", F.monotonically_increasing_id())
     scattered = (records
                  .withColumn("shard", rendezvous(F.col("doc_id"), shards, seed))
                  .withColumn("bucket", F.pmod(draw, F.lit(per_shard)).cast("int"))

@@ -14,6 +14,7 @@ import tempfile
 import uuid
 
 import martlens
+from martlens.session import forget_at_exit, is_local
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL: dict[str, str] = {}
@@ -41,7 +42,7 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not is_local(spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     app = spark.sparkContext.applicationId
     if app not in _LOCAL:
@@ -55,11 +56,13 @@ def partitions(spark: SparkSession) -> int:
 
 
 class Workspace:
-    """Intermediate tables of one run of an operator."""
+    """Intermediate tables of one run of an operator.  A result may read them
+    for as long as the driver process lives; when it ends they are deleted."""
 
     def __init__(self, spark: SparkSession, name: str) -> None:
         self.spark = spark
         self.path = f"{shared_dir(spark)}/martlens-llm/{name}-{uuid.uuid4().hex}"
+        forget_at_exit(spark, self.path)
 
     def save(self, df: DataFrame, name: str, compression: str = "zstd",
              partition_by: tuple[str, ...] = ()) -> DataFrame:

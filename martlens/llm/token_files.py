@@ -194,7 +194,9 @@ def write_token_files(docs: DataFrame, path: str, ws: Workspace, tasks: int,
             yield flush()
 
     ordered = (docs.select("doc_id", "text")
-               .repartitionByRange(tasks, "doc_id").sortWithinPartitions("doc_id", "text"))
+               # rows that share an id, or have none, may fill several files
+               .repartitionByRange(tasks, "doc_id", F.substring("text", 1, 64), F.monotonically_increasing_id())
+               .sortWithinPartitions("doc_id", "text"))
     return ws.save(ordered.mapInArrow(run, SEGMENT_DDL), "segments", compression="none")
 
 

@@ -42,7 +42,7 @@ def test_stages_keep_the_columns_and_rough_rows(spark, rough_docs):
         docs = out
     texts = {r.doc_id: r.text for r in docs.collect()}
     assert texts[1] is None and 8 not in texts and 9 not in texts and -5 in texts
-    assert sum(r.doc_id is None for r in docs.collect()) == sum(i is None for i, _ in ROUGH_TEXTS)
+    assert sorted(r.text or "" for r in docs.collect() if r.doc_id is None) == ["", "no id here"]     # the copy of BASE went
     assert C.STAGES[0][1](spark, rough_docs, SF).columns == rough_docs.columns
 
 
@@ -63,7 +63,7 @@ def test_text_of_repeated_rows_and_of_copies_without_an_id_survives_once(spark):
     assert sorted((i, t) for i, t, _ in rows if i is not None) == [
         (1, words("a")), (2, words("b")), (3, words("d")), (3, words("e")), (5, words("f")), (6, ""), (6, "")]
     nameless = sorted((t or "" for i, t, _ in rows if i is None), key=len)
-    assert len(nameless) == 5 and nameless[:4] == [""] * 4 and nameless[4] in (words("c"), "lead " + words("c"))
+    assert len(nameless) == 2 and nameless[0] == "" and nameless[1] in (words("c"), "lead " + words("c"))
 
 
 def test_empty_documents(spark, no_docs):

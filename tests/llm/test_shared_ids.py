@@ -1,0 +1,82 @@
+"""Ids that several rows share, or that are null, for a third of the rows."""
+
+import zlib
+
+import numpy as np
+from brute import sha, shingles, without_repeats
+from samples import make_docs
+
+from martlens.llm import jaccard_join, packing, quantised_neighbours, recompression, sharding, token_files, word_bpe
+
+
+def words(name, n=60):
+    return " ".join(f"{name}{i}" for i in range(n))
+
+
+def test_join_takes_rows_by_id_and_text(spark):
+    texts = [(3, words("a")), (None, words("a", 56)), (7, words("b")), (7, words("c")), (5, words("c")), (None, words("d")),
+             (None, words("d") + " end"), (None, None), (9, "")]
+    got = sorted((tuple(r) for r in jaccard_join.op1_jaccard_join(spark, make_docs(spark, texts).repartition(3)).collect()), key=repr)
+    part = {words("a"): 3, words("a", 56): 3, words("b"): 7, words("c"): 5, words("d"): None, words("d") + " end": None}
+    assert got == sorted(((i, len(shingles(t)), part.get(t, i)) for i, t in texts), key=repr)
+
+
+def test_vectors_of_one_id(spark):
+    rng = np.random.default_rng(3)
+    v = rng.standard_normal((40, 32))
+    rows = [(1, v[0].tolist()), (1, [1.0, 2.0]), (1, v[1].tolist()), (2, (v[0] + 0.01).tolist()), (3, (v[1] + 0.01).tolist()),
+            (4, [1.0, 2.01]), (0, (v[1] - 0.01).tolist())] + [(10 + k, x.tolist()) for k, x in enumerate(v[2:])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = sorted((r.vec_id, r.n_links, r.component_id) for r in quantised_neighbours.op4_quantised_neighbours(spark, table).collect()
+                 if r.vec_id < 10)
+    assert got == [(0, 2, 0), (1, 1, 1), (1, 1, 1), (1, 2, 0), (2, 1, 1), (3, 2, 0), (4, 1, 1)]
+
+
+def hot_texts():
+    return [(5, words(f"h{i}_", 3 + i % 40)) for i in range(150)] + [(None, words(f"n{i}_", 3 + i % 40)) for i in range(150)] \
+        + [(100 + i, words(f"t{i % 90}_", 3 + i % 40)) for i in range(150)] + [(5, "same")] * 30
+
+
+def test_repeats_are_judged_per_row(spark):
+    texts = [*hot_texts(), (1, words("x")), (1, words("y")), (2, words("x"))]
+    got = sorted((tuple(r) for r in recompression.op7_recompression(spark, make_docs(spark, texts).repartition(4)).collect()), key=repr)
+    assert got == sorted(((i, len(w), len(w) - len(k), sha(k)) for i, w, k in without_repeats(texts)), key=repr)
+
+
+def test_shards_deal_a_hot_id_over_buckets(spark):
+    texts = hot_texts()
+    docs = make_docs(spark, texts).repartition(4)
+    ws = sharding.Workspace(spark, "t")
+    stored, _ = sharding.write_shards(spark, docs, ws, bucket_bytes=100)
+    buckets = stored.filter("doc_id = 5").groupBy("bucket").count().collect()
+    assert len(buckets) > 5 and max(r["count"] for r in buckets) < 100
+    rows = sharding.op3_sharding(spark, docs).collect()
+    sizes = sorted((str(r.doc_id), r["size"], r.text_crc32) for r in rows)
+    assert sizes == sorted((str(i), len(t) + 8, zlib.crc32(t.encode())) for i, t in texts)
+    for s in {r.shard for r in rows}:
+        assert sorted(r.slot for r in rows if r.shard == s) == list(range(sum(r.shard == s for r in rows)))
+    # one shard more, computed anew: it takes rows from others only, and is what grown_shard said
+    more = sharding.op3_sharding(spark, docs, 25).collect()
+    grown = {r.doc_id: r.grown_shard for r in rows}
+    assert {r.doc_id: r.shard for r in more} == grown
+    assert all(grown[r.doc_id] in (r.shard, 24) for r in rows)
+
+
+def test_token_files_and_packing_of_a_hot_id(spark):
+    texts = hot_texts()
+    docs = make_docs(spark, texts).repartition(4)
+    bpe = word_bpe.WordBpe.load(word_bpe.vocabulary_path())
+    ids = [np.array(e.ids + [1], "<u4") for e in bpe.tokenizer.encode_batch([t for _, t in texts], add_special_tokens=False)]
+    want = sorted((str(i), len(x), zlib.crc32(x.tobytes())) for (i, _), x in zip(texts, ids, strict=True))
+    rows = token_files.op8_token_files(spark, docs).collect()
+    assert sorted((str(r.doc_id), r.n_tokens, r.ids_crc32) for r in rows) == want
+    end = 0
+    for r in sorted(rows, key=lambda r: r.start):
+        assert r.start == end
+        end += r.n_tokens
+    order = [r.doc_id for r in sorted(rows, key=lambda r: r.start)]
+    assert order == sorted(order, key=lambda i: (i is not None, i or 0))
+    packed = packing.op9_best_fit_packing(spark, docs).collect()
+    assert sorted((str(r.doc_id), r.length, r.ids_crc32) for r in packed) == want
+    pieces = spark.createDataFrame(packed).select("doc_id", "piece", "start", "length", "ids_crc32")
+    assert pieces.count() == len(texts)
