@@ -8,9 +8,8 @@ return the columns of documents.
    labels of sf_dir and scores what it is given.
 2. near_duplicates: of rows linked by 5-word shingles (3/4 or more in common)
    the one with the smallest id stays, rows without an id counting as last.
-   Repeated rows of one id and text are linked rows like others.  Rows without
-   an id stay as rows, but only the one that stands for its class keeps its
-   text; the others have an empty one.
+   Repeated rows of one id and text, and rows without an id, are linked rows
+   like others: one row of every class stays.
 3. repeats: words covered by a 35-word window that occurs twice go; a text
    that has any keeps its other words, joined by one space, and n_chars
    follows.  No row goes, also where no word is left.
@@ -48,24 +47,19 @@ def keep_first(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ws = Workspace(spark, "first")
     # equal rows share a key, rows that differ in id or text do not
     keyed = docs.withColumn(KEY, F.xxhash64("doc_id", "text"))
-    classes = jaccard_join.near_duplicates(spark, keyed.select(F.col(KEY).alias("doc_id"), "text")) \
+    classes = jaccard_join.classes_by_key(spark, keyed.select(F.col(KEY).alias("doc_id"), "text")) \
         .filter("n_shingles > 0").groupBy(F.col("doc_id").alias(KEY)).agg(
             F.min("component_id").alias("component"), F.count(F.lit(1)).alias("n"))
     members = ws.save(classes.join(keyed.groupBy(KEY).agg(F.min("doc_id").alias("doc_id")), KEY), "members")
     first = members.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", KEY)).alias("first")) \
         .select(F.col("first")[KEY].alias(KEY), F.lit(True).alias("stays"))
-    # keys of which some row goes or loses its text
+    # keys of which some row goes
     copies = ws.save(members.join(first, KEY, "left").filter("stays IS NULL OR n > 1").select(
-        KEY, F.coalesce("stays", F.lit(False)).alias("stays"), F.col("doc_id").isNull().alias("nameless")), "copies")
+        KEY, F.coalesce("stays", F.lit(False)).alias("stays")), "copies")
     rest = keyed.join(copies.select(KEY), KEY, "left_anti").select(*docs.columns)
-    again = ws.save(keyed.join(copies.filter("stays OR nameless").select(KEY, F.col("stays").alias(f"{KEY} stays")), KEY)
-                    .withColumn(TURN, F.monotonically_increasing_id()), "again")
-    one = again.filter(F.col(f"{KEY} stays")).groupBy(KEY).agg(F.min(TURN).alias(TURN)).select(TURN)
-    emptied = again.filter("doc_id IS NULL").join(one, TURN, "left_anti").withColumn("text", F.lit(""))
-    if "n_chars" in docs.columns:
-        emptied = emptied.withColumn("n_chars", F.lit(0).cast(docs.schema["n_chars"].dataType))
-    return rest.unionByName(again.join(one, TURN, "left_semi").select(*docs.columns)) \
-        .unionByName(emptied.select(*docs.columns))
+    again = ws.save(keyed.join(copies.filter("stays").select(KEY), KEY).withColumn(TURN, F.monotonically_increasing_id()), "again")
+    one = again.groupBy(KEY).agg(F.min(TURN).alias(TURN)).select(TURN)
+    return rest.unionByName(again.join(one, TURN, "left_semi").select(*docs.columns))
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
