@@ -14,9 +14,10 @@ Batch plan (``coupon_alerts``), every group bounded:
 The window's event list is kept as (evid, count) pairs: the multiset of the
 events, bounded by the number of event types, instead of one entry per event.
 
-The streaming job keeps steps 0 and 1 as two chained watermarked aggregates
-(``streaming_pane_window_stage``) and runs step 2 per closed window in
-``foreachBatch``. An event without a device belongs to no device: every form
+The streaming job keeps step 0 as a watermarked aggregate (``streaming_panes``),
+stores closed panes, and runs steps 1 and 2 over the panes of the windows that
+have closed since (``closed_window_stage``), so windows that cannot alert get no
+sets there either. An event without a device belongs to no device: every form
 drops it first.
 """
 
@@ -65,22 +66,31 @@ def interval_ms(text: str) -> int:
     return int(m.group(1)) * _UNIT_MS[m.group(2)]
 
 
-def _pane_rows(logs: DataFrame, window: str, slide: str) -> tuple[DataFrame, int]:
-    """Step 0 plus the expansion: one row per (pane row, window start ``ws``)."""
+def pane_ms(window: str, slide: str) -> tuple[int, int, int]:
+    """Length and slide of the windows and length of the panes, in ms."""
     length, step = interval_ms(window), interval_ms(slide)
     if not 0 < step <= length:
         raise ValueError("the slide must be positive and no longer than the window")
-    pane = math.gcd(length, step)
+    return length, step, math.gcd(length, step)
+
+
+def _expand(panes: DataFrame, length: int, step: int) -> DataFrame:
+    """Pane rows (mid, evid, u, i, n, start in ms), one per window start ``ws``."""
+    start = F.col("start")
+    hi = F.floor(start / F.lit(step)).cast("long") * F.lit(step)
+    lo = F.floor((start - F.lit(length)) / F.lit(step)).cast("long") * F.lit(step) + F.lit(step)
+    return panes.filter(lo <= hi).select(
+        "mid", "evid", "u", "i", "n", F.explode(F.sequence(lo, hi, F.lit(step).cast("long"))).alias("ws"))
+
+
+def _pane_rows(logs: DataFrame, window: str, slide: str) -> tuple[DataFrame, int]:
+    """Step 0 plus the expansion: one row per (pane row, window start ``ws``)."""
+    length, step, pane = pane_ms(window, slide)
     coupon = F.col("evid") == COUPON
     panes = (logs.filter(F.col("mid").isNotNull()).groupBy("mid", "evid", F.floor(F.col("ts") / F.lit(pane)).cast("long").alias("pane"),
                           F.when(coupon, F.col("uid")).alias("u"), F.when(coupon, F.col("itemid")).alias("i"))
                  .agg(F.count(F.lit(1)).alias("n")))
-    start = F.col("pane") * F.lit(pane)
-    hi = F.floor(start / F.lit(step)).cast("long") * F.lit(step)
-    lo = F.floor((start - F.lit(length)) / F.lit(step)).cast("long") * F.lit(step) + F.lit(step)
-    expanded = panes.filter(lo <= hi).select(
-        "mid", "evid", "u", "i", "n", F.explode(F.sequence(lo, hi, F.lit(step).cast("long"))).alias("ws"))
-    return expanded, length
+    return _expand(panes.withColumn("start", F.col("pane") * F.lit(pane)), length, step), length
 
 
 def _window_facts(expanded: DataFrame, length: int) -> DataFrame:
@@ -105,6 +115,10 @@ def candidate_window_stage(logs: DataFrame, window: str, slide: str, min_users:
     aggregate then runs on the rows of the candidate windows only (a semi
     join), instead of on every window of every device."""
     expanded, length = _pane_rows(logs, window, slide)
+    return _candidate_facts(expanded, length, min_users)
+
+
+def _candidate_facts(expanded: DataFrame, length: int, min_users: int) -> DataFrame:
     cand = (expanded.groupBy("ws", "mid")
                     .agg(F.sum(F.when(F.col("evid") == COUPON, F.col("n"))).alias("c"),
                          F.sum(F.when(F.col("evid") == ITEM_VIEW, F.col("n"))).alias("v"))
@@ -113,22 +127,27 @@ def candidate_window_stage(logs: DataFrame, window: str, slide: str, min_users:
     return _window_facts(expanded.join(cand, ["ws", "mid"], "left_semi"), length)
 
 
-def streaming_pane_window_stage(logs: DataFrame, window: str, slide: str, event_time: Column) -> DataFrame:
-    """Steps 0 and 1 for a watermarked stream: a tumbling pane aggregate, then
-    the sliding-window aggregate over the panes' times (``window_time``), as
-    two chained stateful operators. Raw events are expanded into no window;
-    only pane rows are. Requires a watermark on ``event_time`` upstream."""
-    length, step = interval_ms(window), interval_ms(slide)
-    if not 0 < step <= length:
-        raise ValueError("the slide must be positive and no longer than the window")
-    pane = f"{math.gcd(length, step)} milliseconds"
+def streaming_panes(logs: DataFrame, window: str, slide: str, event_time: Column) -> DataFrame:
+    """Step 0 for a watermarked stream: pane rows (mid, evid, u, i, n, start in
+    ms), each once, when the watermark has passed the pane's end. Open panes are
+    all the state there is: no event is expanded into windows. Requires a
+    watermark on ``event_time`` upstream."""
+    pane = pane_ms(window, slide)[2]
     coupon = F.col("evid") == COUPON
-    panes = (logs.filter(F.col("mid").isNotNull()).groupBy(F.window(event_time, pane).alias("pane"), "mid", "evid",
-                          F.when(coupon, F.col("uid")).alias("u"), F.when(coupon, F.col("itemid")).alias("i"))
-                 .agg(F.count(F.lit(1)).alias("n"))
-                 .withColumn("pane_time", F.window_time("pane")))
-    return (panes.groupBy(F.window("pane_time", window, slide).alias("window"), "mid", "evid")
-                 .agg(F.sum("n").alias("n"), F.collect_set("u").alias("uids"), F.collect_set("i").alias("items")))
+    rows = logs.filter(F.col("mid").isNotNull()).groupBy(
+        F.window(event_time, f"{pane} milliseconds").alias("pane"), "mid", "evid",
+        F.when(coupon, F.col("uid")).alias("u"), F.when(coupon, F.col("itemid")).alias("i")).agg(F.count(F.lit(1)).alias("n"))
+    return rows.select("mid", "evid", "u", "i", "n", F.unix_millis("pane.start").alias("start"))
+
+
+def closed_window_stage(panes: DataFrame, window: str, slide: str, after: int, upto: int,
+                        min_users: int = MIN_USERS) -> DataFrame:
+    """Step 1 for the windows that end after ``after`` and not after ``upto`` (ms),
+    from the pane rows of all their panes; only windows that can alert."""
+    length, step, _ = pane_ms(window, slide)
+    end = F.col("ws") + F.lit(length)
+    near = panes.filter((F.col("start") > after - length) & (F.col("start") < upto))
+    return _candidate_facts(_expand(near, length, step).filter((end > after) & (end <= upto)), length, min_users)
 
 
 def alert_stage(facts: DataFrame, min_users: int = MIN_USERS) -> DataFrame:

@@ -6,10 +6,12 @@ a date with no orders has a null amount, one with no devices counts 0.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martlens.operators.dau import dau_total, new_devices
+from martlens.operators.dau import daily_devices, dau_total
 from martlens.operators.gmv import gmv_total
 
 # KPI ids and names.
@@ -45,11 +47,25 @@ def kpi_total(dau_daily: DataFrame, new_daily: DataFrame | None, gmv_daily: Data
     return wide.select("date", F.explode(entries).alias("e")).select("date", "e.id", "e.name", "e.value")
 
 
-def kpi_for_date(dau: DataFrame, orders: DataFrame, date: str) -> DataFrame:
-    """The dashboard's KPI list for one date: always three rows (DAU and new
-    devices 0, amount null when the date has no data). ``dau`` is the DAU
-    table, ``orders`` the dated order table. The daily count and the amount read
-    that date only when the tables are stored partitioned; new devices need the
-    first day of every device, so keep them in a table of their own
-    (``new_devices`` of each day's batch) where history is long."""
-    return kpi_total(dau_total(dau, date), new_devices(dau, date), gmv_total(orders, date))
+def kpi_for_dates(dau: DataFrame, orders: DataFrame, dates: Sequence[str], new_daily: DataFrame | None = None) -> DataFrame:
+    """The dashboard's KPI list for some dates: always three rows a date (DAU and
+    new devices 0, amount null when the date has no data). ``dau`` is the DAU
+    table, ``orders`` the dated order table; all dates are one plan.
+
+    With ``new_daily`` (logDate, new_devices), as a ``DeviceHistory`` keeps it, every
+    input reads these dates only when it is stored partitioned. Without it the
+    first day of every device is found from ``dau``, together with the counts."""
+    dates = list(dates)
+    spine = dau.sparkSession.range(1).select(F.explode(F.array(*[F.lit(d) for d in dates])).alias("logDate"), F.lit(0).cast("long").alias("n"))
+    amounts = gmv_total(orders.filter(F.col("create_date").isin(dates)))
+    if new_daily is None:
+        both = daily_devices(dau).filter(F.col("logDate").isin(dates))
+        zeros = spine.select("logDate", F.col("n").alias("dau"), F.col("n").alias("new_devices"))
+        return kpi_total(both.unionByName(zeros), None, amounts)
+    counts = dau_total(dau.filter(F.col("logDate").isin(dates))).unionByName(spine.select("logDate", F.col("n").alias("dau")))
+    return kpi_total(counts, new_daily.filter(F.col("logDate").isin(dates)), amounts)
+
+
+def kpi_for_date(dau: DataFrame, orders: DataFrame, date: str, new_daily: DataFrame | None = None) -> DataFrame:
+    """``kpi_for_dates`` for one date."""
+    return kpi_for_dates(dau, orders, [date], new_daily)

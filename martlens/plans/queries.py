@@ -280,11 +280,7 @@ def kpi_total(spark, sf):
 
 
 def kpi_for_date(spark, sf):
-    d, o = _dau(spark, sf), _orders(spark, sf)
-    out = kpi.kpi_for_date(d, o, DATE)
-    for date in (EMPTY_DATE, ORDER_DATE):
-        out = out.unionByName(kpi.kpi_for_date(d, o, date))
-    return out
+    return kpi.kpi_for_dates(_startup(spark, sf), _orders(spark, sf), [DATE, EMPTY_DATE, ORDER_DATE])
 
 
 def dau_total_date(spark, sf):

@@ -189,26 +189,47 @@ def order_totals(orders: str, totals: str, compact_every: int = COMPACT_EVERY) -
 def alert_job(lines: DataFrame, store_root: str, checkpoint: str, window: str = "5 minutes",
               slide: str = "5 seconds", delay: str = "1 minute", trigger: dict | None = None,
               compact_every: int = COMPACT_EVERY, counts: Steps | None = None):
-    """T2 on event time with a watermark. Steps 0-1 are two chained stateful
-    aggregates -- tumbling panes, then sliding windows over the panes -- in
-    append mode: a window's rows are emitted once, all together, when the
-    watermark passes its end. Step 2 and the per-minute id (W3) run on that
-    closed output inside ``foreachBatch``; the alert store is upserted by
-    ``doc_id`` (T7)."""
+    """T2 on event time with a watermark. The only state are open panes; a pane's
+    rows are emitted once, when the watermark passes its end, and stored by day
+    beside the alerts (``<store_root>_panes``). Every batch then evaluates the
+    windows that have closed since the batch before, from the stored panes they
+    cover: sums first, sets only for windows that can alert (as in batch). How
+    far windows are done is kept per batch, so a replay does the same windows
+    again. Alerts are upserted by their per-minute ``doc_id`` (T7, W3)."""
     logs = observe_input(parse_json(lines, EVENT_LOG), "alert", F.col("mid").isNull() | F.col("ts").isNull())
     logs = logs.withColumn("event_time", F.timestamp_millis("ts"))
-    facts = alert_ops.streaming_pane_window_stage(logs.withWatermark("event_time", delay), window, slide,
-                                                  F.col("event_time"))
+    panes = alert_ops.streaming_panes(logs.withWatermark("event_time", delay), window, slide, F.col("event_time"))
+    length, _, pane = alert_ops.pane_ms(window, slide)
     store = KeyedStore(store_root, "doc_id", version=("window_end",))
+    root = store_root.rstrip("/")
+    closed = FoldingStore(f"{root}_panes", ["mid", "evid", "u", "i", "start", "day"], {"n": F.sum}, ("day",),
+                          "mid string, evid string, u string, i string, start long, day string, n long")
+    done = FoldingStore(f"{root}_done", "of", {"until": F.max}, schema="of string, until long")
+
+    def day(ms) -> F.Column:
+        return F.date_format(from_epoch_ms(ms), "yyyy-MM-dd")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows, n = counted(alert_ops.alerts_per_minute(alert_ops.alert_stage(batch)))
-        store.write_batch(rows, batch_id)
+        spark = batch.sparkSession
+        span = batch.agg(F.min("start").alias("lo"), F.max("start").alias("hi")).first()
+        was = done.latest(before(done, spark, batch_id)).first()
+        closed.write_batch(batch.withColumn("day", day(F.col("start"))), batch_id)
+        n = 0
+        if span["hi"] is not None:
+            after = was["until"] if was is not None else span["lo"]
+            upto = max(after, span["hi"] + pane)
+            done.write_batch(spark.range(1).select(F.lit("windows").alias("of"), F.lit(upto).cast("long").alias("until")), batch_id)
+            stored = closed.raw(spark).filter((F.col(BATCH_COL) <= batch_id) & (F.col("day") >= day(F.lit(after - length))))
+            facts = alert_ops.closed_window_stage(stored, window, slide, after, upto)
+            rows, seen = counted(alert_ops.alerts_per_minute(alert_ops.alert_stage(facts)))
+            store.write_batch(rows, batch_id)
+            n = seen.get["rows"]
         if counts is not None:
-            counts(batch_id, {"alerts": n.get["rows"]})
-        store.compact_by_turns(batch.sparkSession, batch_id, compact_every)
+            counts(batch_id, {"alerts": n})
+        for s in (store, closed, done):
+            s.compact_by_turns(spark, batch_id, compact_every)
 
-    return _start(facts.writeStream.outputMode("append").foreachBatch(_once(write)), checkpoint, trigger)
+    return _start(panes.writeStream.outputMode("append").foreachBatch(_once(write)), checkpoint, trigger)
 
 
 # --- sale detail -----------------------------------------------------------
