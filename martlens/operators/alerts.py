@@ -14,10 +14,9 @@ Batch plan (``coupon_alerts``), every group bounded:
 The window's event list is kept as (evid, count) pairs: the multiset of the
 events, bounded by the number of event types, instead of one entry per event.
 
-The streaming job keeps step 0 as a watermarked aggregate (``streaming_panes``),
-stores closed panes, and runs steps 1 and 2 over the panes of the windows that
-have closed since (``closed_window_stage``), so windows that cannot alert get no
-sets there either. An event without a device belongs to no device: every form
+The streaming job stores step 0 of every micro-batch, and runs steps 1 and 2 over
+the stored panes of the windows that have closed since (``closed_window_stage``),
+so windows that cannot alert get no sets there either. An event without a device belongs to no device: every form
 drops it first.
 """
 
@@ -83,14 +82,22 @@ def _expand(panes: DataFrame, length: int, step: int) -> DataFrame:
         "mid", "evid", "u", "i", "n", F.explode(F.sequence(lo, hi, F.lit(step).cast("long"))).alias("ws"))
 
 
+def pane_counts(logs: DataFrame, window: str, slide: str) -> DataFrame:
+    """Step 0: (mid, evid, u, i, start, n), the events per device, pane, event
+    type, coupon user and coupon item."""
+    pane = pane_ms(window, slide)[2]
+    coupon = F.col("evid") == COUPON
+    start = F.floor(F.col("ts") / F.lit(pane)).cast("long") * F.lit(pane)
+    return (logs.filter(F.col("mid").isNotNull() & F.col("ts").isNotNull())
+                .groupBy("mid", "evid", F.when(coupon, F.col("uid")).alias("u"), F.when(coupon, F.col("itemid")).alias("i"),
+                         start.alias("start"))
+                .agg(F.count(F.lit(1)).alias("n")))
+
+
 def _pane_rows(logs: DataFrame, window: str, slide: str) -> tuple[DataFrame, int]:
     """Step 0 plus the expansion: one row per (pane row, window start ``ws``)."""
-    length, step, pane = pane_ms(window, slide)
-    coupon = F.col("evid") == COUPON
-    panes = (logs.filter(F.col("mid").isNotNull()).groupBy("mid", "evid", F.floor(F.col("ts") / F.lit(pane)).cast("long").alias("pane"),
-                          F.when(coupon, F.col("uid")).alias("u"), F.when(coupon, F.col("itemid")).alias("i"))
-                 .agg(F.count(F.lit(1)).alias("n")))
-    return _expand(panes.withColumn("start", F.col("pane") * F.lit(pane)), length, step), length
+    length, step, _ = pane_ms(window, slide)
+    return _expand(pane_counts(logs, window, slide), length, step), length
 
 
 def _window_facts(expanded: DataFrame, length: int) -> DataFrame:
@@ -127,19 +134,6 @@ def _candidate_facts(expanded: DataFrame, length: int, min_users: int) -> DataFr
     return _window_facts(expanded.join(cand, ["ws", "mid"], "left_semi"), length)
 
 
-def streaming_panes(logs: DataFrame, window: str, slide: str, event_time: Column) -> DataFrame:
-    """Step 0 for a watermarked stream: pane rows (mid, evid, u, i, n, start in
-    ms), each once, when the watermark has passed the pane's end. Open panes are
-    all the state there is: no event is expanded into windows. Requires a
-    watermark on ``event_time`` upstream."""
-    pane = pane_ms(window, slide)[2]
-    coupon = F.col("evid") == COUPON
-    rows = logs.filter(F.col("mid").isNotNull()).groupBy(
-        F.window(event_time, f"{pane} milliseconds").alias("pane"), "mid", "evid",
-        F.when(coupon, F.col("uid")).alias("u"), F.when(coupon, F.col("itemid")).alias("i")).agg(F.count(F.lit(1)).alias("n"))
-    return rows.select("mid", "evid", "u", "i", "n", F.unix_millis("pane.start").alias("start"))
-
-
 def closed_window_stage(panes: DataFrame, window: str, slide: str, after: int, upto: int,
                         min_users: int = MIN_USERS) -> DataFrame:
     """Step 1 for the windows that end after ``after`` and not after ``upto`` (ms),

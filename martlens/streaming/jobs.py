@@ -13,7 +13,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -189,47 +189,55 @@ def order_totals(orders: str, totals: str, compact_every: int = COMPACT_EVERY) -
 def alert_job(lines: DataFrame, store_root: str, checkpoint: str, window: str = "5 minutes",
               slide: str = "5 seconds", delay: str = "1 minute", trigger: dict | None = None,
               compact_every: int = COMPACT_EVERY, counts: Steps | None = None):
-    """T2 on event time with a watermark. The only state are open panes; a pane's
-    rows are emitted once, when the watermark passes its end, and stored by day
-    beside the alerts (``<store_root>_panes``). Every batch then evaluates the
-    windows that have closed since the batch before, from the stored panes they
-    cover: sums first, sets only for windows that can alert (as in batch). How
-    far windows are done is kept per batch, so a replay does the same windows
-    again. Alerts are upserted by their per-minute ``doc_id`` (T7, W3)."""
+    """T2 on event time, without operator state. Every batch folds its events
+    into pane rows, stored by day beside the alerts (``<store_root>_panes``), and
+    then evaluates the windows that have closed since the batch before, from the
+    stored panes they cover: sums first, sets only for windows that can alert, as
+    in batch. A window is closed when the watermark, the largest event time so
+    far less ``delay``, has reached its end; events of panes that the watermark
+    of the batch before had passed are late and dropped. Watermark and progress
+    are stored per batch, so a replay does the same again. Alerts are upserted by
+    their per-minute ``doc_id`` (T7, W3)."""
     logs = observe_input(parse_json(lines, EVENT_LOG), "alert", F.col("mid").isNull() | F.col("ts").isNull())
-    logs = logs.withColumn("event_time", F.timestamp_millis("ts"))
-    panes = alert_ops.streaming_panes(logs.withWatermark("event_time", delay), window, slide, F.col("event_time"))
     length, _, pane = alert_ops.pane_ms(window, slide)
+    late = alert_ops.interval_ms(delay)
     store = KeyedStore(store_root, "doc_id", version=("window_end",))
     root = store_root.rstrip("/")
-    closed = FoldingStore(f"{root}_panes", ["mid", "evid", "u", "i", "start", "day"], {"n": F.sum}, ("day",),
-                          "mid string, evid string, u string, i string, start long, day string, n long")
-    done = FoldingStore(f"{root}_done", "of", {"until": F.max}, schema="of string, until long")
+    panes = FoldingStore(f"{root}_panes", ["mid", "evid", "u", "i", "start", "day"], {"n": F.sum}, ("day",),
+                         "mid string, evid string, u string, i string, start long, n long, day string")
+    done = FoldingStore(f"{root}_done", "of", {"latest": F.max, "until": F.max}, schema="of string, latest long, until long")
 
-    def day(ms) -> F.Column:
+    def day(ms: Column) -> Column:
         return F.date_format(from_epoch_ms(ms), "yyyy-MM-dd")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        span = batch.agg(F.min("start").alias("lo"), F.max("start").alias("hi")).first()
         was = done.latest(before(done, spark, batch_id)).first()
-        closed.write_batch(batch.withColumn("day", day(F.col("start"))), batch_id)
+        rows = alert_ops.pane_counts(batch, window, slide)
+        if was is not None:
+            rows = rows.filter(F.col("start") + pane > was["latest"] - late)
+        panes.write_batch(rows.withColumn("day", day(F.col("start"))), batch_id)
+        # a line without a device still tells the time
+        span = batch.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).first()
         n = 0
-        if span["hi"] is not None:
-            after = was["until"] if was is not None else span["lo"]
-            upto = max(after, span["hi"] + pane)
-            done.write_batch(spark.range(1).select(F.lit("windows").alias("of"), F.lit(upto).cast("long").alias("until")), batch_id)
-            stored = closed.raw(spark).filter((F.col(BATCH_COL) <= batch_id) & (F.col("day") >= day(F.lit(after - length))))
-            facts = alert_ops.closed_window_stage(stored, window, slide, after, upto)
-            rows, seen = counted(alert_ops.alerts_per_minute(alert_ops.alert_stage(facts)))
-            store.write_batch(rows, batch_id)
-            n = seen.get["rows"]
+        if was is not None or span["hi"] is not None:
+            latest = max(x for x in (was and was["latest"], span["hi"]) if x is not None)
+            after = was["until"] if was is not None else span["lo"] - pane
+            upto = max(was["until"], latest - late) if was is not None else latest - late
+            done.write_batch(spark.createDataFrame([("windows", latest, upto)], "of string, latest long, until long"), batch_id)
+            if upto > after:
+                stored = panes.raw(spark).filter((F.col(BATCH_COL) <= batch_id) & (F.col("day") >= day(F.lit(after - length)))
+                                                 & (F.col("day") <= day(F.lit(upto))))
+                facts = alert_ops.closed_window_stage(panes.latest(stored), window, slide, after, upto)
+                found, seen = counted(alert_ops.alerts_per_minute(alert_ops.alert_stage(facts)))
+                store.write_batch(found, batch_id)
+                n = seen.get["rows"]
         if counts is not None:
             counts(batch_id, {"alerts": n})
-        for s in (store, closed, done):
+        for s in (store, panes, done):
             s.compact_by_turns(spark, batch_id, compact_every)
 
-    return _start(panes.writeStream.outputMode("append").foreachBatch(_once(write)), checkpoint, trigger)
+    return _start(logs.writeStream.foreachBatch(_once(write)), checkpoint, trigger)
 
 
 # --- sale detail -----------------------------------------------------------

@@ -122,6 +122,8 @@ class KeyedStore:
         last = self._current(spark)
         if last is not None and last["through"] >= int(batch_id) - 1:
             return      # a replay of this batch
+        if last is None and self._folder(spark, f"{self.root}/{BATCH_COL}=*") is None:
+            return      # nothing written yet
         self.compact(spark, int(batch_id) - 1)
         if last is not None:
             self._delete(spark, last["through"], {last["base"], self._current(spark)["base"]})
