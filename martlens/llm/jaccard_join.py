@@ -366,7 +366,10 @@ class _Verifier:
         pairs = (near.join(shingles.select(F.col("doc_id").alias("doc_b"), F.col("hashes").alias("y")), "doc_b")
                  .join(shingles.select(F.col("doc_id").alias("doc_a"), F.col("hashes").alias("x")), "doc_a")
                  .select("doc_a", "doc_b", "x", "y"))
-        return self.ws.save(self._exact(pairs), f"links-{self.turn}")
+        links = self.ws.save(self._exact(pairs), f"links-{self.turn}")
+        self.ws.drop(f"near-{self.turn}")
+        self.ws.drop(f"shingles-{self.turn}")
+        return links
 
     def _near(self, pairs: DataFrame) -> DataFrame:
         """Pairs whose sizes and sketches allow a link."""
@@ -545,7 +548,9 @@ def classes_by_key(spark: SparkSession, docs: DataFrame) -> DataFrame:
     more = verifier.links(heavy.stars(heavy.exclusive(parts)))
     parts = ws.save(components(_joined(parts, more), ws, "third"), "parts-3")
     more = verifier.links(heavy.pairs(heavy.exclusive(parts)))
-    final = components(_joined(parts, more), ws, "fourth")
+    final = ws.save(components(_joined(parts, more), ws, "fourth"), "parts-4")
+    for name in ("found", "members", "heavy-shingles", "parts-1", "parts-2", "parts-3"):     # read for the last time
+        ws.drop(name)
     owner = sets.select("set_id", F.col("doc_id").alias("id")).join(final, "id", "left") \
         .select("set_id", F.coalesce("component", "id").alias("component_id"))
     return rows.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("set_id")).alias("set_id")) \

@@ -36,15 +36,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martlens.llm.packets import PACKET_DDL, Sender, answers, found_ranges
 from martlens.llm.spans import U64, blocks, hash_spans, mix, spread, tidy, window_hashes, word_spans
-from martlens.llm.store import partitions
+from martlens.llm.store import Workspace, partitions
 
 WINDOW = 35
 ROUNDS = 6          # symbols of about 6 words, contexts of about 16
+SEVERAL = "an id of several texts"      # name of a mark, beside the columns of any input
 SYMBOL_BITS = 48    # of a name that travel beside its bucket; clashes only cost a verification
 
 
@@ -221,14 +222,27 @@ class Kept:
         return self.joined[lo:max(lo, hi - 1)].tobytes()
 
 
+def row_keys(docs: DataFrame) -> tuple[DataFrame, Column]:
+    """Rows of equal keys have equal texts: the id, which packets hold in a few
+    bits, or a hash of id and text below zero where there is no id or it has
+    several texts.  Tables that have such ids pay a join for it."""
+    several = Workspace(docs.sparkSession, "keys").save(
+        docs.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(F.xxhash64("text")).alias("lo"), F.max(F.xxhash64("text")).alias("hi"))
+        .filter("lo <> hi").select("doc_id"), "several")
+    hashed = -1 - F.shiftrightunsigned(F.xxhash64(F.col("doc_id").cast("long"), "text"), 2)
+    if several.isEmpty():
+        return docs, F.coalesce(F.col("doc_id").cast("long"), hashed)
+    marked = docs.join(several.select("doc_id", F.lit(True).alias(SEVERAL)), "doc_id", "left")
+    return marked, F.when(F.col("doc_id").isNull() | F.col(SEVERAL).isNotNull(), hashed).otherwise(F.col("doc_id").cast("long"))
+
+
 def with_found(docs: DataFrame, buckets: int, window: int = WINDOW) -> DataFrame:
     """owner, text, found (start positions of repeated windows) and the other
     columns of ``docs`` as a struct ``row``."""
-    # not below zero, so that packets can hold owners as steps
-    owner = F.shiftrightunsigned(F.xxhash64(F.col("doc_id").cast("long"), "text"), 2)
+    columns = [c for c in docs.columns if c != "text"]
+    docs, owner = row_keys(docs)
     base = docs.select(owner.alias("owner"), F.coalesce("text", F.lit("")).alias("text"),
-                       F.struct(F.col("text").isNull().alias("__null"),
-                                *[c for c in docs.columns if c != "text"]).alias("row"))
+                       F.struct(F.col("text").isNull().alias("__null"), *columns).alias("row"))
     slim = docs.select(owner.alias("owner"), F.coalesce("text", F.lit("")).alias("text"))
     shared = answers(symbol_packets(slim, buckets, window), buckets)
     # same columns in both joins, so that they read one exchange of the texts
