@@ -21,11 +21,14 @@ def object_fields(text: Column, names: tuple[str, ...]) -> Column:
 
 def is_one_object(text: Column, fields: Column) -> Column:
     """Is the text exactly one JSON object?  ``fields``: see ``object_fields``.
-    A parser stops behind the first value.  What follows it would have to end an
-    array here and an object there, so only the end of the text passes both."""
+    A parser stops behind the first value.  Where the last character is the only
+    closing brace, nothing follows.  Else what follows would have to end an array
+    here and an object there, so only the end of the text passes both."""
+    flat = F.rtrim(text).endswith("}") & (F.char_length(text) - F.char_length(F.replace(text, F.lit("}"), F.lit(""))) == 1)
     alone = F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1
     member = F.json_object_keys(F.concat(F.lit('{"v":'), text, F.lit("}"))) == F.array(F.lit("v"))
-    return F.coalesce(F.json_object_keys(text).isNotNull() & fields.getField(CORRUPT).isNull() & alone & member, F.lit(False))
+    whole = F.when(flat, F.lit(True)).otherwise(alone & member)
+    return F.coalesce(F.json_object_keys(text).isNotNull() & fields.getField(CORRUPT).isNull() & whole, F.lit(False))
 
 
 def without_member(text: Column, name: str) -> Column:
