@@ -75,5 +75,5 @@ def test_empty_documents(spark, no_docs):
 
 def test_entry_lists_the_operators():
     names = entry.queries()
-    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10
+    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)] == [1] * 13
     assert set(entry.oracle_sql()) <= set(names)
