@@ -51,6 +51,8 @@ SLACK = 1.15                # slices beyond the differences a link may have
 FEW = 8                     # sets that share a rare slice
 BLOCK_SLICES = 1_500_000    # slices a map task gathers before it sends
 MINI_WORDS = 16             # longs of the short sketch that joins compare
+CELLS = 32                  # cells for each wanted id, see marked()
+MOST_CELLS = 1 << 27        # bits that marked() sends to every executor
 STAR, RARE, COMMON = 0, 1, 2
 
 
@@ -351,6 +353,21 @@ def candidate_rows(packets: DataFrame, buckets: int) -> DataFrame:
             .mapInArrow(run, FOUND_DDL))
 
 
+def marked(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose doc_id is in ``wanted``, and few others (one
+    in CELLS, while MOST_CELLS allow).  Ids are hashed to cells, and a bit for
+    each cell goes to the executors, so that texts are sifted where they are
+    read and a join that follows does not shuffle the rest of them."""
+    cells = min(MOST_CELLS, max(1 << 15, 1 << (CELLS * wanted.count()).bit_length()))
+    cell = F.pmod(F.xxhash64("doc_id"), F.lit(cells)) + 1
+    marks = wanted.select(cell.alias("cell")).groupBy(F.bitmap_bucket_number("cell").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("cell")).alias("marks"))
+    place = F.bitmap_bit_position(cell)
+    byte = F.conv(F.hex(F.substring("marks", (F.shiftright(place, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("long")
+    return docs.join(F.broadcast(marks), (F.bitmap_bucket_number(cell) == F.col("bucket"))
+                     & (F.getbit(byte, (place % 8).cast("int")) == 1), "left_semi")
+
+
 class _Verifier:
     """Turns candidate pairs of sets into links between documents, each set
     standing for its smallest document."""
@@ -361,14 +378,15 @@ class _Verifier:
     def links(self, pairs: DataFrame) -> DataFrame:
         self.turn += 1
         near = self.ws.save(self._near(pairs.select("a", "b").distinct()), f"near-{self.turn}")
-        wanted = near.select(F.col("doc_a").alias("doc_id")).union(near.select(F.col("doc_b").alias("doc_id"))).distinct()
+        wanted = self.ws.save(near.select(F.col("doc_a").alias("doc_id")).union(
+            near.select(F.col("doc_b").alias("doc_id"))).distinct(), f"wanted-{self.turn}")
         shingles = self.ws.save(self._shingles(wanted), f"shingles-{self.turn}", compression="none")
         pairs = (near.join(shingles.select(F.col("doc_id").alias("doc_b"), F.col("hashes").alias("y")), "doc_b")
                  .join(shingles.select(F.col("doc_id").alias("doc_a"), F.col("hashes").alias("x")), "doc_a")
                  .select("doc_a", "doc_b", "x", "y"))
         links = self.ws.save(self._exact(pairs), f"links-{self.turn}")
-        self.ws.drop(f"near-{self.turn}")
-        self.ws.drop(f"shingles-{self.turn}")
+        for name in ("near", "wanted", "shingles"):
+            self.ws.drop(f"{name}-{self.turn}")
         return links
 
     def _near(self, pairs: DataFrame) -> DataFrame:
@@ -392,6 +410,10 @@ class _Verifier:
             (F.least("n_a", "n_b") * den >= F.greatest("n_a", "n_b") * num))
         return both.select("doc_a", "doc_b", "n_a", "n_b", "sketch_a", "sketch_b").mapInArrow(run, "doc_a long, doc_b long")
 
+    def _texts(self, wanted: DataFrame) -> DataFrame:
+        # rows of one id have one text here (see near_duplicates)
+        return marked(self.docs, wanted).join(wanted, "doc_id", "left_semi").select("doc_id", "text")
+
     def _shingles(self, wanted: DataFrame) -> DataFrame:
         @tidy
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -402,8 +424,7 @@ class _Verifier:
                         [rows.column(0).cast(pa.int64()), pa.array([s.of(i).tobytes() for i in range(rows.num_rows)], pa.binary())],
                         names=["doc_id", "hashes"])
 
-        # rows of one id have one text here (see near_duplicates)
-        return self.docs.join(wanted, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(run, "doc_id long, hashes binary")
+        return self._texts(wanted).mapInArrow(run, "doc_id long, hashes binary")
 
     def exploded(self, wanted: DataFrame) -> DataFrame:
         """(id, h): the shingle hashes of some documents."""
@@ -415,7 +436,7 @@ class _Verifier:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.repeat(rows.column(0).to_numpy(), s.size)), pa.array(s.hash.view(np.int64))], names=["id", "h"])
 
-        return self.docs.join(wanted, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(run, "id long, h long")
+        return self._texts(wanted).mapInArrow(run, "id long, h long")
 
     def _exact(self, pairs: DataFrame) -> DataFrame:
         num, den = SHARE

@@ -82,6 +82,55 @@ def test_heavy_sets_of_unequal_blocks_meet(spark, monkeypatch):
     assert slices[x] & slices[y]
 
 
+def shuffled_rows(df):
+    """Rows of each shuffle of a table that was computed."""
+    todo, out = [df._jdf.queryExecution().executedPlan()], []
+    while todo:
+        node = todo.pop()
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            todo.append(node.plan())
+        else:
+            if kind == "ShuffleExchangeExec":
+                out.append(node.metrics().apply("shuffleRecordsWritten").value())
+            todo.extend(node.children().apply(i) for i in range(node.children().size()))
+    return out
+
+
+@pytest.mark.parametrize("take", ["_shingles", "exploded"])
+def test_texts_that_are_not_wanted_are_not_shuffled(spark, take):
+    """Where the wanted ids are too many to broadcast, too."""
+    texts = [(i * 7919 - 4000, f"one two three four five {i}") for i in range(3000)]
+    docs = make_docs(spark, texts).select("doc_id", "text")
+    wanted = spark.createDataFrame([(i,) for i, _ in texts[::60]], "doc_id long")
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "-1")
+    try:
+        out = getattr(J._Verifier(docs, None, Workspace(spark, "t")), take)(wanted)
+        got = [r[0] for r in out.collect()]
+    finally:
+        spark.conf.set(limit, before)
+    assert sorted(set(got)) == [i for i, _ in texts[::60]]
+    rows = shuffled_rows(out)
+    assert rows and max(rows) < 400
+
+
+@pytest.mark.parametrize("most", [1 << 15, 1 << 16, 1 << 27])
+def test_marked_rows_hold_all_wanted_ones(spark, monkeypatch, most):
+    """Of more ids than there are cells for, too, and of none."""
+    monkeypatch.setattr(J, "MOST_CELLS", most)
+    docs = spark.range(-20000, 20000).select(J.F.col("id").alias("doc_id"), J.F.lit("a").alias("text"))
+    for step in (3, 401):
+        wanted = docs.filter(f"doc_id % {step} = 0").select("doc_id")
+        got = J.marked(docs, wanted)
+        assert wanted.join(got, "doc_id", "left_anti").count() == 0
+        assert got.count() < 40000 and len(got.columns) == 2
+    assert J.marked(docs, wanted.limit(0)).count() == 0
+
+
 def test_registered_query_on_the_table(spark):
     from martlens.llm.queries import QUERIES
     sf = "/root/testdata/sf0.001"
