@@ -378,6 +378,8 @@ class _Verifier:
     def links(self, pairs: DataFrame) -> DataFrame:
         self.turn += 1
         near = self.ws.save(self._near(pairs.select("a", "b").distinct()), f"near-{self.turn}")
+        if near.isEmpty():
+            return near.select(F.col("doc_a").alias("a"), F.col("doc_b").alias("b"))
         wanted = self.ws.save(near.select(F.col("doc_a").alias("doc_id")).union(
             near.select(F.col("doc_b").alias("doc_id"))).distinct(), f"wanted-{self.turn}")
         shingles = self.ws.save(self._shingles(wanted), f"shingles-{self.turn}", compression="none")
@@ -492,6 +494,8 @@ class _Heavy:
         num, den = SHARE
         self.turn += 1
         live = self.ws.save(self._split(parts, []).select("id", "part", "size").distinct(), f"live-{self.turn}")
+        if live.isEmpty():
+            return live.select("id", F.col("part").alias("component"), F.col("size").alias("exclusive"))
         if self.shingles is None:
             self.shingles = self.ws.save(self.verifier.exploded(live.select(F.col("id").alias("doc_id"))),
                                          "heavy-shingles", compression="none")
@@ -525,8 +529,29 @@ class _Heavy:
                          & (F.col("part") != F.col("part_")) & may & near).select(F.col("set_id").alias("a"), F.col("set_id_").alias("b"))
 
 
-def _joined(parts: DataFrame, links: DataFrame) -> DataFrame:
-    return parts.select(F.col("id").alias("a"), F.col("component").alias("b")).union(links.select("a", "b"))
+class _Parts:
+    """(id, component) of every document with a link, as links are added."""
+
+    def __init__(self, ws: Workspace, links: DataFrame) -> None:
+        self.ws, self.turn = ws, 1
+        self.table = ws.save(components(links, ws, "part-1"), "parts-1")
+
+    def add(self, links: DataFrame) -> None:
+        """Only the components that ``links`` join are named anew."""
+        if links.isEmpty():
+            return
+        self.turn += 1
+        between = links
+        for k in ("a", "b"):
+            place = self.table.select(F.col("id").alias(k), F.col("component").alias("part"))
+            between = between.join(place, k, "left").withColumn(k, F.coalesce("part", k)).drop("part")
+        over = self.ws.save(components(between, self.ws, f"part-{self.turn}"), f"over-{self.turn}")
+        # a component is named by one of its documents, and a document without a link so far by itself
+        placed = self.table.join(over.select(F.col("id").alias("component"), F.col("component").alias("whole")), "component", "left")
+        self.table = self.ws.save(placed.select("id", F.coalesce("whole", "component").alias("component")).union(
+            over).distinct(), f"parts-{self.turn}")
+        self.ws.drop(f"over-{self.turn}")
+        self.ws.drop(f"parts-{self.turn - 1}")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
@@ -556,21 +581,24 @@ def classes_by_key(spark: SparkSession, docs: DataFrame) -> DataFrame:
                     partition_by=("kind",))
     verifier = _Verifier(docs, sets, ws)
     links = verifier.links(found.filter(F.col("kind") == STAR))
-    parts = ws.save(components(links, ws, "first"), "parts-1")
-    place = sets.select("set_id", F.col("doc_id").alias("id")).join(parts, "id", "left") \
+    parts = _Parts(ws, links)
+    place = sets.select("set_id", F.col("doc_id").alias("id")).join(parts.table, "id", "left") \
         .select("set_id", F.coalesce("component", "id").alias("part"))
     rare = (found.filter(F.col("kind") == RARE).select("a", "b").distinct()
             .join(place.select(F.col("set_id").alias("a"), F.col("part").alias("part_a")), "a")
             .join(place.select(F.col("set_id").alias("b"), F.col("part").alias("part_b")), "b")
             .filter("part_a <> part_b").select("a", "b"))
-    more = verifier.links(rare)
-    parts = ws.save(components(_joined(parts, more), ws, "second"), "parts-2")
+    parts.add(verifier.links(rare))
     heavy = _Heavy(verifier, found.filter(F.col("kind") == COMMON))
-    more = verifier.links(heavy.stars(heavy.exclusive(parts)))
-    parts = ws.save(components(_joined(parts, more), ws, "third"), "parts-3")
-    more = verifier.links(heavy.pairs(heavy.exclusive(parts)))
-    final = ws.save(components(_joined(parts, more), ws, "fourth"), "parts-4")
-    for name in ("found", "members", "heavy-shingles", "parts-1", "parts-2", "parts-3"):     # read for the last time
+    live = heavy.exclusive(parts.table)
+    if not live.isEmpty():
+        more = verifier.links(heavy.stars(live))
+        parts.add(more)
+        if not more.isEmpty():
+            live = heavy.exclusive(parts.table)
+        parts.add(verifier.links(heavy.pairs(live)))
+    final = parts.table
+    for name in ("found", "members", "heavy-shingles"):     # read for the last time
         ws.drop(name)
     owner = sets.select("set_id", F.col("doc_id").alias("id")).join(final, "id", "left") \
         .select("set_id", F.coalesce("component", "id").alias("component_id"))

@@ -170,3 +170,51 @@ def test_components_match_union_find(spark):
     df = spark.createDataFrame(links, "a long, b long")
     out = {r.id: r.component for r in components(df, Workspace(spark, "t"), "c").collect()}
     assert all(out.get(n, n) == expected[n] for n in nodes)
+
+
+def test_components_of_chains_stars_and_cliques_over_many_tasks(spark):
+    rng = random.Random(3)
+    links = [(i, i + 1) for i in range(100, 400)]                                  # a chain
+    links += [(1000, i) for i in range(1001, 1300)] + [(i, 999) for i in range(1200, 1210)]
+    links += [(a, b) for a in range(2000, 2030) for b in range(2000, 2030)]        # a clique, with loops
+    links += [(-7, 5000), (5000, -7), (6000, 6000)] + [(5, None), (None, None)]
+    rng.shuffle(links)
+    df = spark.createDataFrame(links, "a long, b long").repartition(13)
+    out = components(df, Workspace(spark, "t"), "c").collect()
+    assert len({r.id for r in out}) == len(out)
+    expected = {i: 100 for i in range(100, 401)} | {i: 999 for i in range(999, 1300)} \
+        | {i: 2000 for i in range(2000, 2030)} | {-7: -7, 5000: -7}
+    assert {r.id: r.component for r in out} == expected
+
+
+def test_links_added_later_join_components_and_single_documents(spark):
+    ws = Workspace(spark, "t")
+
+    def table(*links):
+        return spark.createDataFrame(list(links), "a long, b long")
+
+    parts = J._Parts(ws, table((1, 2), (3, 4), (5, 6), (7, 8)))
+    before = parts.table
+    parts.add(table())
+    assert parts.table is before
+    parts.add(table((8, 4), (9, 6), (20, 21), (21, 22), (1, 2)))
+    assert sorted((r.id, r.component) for r in parts.table.collect()) == [
+        (1, 1), (2, 1), (3, 3), (4, 3), (5, 5), (6, 5), (7, 3), (8, 3), (9, 5), (20, 20), (21, 20), (22, 20)]
+    parts.add(table((9, 2), (0, 22)))
+    assert {r.id: r.component for r in parts.table.collect()} == {
+        1: 1, 2: 1, 3: 3, 4: 3, 5: 1, 6: 1, 7: 3, 8: 3, 9: 1, 0: 0, 20: 0, 21: 0, 22: 0}
+
+
+def test_steps_without_candidates_write_no_tables(spark, monkeypatch):
+    """A step that finds nothing to compare or to join ends there."""
+    names, save = [], Workspace.save
+
+    def noted(self, df, name, *a, **b):
+        names.append(name)
+        return save(self, df, name, *a, **b)
+
+    monkeypatch.setattr(Workspace, "save", noted)
+    base = [f"t{i}" for i in range(200)]
+    docs = make_docs(spark, [(i, " ".join([*base[:-1], f"e{i}"])) for i in range(4)] + [(9, "some other words are in this one")])
+    assert {r.doc_id: r.component_id for r in J.near_duplicates(spark, docs).collect()} == {0: 0, 1: 0, 2: 0, 3: 0, 9: 9}
+    assert "near-2" in names and {"wanted-2", "shingles-2", "links-2", "parts-2", "heavy-shingles"}.isdisjoint(names), names
