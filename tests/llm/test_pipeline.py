@@ -6,6 +6,7 @@ from brute import jaccard_classes, without_repeats
 from samples import ROUGH_TEXTS, SF, make_docs
 
 from martlens.llm import quality, word_bpe
+from martlens.llm.store import Workspace
 
 
 def plain(spark, docs, sf):
@@ -77,3 +78,18 @@ def test_entry_lists_the_operators():
     names = entry.queries()
     assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)] == [1] * 13
     assert set(entry.oracle_sql()) <= set(names)
+
+
+def test_near_duplicates_write_few_tables_where_texts_are_equal_or_unlike(spark, monkeypatch):
+    """Plans and jobs of steps that have nothing to do add up in the driver's memory."""
+    names, save = [], Workspace.save
+
+    def noted(self, df, name, *a, **b):
+        names.append(name)
+        return save(self, df, name, *a, **b)
+
+    monkeypatch.setattr(Workspace, "save", noted)
+    texts = [(i, " ".join(f"w{i % 5}x{j}" for j in range(30))) for i in range(15)]
+    docs = make_docs(spark, texts)
+    assert sorted(r.doc_id for r in C.keep_first(spark, docs, SF).collect()) == [0, 1, 2, 3, 4]
+    assert len(names) <= 16, names
