@@ -50,6 +50,8 @@ BAND = 1.75                 # ratio of the sizes at the ends of a band
 SLACK = 1.15                # slices beyond the differences a link may have
 FEW = 8                     # sets that share a rare slice
 BLOCK_SLICES = 1_500_000    # slices a map task gathers before it sends
+PART_SLICES = 1 << 18       # slices of a bucket that are grouped at once
+PIECE_ROWS = 20_000         # rows that a task hands over at once
 MINI_WORDS = 16             # longs of the short sketch that joins compare
 CELLS = 32                  # cells for each wanted id, see marked()
 MOST_CELLS = 1 << 27        # bits that marked() sends to every executor
@@ -223,24 +225,35 @@ def _groups(key: np.ndarray, entry: np.ndarray, ids: np.ndarray) -> tuple[np.nda
     return (order, *runs(key[order]))
 
 
-def _common(order, start, size, which, entry, ids, band, need, key) -> tuple[np.ndarray, ...]:
+def _common(order, start, size, which, entry, ids, band, need, name) -> tuple[np.ndarray, ...]:
     """Rows (a, b, band, need, kind) of the chosen keys: links to the centre
-    (the smallest set) and memberships."""
+    (the smallest set) and memberships.  ``name`` gives the names of slices."""
     at = order[spread(start[which], size[which])]
     centre = np.repeat(ids[entry[order[start[which]]]], size[which])
     member = ids[entry[at]]
     far = member != centre
     zero = np.zeros(int(far.sum()), np.int64)
-    return (np.concatenate([centre[far], key[at].view(np.int64)]), np.concatenate([member[far], member]),
+    return (np.concatenate([centre[far], name(at).view(np.int64)]), np.concatenate([member[far], member]),
             np.concatenate([zero, band[entry[at]]]), np.concatenate([zero, need[entry[at]]]),
             np.concatenate([zero + STAR, np.full(len(at), COMMON)]))
 
 
-def _found(rows: tuple[np.ndarray, ...]) -> pa.RecordBatch:
-    a, b, band, need, kind = rows
-    return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(band.astype(np.int32)),
-                                       pa.array(np.minimum(need, 1 << 30).astype(np.int32)),
-                                       pa.array(kind.astype(np.int32))], schema=FOUND)
+def _found(rows: tuple[np.ndarray, ...]) -> Iterator[pa.RecordBatch]:
+    for lo in range(0, len(rows[0]), PIECE_ROWS):
+        a, b, band, need, kind = (x[lo:lo + PIECE_ROWS] for x in rows)
+        yield pa.RecordBatch.from_arrays([pa.array(a.astype(np.int64)), pa.array(b.astype(np.int64)),
+                                          pa.array(band.astype(np.int32)),
+                                          pa.array(np.minimum(need.astype(np.int64), 1 << 30).astype(np.int32)),
+                                          pa.array(kind.astype(np.int32))], schema=FOUND)
+
+
+def _distinct(a: np.ndarray, b: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Different rows of three columns."""
+    order = np.lexsort((kind, b, a))
+    a, b, kind = a[order], b[order], kind[order]
+    new = np.ones(len(a), bool)
+    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (kind[1:] != kind[:-1])
+    return a[new], b[new], kind[new]
 
 
 _SEEN = U64((1 << 48) - 1)      # bits of a key that travel beside its bucket
@@ -262,7 +275,9 @@ def slice_packets(docs: DataFrame, buckets: int) -> DataFrame:
         ids, band, need = (np.concatenate([h[k] for h in held]) for k in (2, 3, 4))
         once = np.zeros(len(ids), bool)
         once[np.unique(np.stack([ids, band], axis=1), axis=0, return_index=True)[1]] = True
-        key, entry = key[once[entry]], entry[once[entry]]
+        held.clear()
+        if not once.all():
+            key, entry = key[once[entry]], entry[once[entry]]
         order, start, size = _groups(key, entry, ids)
         hot = size > FEW
         sent = order[np.concatenate([spread(start[~hot], size[~hot]), start[hot]])]
@@ -270,7 +285,8 @@ def slice_packets(docs: DataFrame, buckets: int) -> DataFrame:
         bucket = _bucket_of(key[sent], buckets)
         by = np.argsort(bucket, kind="stable")
         edges = np.searchsorted(bucket[by], np.arange(buckets + 1))
-        done = _common(order, start, size, hot, entry, ids, band, need, _name(key, _bucket_of(key, buckets)))
+        done = _common(order, start, size, hot, entry, ids, band, need,
+                       lambda at: _name(key[at], _bucket_of(key[at], buckets)))
         share = np.array_split(np.arange(len(done[0])), buckets)     # settled rows ride along, evenly
         names, packets = [], []
         for b in range(buckets):
@@ -308,13 +324,28 @@ def candidate_rows(packets: DataFrame, buckets: int) -> DataFrame:
     """Rows of kind STAR and RARE (pairs of sets) and COMMON (slice, set)."""
     def settle(held: list[bytes], bucket: int) -> Iterator[pa.RecordBatch]:
         parts = [split_arrays(p, 12) for p in held]
+        for p in parts:
+            yield from _found(tuple(p[7:]))
         shift = np.cumsum([0] + [len(p[0]) for p in parts[:-1]])
         ids = np.concatenate([p[0] for p in parts])
         band, need = (np.concatenate([p[k] for p in parts]).astype(np.int64) for k in (1, 2))
-        entry = np.concatenate([p[3].astype(np.int64) + d for p, d in zip(parts, shift, strict=True)])
-        key = np.concatenate([(p[4].astype(U64) << U64(32)) | p[5].astype(U64) for p in parts])
-        mark = np.concatenate([p[6] for p in parts]).astype(bool)
-        yield _found(tuple(np.concatenate([p[k] for p in parts]).astype(np.int64) for k in range(7, 12)))
+        # equal slices are in one turn: it goes by the leading bits of the key
+        turns = -(-sum(len(p[4]) for p in parts) // PART_SLICES)
+        pairs = [(np.zeros(0, np.int64),) * 3]
+        for turn in range(turns):
+            own = [np.flatnonzero(p[4].astype(np.uint32) * np.uint32(turns) >> np.uint32(16) == turn) for p in parts]
+            entry = np.concatenate([p[3][g].astype(np.int64) + d for p, g, d in zip(parts, own, shift, strict=True)])
+            key = np.concatenate([(p[4][g].astype(U64) << U64(32)) | p[5][g] for p, g in zip(parts, own, strict=True)])
+            mark = np.concatenate([p[6][g] for p, g in zip(parts, own, strict=True)]).astype(bool)
+            common, few = grouped(ids, band, need, entry, key, mark, bucket)
+            yield from _found(common)
+            pairs.append(few)
+        a, b, kind = _distinct(*(np.concatenate(x) for x in zip(*pairs, strict=True)))
+        zero = np.zeros(len(a), np.int64)
+        yield from _found((a, b, zero, zero, kind))
+
+    def grouped(ids, band, need, entry, key, mark, bucket) -> tuple[tuple[np.ndarray, ...], ...]:
+        """Rows of the slices that many sets share, and pairs (a, b, kind) of the others."""
         # a set that several blocks sent counts once under a key
         order = np.lexsort((ids[entry], key))
         k, i = key[order], ids[entry[order]]
@@ -324,17 +355,15 @@ def candidate_rows(packets: DataFrame, buckets: int) -> DataFrame:
         order = order[first]
         start, size = runs(key[order])
         hot = (size > FEW) | (np.logical_or.reduceat(flag, start) if len(start) else flag)
-        name = _name(key, np.full(len(key), bucket))
-        yield _found(_common(order, start, size, hot, entry, ids, band, need, name))
-        pairs = [np.zeros((0, 3), np.int64)]
+        common = _common(order, start, size, hot, entry, ids, band, need,
+                         lambda at: _name(key[at], np.full(len(at), bucket)))
+        pairs = [(np.zeros(0, np.int64),) * 3]
         for n in range(2, FEW + 1):
             group = ids[entry[order[start[(size == n) & ~hot][:, None] + np.arange(n)]]]
             for x in range(n):
                 for y in range(x + 1, n):
-                    pairs.append(np.stack([group[:, x], group[:, y], np.full(len(group), RARE if x else STAR)], axis=1))
-        pairs = np.unique(np.concatenate(pairs), axis=0)
-        zero = np.zeros(len(pairs), np.int64)
-        yield _found((pairs[:, 0], pairs[:, 1], zero, zero, pairs[:, 2]))
+                    pairs.append((group[:, x], group[:, y], np.full(len(group), RARE if x else STAR)))
+        return common, _distinct(*(np.concatenate(x) for x in zip(*pairs, strict=True)))
 
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -218,3 +219,63 @@ def test_steps_without_candidates_write_no_tables(spark, monkeypatch):
     docs = make_docs(spark, [(i, " ".join([*base[:-1], f"e{i}"])) for i in range(4)] + [(9, "some other words are in this one")])
     assert {r.doc_id: r.component_id for r in J.near_duplicates(spark, docs).collect()} == {0: 0, 1: 0, 2: 0, 3: 0, 9: 9}
     assert "near-2" in names and {"wanted-2", "shingles-2", "links-2", "parts-2", "heavy-shingles"}.isdisjoint(names), names
+
+
+class Task:
+    """Takes the place of a table and keeps the function given to its tasks."""
+
+    def select(self, *columns):
+        return self
+
+    repartitionById = sortWithinPartitions = select
+
+    def mapInArrow(self, run, schema):
+        self.run = run
+        return self
+
+
+def bucket_rows(texts, blocks=3):
+    """Rows that the one task of one bucket gives, by batch, and the MB that it
+    needed beside its packets."""
+    sender, taker = J.slice_packets(Task(), 1), J.candidate_rows(Task(), 1)
+    packets = []
+    for k in range(blocks):
+        docs = pa.record_batch({"doc_id": pa.array(range(k, len(texts), blocks), pa.int64()),
+                                "text": pa.array(texts[k::blocks], pa.string())})
+        packets += [p for b in sender.run(iter([docs])) for p in b.column(1).to_pylist()]
+    given = pa.record_batch({"bucket": pa.array([0] * len(packets), pa.int32()), "packet": pa.array(packets, pa.binary())})
+    tracemalloc.start()
+    try:
+        sizes, rows, top = [], [], 0
+        for b in taker.run(iter([given])):
+            sizes.append(b.num_rows)
+            top = max(top, tracemalloc.get_traced_memory()[1])
+            rows.append(b)
+    finally:
+        tracemalloc.stop()
+    return sizes, [tuple(r.values()) for b in rows for r in b.to_pylist()], top / 1e6
+
+
+def test_bucket_is_grouped_in_parts(spark, monkeypatch):
+    """A bucket's slices are grouped some at a time, so a task needs little
+    memory beside its packets (52 MB where all are grouped at once), hands its
+    rows over in pieces, and gives the rows that one part gives."""
+    rng = random.Random(4)
+    texts = []
+    for g in range(40):                             # FEW copies and fewer, more, and texts for themselves
+        base = [f"g{g}w{i}" for i in range(300)]
+        for _ in range(rng.choice([1, 3, 8, 30])):
+            w = list(base)
+            w[rng.randrange(300)] = f"e{rng.randrange(10 ** 6)}"
+            texts.append(" ".join(w))
+    texts += [" ".join(f"t{t}w{i}" for i in range(300)) for t in range(2000)]
+    rng.shuffle(texts)
+    monkeypatch.setattr(J, "PART_SLICES", 1 << 40, raising=False)
+    _, whole, _ = bucket_rows(texts)
+    assert {r[4] for r in whole} == {J.STAR, J.RARE, J.COMMON}
+    monkeypatch.setattr(J, "PART_SLICES", 1 << 14, raising=False)
+    monkeypatch.setattr(J, "PIECE_ROWS", 1000, raising=False)
+    sizes, rows, top = bucket_rows(texts)
+    assert sorted(rows) == sorted(whole)
+    assert max(sizes) <= 1000
+    assert top < 20
